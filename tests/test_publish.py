@@ -1,0 +1,218 @@
+"""Tables in the catalog: loading, switching, evolving, registering."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierlake import PublishError, SchemaError, first_load, overwrite, read_table, register_external_table, table_exists, upsert
+from tierlake.operators import publish
+from tierlake.operators.publish import table_layout
+
+LAYOUTS = pytest.mark.parametrize("buckets", [None, 4])
+
+
+def frame(spark, data, schema="k INT, v STRING"):
+    return spark.createDataFrame(data, schema)
+
+
+def put(spark, name, path, df, **rules):
+    upsert(spark, name, path, df, rules.pop("keys", ["k"]), table_format="parquet", **rules)
+    return rows(read_table(spark, name))
+
+
+@LAYOUTS
+def test_first_load_then_upserts(spark, name, path, buckets):
+    assert not table_exists(spark, name)
+    assert put(spark, name, path, frame(spark, [(1, "a"), (2, "b")]), buckets=buckets) == [(1, "a"), (2, "b")]
+    assert table_exists(spark, name)
+    source = frame(spark, [(2, "B"), (3, "C")])
+    assert put(spark, name, path, source) == [(1, "a"), (2, "B"), (3, "C")]
+    assert put(spark, name, path, source) == [(1, "a"), (2, "B"), (3, "C")]
+    assert read_table(spark, name).columns == ["k", "v"]
+
+
+@LAYOUTS
+def test_first_load_takes_duplicates_as_they_are(spark, name, path, buckets):
+    assert put(spark, name, path, frame(spark, [(1, "a"), (1, "b")]), buckets=buckets) == [(1, "a"), (1, "b")]
+
+
+@LAYOUTS
+def test_first_load_applies_null_rule_and_dedupe(spark, name, path, buckets):
+    data = frame(spark, [(1, "a", 1), (1, "b", 2), (None, "n", 1)], "k INT, v STRING, ts INT")
+    with pytest.raises(Exception, match="NULL_KEY"):
+        put(spark, name, path, data, buckets=buckets)
+    out = put(spark, name, path, data, buckets=buckets, null_keys="drop", dedupe_by="ts")
+    assert out == [(1, "b", 2)]
+
+
+@LAYOUTS
+def test_evolution_reaches_the_catalog(spark, name, path, buckets):
+    put(spark, name, path, frame(spark, [(1, "a"), (2, "b")]), buckets=buckets)
+    out = put(spark, name, path, frame(spark, [(2, 2.5), (3, 3.5)], "k INT, `w x` DOUBLE"))
+    assert out == [(1, "a", None), (2, "b", 2.5), (3, None, 3.5)]
+    fresh = spark.newSession()
+    assert [c for c in fresh.table(name).columns if c != "bucket"] == ["k", "v", "w x"]
+
+
+@LAYOUTS
+def test_empty_source_changes_no_row_but_adds_columns(spark, name, path, buckets):
+    put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)
+    before = table_layout(spark, name)
+    assert put(spark, name, path, frame(spark, [], "k INT, n INT")) == [(1, "a", None)]
+    assert table_layout(spark, name) == before
+
+
+@LAYOUTS
+def test_failed_upsert_leaves_the_table(spark, name, path, buckets):
+    put(spark, name, path, frame(spark, [(1, "a"), (2, "b")]), buckets=buckets)
+    with pytest.raises(Exception, match="REPEATED_SOURCE_KEY"):
+        put(spark, name, path, frame(spark, [(1, "x"), (1, "y"), (7, "z")]))
+    with pytest.raises(Exception, match="NULL_KEY"):
+        put(spark, name, path, frame(spark, [(None, "x")]))
+    spark.catalog.refreshTable(name)
+    assert rows(read_table(spark, name)) == [(1, "a"), (2, "b")]
+
+
+@LAYOUTS
+def test_repeated_new_keys_all_inserted_and_null_keys(spark, name, path, buckets):
+    put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)
+    source = frame(spark, [(2, "x"), (2, "y"), (None, "n")])
+    assert put(spark, name, path, source, null_keys="insert") == [(None, "n"), (1, "a"), (2, "x"), (2, "y")]
+
+
+@LAYOUTS
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_shuffled_and_broadcast_sources_agree(spark, name, path, conf, buckets, limit):
+    conf(spark__sql__autoBroadcastJoinThreshold=limit, spark__sql__adaptive__autoBroadcastJoinThreshold=limit)
+    target = spark.range(500).selectExpr("id AS k", "concat('t', id) AS v")
+    source = spark.range(450, 600).selectExpr("id AS k", "concat('s', id) AS v")
+    put(spark, name, path, target, buckets=buckets)
+    out = put(spark, name, path, source)
+    assert sorted(out) == [(k, f"t{k}" if k < 450 else f"s{k}") for k in range(600)]
+
+
+def test_readers_keep_the_rows_they_started_with(spark, name, path):
+    put(spark, name, path, frame(spark, [(1, "a")]))
+    held = spark.read.parquet(table_layout(spark, name).location)
+    put(spark, name, path, frame(spark, [(1, "b")]))
+    assert rows(held) == [(1, "a")]
+
+
+def test_only_touched_buckets_move(spark, name, path):
+    put(spark, name, path, spark.range(100).selectExpr("id k", "id v"), buckets=8)
+
+    def folders():
+        shown = spark.sql(f"SHOW PARTITIONS {name}").collect()
+        found = {}
+        for (partition,) in shown:
+            number = partition.split("=")[1]
+            described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION (bucket={number})").collect()
+            found[number] = next(r.data_type for r in described if r.col_name == "Location")
+        return found
+
+    before = folders()
+    put(spark, name, path, spark.range(5, 6).selectExpr("id k", "-id v"))
+    after = folders()
+    assert len(before) == len(after) == 8
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert read_table(spark, name).filter("v < 0").count() == 1 and read_table(spark, name).count() == 100
+
+
+def test_bucket_pruning_reaches_the_merge(spark, name, path):
+    put(spark, name, path, spark.range(100).selectExpr("id k", "id v"), buckets=8)
+    plan = spark.table(name).filter(F.col("bucket").isin([1, 2])).drop("bucket")
+    assert "PartitionFilters: [bucket" in plan._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+def test_bucketed_table_keeps_its_keys(spark, name, path):
+    put(spark, name, path, frame(spark, [(1, "a")]), buckets=4)
+    with pytest.raises(PublishError, match="bucketed by"):
+        put(spark, name, path, frame(spark, [(1, "a")]), keys=["v"])
+    with pytest.raises(SchemaError, match="bucket"):
+        first_load(spark, name + "x", path + "x", frame(spark, [(1, "a")], "k INT, Bucket STRING"), keys=["k"], buckets=4)
+
+
+def test_bucket_depends_on_the_table_type_of_the_key(spark, name, path):
+    put(spark, name, path, frame(spark, [(1, "a"), (2, "b")], "k BIGINT, v STRING"), buckets=16)
+    assert put(spark, name, path, frame(spark, [(1, "A"), (2, "B")], "k INT, v STRING")) == [(1, "A"), (2, "B")]
+
+
+@LAYOUTS
+def test_overwrite_keeps_missing_columns_as_null(spark, name, path, buckets):
+    put(spark, name, path, frame(spark, [(1, "a"), (2, "b"), (3, "c"), (4, "d")]), buckets=buckets)
+    overwrite(spark, name, path, frame(spark, [(9, 1.5)], "k INT, w DOUBLE"))
+    assert rows(read_table(spark, name)) == [(9, None, 1.5)]
+    with pytest.raises(SchemaError, match="lack"):
+        overwrite(spark, name, path, frame(spark, [(9,)], "k INT"), evolve=False)
+    overwrite(spark, name, path, frame(spark, [(1, "a", 2.5, 0)], "k INT, v STRING, w DOUBLE, x INT"), evolve=False)
+    assert rows(read_table(spark, name)) == [(1, "a", 2.5)]
+
+
+def test_overwrite_creates(spark, name, path):
+    overwrite(spark, name, path, frame(spark, [(1, "a")]))
+    assert rows(read_table(spark, name)) == [(1, "a")]
+
+
+def test_unregistered_data_is_not_loaded_over(spark, name, path):
+    put(spark, name, path, frame(spark, [(1, "a")]))
+    location, schema = table_layout(spark, name).location, spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    with pytest.raises(PublishError, match="register_external_table"):
+        put(spark, name, path, frame(spark, [(2, "b")]))
+    register_external_table(spark, name, location, schema)
+    assert put(spark, name, path, frame(spark, [(2, "b")])) == [(1, "a"), (2, "b")]
+
+
+def test_register_leaves_an_existing_table(spark, name, path):
+    put(spark, name, path, frame(spark, [(1, "a")]))
+    register_external_table(spark, name, "/nowhere", T.StructType.fromDDL("z INT"))
+    assert rows(spark.table(name)) == [(1, "a")]
+
+
+def test_names_of_one_two_and_three_parts(spark, path, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bronze LOCATION '{tmp_path}/db'")
+    put(spark, "bronze.two", path + "2", frame(spark, [(1, "a")]))
+    assert put(spark, "spark_catalog.bronze.two", path + "2", frame(spark, [(2, "b")])) == [(1, "a"), (2, "b")]
+
+
+def test_a_name_is_nothing_but_a_name(spark, path):
+    with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR|SYNTAX"):
+        register_external_table(spark, "t (a INT); DROP TABLE x", path, T.StructType.fromDDL("a INT"))
+
+
+def test_a_view_is_not_a_table(spark, name, path):
+    spark.range(1).createOrReplaceTempView(name)
+    with pytest.raises(PublishError, match="view"):
+        upsert(spark, name, path, frame(spark, [(1, "a")]), ["k"])
+
+
+@LAYOUTS
+def test_second_writer_is_noticed(spark, name, path, buckets, monkeypatch):
+    put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)
+    write = publish._write
+
+    def write_then_lose_the_race(*args):
+        location = write(*args)
+        monkeypatch.setattr(publish, "_write", write)
+        put(spark, name, path, frame(spark, [(1, "other")]))
+        return location
+
+    monkeypatch.setattr(publish, "_write", write_then_lose_the_race)
+    with pytest.raises(PublishError, match="while it was being rewritten"):
+        put(spark, name, path, frame(spark, [(1, "mine")]))
+    assert rows(read_table(spark, name)) == [(1, "other")]
+
+
+def test_staged_source_is_removed(spark, name, path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.exists(shared) else set()
+    put(spark, name, path, frame(spark, [(1, "a")]))
+    put(spark, name, path, frame(spark, [(1, "b")]))
+    assert set(os.listdir(shared)) == before

@@ -116,27 +116,27 @@ def merge_parts(
     keys: Sequence[str],
     *,
     unique_source: bool = False,
-    broadcast_source: bool = False,
+    broadcast_source: bool | None = None,
 ) -> Merged:
     """Both parts of the merge of a prepared source.
 
     unique_source: the caller knows that no non-NULL key repeats in the source, which saves looking for them.
-    broadcast_source: the caller has checked that the source is small enough.
+    broadcast_source: the caller has compared the size of the source to Spark's limit; None leaves that to Spark.
     """
     spark, keys = target.sparkSession, resolved_keys(target, keys)
     schema = evolved(spark, target.schema, source.schema)
+    names, columns = [column_name(k) for k in keys], [column_name(c) for c in source.columns]
     keyed, loose = source.filter(~any_null(keys)), source.filter(any_null(keys))
 
     if unique_source:
         matching, direct = keyed, loose
     else:
-        names = [column_name(k) for k in keys]
         repeated = keyed.groupBy(names).agg(F.count(F.lit(1)).alias(_COUNT)).filter(F.col(_COUNT) > 1)
         # A repeated key may only be new, so its rows need no join: a target row that meets the single row
         # standing for them here fails the query.
         matching = keyed.join(repeated, keys, "left_anti").unionByName(repeated, allowMissingColumns=True)
-        direct = keyed.join(repeated, keys, "left_semi").select(keyed.columns).union(loose)
-        keyed = keyed.join(repeated, keys, "left_anti").select(keyed.columns)
+        direct = keyed.join(repeated, keys, "left_semi").select(columns).union(loose)
+        keyed = keyed.join(repeated, keys, "left_anti").select(columns)
 
     if broadcast_source:
         matching = F.broadcast(matching)
@@ -146,11 +146,12 @@ def merge_parts(
         .select(_updated_columns(schema, target, source, keys, unique_source))
     )
 
-    present = target.select([column_name(k) for k in keys]).distinct()
-    wanted = keyed.select([column_name(k) for k in keys])
-    # Spark moves this semi join below the distinct when the source is small enough to broadcast.
-    present = present.join(F.broadcast(wanted) if broadcast_source else wanted, keys, "left_semi")
-    fresh = keyed.join(present, keys, "left_anti").select(keyed.columns).union(direct)
+    present, wanted = target.select(names).distinct(), keyed.select(names)
+    if broadcast_source is not False:
+        # Spark moves this semi join below the distinct if the source is small enough to broadcast, so that only
+        # keys found in the source are shuffled. Otherwise it would change nothing.
+        present = present.join(F.broadcast(wanted) if broadcast_source else wanted, keys, "left_semi")
+    fresh = keyed.join(present, keys, "left_anti").select(columns).union(direct)
     return Merged(updated, fresh.to(schema))
 
 
