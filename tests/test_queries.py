@@ -1,0 +1,48 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+import pytest
+from conftest import SF_DIR
+
+import __spark_entry__ as contract
+
+# The SQL type that each Spark type must meet.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+@pytest.fixture(scope="module")
+def database():
+    link = duckdb.connect()
+    for file in glob.glob(f"{SF_DIR}/*.parquet"):
+        link.execute(f"CREATE VIEW {os.path.splitext(os.path.basename(file))[0]} AS SELECT * FROM '{file}'")
+    return link
+
+
+def test_every_query_has_its_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query(spark, database, name):
+    out = contract.queries()[name](spark, SF_DIR)
+    expected = database.execute(contract.oracle_sql()[name])
+    types = {column[0]: str(column[1]) for column in expected.description}
+    assert {c: TYPES[t] for c, t in out.dtypes} == types
+    got = [tuple(r) for r in out.select([f"`{c}`" for c in types]).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, expected.fetchall()))
+    assert got
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
