@@ -131,6 +131,13 @@ def test_bucket_pruning_reaches_the_merge(spark, name, path):
     )
 
 
+def test_small_files_are_joined_now_and_then(spark, name, path):
+    for i in range(12):
+        put(spark, name, path, spark.range(i * 50, i * 50 + 50).selectExpr("id k", "id v"), buckets=4)
+    assert read_table(spark, name).count() == 600
+    assert len(spark.table(name).inputFiles()) <= 4 * 4 + 4
+
+
 def test_bucketed_table_keeps_its_keys(spark, name, path):
     put(spark, name, path, frame(spark, [(1, "a")]), buckets=4)
     with pytest.raises(PublishError, match="bucketed by"):

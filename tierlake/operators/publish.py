@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +26,15 @@ from tierlake.functions.schema import SchemaError, conform, evolved, nullable
 from tierlake.functions.storage import committed_folders, staged, unique_name
 from tierlake.operators import delta
 from tierlake.operators.upsert import (
+    Split,
     apply_null_rule,
     latest_per_key,
     merge_parts,
     prepare_source,
+    repeated_keys,
     resolved_keys,
+    split_repeated,
+    split_unique,
 )
 
 BUCKET_COLUMN = "bucket"
@@ -172,7 +177,8 @@ def upsert(
         delta.upsert(spark, name, prepared, keys, evolve=evolve)
         return
 
-    with staged(prepared) as (rows, stored_bytes):
+    with ExitStack() as staging:
+        rows, stored_bytes = staging.enter_context(staged(prepared))
         profile = _profile(rows, keys, layout.buckets)
         if not profile["rows"]:
             _add_columns(spark, name, evolved(spark, target.schema, prepared.schema))
@@ -181,15 +187,16 @@ def upsert(
         touched = sorted(profile["touched"]) if layout.buckets else []
         if layout.buckets:
             target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
-        updated, inserted = merge_parts(
-            target, rows, keys, unique_source=not profile["repeated"], broadcast_source=small
-        )
+        split = _split(rows, keys, profile["repeated"], staging)
+        updated, inserted = merge_parts(target, split, keys, broadcast_source=small)
         schema = updated.schema
         if layout.buckets:
             number = bucket_of(keys, layout.buckets)
             updated, inserted = (part.withColumn(BUCKET_COLUMN, number) for part in (updated, inserted))
-            # With a broadcast source the target rows are still grouped by the files they were read from.
-            merged = updated.union(_spread(inserted)) if small else _spread(updated.union(inserted))
+            # With a broadcast source the target's rows are still grouped by the files they came from, and need no
+            # shuffle to be written again, unless earlier upserts have left those files too small.
+            as_read = small and not _fragmented(target, len(touched))
+            merged = updated.union(_spread(inserted)) if as_read else _spread(updated.union(inserted))
             location = _write(merged, path, [BUCKET_COLUMN])
             _check_unmoved(spark, name, layout)
             _add_columns(spark, name, schema)
@@ -246,10 +253,23 @@ def _profile(rows: DataFrame, keys: Sequence[str], buckets: int | None) -> dict:
     ).first().asDict()
 
 
+def _split(rows: DataFrame, keys: Sequence[str], repeated: int, staging: ExitStack) -> Split:
+    if not repeated:
+        return split_unique(rows, keys)
+    # Both are written out because adaptive execution can only split a hot key between two plain shuffles.
+    known = staging.enter_context(staged(repeated_keys(rows, keys))).frame
+    matching, direct = split_repeated(rows, keys, known)
+    return Split(staging.enter_context(staged(matching)).frame, direct)
+
+
 def _broadcast_limit(spark: SparkSession) -> int:
     """Spark's own size limit for a broadcast side, in bytes; below zero when switched off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)) if not text.startswith("-") else -1
+    return _bytes(spark, "spark.sql.autoBroadcastJoinThreshold")
+
+
+def _bytes(spark: SparkSession, setting: str) -> int:
+    text = spark.conf.get(setting)
+    return -1 if text.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -257,6 +277,13 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", BUCKET_COLUMN)
 
 
+def _fragmented(df: DataFrame, buckets: int) -> bool:
+    """Whether the files of these buckets are far more than their size calls for."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    full_files = size // _bytes(df.sparkSession, "spark.sql.files.maxPartitionBytes")
+    return len(df.inputFiles()) > 4 * (full_files + buckets)
+
+
 def _check_bucket_column(df: DataFrame) -> None:
     if fold(df.sparkSession, BUCKET_COLUMN) in by_name(df.sparkSession, df.columns):
         raise SchemaError(f"a table with buckets cannot have a column named {BUCKET_COLUMN}")

@@ -26,7 +26,14 @@ from tierlake.functions.names import by_name, column_name, fold
 from tierlake.functions.schema import SchemaError, evolved, nullable
 
 NULL_KEY_RULES = ("error", "insert", "drop")
-_COUNT = "__rows_of_key"
+COUNT = "__rows_of_key"
+
+
+class Split(NamedTuple):
+    """A prepared source: at most one row per key to match, and rows to add without looking for a match."""
+
+    matching: DataFrame
+    direct: DataFrame
 
 
 class Merged(NamedTuple):
@@ -44,6 +51,7 @@ def merge_upsert(
     evolve: bool = True,
     null_keys: str = "error",
     dedupe_by: str | None = None,
+    unique_source: bool = False,
 ) -> DataFrame:
     """`target` after an upsert of `source` on `keys`.
 
@@ -53,9 +61,18 @@ def merge_upsert(
         "error" fails the query.
     dedupe_by: keep only the row with the greatest value in this column for each key. Without it, several source
         rows for one target row fail the query; several rows for a new key are all added.
+    unique_source: no key but NULL repeats in the source, so the plan need not look for repetition.
+
+    This is one lazy plan that reads the source several times. `tierlake.operators.publish.upsert` merges into
+    a stored table, reading the source once.
     """
+    keys = resolved_keys(target, keys)
     prepared = prepare_source(target, source, keys, evolve=evolve, null_keys=null_keys, dedupe_by=dedupe_by)
-    updated, inserted = merge_parts(target, prepared, keys)
+    if unique_source or dedupe_by is not None:
+        split = split_unique(prepared, keys)
+    else:
+        split = split_repeated(prepared, keys, repeated_keys(prepared, keys))
+    updated, inserted = merge_parts(target, split, keys)
     return updated.union(inserted)
 
 
@@ -110,56 +127,63 @@ def latest_per_key(source: DataFrame, keys: Sequence[str], order: str) -> DataFr
     return keyed.union(source.filter(any_null(keys)))
 
 
+def split_unique(source: DataFrame, keys: Sequence[str]) -> Split:
+    """The split of a source in which no key but NULL repeats."""
+    return Split(source.filter(~any_null(keys)), source.filter(any_null(keys)))
+
+
+def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that several source rows share, with their number of rows."""
+    counted = source.filter(~any_null(keys)).groupBy([column_name(k) for k in keys]).agg(F.count("*").alias(COUNT))
+    return counted.filter(F.col(COUNT) > 1)
+
+
+def split_repeated(source: DataFrame, keys: Sequence[str], repeated: DataFrame) -> Split:
+    """The split of any other source.
+
+    Repeated keys may only be new, so their rows need no matching. One row with the key and the count stands for
+    them among the rows to match, and a target row that meets it fails the query.
+    """
+    columns = [column_name(c) for c in source.columns]
+    keyed, loose = split_unique(source, keys)
+    matching = keyed.join(repeated, keys, "left_anti").unionByName(repeated, allowMissingColumns=True)
+    return Split(matching, keyed.join(repeated, keys, "left_semi").select(columns).union(loose))
+
+
 def merge_parts(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    *,
-    unique_source: bool = False,
-    broadcast_source: bool | None = None,
+    target: DataFrame, source: Split, keys: Sequence[str], *, broadcast_source: bool | None = None
 ) -> Merged:
-    """Both parts of the merge of a prepared source.
+    """Both parts of the merge of a prepared and split source.
 
-    unique_source: the caller knows that no non-NULL key repeats in the source, which saves looking for them.
     broadcast_source: the caller has compared the size of the source to Spark's limit; None leaves that to Spark.
     """
-    spark, keys = target.sparkSession, resolved_keys(target, keys)
-    schema = evolved(spark, target.schema, source.schema)
-    names, columns = [column_name(k) for k in keys], [column_name(c) for c in source.columns]
-    keyed, loose = source.filter(~any_null(keys)), source.filter(any_null(keys))
-
-    if unique_source:
-        matching, direct = keyed, loose
-    else:
-        repeated = keyed.groupBy(names).agg(F.count(F.lit(1)).alias(_COUNT)).filter(F.col(_COUNT) > 1)
-        # A repeated key may only be new, so its rows need no join: a target row that meets the single row
-        # standing for them here fails the query.
-        matching = keyed.join(repeated, keys, "left_anti").unionByName(repeated, allowMissingColumns=True)
-        direct = keyed.join(repeated, keys, "left_semi").select(columns).union(loose)
-        keyed = keyed.join(repeated, keys, "left_anti").select(columns)
-
-    if broadcast_source:
-        matching = F.broadcast(matching)
+    keys = resolved_keys(target, keys)
+    schema = evolved(target.sparkSession, target.schema, source.direct.schema)
+    names, columns = [column_name(k) for k in keys], [column_name(c) for c in source.direct.columns]
+    matching = F.broadcast(source.matching) if broadcast_source else source.matching
     updated = (
         target.alias("t")
         .join(matching.alias("s"), same_keys("t", "s", keys), "left")
-        .select(_updated_columns(schema, target, source, keys, unique_source))
+        .select(_updated_columns(schema, target, source.matching, keys))
     )
 
-    present, wanted = target.select(names).distinct(), keyed.select(names)
+    single = source.matching
+    if COUNT in single.columns:
+        single = single.filter(F.col(COUNT).isNull()).select(columns)
+    present, wanted = target.select(names).distinct(), single.select(names)
     if broadcast_source is not False:
         # Spark moves this semi join below the distinct if the source is small enough to broadcast, so that only
         # keys found in the source are shuffled. Otherwise it would change nothing.
         present = present.join(F.broadcast(wanted) if broadcast_source else wanted, keys, "left_semi")
-    fresh = keyed.join(present, keys, "left_anti").select(columns).union(direct)
+    fresh = single.join(present, keys, "left_anti").select(columns).union(source.direct)
     return Merged(updated, fresh.to(schema))
 
 
 def _updated_columns(
-    schema: T.StructType, target: DataFrame, source: DataFrame, keys: Sequence[str], unique_source: bool
+    schema: T.StructType, target: DataFrame, matching: DataFrame, keys: Sequence[str]
 ) -> list[Column]:
     spark = target.sparkSession
-    in_target, in_source = by_name(spark, target.columns), by_name(spark, source.columns)
+    in_target, in_source = by_name(spark, target.columns), by_name(spark, matching.columns)
     matched = F.col(f"s.{column_name(keys[0])}").isNotNull()
     columns = []
     for field in schema.fields:
@@ -168,8 +192,8 @@ def _updated_columns(
         new = F.col(f"s.{column_name(in_source[name])}") if name in in_source else None
         if field.name in keys:
             value = old
-            if field.name == keys[0] and not unique_source:
-                value = F.when(F.col(f"s.{_COUNT}") > 1, _repeated_error(keys)).otherwise(old)
+            if field.name == keys[0] and COUNT in matching.columns:
+                value = F.when(F.col(f"s.{COUNT}") > 1, _repeated_error(keys)).otherwise(old)
         elif old is None:
             value = new
         elif new is None:

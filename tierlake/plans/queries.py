@@ -380,19 +380,25 @@ def upsert_rerun(spark, sf_dir):
 
 @query(f"SELECT o_orderkey, o_custkey, {DOUBLED}, o_orderdate FROM orders WHERE {LOADED} AND {CHANGED}")
 def upsert_matched_update(spark, sf_dir):
+    """The rows of the merged table whose keys were in both."""
     loaded, changed = orders_loaded(spark, sf_dir), orders_changed(spark, sf_dir)
-    result = merge_upsert(loaded, changed, ["o_orderkey"])
     matched = changed.select("o_orderkey").join(loaded.select("o_orderkey"), "o_orderkey", "left_semi")
-    return result.join(matched, "o_orderkey", "left_semi")
+    return published(spark, loaded, changed, keys=["o_orderkey"]).join(matched, "o_orderkey", "left_semi")
 
 
 @query(f"SELECT o_orderkey, o_custkey, {DOUBLED}, o_orderdate FROM orders WHERE NOT ({LOADED})")
 def upsert_not_matched_insert(spark, sf_dir):
+    """The rows of the merged table whose keys were only in the changes."""
     loaded = orders_loaded(spark, sf_dir)
-    result = merge_upsert(loaded, orders_changed(spark, sf_dir), ["o_orderkey"])
+    result = published(spark, loaded, orders_changed(spark, sf_dir), keys=["o_orderkey"])
     return result.join(loaded.select("o_orderkey"), "o_orderkey", "left_anti")
 
 
+@query(f"SELECT o_orderkey, o_custkey, {DOUBLED}, o_orderdate FROM orders")
+def upsert_as_expression(spark, sf_dir):
+    return merge_upsert(orders_loaded(spark, sf_dir), orders_changed(spark, sf_dir), ["o_orderkey"])
+
+
 @query(
     f"SELECT o_orderkey, CASE WHEN {LOADED} THEN o_custkey END AS o_custkey, {DOUBLED}, "
     f"CASE WHEN {LOADED} THEN o_orderdate END AS o_orderdate, "
