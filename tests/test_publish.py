@@ -96,6 +96,47 @@ def test_shuffled_and_broadcast_sources_agree(spark, name, path, conf, buckets,
     assert sorted(out) == [(k, f"t{k}" if k < 450 else f"s{k}") for k in range(600)]
 
 
+@LAYOUTS
+@pytest.mark.parametrize("repeated", [False, True])
+def test_target_is_read_once_unless_a_key_is_hot(spark, name, path, conf, monkeypatch, buckets, repeated):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(publish, "_FEW_ROWS", 3)
+    used = []
+    for merge in ("merge_in_one_join", "merge_in_two_joins"):
+        original = getattr(publish, merge)
+        monkeypatch.setattr(
+            publish, merge, lambda *a, _original=original, _merge=merge, **k: (used.append(_merge), _original(*a, **k))[1]
+        )
+    data = {k: f"t{k}" for k in range(20)}
+    put(spark, name, path, frame(spark, sorted(data.items())), buckets=buckets)
+    assert table_layout(spark, name).spread is None
+    extra = [(50, "x"), (50, "y")] if repeated else []
+    put(spark, name, path, frame(spark, [(k, f"s{k}") for k in range(15, 25)] + extra))
+    assert used == ["merge_in_one_join"] and table_layout(spark, name).spread
+    expected = sorted([(k, f"t{k}") for k in range(15)] + [(k, f"s{k}") for k in range(15, 25)] + extra)
+    assert sorted(rows(read_table(spark, name))) == expected
+    with pytest.raises(Exception, match="REPEATED_SOURCE_KEY"):
+        put(spark, name, path, frame(spark, [(1, "x"), (1, "y")]))
+
+    used.clear()
+    put(spark, name, path, frame(spark, [(60, "a")] * 4))
+    assert table_layout(spark, name).spread is None and used == ["merge_in_one_join"]
+    put(spark, name, path, frame(spark, [(60, "b"), (61, "c")]))
+    assert table_layout(spark, name).spread is False and used[1:] == ["merge_in_two_joins"]
+    assert sorted(rows(read_table(spark, name))) == expected + [(60, "b")] * 4 + [(61, "c")]
+    overwrite(spark, name, path, frame(spark, [(1, "z")]))
+    assert table_layout(spark, name).spread is None
+
+
+def test_rows_without_a_key_put_the_one_join_in_doubt(spark, name, path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    put(spark, name, path, frame(spark, [(1, "a")]))
+    put(spark, name, path, frame(spark, [(2, "b")]))
+    assert table_layout(spark, name).spread
+    put(spark, name, path, frame(spark, [(None, "c")]), null_keys="insert")
+    assert table_layout(spark, name).spread is None
+
+
 def test_readers_keep_the_rows_they_started_with(spark, name, path):
     put(spark, name, path, frame(spark, [(1, "a")]))
     held = spark.read.parquet(table_layout(spark, name).location)

@@ -46,5 +46,9 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """Bucket number of a key. Key columns must already have the table's types: the hash depends on them."""
-    return F.pmod(F.xxhash64(*[F.col(column_name(k)) for k in keys]), F.lit(buckets)).cast("int")
+    """Bucket number of a key. Key columns must already have the table's types: the hash depends on them.
+
+    This is the hash Spark shuffles by, so after a shuffle join on the keys each task holds whole buckets, or parts
+    of a single one, if one of the two numbers divides the other.
+    """
+    return F.pmod(F.hash(*[F.col(column_name(k)) for k in keys]), F.lit(buckets))

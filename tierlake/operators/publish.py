@@ -29,7 +29,8 @@ from tierlake.operators.upsert import (
     Split,
     apply_null_rule,
     latest_per_key,
-    merge_parts,
+    merge_in_one_join,
+    merge_in_two_joins,
     prepare_source,
     repeated_keys,
     resolved_keys,
@@ -41,6 +42,9 @@ BUCKET_COLUMN = "bucket"
 _BUCKETS = "tierlake.buckets"
 _KEYS = "tierlake.keys"
 _HEAD = "tierlake.newest_folder"
+_SPREAD = "tierlake.keys_are_spread"
+# A key with at most this many rows is no burden for the task that gets it.
+_FEW_ROWS = 10_000
 
 
 class PublishError(RuntimeError):
@@ -56,6 +60,9 @@ class Layout:
     newest_folder: str
     buckets: int | None = None
     keys: tuple[str, ...] = ()
+    # Whether no key of an upsert, NULL included, holds many rows, and on which columns; None when not known.
+    spread: bool | None = None
+    spread_on: tuple[str, ...] = ()
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -70,12 +77,15 @@ def table_layout(spark: SparkSession, name: str) -> Layout:
     described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name) AS JSON", args={"name": name}).first()[0]
     facts = json.loads(described)
     properties = facts.get("table_properties", {})
+    spread = json.loads(properties.get(_SPREAD, "[null, []]"))
     return Layout(
         provider=facts.get("provider", "parquet").lower(),
         location=facts["location"],
         newest_folder=properties.get(_HEAD, facts["location"]),
         buckets=int(properties[_BUCKETS]) if _BUCKETS in properties else None,
         keys=tuple(json.loads(properties[_KEYS])) if _KEYS in properties else (),
+        spread=spread[0],
+        spread_on=tuple(spread[1]),
     )
 
 
@@ -184,19 +194,25 @@ def upsert(
             _add_columns(spark, name, evolved(spark, target.schema, prepared.schema))
             return
         small = stored_bytes <= _broadcast_limit(spark)
+        spread = layout.spread if list(layout.spread_on) == keys else None
+        if not small and spread is None:
+            spread = _is_spread(_profile(target, keys))
         touched = sorted(profile["touched"]) if layout.buckets else []
         if layout.buckets:
             target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
         split = _split(rows, keys, profile["repeated"], staging)
-        updated, inserted = merge_parts(target, split, keys, broadcast_source=small)
+        if spread and not small:
+            updated, inserted = merge_in_one_join(target, split, keys)
+        else:
+            updated, inserted = merge_in_two_joins(target, split, keys, broadcast_source=small)
         schema = updated.schema
         if layout.buckets:
             number = bucket_of(keys, layout.buckets)
             updated, inserted = (part.withColumn(BUCKET_COLUMN, number) for part in (updated, inserted))
-            # With a broadcast source the target's rows are still grouped by the files they came from, and need no
-            # shuffle to be written again, unless earlier upserts have left those files too small.
-            as_read = small and not _fragmented(target, len(touched))
-            merged = updated.union(_spread(inserted)) if as_read else _spread(updated.union(inserted))
+            # After the join the rows are still grouped by bucket: as the files they came from if the source was
+            # broadcast, by the join's own shuffle otherwise. Shuffle again only where that makes too many files.
+            grouped = not _fragmented(target, len(touched)) if small else _shuffle_fits(spark, layout.buckets)
+            merged = updated.union(_spread(inserted)) if grouped else _spread(updated.union(inserted))
             location = _write(merged, path, [BUCKET_COLUMN])
             _check_unmoved(spark, name, layout)
             _add_columns(spark, name, schema)
@@ -206,6 +222,9 @@ def upsert(
             _check_unmoved(spark, name, layout)
             _add_columns(spark, name, schema)
             _switch(spark, name, location)
+        # Inserted rows may turn a yes into a don't know; rows without a key pile up run by run.
+        doubtful = profile["without_key"] or not _is_spread(profile)
+        _remember_spread(spark, name, layout, keys, None if spread and doubtful else spread)
 
 
 def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolve: bool = True) -> None:
@@ -240,19 +259,46 @@ def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolv
         _check_unmoved(spark, name, layout)
         _add_columns(spark, name, schema)
         _switch(spark, name, location)
+    _remember_spread(spark, name, layout, [], None)
+
 
+def _profile(rows: DataFrame, keys: Sequence[str], buckets: int | None = None) -> dict:
+    """Facts about the keys, in one pass over the key columns.
 
-def _profile(rows: DataFrame, keys: Sequence[str], buckets: int | None) -> dict:
-    """Row count, number of repeated keys and touched buckets, in one pass over the key columns."""
-    per_key = rows.groupBy([column_name(k) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    repeated = F.count_if((F.col("n") > 1) & ~any_null(keys))
+    Row count, number of keys that repeat, rows of the most frequent key (NULL included), number of different
+    keys with NULL in them, and touched buckets.
+    """
+    per_key = rows.groupBy([column_name(k) for k in keys]).agg(F.count("*").alias("n"), any_null(keys).alias("no_key"))
     # At most as many values as there are buckets.
     touched = F.collect_set(bucket_of(keys, buckets)) if buckets else F.lit(None)
     return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), repeated.alias("repeated"), touched.alias("touched")
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.count_if((F.col("n") > 1) & ~F.col("no_key")).alias("repeated"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("most"),
+        F.count_if("no_key").alias("without_key"),
+        touched.alias("touched"),
     ).first().asDict()
 
 
+def _is_spread(profile: dict) -> bool:
+    return profile["most"] <= _FEW_ROWS
+
+
+def _remember_spread(
+    spark: SparkSession, name: str, layout: Layout, keys: Sequence[str], spread: bool | None
+) -> None:
+    on = list(keys) if spread is not None else []
+    if (spread, on) != (layout.spread, list(layout.spread_on)):
+        _set_property(spark, name, _SPREAD, json.dumps([spread, on]))
+
+
+def _set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(
+        f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({text_literal(key)} = {text_literal(value)})",
+        args={"name": name},
+    )
+
+
 def _split(rows: DataFrame, keys: Sequence[str], repeated: int, staging: ExitStack) -> Split:
     if not repeated:
         return split_unique(rows, keys)
@@ -277,6 +323,12 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", BUCKET_COLUMN)
 
 
+def _shuffle_fits(spark: SparkSession, buckets: int) -> bool:
+    partitions = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    partitions = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    return partitions % buckets == 0 or buckets % partitions == 0
+
+
 def _fragmented(df: DataFrame, buckets: int) -> bool:
     """Whether the files of these buckets are far more than their size calls for."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
@@ -321,10 +373,7 @@ def _switch(spark: SparkSession, name: str, location: str) -> None:
 
 def _switch_buckets(spark: SparkSession, name: str, location: str, buckets: Sequence[int]) -> None:
     known = _registered_buckets(spark, name)
-    spark.sql(
-        f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({text_literal(_HEAD)} = {text_literal(location)})",
-        args={"name": name},
-    )
+    _set_property(spark, name, _HEAD, location)
     for number in buckets:
         action = "PARTITION ({0} = {1}) SET LOCATION" if number in known else "ADD PARTITION ({0} = {1}) LOCATION"
         spark.sql(

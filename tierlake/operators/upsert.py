@@ -1,15 +1,14 @@
 """Upsert by key as a DataFrame expression: what a table holds after a merge of new rows into it.
 
 Every target row is kept. A matched row takes the source's value in each shared column, NULLs included, an
-unmatched source row is added, and nothing is deleted. The plan has two branches:
-
-* updated: target LEFT JOIN source. The target is the streamed side, so a small source is broadcast and the
-  target is not shuffled at all; otherwise adaptive execution splits a hot target key, because the source
-  side holds at most one row per key.
-* inserted: source rows whose key is not among the target's keys. Only the key columns of the target are
-  read for it, and they are made distinct before they are shuffled.
-
-A full outer join would need one scan less, but it can be neither broadcast nor split when a key is hot.
+unmatched source row is added, and nothing is deleted. There are two plans for it:
+
+* Two joins. The updated rows are target LEFT JOIN source: a small source is broadcast and the target is not
+  shuffled at all; otherwise adaptive execution splits a hot target key, because the source side holds at most
+  one row per key. The inserted rows are those of the source whose key is not among the target's keys; only the
+  target's key columns are read for it, and they are made distinct before they are shuffled.
+* One full outer join. It reads and shuffles the target once, but it can be neither broadcast nor split when a
+  key is hot, so it is for a target known to have no such key.
 """
 
 from __future__ import annotations
@@ -72,7 +71,7 @@ def merge_upsert(
         split = split_unique(prepared, keys)
     else:
         split = split_repeated(prepared, keys, repeated_keys(prepared, keys))
-    updated, inserted = merge_parts(target, split, keys)
+    updated, inserted = merge_in_two_joins(target, split, keys)
     return updated.union(inserted)
 
 
@@ -150,21 +149,23 @@ def split_repeated(source: DataFrame, keys: Sequence[str], repeated: DataFrame)
     return Split(matching, keyed.join(repeated, keys, "left_semi").select(columns).union(loose))
 
 
-def merge_parts(
+def merge_in_two_joins(
     target: DataFrame, source: Split, keys: Sequence[str], *, broadcast_source: bool | None = None
 ) -> Merged:
-    """Both parts of the merge of a prepared and split source.
+    """Both parts of the merge, whatever the keys of the target.
 
     broadcast_source: the caller has compared the size of the source to Spark's limit; None leaves that to Spark.
     """
     keys = resolved_keys(target, keys)
     schema = evolved(target.sparkSession, target.schema, source.direct.schema)
     names, columns = [column_name(k) for k in keys], [column_name(c) for c in source.direct.columns]
-    matching = F.broadcast(source.matching) if broadcast_source else source.matching
+    matching = source.matching
+    if broadcast_source is not None:
+        matching = matching.hint("broadcast" if broadcast_source else "merge")
     updated = (
         target.alias("t")
         .join(matching.alias("s"), same_keys("t", "s", keys), "left")
-        .select(_updated_columns(schema, target, source.matching, keys))
+        .select(_merged_columns(schema, target, source.matching, keys))
     )
 
     single = source.matching
@@ -179,8 +180,24 @@ def merge_parts(
     return Merged(updated, fresh.to(schema))
 
 
-def _updated_columns(
-    schema: T.StructType, target: DataFrame, matching: DataFrame, keys: Sequence[str]
+def merge_in_one_join(target: DataFrame, source: Split, keys: Sequence[str]) -> Merged:
+    """The same merge reading the target once, for a target in which no key holds a large share of the rows."""
+    keys = resolved_keys(target, keys)
+    schema = evolved(target.sparkSession, target.schema, source.direct.schema)
+    joined = target.alias("t").join(source.matching.alias("s"), same_keys("t", "s", keys), "full")
+    if COUNT in source.matching.columns:  # rows that stand for a repeated key have done their work
+        joined = joined.filter(F.col(f"s.{COUNT}").isNull() | F.col(f"t.{column_name(keys[0])}").isNotNull())
+    columns = _merged_columns(schema, target, source.matching, keys, key_from_either=True)
+    return Merged(joined.select(columns), source.direct.to(schema))
+
+
+def _merged_columns(
+    schema: T.StructType,
+    target: DataFrame,
+    matching: DataFrame,
+    keys: Sequence[str],
+    *,
+    key_from_either: bool = False,
 ) -> list[Column]:
     spark = target.sparkSession
     in_target, in_source = by_name(spark, target.columns), by_name(spark, matching.columns)
@@ -191,9 +208,9 @@ def _updated_columns(
         old = F.col(f"t.{column_name(in_target[name])}") if name in in_target else None
         new = F.col(f"s.{column_name(in_source[name])}") if name in in_source else None
         if field.name in keys:
-            value = old
+            value = F.coalesce(old, new) if key_from_either else old
             if field.name == keys[0] and COUNT in matching.columns:
-                value = F.when(F.col(f"s.{COUNT}") > 1, _repeated_error(keys)).otherwise(old)
+                value = F.when(F.col(f"s.{COUNT}") > 1, _repeated_error(keys)).otherwise(value)
         elif old is None:
             value = new
         elif new is None:
