@@ -1,0 +1,110 @@
+"""What Spark makes of the merge: scans, shuffles, and hot keys."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierlake import read_table, upsert
+from tierlake.operators.upsert import merge_in_one_join, merge_in_two_joins, repeated_keys, split_repeated, split_unique
+
+
+@pytest.fixture
+def tables(spark, tmp_path, conf):
+    conf(spark__sql__maxMetadataStringLength="1000")
+    target = spark.range(5000).selectExpr("id k", "id * 2 a", "CAST(id AS STRING) b")
+    source = spark.range(4500, 5500).selectExpr("id k", "-id a", "'new' b")
+    target.write.parquet(f"{tmp_path}/t")
+    source.write.parquet(f"{tmp_path}/s")
+    return spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+
+
+@pytest.fixture
+def shuffled(conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(plan, folder):
+    return re.findall(rf"FileScan parquet .*?/{folder}\], .*?ReadSchema: struct<(.*?)>", plan)
+
+
+def shuffles(plan):
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_small_source_leaves_the_target_where_it_is(tables):
+    target, source = tables
+    updated, inserted = merge_in_two_joins(target, split_unique(source, ["k"]), ["k"], broadcast_source=True)
+    assert shuffles(plan_of(updated)) == 0 and "BroadcastHashJoin" in plan_of(updated)
+    plan = plan_of(inserted)
+    # Only the keys the source also has go through the one shuffle, that of the distinct.
+    assert scans(plan, "t") == ["k:bigint"] and shuffles(plan) == 1
+    assert plan.index("Exchange hashpartitioning") < plan.index("LeftSemi")
+
+
+def test_large_source_shuffles_each_side_once_and_only_keys_twice(tables, shuffled):
+    target, source = tables
+    updated, inserted = merge_in_two_joins(target, split_unique(source, ["k"]), ["k"], broadcast_source=False)
+    assert scans(plan_of(updated), "t") == ["k:bigint,a:bigint,b:string"] and shuffles(plan_of(updated)) == 2
+    plan = plan_of(inserted)
+    assert scans(plan, "t") == ["k:bigint"] and shuffles(plan) == 2 and "LeftSemi" not in plan
+
+
+def test_one_join_reads_the_target_once(tables, shuffled):
+    target, source = tables
+    merged = merge_in_one_join(target, split_unique(source, ["k"]), ["k"])
+    plan = plan_of(merged.updated.union(merged.inserted))
+    assert len(scans(plan, "t")) == 1 and shuffles(plan) == 2
+
+
+@pytest.mark.parametrize("hot", [7, None])
+@pytest.mark.parametrize("repeats", [False, True])
+def test_a_hot_target_key_is_split(spark, tmp_path, conf, shuffled, hot, repeats):
+    conf(
+        spark__sql__shuffle__partitions="32",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="200k",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="100k",
+    )
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id"))
+    payload = F.sha2(F.col("id").cast("string"), 256)
+    spark.range(0, n, 1, 16).select(key.cast("bigint").alias("k"), payload.alias("v")).write.parquet(f"{tmp_path}/t")
+    new = spark.range(n, n + 10).selectExpr("id k", "'new' v")
+    source = spark.range(0, n // 2, 1, 8).filter("id % 3 = 1").selectExpr("id k", "'changed' v").union(new)  # 7 too
+    (source.union(new) if repeats else source).write.parquet(f"{tmp_path}/s")
+    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    split = split_unique(source, ["k"])
+    if repeats:
+        repeated_keys(source, ["k"]).write.parquet(f"{tmp_path}/r")
+        matching, direct = split_repeated(source, ["k"], spark.read.parquet(f"{tmp_path}/r"))
+        matching.write.parquet(f"{tmp_path}/m")
+        split = split._replace(matching=spark.read.parquet(f"{tmp_path}/m"), direct=direct)
+    updated, inserted = merge_in_two_joins(target, split, ["k"], broadcast_source=False)
+    counted = updated.agg(F.count("*"), F.count_if(F.col("v") == "changed"))
+    assert tuple(counted.collect()[0]) == (n, n // 6 + (n // 3 if hot else 0))
+    assert "SortMergeJoin(skew=true)" in plan_of(counted)
+    assert inserted.count() == (20 if repeats else 10)
+
+
+def test_a_hot_bucket_is_written_by_several_tasks(spark, name, path, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="100k")
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    upsert(spark, name, path, rows, ["k"], buckets=8, table_format="parquet")
+    files = [f.split("bucket=")[1].split("/")[0] for f in spark.table(name).inputFiles()]
+    assert max(files.count(b) for b in set(files)) > 3
+    assert read_table(spark, name).count() == 60_000
+
+
+def test_buckets_that_fit_the_shuffle_are_written_once_each(spark, name, path, shuffled):
+    data = spark.range(8000).selectExpr("id k", "id v")
+    upsert(spark, name, path, data, ["k"], buckets=8, table_format="parquet")
+    upsert(spark, name, path, data.selectExpr("k + 4000 AS k", "-v AS v"), ["k"])
+    assert len(spark.table(name).inputFiles()) == 8 and read_table(spark, name).count() == 12_000
