@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
-from tierlake import Connection, Strides, discovered_strides, partition_bounds, read_jdbc
+from tierlake import Connection, Ranges, SchemaError, Strides, discovered_strides, even_ranges, partition_bounds, read_jdbc
 from tierlake.functions.storage import unique_name
 
 DATA = [(i, f"n{i}", i / 2) for i in range(1, 41)]
@@ -47,12 +48,12 @@ def test_filter_and_columns_reach_the_source(spark, source):
 
 @pytest.mark.parametrize("lower, upper", [("1", "40"), ("15", "20"), ("-100", "1000")])
 def test_bounds_never_filter(spark, source, lower, upper):
-    df = read_jdbc(spark, source, "items", strides=Strides("id", lower, upper, 4))
+    df = read_jdbc(spark, source, "items", split=Strides("id", lower, upper, 4))
     assert df.rdd.getNumPartitions() == 4 and df.count() == 40
 
 
 def test_null_partition_values_are_read(spark, source):
-    df = read_jdbc(spark, source, "items", strides=Strides.of("grp", "1000", "2000", "4"))
+    df = read_jdbc(spark, source, "items", split=Strides.of("grp", "1000", "2000", "4"))
     assert df.count() == 40 and df.filter("grp IS NULL").count() == 4
 
 
@@ -78,13 +79,50 @@ def test_bounds_are_found_by_the_source(spark, source):
 def test_fractional_bounds_cover_the_range(spark, source):
     strides = discovered_strides(spark, source, "items", "value", 4)
     assert (strides.lower, strides.upper) == ("0", "20")
-    assert read_jdbc(spark, source, "items", strides=strides).count() == 40
+    assert read_jdbc(spark, source, "items", split=strides).count() == 40
 
 
 def test_no_strides_for_an_empty_table(spark, source):
     assert discovered_strides(spark, source, "(SELECT id FROM items WHERE id > 99) AS q", "id", 3) is None
 
 
+def sizes(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+
+
+@pytest.fixture(scope="module")
+def gaps(spark, source):
+    """A thousand neighbouring ids far below a few huge ones, some below zero, and rows without a value."""
+    ids = [*range(1000), *(10**12 + i * 10**9 for i in range(50)), -(10**6), None, None]
+    spark.createDataFrame([(i,) for i in ids], "id BIGINT").write.format("jdbc").options(
+        **source.reader_options()
+    ).option("dbtable", "gaps").mode("overwrite").save()
+    return len(ids)
+
+
+def test_even_ranges_where_ids_have_gaps(spark, source, gaps):
+    equal = read_jdbc(spark, source, "gaps", split=discovered_strides(spark, source, "gaps", "id", 8))
+    assert max(sizes(equal)) > 1000
+    even = read_jdbc(spark, source, "gaps", split=even_ranges(spark, source, "gaps", "id", 8))
+    assert even.count() == gaps and even.distinct().count() == gaps - 1
+    assert max(sizes(even)) <= 2 * gaps / 8 and 8 <= len(sizes(even)) <= 16
+
+
+def test_even_ranges_of_a_column_with_one_hot_value(spark, source):
+    table = "(SELECT CASE WHEN id < 30 THEN 7 ELSE id END AS v FROM items) AS q"
+    even = read_jdbc(spark, source, table, split=even_ranges(spark, source, table, "v", 4))
+    assert even.count() == 40 and max(sizes(even)) <= 30
+
+
+def test_even_ranges_of_other_tables(spark, source):
+    one = even_ranges(spark, source, "(SELECT id FROM items WHERE id = 3) AS q", "id", 4)
+    assert isinstance(one, Ranges) and len(one.predicates) == 1
+    assert even_ranges(spark, source, "(SELECT id FROM items WHERE id > 99) AS q", "id", 4) is None
+    assert even_ranges(spark, source, "items", "value", 4) == Strides("value", "0", "20", 4)
+    with_null = even_ranges(spark, source, "items", "grp", 4)
+    assert read_jdbc(spark, source, "items", split=with_null).count() == 40
+
+
 def test_asserted_schema(spark, source):
     query = "(SELECT id, name, value FROM items) AS q"
     exact = "ID INT, NAME STRING, VALUE DOUBLE"
@@ -96,7 +134,7 @@ def test_asserted_schema(spark, source):
         "ID INT NOT NULL, NAME STRING, VALUE DOUBLE",
         "ID BIGINT, NAME STRING, VALUE DOUBLE",
     ):
-        with pytest.raises(Exception, match="schema"):
+        with pytest.raises(SchemaError, match="schema"):
             read_jdbc(spark, source, query, schema=other)
 
 

@@ -241,6 +241,28 @@ def test_a_view_is_not_a_table(spark, name, path):
         upsert(spark, name, path, frame(spark, [(1, "a")]), ["k"])
 
 
+@pytest.mark.parametrize(
+    "definition, message",
+    [
+        ("USING parquet PARTITIONED BY (v)", "laid out by"),
+        ("USING parquet CLUSTERED BY (k) INTO 4 BUCKETS", "laid out by"),
+        ("USING csv", "stored as csv"),
+    ],
+)
+def test_tables_made_elsewhere_in_another_layout_are_left_alone(spark, name, path, definition, message):
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING) {definition} LOCATION '{path}/x'")
+    with pytest.raises(PublishError, match=message):
+        put(spark, name, path, frame(spark, [(1, "a")]))
+    with pytest.raises(PublishError, match=message):
+        overwrite(spark, name, path, frame(spark, [(1, "a")]))
+
+
+def test_a_plain_table_made_elsewhere_can_be_upserted(spark, name, path):
+    frame(spark, [(1, "a"), (2, "b")]).write.parquet(f"{path}/x")
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING) USING parquet LOCATION '{path}/x'")
+    assert put(spark, name, path, frame(spark, [(2, "B")])) == [(1, "a"), (2, "B")]
+
+
 @LAYOUTS
 def test_second_writer_is_noticed(spark, name, path, buckets, monkeypatch):
     put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)

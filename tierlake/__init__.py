@@ -17,7 +17,7 @@ from tierlake.operators.publish import (
 from tierlake.operators.upsert import merge_upsert
 from tierlake.plans.jobs import ingest_documents, ingest_relational, map_sources, publish_gold
 from tierlake.sources.documents import read_collection, read_export
-from tierlake.sources.jdbc import Connection, Strides, discovered_strides, partition_bounds, read_jdbc
+from tierlake.sources.jdbc import Connection, Ranges, Strides, discovered_strides, even_ranges, partition_bounds, read_jdbc
 
 __all__ = [
     "Connection",
@@ -26,6 +26,7 @@ __all__ = [
     "MappingJob",
     "Output",
     "PublishError",
+    "Ranges",
     "RelationalJob",
     "SchemaError",
     "Strides",
@@ -34,6 +35,7 @@ __all__ = [
     "conform",
     "direct_join_sql",
     "discovered_strides",
+    "even_ranges",
     "first_load",
     "ingest_documents",
     "ingest_relational",

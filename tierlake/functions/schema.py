@@ -22,6 +22,17 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
 
+def assert_schema(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """`df` itself if its columns are exactly those declared: names, types, order and nullability."""
+    declared = [(f.name, f.dataType, f.nullable) for f in as_schema(schema).fields]
+    found = [(f.name, f.dataType, f.nullable) for f in df.schema.fields]
+    if found != declared:
+        raise SchemaError(
+            f"the schema found is not the one declared: {df.schema.toDDL()} and {as_schema(schema).toDDL()}"
+        )
+    return df
+
+
 def conform(df: DataFrame, schema: T.StructType | str, *, casts: str = "safe") -> DataFrame:
     """Columns of `df` by name in the order and types of `schema`.
 

@@ -63,6 +63,8 @@ class Layout:
     # Whether no key of an upsert, NULL included, holds many rows, and on which columns; None when not known.
     spread: bool | None = None
     spread_on: tuple[str, ...] = ()
+    # Partition or bucket columns this module has not made.
+    foreign_columns: tuple[str, ...] = ()
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -78,6 +80,7 @@ def table_layout(spark: SparkSession, name: str) -> Layout:
     facts = json.loads(described)
     properties = facts.get("table_properties", {})
     spread = json.loads(properties.get(_SPREAD, "[null, []]"))
+    foreign = facts.get("bucket_columns", []) + ([] if _BUCKETS in properties else facts.get("partition_columns", []))
     return Layout(
         provider=facts.get("provider", "parquet").lower(),
         location=facts["location"],
@@ -86,6 +89,7 @@ def table_layout(spark: SparkSession, name: str) -> Layout:
         keys=tuple(json.loads(properties[_KEYS])) if _KEYS in properties else (),
         spread=spread[0],
         spread_on=tuple(spread[1]),
+        foreign_columns=tuple(foreign),
     )
 
 
@@ -179,6 +183,7 @@ def upsert(
         return
 
     layout, target = table_layout(spark, name), read_table(spark, name)
+    _check_layout(name, layout)
     keys = resolved_keys(target, keys)
     if layout.buckets and list(layout.keys) != keys:
         raise PublishError(f"{name} is bucketed by {list(layout.keys)} and cannot be upserted on {keys}")
@@ -240,6 +245,7 @@ def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolv
     if layout.provider == "delta":
         delta.overwrite(df, layout.location, evolve=evolve)
         return
+    _check_layout(name, layout)
     schema = evolved(spark, target.schema, df.schema) if evolve else nullable(target.schema)
     have = by_name(spark, df.columns)
     missing = [f.name for f in schema.fields if fold(spark, f.name) not in have]
@@ -358,6 +364,13 @@ def _add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
         spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD COLUMNS ({_ddl(added)})", args={"name": name})
 
 
+def _check_layout(name: str, layout: Layout) -> None:
+    if layout.provider not in ("parquet", "delta"):
+        raise PublishError(f"{name} is stored as {layout.provider}; only parquet and delta tables can be written")
+    if layout.provider == "parquet" and layout.foreign_columns:
+        raise PublishError(f"{name} is laid out by {list(layout.foreign_columns)}, which a rewrite would not keep")
+
+
 def _check_unmoved(spark: SparkSession, name: str, layout: Layout) -> None:
     now = table_layout(spark, name).newest_folder
     if now != layout.newest_folder:

@@ -27,7 +27,7 @@ from tierlake.operators.publish import first_load, overwrite, read_table, regist
 from tierlake.operators.upsert import merge_upsert
 from tierlake.plans import jobs
 from tierlake.sources.documents import read_export
-from tierlake.sources.jdbc import Connection, discovered_strides, partition_bounds, read_jdbc
+from tierlake.sources.jdbc import Connection, discovered_strides, even_ranges, partition_bounds, read_jdbc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,7 +177,14 @@ def jdbc_subquery_scan(spark, sf_dir):
 def jdbc_partitioned_scan(spark, sf_dir):
     connection = relational_source(spark, sf_dir)
     strides = discovered_strides(spark, connection, "customer", "id", 8)
-    return read_jdbc(spark, connection, "customer", strides=strides)
+    return read_jdbc(spark, connection, "customer", split=strides)
+
+
+@query(A_SQL)
+def jdbc_evenly_split_scan(spark, sf_dir):
+    connection = relational_source(spark, sf_dir)
+    ranges = even_ranges(spark, connection, "customer", "id", 8)
+    return read_jdbc(spark, connection, "customer", split=ranges)
 
 
 @query(
