@@ -1,4 +1,4 @@
-"""Run one job with settings from the environment: `spark-submit -- ... tierlake <job>` or `python -m tierlake <job>`."""
+"""Run one job with settings from the environment: `python -m tierlake <job>`, or this file given to spark-submit."""
 
 from __future__ import annotations
 

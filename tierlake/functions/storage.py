@@ -17,6 +17,12 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}_{uuid.uuid4().hex[:8]}"
 
 
+def one_process(spark: SparkSession) -> bool:
+    """Whether driver and executors are the same process, so that its memory and its folders serve for both."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A fresh folder name below `spark.checkpoint.dir`, which every executor can reach.
 
@@ -24,7 +30,7 @@ def scratch_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not one_process(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tierlake_")
     return f"{root.rstrip('/')}/{unique_name('tierlake_')}"

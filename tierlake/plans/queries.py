@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tierlake.config import DocumentJob, GoldJob, MappingJob, Output, RelationalJob
 from tierlake.functions.names import relation
 from tierlake.functions.schema import conform
-from tierlake.functions.storage import scratch_folder, unique_name
+from tierlake.functions.storage import one_process, scratch_folder, unique_name
 from tierlake.operators.gold import bridged_join_sql, direct_join_sql, preview, publish_view, read_view
 from tierlake.operators.mapping import build_mapping
 from tierlake.operators.publish import first_load, overwrite, read_table, register_external_table, upsert
@@ -121,7 +121,7 @@ def relational_source(spark: SparkSession, sf_dir: str) -> Connection:
         if url:
             rest = (spark.conf.get(f"spark.tierlake.jdbc.{k}", None) for k in ("user", "password", "driver"))
             connection = Connection(url, *rest)
-        elif spark.conf.get("spark.master", "").startswith("local"):
+        elif one_process(spark):
             log = os.path.join(tempfile.mkdtemp(prefix="tierlake_"), "derby.log")
             spark._jvm.java.lang.System.setProperty("derby.stream.error.file", log)
             connection = Connection(
@@ -243,16 +243,14 @@ def conform_schema(spark, sf_dir):
     return conform(table(spark, sf_dir, "orders"), wanted)
 
 
-@query("SELECT CAST(c_custkey AS INTEGER) AS id, upper(c_name) AS name FROM customer WHERE c_acctbal > 0")
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS _id, upper(s_name) AS name FROM supplier WHERE s_acctbal > 0")
 def bronze_transform(spark, sf_dir):
-    job = RelationalJob(
-        connection=relational_source(spark, sf_dir),
-        query="customer",
-        output=Output(unique_name("tierlake_t_"), scratch_folder(spark), ("id",), table_format="parquet"),
-        discover=("id", 8),
+    job = DocumentJob(
+        output=Output(unique_name("tierlake_t_"), scratch_folder(spark), ("_id",), table_format="parquet"),
+        export_path=exported(spark, documents(spark, sf_dir)),
     )
-    return jobs.ingest_relational(
-        spark, job, lambda rows: rows.filter("value > 0").select("id", F.upper("name").alias("name"))
+    return jobs.ingest_documents(
+        spark, job, lambda rows: rows.filter("value > 0").select("_id", F.upper("name").alias("name"))
     )
 
 
