@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from tierlake import PublishError, SchemaError, first_load, overwrite, read_table, register_external_table, table_exists, upsert
 from tierlake.operators import publish
-from tierlake.operators.publish import table_layout
+from tierlake.operators.tables import registered_buckets, table_layout
 
-LAYOUTS = pytest.mark.parametrize("buckets", [None, 4])
+LAYOUTS = pytest.mark.parametrize("buckets", [None, 4, "k DIV 3 - 2"])
 
 
 def frame(spark, data, schema="k INT, v STRING"):
@@ -100,7 +100,7 @@ def test_shuffled_and_broadcast_sources_agree(spark, name, path, conf, buckets,
 @pytest.mark.parametrize("repeated", [False, True])
 def test_target_is_read_once_unless_a_key_is_hot(spark, name, path, conf, monkeypatch, buckets, repeated):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    monkeypatch.setattr(publish, "_FEW_ROWS", 3)
+    monkeypatch.setattr(publish, "FEW_ROWS", 3)
     used = []
     for merge in ("merge_in_one_join", "merge_in_two_joins"):
         original = getattr(publish, merge)
@@ -172,6 +172,29 @@ def test_bucket_pruning_reaches_the_merge(spark, name, path):
     )
 
 
+def test_neighbouring_keys_share_a_bucket(spark, name, path):
+    put(spark, name, path, spark.range(1000).selectExpr("id k", "id v"), buckets="k DIV 100")
+    assert sorted(registered_buckets(spark, name)) == list(range(10))
+    before = set(spark.table(name).inputFiles())
+    put(spark, name, path, spark.range(950, 1050).selectExpr("id k", "-id v"))
+    assert sorted(registered_buckets(spark, name)) == list(range(11))
+    kept = before & set(spark.table(name).inputFiles())
+    assert {f.split("bucket=")[1].split("/")[0] for f in kept} == {str(b) for b in range(9)}
+    assert read_table(spark, name).agg(F.count("*"), F.count_if(F.col("v") < 0)).first() == (1050, 100)
+
+
+def test_bucket_expressions_are_checked(spark, name, path, monkeypatch):
+    data = spark.range(50).selectExpr("id k", "id v")
+    with pytest.raises(SchemaError, match="whole number"):
+        put(spark, name, path, data, buckets="CAST(k AS STRING)")
+    with pytest.raises(Exception, match="`v`"):
+        put(spark, name, path, data, buckets="v DIV 10")
+    put(spark, name, path, data, buckets="k DIV 5")
+    monkeypatch.setattr(publish, "MOST_BUCKETS", 9)
+    with pytest.raises(PublishError, match="more than 9 buckets"):
+        put(spark, name, path, data)
+
+
 def test_small_files_are_joined_now_and_then(spark, name, path):
     for i in range(12):
         put(spark, name, path, spark.range(i * 50, i * 50 + 50).selectExpr("id k", "id v"), buckets=4)

@@ -65,6 +65,12 @@ def committed_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getParent().toString() for status in found)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in `path`."""
+    folder, files = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(folder)]
+
+
 def _file_system(spark: SparkSession, name: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -1,10 +1,10 @@
-"""Keyed tables in the catalog: first load, upsert, overwrite, registration and reading.
+"""Writing keyed tables: first load, upsert and overwrite.
 
 Spark cannot overwrite files it is reading, so every write goes to a fresh folder below the table's path and
 the catalog is pointed at it afterwards. A reader sees the old rows or the new ones, a failed job leaves the
 table as it was, and no write ever deletes a file.
 
-A plain table switches as a whole. A table with buckets is partitioned by a hash of its key, and an upsert
+A plain table switches as a whole. A table with buckets is partitioned by a function of its key, and an upsert
 rewrites and switches only the buckets its source touches; those switch one after the other, and running the
 same upsert again completes one that was cut short. One job at a time may write to a table.
 """
@@ -14,18 +14,38 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from contextlib import ExitStack
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.keys import any_null, bucket_of
-from tierlake.functions.names import by_name, column_name, fold, text_literal
+from tierlake.functions.names import by_name, column_name, fold
 from tierlake.functions.schema import SchemaError, conform, evolved, nullable
-from tierlake.functions.storage import committed_folders, staged, unique_name
+from tierlake.functions.storage import committed_folders, folder_names, staged, unique_name
 from tierlake.operators import delta
+from tierlake.operators.tables import (
+    BUCKET_COLUMN,
+    BUCKETS,
+    KEYS,
+    SPREAD,
+    Layout,
+    PublishError,
+    add_columns,
+    check_unmoved,
+    check_writable,
+    drop_buckets,
+    read_table,
+    register_external_table,
+    registered_buckets,
+    set_property,
+    switch_buckets,
+    switch_table,
+    table_exists,
+    table_layout,
+)
 from tierlake.operators.upsert import (
+    Merged,
     Split,
     apply_null_rule,
     latest_per_key,
@@ -38,88 +58,10 @@ from tierlake.operators.upsert import (
     split_unique,
 )
 
-BUCKET_COLUMN = "bucket"
-_BUCKETS = "tierlake.buckets"
-_KEYS = "tierlake.keys"
-_HEAD = "tierlake.newest_folder"
-_SPREAD = "tierlake.keys_are_spread"
 # A key with at most this many rows is no burden for the task that gets it.
-_FEW_ROWS = 10_000
-
-
-class PublishError(RuntimeError):
-    """The catalog and the storage disagree in a way a write must not paper over."""
-
-
-@dataclass(frozen=True)
-class Layout:
-    """Where a registered table is and how its files are arranged."""
-
-    provider: str
-    location: str
-    newest_folder: str
-    buckets: int | None = None
-    keys: tuple[str, ...] = ()
-    # Whether no key of an upsert, NULL included, holds many rows, and on which columns; None when not known.
-    spread: bool | None = None
-    spread_on: tuple[str, ...] = ()
-    # Partition or bucket columns this module has not made.
-    foreign_columns: tuple[str, ...] = ()
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    if not spark.catalog.tableExists(name):
-        return False
-    if spark.catalog.getTable(name).tableType in ("VIEW", "TEMPORARY"):
-        raise PublishError(f"{name} is a view, not a table")
-    return True
-
-
-def table_layout(spark: SparkSession, name: str) -> Layout:
-    described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name) AS JSON", args={"name": name}).first()[0]
-    facts = json.loads(described)
-    properties = facts.get("table_properties", {})
-    spread = json.loads(properties.get(_SPREAD, "[null, []]"))
-    foreign = facts.get("bucket_columns", []) + ([] if _BUCKETS in properties else facts.get("partition_columns", []))
-    return Layout(
-        provider=facts.get("provider", "parquet").lower(),
-        location=facts["location"],
-        newest_folder=properties.get(_HEAD, facts["location"]),
-        buckets=int(properties[_BUCKETS]) if _BUCKETS in properties else None,
-        keys=tuple(json.loads(properties[_KEYS])) if _KEYS in properties else (),
-        spread=spread[0],
-        spread_on=tuple(spread[1]),
-        foreign_columns=tuple(foreign),
-    )
-
-
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A registered table or view by name, without the column that only serves its layout."""
-    table = spark.table(name)
-    if BUCKET_COLUMN in table.columns and spark.catalog.getTable(name).tableType not in ("VIEW", "TEMPORARY"):
-        if table_layout(spark, name).buckets:
-            return table.drop(BUCKET_COLUMN)
-    return table
-
-
-def register_external_table(
-    spark: SparkSession,
-    name: str,
-    location: str,
-    schema: T.StructType,
-    *,
-    partitioned_by: Sequence[str] = (),
-    properties: dict[str, str] | None = None,
-) -> None:
-    """Register the parquet files at `location` under `name`, unless the name is taken already."""
-    # The statement may create partitioned tables, for which the catalog API has no argument.
-    parts = f"PARTITIONED BY ({', '.join(map(column_name, partitioned_by))})" if partitioned_by else ""
-    pairs = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in (properties or {}).items())
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({_ddl(schema.fields)}) USING parquet {parts} "
-        f"LOCATION :location {f'TBLPROPERTIES ({pairs})' if pairs else ''}",
-        args={"name": name, "location": location},
-    )
+FEW_ROWS = 10_000
+# The driver lists the buckets an upsert touches, and the catalog holds one entry for each.
+MOST_BUCKETS = 100_000
 
 
 def first_load(
@@ -129,9 +71,13 @@ def first_load(
     df: DataFrame,
     *,
     keys: Sequence[str] = (),
-    buckets: int | None = None,
+    buckets: int | str | None = None,
 ) -> None:
-    """Write all rows as they are to a new folder below `path` and register them as table `name`."""
+    """Write all rows as they are to a new folder below `path` and register them as table `name`.
+
+    buckets: how many parts to split the table into by a hash of its key, or a whole-number expression of the
+        key columns that names the part, such as "id DIV 1000000", which keeps rows with neighbouring keys together.
+    """
     if left := committed_folders(spark, path):
         raise PublishError(
             f"{name} is not in the catalog, but {path} holds complete folders, the newest being {left[-1]}; "
@@ -140,16 +86,14 @@ def first_load(
     properties, partitioned_by = {}, []
     if buckets:
         keys = resolved_keys(df, keys)
-        _check_bucket_column(df)
-        properties = {_BUCKETS: str(buckets), _KEYS: json.dumps(list(keys))}
+        _check_buckets(df, keys, buckets)
+        properties = {BUCKETS: json.dumps(buckets), KEYS: json.dumps(list(keys))}
         partitioned_by = [BUCKET_COLUMN]
-        df = _spread(df.withColumn(BUCKET_COLUMN, bucket_of(keys, buckets)))
+        df = _spread(_with_bucket(df, keys, buckets))
     location = _write(df, path, partitioned_by)
     register_external_table(
         spark, name, location, nullable(df.schema), partitioned_by=partitioned_by, properties=properties
     )
-    if buckets:
-        spark.sql("ALTER TABLE IDENTIFIER(:name) RECOVER PARTITIONS", args={"name": name})
 
 
 def upsert(
@@ -162,7 +106,7 @@ def upsert(
     evolve: bool = True,
     null_keys: str = "error",
     dedupe_by: str | None = None,
-    buckets: int | None = None,
+    buckets: int | str | None = None,
     table_format: str | None = None,
 ) -> None:
     """Merge `source` into table `name`, or load it whole when there is no such table yet.
@@ -183,7 +127,7 @@ def upsert(
         return
 
     layout, target = table_layout(spark, name), read_table(spark, name)
-    _check_layout(name, layout)
+    check_writable(name, layout)
     keys = resolved_keys(target, keys)
     if layout.buckets and list(layout.keys) != keys:
         raise PublishError(f"{name} is bucketed by {list(layout.keys)} and cannot be upserted on {keys}")
@@ -194,42 +138,31 @@ def upsert(
 
     with ExitStack() as staging:
         rows, stored_bytes = staging.enter_context(staged(prepared))
-        profile = _profile(rows, keys, layout.buckets)
+        profile = _profile(rows, keys)
         if not profile["rows"]:
-            _add_columns(spark, name, evolved(spark, target.schema, prepared.schema))
+            add_columns(spark, name, evolved(spark, target.schema, prepared.schema))
             return
-        small = stored_bytes <= _broadcast_limit(spark)
+        small = stored_bytes <= _bytes(spark, "spark.sql.autoBroadcastJoinThreshold")
         spread = layout.spread if list(layout.spread_on) == keys else None
         if not small and spread is None:
             spread = _is_spread(_profile(target, keys))
-        touched = sorted(profile["touched"]) if layout.buckets else []
+        touched = _touched_buckets(rows, keys, layout.buckets) if layout.buckets else []
         if layout.buckets:
             target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
         split = _split(rows, keys, profile["repeated"], staging)
         if spread and not small:
-            updated, inserted = merge_in_one_join(target, split, keys)
+            merged = merge_in_one_join(target, split, keys)
         else:
-            updated, inserted = merge_in_two_joins(target, split, keys, broadcast_source=small)
-        schema = updated.schema
+            merged = merge_in_two_joins(target, split, keys, broadcast_source=small)
         if layout.buckets:
-            number = bucket_of(keys, layout.buckets)
-            updated, inserted = (part.withColumn(BUCKET_COLUMN, number) for part in (updated, inserted))
-            # After the join the rows are still grouped by bucket: as the files they came from if the source was
-            # broadcast, by the join's own shuffle otherwise. Shuffle again only where that makes too many files.
-            grouped = not _fragmented(target, len(touched)) if small else _shuffle_fits(spark, layout.buckets)
-            merged = updated.union(_spread(inserted)) if grouped else _spread(updated.union(inserted))
-            location = _write(merged, path, [BUCKET_COLUMN])
-            _check_unmoved(spark, name, layout)
-            _add_columns(spark, name, schema)
-            _switch_buckets(spark, name, location, touched)
+            grouped = _grouped(target, layout.buckets, len(touched), small)
+            location = _write(_bucketed(merged, keys, layout.buckets, grouped), path, [BUCKET_COLUMN])
         else:
-            location = _write(updated.union(inserted), path)
-            _check_unmoved(spark, name, layout)
-            _add_columns(spark, name, schema)
-            _switch(spark, name, location)
+            location = _write(merged.updated.union(merged.inserted), path)
         # Inserted rows may turn a yes into a don't know; rows without a key pile up run by run.
         doubtful = profile["without_key"] or not _is_spread(profile)
-        _remember_spread(spark, name, layout, keys, None if spread and doubtful else spread)
+        spread = None if spread and doubtful else spread
+        _publish(spark, name, layout, location, merged.updated.schema, touched, keys, spread)
 
 
 def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolve: bool = True) -> None:
@@ -242,67 +175,70 @@ def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolv
         first_load(spark, name, path, df)
         return
     layout, target = table_layout(spark, name), read_table(spark, name)
+    check_writable(name, layout)
     if layout.provider == "delta":
         delta.overwrite(df, layout.location, evolve=evolve)
         return
-    _check_layout(name, layout)
     schema = evolved(spark, target.schema, df.schema) if evolve else nullable(target.schema)
     have = by_name(spark, df.columns)
     missing = [f.name for f in schema.fields if fold(spark, f.name) not in have]
     if missing and not evolve:
         raise SchemaError(f"the new rows lack {missing}, and the schema may not evolve")
-    rows = conform(df, schema)
+    rows, held = conform(df, schema), []
     if layout.buckets:
-        rows = _spread(rows.withColumn(BUCKET_COLUMN, bucket_of(layout.keys, layout.buckets)))
-        location = _write(rows, path, [BUCKET_COLUMN])
-        held = _bucket_folders(spark, location)
-        _check_unmoved(spark, name, layout)
-        _add_columns(spark, name, schema)
-        _switch_buckets(spark, name, location, held)
-        _forget_buckets(spark, name, _registered_buckets(spark, name) - set(held))
+        location = _write(_spread(_with_bucket(rows, layout.keys, layout.buckets)), path, [BUCKET_COLUMN])
+        prefix = f"{BUCKET_COLUMN}="
+        held = [int(n.removeprefix(prefix)) for n in folder_names(spark, location) if n.startswith(prefix)]
     else:
         location = _write(rows, path)
-        _check_unmoved(spark, name, layout)
-        _add_columns(spark, name, schema)
-        _switch(spark, name, location)
-    _remember_spread(spark, name, layout, [], None)
+    _publish(spark, name, layout, location, schema, held, [], None)
+    if layout.buckets:
+        drop_buckets(spark, name, registered_buckets(spark, name) - set(held))
+
+
+def _publish(
+    spark: SparkSession,
+    name: str,
+    layout: Layout,
+    location: str,
+    schema: T.StructType,
+    buckets: Sequence[int],
+    keys: Sequence[str],
+    spread: bool | None,
+) -> None:
+    """Make the rows just written at `location` those of the table, or of its given buckets."""
+    check_unmoved(spark, name, layout)
+    # A doubt is noted before the rows that raise it are visible, a certainty after.
+    known = (spread, list(keys) if spread is not None else [])
+    if known[0] is None and layout.spread is not None:
+        set_property(spark, name, SPREAD, json.dumps(known))
+    add_columns(spark, name, schema)
+    if layout.buckets:
+        switch_buckets(spark, name, location, buckets)
+    else:
+        switch_table(spark, name, location)
+    if known[0] is not None and known != (layout.spread, list(layout.spread_on)):
+        set_property(spark, name, SPREAD, json.dumps(known))
 
 
-def _profile(rows: DataFrame, keys: Sequence[str], buckets: int | None = None) -> dict:
+def _profile(rows: DataFrame, keys: Sequence[str]) -> dict[str, int]:
     """Facts about the keys, in one pass over the key columns.
 
-    Row count, number of keys that repeat, rows of the most frequent key (NULL included), number of different
-    keys with NULL in them, and touched buckets.
+    Row count, number of keys that repeat, rows of the most frequent key (NULL included), and number of different
+    keys with NULL in them.
     """
     per_key = rows.groupBy([column_name(k) for k in keys]).agg(F.count("*").alias("n"), any_null(keys).alias("no_key"))
-    # At most as many values as there are buckets.
-    touched = F.collect_set(bucket_of(keys, buckets)) if buckets else F.lit(None)
-    return per_key.agg(
+    facts = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count_if((F.col("n") > 1) & ~F.col("no_key")).alias("repeated"),
         F.coalesce(F.max("n"), F.lit(0)).alias("most"),
         F.count_if("no_key").alias("without_key"),
-        touched.alias("touched"),
-    ).first().asDict()
-
-
-def _is_spread(profile: dict) -> bool:
-    return profile["most"] <= _FEW_ROWS
-
-
-def _remember_spread(
-    spark: SparkSession, name: str, layout: Layout, keys: Sequence[str], spread: bool | None
-) -> None:
-    on = list(keys) if spread is not None else []
-    if (spread, on) != (layout.spread, list(layout.spread_on)):
-        _set_property(spark, name, _SPREAD, json.dumps([spread, on]))
+    )
+    return facts.first().asDict()
 
 
-def _set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
-    spark.sql(
-        f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({text_literal(key)} = {text_literal(value)})",
-        args={"name": name},
-    )
+def _is_spread(profile: dict[str, int]) -> bool:
+    return profile["most"] <= FEW_ROWS
 
 
 def _split(rows: DataFrame, keys: Sequence[str], repeated: int, staging: ExitStack) -> Split:
@@ -314,14 +250,25 @@ def _split(rows: DataFrame, keys: Sequence[str], repeated: int, staging: ExitSta
     return Split(staging.enter_context(staged(matching)).frame, direct)
 
 
-def _broadcast_limit(spark: SparkSession) -> int:
-    """Spark's own size limit for a broadcast side, in bytes; below zero when switched off."""
-    return _bytes(spark, "spark.sql.autoBroadcastJoinThreshold")
+def _touched_buckets(rows: DataFrame, keys: Sequence[str], buckets: int | str) -> list[int]:
+    found = rows.select(bucket_of(keys, buckets).alias(BUCKET_COLUMN)).distinct()
+    touched = [row[0] for row in found.limit(MOST_BUCKETS + 1).collect()]
+    if len(touched) > MOST_BUCKETS:
+        raise PublishError(f"the source touches more than {MOST_BUCKETS} buckets of {buckets!r}")
+    return touched
 
 
-def _bytes(spark: SparkSession, setting: str) -> int:
-    text = spark.conf.get(setting)
-    return -1 if text.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+def _check_buckets(df: DataFrame, keys: Sequence[str], buckets: int | str) -> None:
+    if fold(df.sparkSession, BUCKET_COLUMN) in by_name(df.sparkSession, df.columns):
+        raise SchemaError(f"a table with buckets cannot have a column named {BUCKET_COLUMN}")
+    if isinstance(buckets, str):
+        number = df.select([column_name(k) for k in keys]).selectExpr(buckets).schema[0].dataType
+        if not isinstance(number, T.IntegralType):
+            raise SchemaError(f"buckets must be a whole number, but {buckets!r} is {number.simpleString()}")
+
+
+def _with_bucket(df: DataFrame, keys: Sequence[str], buckets: int | str) -> DataFrame:
+    return df.withColumn(BUCKET_COLUMN, bucket_of(keys, buckets))
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -329,85 +276,36 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", BUCKET_COLUMN)
 
 
-def _shuffle_fits(spark: SparkSession, buckets: int) -> bool:
+def _bucketed(merged: Merged, keys: Sequence[str], buckets: int | str, grouped: bool) -> DataFrame:
+    updated, inserted = (_with_bucket(part, keys, buckets) for part in merged)
+    return updated.union(_spread(inserted)) if grouped else _spread(updated.union(inserted))
+
+
+def _grouped(target: DataFrame, buckets: int | str, touched: int, source_is_broadcast: bool) -> bool:
+    """Whether the joined rows are grouped by bucket well enough to be written without another shuffle.
+
+    After a broadcast they are still grouped as the files they came from, which will do unless earlier upserts
+    have left those files too small. After a shuffle they are if hash buckets fit the shuffle partitions.
+    """
+    spark = target.sparkSession
+    if source_is_broadcast:
+        size = target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        full_files = size // _bytes(spark, "spark.sql.files.maxPartitionBytes")
+        return len(target.inputFiles()) <= 4 * (full_files + touched)
+    if isinstance(buckets, str):
+        return False
     partitions = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
     partitions = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     return partitions % buckets == 0 or buckets % partitions == 0
 
 
-def _fragmented(df: DataFrame, buckets: int) -> bool:
-    """Whether the files of these buckets are far more than their size calls for."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    full_files = size // _bytes(df.sparkSession, "spark.sql.files.maxPartitionBytes")
-    return len(df.inputFiles()) > 4 * (full_files + buckets)
-
-
-def _check_bucket_column(df: DataFrame) -> None:
-    if fold(df.sparkSession, BUCKET_COLUMN) in by_name(df.sparkSession, df.columns):
-        raise SchemaError(f"a table with buckets cannot have a column named {BUCKET_COLUMN}")
+def _bytes(spark: SparkSession, setting: str) -> int:
+    """A size setting as a number; below zero when switched off."""
+    text = spark.conf.get(setting)
+    return -1 if text.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
 def _write(df: DataFrame, path: str, partitioned_by: Sequence[str] = ()) -> str:
     location = f"{path.rstrip('/')}/{unique_name('v')}"
     df.write.partitionBy(*partitioned_by).parquet(location)
     return location
-
-
-def _ddl(fields: Sequence[T.StructField]) -> str:
-    return T.StructType(list(fields)).toDDL()
-
-
-def _add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
-    known = by_name(spark, spark.table(name).columns)
-    added = [f for f in schema.fields if fold(spark, f.name) not in known]
-    if added:
-        spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD COLUMNS ({_ddl(added)})", args={"name": name})
-
-
-def _check_layout(name: str, layout: Layout) -> None:
-    if layout.provider not in ("parquet", "delta"):
-        raise PublishError(f"{name} is stored as {layout.provider}; only parquet and delta tables can be written")
-    if layout.provider == "parquet" and layout.foreign_columns:
-        raise PublishError(f"{name} is laid out by {list(layout.foreign_columns)}, which a rewrite would not keep")
-
-
-def _check_unmoved(spark: SparkSession, name: str, layout: Layout) -> None:
-    now = table_layout(spark, name).newest_folder
-    if now != layout.newest_folder:
-        raise PublishError(f"{name} went from {layout.newest_folder} to {now} while it was being rewritten")
-
-
-def _switch(spark: SparkSession, name: str, location: str) -> None:
-    spark.sql(
-        "ALTER TABLE IDENTIFIER(:name) SET LOCATION :location", args={"name": name, "location": location}
-    )
-    spark.catalog.refreshTable(name)
-
-
-def _switch_buckets(spark: SparkSession, name: str, location: str, buckets: Sequence[int]) -> None:
-    known = _registered_buckets(spark, name)
-    _set_property(spark, name, _HEAD, location)
-    for number in buckets:
-        action = "PARTITION ({0} = {1}) SET LOCATION" if number in known else "ADD PARTITION ({0} = {1}) LOCATION"
-        spark.sql(
-            f"ALTER TABLE IDENTIFIER(:name) {action.format(BUCKET_COLUMN, int(number))} :location",
-            args={"name": name, "location": f"{location}/{BUCKET_COLUMN}={int(number)}"},
-        )
-    spark.catalog.refreshTable(name)
-
-
-def _forget_buckets(spark: SparkSession, name: str, buckets: set[int]) -> None:
-    if buckets:
-        gone = ", ".join(f"PARTITION ({BUCKET_COLUMN} = {int(b)})" for b in sorted(buckets))
-        spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP {gone}", args={"name": name})
-        spark.catalog.refreshTable(name)
-
-
-def _registered_buckets(spark: SparkSession, name: str) -> set[int]:
-    rows = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name}).collect()
-    return {int(row[0].rpartition("=")[2]) for row in rows}
-
-
-def _bucket_folders(spark: SparkSession, location: str) -> list[int]:
-    """Buckets present below a folder just written; at most one row per bucket."""
-    return [r[0] for r in spark.read.parquet(location).select(BUCKET_COLUMN).distinct().sort(BUCKET_COLUMN).collect()]

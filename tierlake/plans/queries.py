@@ -23,7 +23,8 @@ from tierlake.functions.schema import conform
 from tierlake.functions.storage import one_process, scratch_folder, unique_name
 from tierlake.operators.gold import bridged_join_sql, direct_join_sql, preview, publish_view, read_view
 from tierlake.operators.mapping import build_mapping
-from tierlake.operators.publish import first_load, overwrite, read_table, register_external_table, upsert
+from tierlake.operators.publish import first_load, overwrite, upsert
+from tierlake.operators.tables import read_table, register_external_table
 from tierlake.operators.upsert import merge_upsert
 from tierlake.plans import jobs
 from tierlake.sources.documents import read_export
