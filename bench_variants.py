@@ -49,9 +49,12 @@ def upserts(spark: SparkSession, sf_dir: str) -> None:
     def union(parts):
         return parts.updated.union(parts.inserted)
 
-    report("merge, source broadcast", lambda: compute(union(merge_in_two_joins(orders, split, keys, broadcast_source=True))))
+    def two_joins(broadcast):
+        return union(merge_in_two_joins(orders, split, keys, broadcast_source=broadcast))
+
+    report("merge, source broadcast", lambda: compute(two_joins(True)))
     joins(spark, "-1")
-    report("merge, two shuffle joins", lambda: compute(union(merge_in_two_joins(orders, split, keys, broadcast_source=False))))
+    report("merge, two shuffle joins", lambda: compute(two_joins(False)))
     report("merge, one full outer join", lambda: compute(union(merge_in_one_join(orders, split, keys))))
     joins(spark, "10m")
     for buckets in (None, 16):

@@ -49,7 +49,8 @@ def test_wrong_type_and_malformed_documents(spark, export):
 
 
 def test_filter_and_columns_reach_the_scan(spark, export):
-    df = read_export(spark, export('{"_id":"1","name":"A","value":1}'), SCHEMA, where="value > 0", columns=["_id", "value"])
+    path = export('{"_id":"1","name":"A","value":1}')
+    df = read_export(spark, path, SCHEMA, where="value > 0", columns=["_id", "value"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(value,0.0)" in plan and "ReadSchema: struct<_id:string,value:double>" in plan
 

@@ -5,15 +5,25 @@ from __future__ import annotations
 import pytest
 from conftest import rows
 
-from tierlake import SchemaError, bridged_join_sql, direct_join_sql, preview, publish_view, read_table, read_view, upsert
+from tierlake import (
+    SchemaError,
+    bridged_join_sql,
+    direct_join_sql,
+    preview,
+    publish_view,
+    read_table,
+    read_view,
+    upsert,
+)
 from tierlake.functions.storage import unique_name
 
 
 @pytest.fixture
 def tables(spark, path):
     a, b, m = (unique_name(p) for p in ("a_", "b_", "m_"))
-    put(spark, a, f"{path}/a", [(1, "Alice", 10.5), (2, "Bob", 20.0), (3, "Eve", 1.0)], "id INT, name STRING, value DOUBLE", "id", 4)
-    put(spark, b, f"{path}/b", [("1", "Alice", 10.5), ("2", "Bob", 20.0), ("64f0", "X", 0.0)], "_id STRING, name STRING, value DOUBLE", "_id")
+    people, profiles = "id INT, name STRING, value DOUBLE", "_id STRING, name STRING, value DOUBLE"
+    put(spark, a, f"{path}/a", [(1, "Alice", 10.5), (2, "Bob", 20.0), (3, "Eve", 1.0)], people, "id", 4)
+    put(spark, b, f"{path}/b", [("1", "Alice", 10.5), ("2", "Bob", 20.0), ("64f0", "X", 0.0)], profiles, "_id")
     put(spark, m, f"{path}/m", [(1, "2"), (2, "1"), (3, "none")], "sqlserver_id INT, mongodb_id STRING", "sqlserver_id")
     return a, b, m
 
@@ -78,7 +88,8 @@ def test_preview_is_ordered_and_bounded(spark):
 def test_view_prunes_columns_and_pushes_filters(spark, tables):
     view = unique_name("gold_")
     publish_view(spark, view, direct_join_sql(spark, *tables[:2]))
-    plan = read_view(spark, view).filter("a_value > 15").select("a_name")._jdf.queryExecution().executedPlan().toString()
+    names = read_view(spark, view).filter("a_value > 15").select("a_name")
+    plan = names._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(value,15.0)" in plan and "ReadSchema: struct<_id:string>" in plan
 
 

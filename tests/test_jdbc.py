@@ -6,7 +6,16 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tierlake import Connection, Ranges, SchemaError, Strides, discovered_strides, even_ranges, partition_bounds, read_jdbc
+from tierlake import (
+    Connection,
+    Ranges,
+    SchemaError,
+    Strides,
+    discovered_strides,
+    even_ranges,
+    partition_bounds,
+    read_jdbc,
+)
 from tierlake.functions.storage import unique_name
 
 DATA = [(i, f"n{i}", i / 2) for i in range(1, 41)]

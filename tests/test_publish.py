@@ -9,7 +9,17 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake import PublishError, SchemaError, first_load, overwrite, read_table, register_external_table, table_exists, upsert
+from tierlake import (
+    PublishError,
+    SchemaError,
+    first_load,
+    overwrite,
+    read_table,
+    register_external_table,
+    table_exists,
+    upsert,
+)
+from tierlake.functions.sizing import room_to_shuffle
 from tierlake.operators import publish
 from tierlake.operators.tables import registered_buckets, table_layout
 
@@ -102,11 +112,16 @@ def test_target_is_read_once_unless_a_key_is_hot(spark, name, path, conf, monkey
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     monkeypatch.setattr(publish, "FEW_ROWS", 3)
     used = []
-    for merge in ("merge_in_one_join", "merge_in_two_joins"):
-        original = getattr(publish, merge)
-        monkeypatch.setattr(
-            publish, merge, lambda *a, _original=original, _merge=merge, **k: (used.append(_merge), _original(*a, **k))[1]
-        )
+
+    def noted(merge):
+        def call(*args, **options):
+            used.append(merge.__name__)
+            return merge(*args, **options)
+
+        return call
+
+    monkeypatch.setattr(publish, "merge_in_one_join", noted(publish.merge_in_one_join))
+    monkeypatch.setattr(publish, "merge_in_two_joins", noted(publish.merge_in_two_joins))
     data = {k: f"t{k}" for k in range(20)}
     put(spark, name, path, frame(spark, sorted(data.items())), buckets=buckets)
     assert table_layout(spark, name).spread is None
@@ -172,6 +187,19 @@ def test_bucket_pruning_reaches_the_merge(spark, name, path):
     )
 
 
+@pytest.mark.parametrize("setting", ["shuffle.partitions", "adaptive.coalescePartitions.initialPartitionNum"])
+def test_shuffle_partitions_follow_the_size(spark, conf, setting):
+    setting = f"spark.sql.{setting}"
+    conf(**{setting.replace(".", "__"): "10"})
+    for size, buckets, expected in ((0, 1, 10), (0, 4, 12), (0, 64, 64), (10 * 1024**3, 7, 63), (10**15, 1, 50_000)):
+        with room_to_shuffle(spark, size, buckets) as partitions:
+            assert partitions == expected and spark.conf.get(setting) == str(expected)
+        assert spark.conf.get(setting) == "10"
+    with pytest.raises(ZeroDivisionError), room_to_shuffle(spark, 0, 64):
+        1 / 0
+    assert spark.conf.get(setting) == "10"
+
+
 def test_neighbouring_keys_share_a_bucket(spark, name, path):
     put(spark, name, path, spark.range(1000).selectExpr("id k", "id v"), buckets="k DIV 100")
     assert sorted(registered_buckets(spark, name)) == list(range(10))
@@ -207,7 +235,7 @@ def test_bucketed_table_keeps_its_keys(spark, name, path):
     with pytest.raises(PublishError, match="bucketed by"):
         put(spark, name, path, frame(spark, [(1, "a")]), keys=["v"])
     with pytest.raises(SchemaError, match="bucket"):
-        first_load(spark, name + "x", path + "x", frame(spark, [(1, "a")], "k INT, Bucket STRING"), keys=["k"], buckets=4)
+        first_load(spark, f"{name}x", f"{path}x", frame(spark, [], "k INT, Bucket INT"), keys=["k"], buckets=4)
 
 
 def test_bucket_depends_on_the_table_type_of_the_key(spark, name, path):

@@ -72,8 +72,8 @@ def test_filter_on_a_merge_with_repeated_new_keys_does_not_fail(spark):
 
 
 def test_dedupe_takes_the_latest_row_even_without_an_order(spark):
-    source = frame(spark, [(1, "old", 1), (1, "new", 2), (2, "only", None), (3, "x", None), (3, "y", 0)], KV + ", ts INT")
-    out = merge_upsert(frame(spark, [(1, "a")]), source.select("k", "v", "ts"), ["k"], dedupe_by="ts")
+    data = [(1, "old", 1), (1, "new", 2), (2, "only", None), (3, "x", None), (3, "y", 0)]
+    out = merge_upsert(frame(spark, [(1, "a")]), frame(spark, data, KV + ", ts INT"), ["k"], dedupe_by="ts")
     assert rows(out) == [(1, "new", 2), (2, "only", None), (3, "y", 0)]
 
 
@@ -111,7 +111,8 @@ def test_target_type_wins_and_unsafe_casts_fail(spark):
 
 
 def test_names_are_compared_as_the_session_does(spark):
-    out = merge_upsert(frame(spark, [(1, "a")], "Id INT, V STRING"), frame(spark, [(1, "b")], "ID INT, v STRING"), ["id"])
+    target, source = frame(spark, [(1, "a")], "Id INT, V STRING"), frame(spark, [(1, "b")], "ID INT, v STRING")
+    out = merge_upsert(target, source, ["id"])
     assert out.columns == ["Id", "V"] and rows(out) == [(1, "b")]
 
 
@@ -181,7 +182,8 @@ def test_random_tables_match_brute_force(spark, seed):
     expected = brute_force(target, source, n_keys, out_cols)
 
     def df(data, columns):
-        return spark.createDataFrame([tuple(r[c] for c in columns) for r in data], ", ".join(f"{c} INT" for c in columns))
+        schema = ", ".join(f"{c} INT" for c in columns)
+        return spark.createDataFrame([tuple(r[c] for c in columns) for r in data], schema)
 
     out = merge_upsert(df(target, t_cols), df(source, s_cols), keys, null_keys="insert")
     if expected is None:

@@ -10,7 +10,15 @@ from tierlake.operators.tables import PublishError, read_table, register_externa
 from tierlake.operators.upsert import merge_upsert
 from tierlake.plans.jobs import ingest_documents, ingest_relational, map_sources, publish_gold
 from tierlake.sources.documents import read_collection, read_export
-from tierlake.sources.jdbc import Connection, Ranges, Strides, discovered_strides, even_ranges, partition_bounds, read_jdbc
+from tierlake.sources.jdbc import (
+    Connection,
+    Ranges,
+    Strides,
+    discovered_strides,
+    even_ranges,
+    partition_bounds,
+    read_jdbc,
+)
 
 __all__ = [
     "Connection",

@@ -49,8 +49,8 @@ def bucket_of(keys: Sequence[str], buckets: int | str) -> Column:
     """Bucket number of a key. Key columns must already have the table's types: the hash depends on them.
 
     buckets: a number of buckets, or a whole-number expression of the key columns; NULL in it counts as 0.
-    The hash is the one Spark shuffles by, so after a shuffle join on the keys each task holds whole buckets, or
-    parts of a single one, if one of the two numbers divides the other.
+    The hash is the one Spark shuffles by, so after a shuffle join on the keys each task holds rows of one bucket
+    if the number of shuffle partitions is a multiple of that of buckets.
     """
     if isinstance(buckets, str):
         return F.coalesce(F.expr(buckets).cast("bigint"), F.lit(0))

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tierlake.functions.keys import any_null, bucket_of
 from tierlake.functions.names import by_name, column_name, fold
 from tierlake.functions.schema import SchemaError, conform, evolved, nullable
+from tierlake.functions.sizing import planned_bytes, room_to_shuffle, size_setting
 from tierlake.functions.storage import committed_folders, folder_names, staged, unique_name
 from tierlake.operators import delta
 from tierlake.operators.tables import (
@@ -142,20 +143,26 @@ def upsert(
         if not profile["rows"]:
             add_columns(spark, name, evolved(spark, target.schema, prepared.schema))
             return
-        small = stored_bytes <= _bytes(spark, "spark.sql.autoBroadcastJoinThreshold")
-        spread = layout.spread if list(layout.spread_on) == keys else None
-        if not small and spread is None:
-            spread = _is_spread(_profile(target, keys))
         touched = _touched_buckets(rows, keys, layout.buckets) if layout.buckets else []
+        part = target
         if layout.buckets:
-            target = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
+            part = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
+        small = stored_bytes <= size_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
+        spread = layout.spread if list(layout.spread_on) == keys else None
+        if not small:
+            hashed = layout.buckets if isinstance(layout.buckets, int) else 1
+            staging.enter_context(room_to_shuffle(spark, stored_bytes + planned_bytes(part), hashed))
+            if spread is None:
+                spread = _is_spread(_profile(target, keys))
         split = _split(rows, keys, profile["repeated"], staging)
         if spread and not small:
-            merged = merge_in_one_join(target, split, keys)
+            merged = merge_in_one_join(part, split, keys)
         else:
-            merged = merge_in_two_joins(target, split, keys, broadcast_source=small)
+            merged = merge_in_two_joins(part, split, keys, broadcast_source=small)
         if layout.buckets:
-            grouped = _grouped(target, layout.buckets, len(touched), small)
+            # After a broadcast, rows are still grouped as the files they came from, which will do unless earlier
+            # upserts have left those files too small. The shuffle of a join groups them by hash bucket.
+            grouped = not _fragmented(part, len(touched)) if small else isinstance(layout.buckets, int)
             location = _write(_bucketed(merged, keys, layout.buckets, grouped), path, [BUCKET_COLUMN])
         else:
             location = _write(merged.updated.union(merged.inserted), path)
@@ -281,28 +288,10 @@ def _bucketed(merged: Merged, keys: Sequence[str], buckets: int | str, grouped:
     return updated.union(_spread(inserted)) if grouped else _spread(updated.union(inserted))
 
 
-def _grouped(target: DataFrame, buckets: int | str, touched: int, source_is_broadcast: bool) -> bool:
-    """Whether the joined rows are grouped by bucket well enough to be written without another shuffle.
-
-    After a broadcast they are still grouped as the files they came from, which will do unless earlier upserts
-    have left those files too small. After a shuffle they are if hash buckets fit the shuffle partitions.
-    """
-    spark = target.sparkSession
-    if source_is_broadcast:
-        size = target._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        full_files = size // _bytes(spark, "spark.sql.files.maxPartitionBytes")
-        return len(target.inputFiles()) <= 4 * (full_files + touched)
-    if isinstance(buckets, str):
-        return False
-    partitions = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    partitions = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    return partitions % buckets == 0 or buckets % partitions == 0
-
-
-def _bytes(spark: SparkSession, setting: str) -> int:
-    """A size setting as a number; below zero when switched off."""
-    text = spark.conf.get(setting)
-    return -1 if text.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+def _fragmented(df: DataFrame, buckets: int) -> bool:
+    """Whether the files of these buckets are far more than their size calls for."""
+    full_files = planned_bytes(df) // size_setting(df.sparkSession, "spark.sql.files.maxPartitionBytes")
+    return len(df.inputFiles()) > 4 * (full_files + buckets)
 
 
 def _write(df: DataFrame, path: str, partitioned_by: Sequence[str] = ()) -> str:

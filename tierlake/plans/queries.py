@@ -28,7 +28,7 @@ from tierlake.operators.tables import read_table, register_external_table
 from tierlake.operators.upsert import merge_upsert
 from tierlake.plans import jobs
 from tierlake.sources.documents import read_export
-from tierlake.sources.jdbc import Connection, discovered_strides, even_ranges, partition_bounds, read_jdbc
+from tierlake.sources.jdbc import Connection, Ranges, Strides, even_ranges, partition_bounds, read_jdbc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,29 +163,31 @@ def published(spark: SparkSession, *batches: DataFrame, keys: list[str], **rules
 # Sources
 
 
+def split(spark: SparkSession, connection: Connection, source: str) -> Ranges | Strides | None:
+    return even_ranges(spark, connection, source, "id", 8)
+
+
 @query(A_SQL)
 def jdbc_table_scan(spark, sf_dir):
-    return read_jdbc(spark, relational_source(spark, sf_dir), "customer")
+    source = relational_source(spark, sf_dir)
+    return read_jdbc(spark, source, "customer", split=split(spark, source, "customer"))
 
 
 @query("SELECT CAST(c_custkey AS INTEGER) AS id, c_acctbal AS value FROM customer WHERE c_acctbal > 5000")
 def jdbc_subquery_scan(spark, sf_dir):
+    source = relational_source(spark, sf_dir)
     subquery = '(SELECT "id", "value" FROM customer WHERE "value" > 5000) AS rich'
-    return read_jdbc(spark, relational_source(spark, sf_dir), subquery)
+    return read_jdbc(spark, source, subquery, split=split(spark, source, subquery))
 
 
 @query(A_SQL)
 def jdbc_partitioned_scan(spark, sf_dir):
-    connection = relational_source(spark, sf_dir)
-    strides = discovered_strides(spark, connection, "customer", "id", 8)
-    return read_jdbc(spark, connection, "customer", split=strides)
-
-
-@query(A_SQL)
-def jdbc_evenly_split_scan(spark, sf_dir):
-    connection = relational_source(spark, sf_dir)
-    ranges = even_ranges(spark, connection, "customer", "id", 8)
-    return read_jdbc(spark, connection, "customer", split=ranges)
+    """Equal strides between bounds that leave rows outside on both ends."""
+    source = relational_source(spark, sf_dir)
+    least, greatest = partition_bounds(spark, source, "customer", "id").first()
+    inset = (greatest - least) // 16
+    strides = Strides("id", str(least + inset), str(greatest - inset), 8)
+    return read_jdbc(spark, source, "customer", split=strides)
 
 
 @query(
@@ -217,9 +219,8 @@ def document_text_scan(spark, sf_dir):
 
 @query(A_SQL)
 def schema_enforced_read(spark, sf_dir):
-    return read_jdbc(
-        spark, relational_source(spark, sf_dir), "customer", schema="id INT, name STRING, value DOUBLE"
-    )
+    source, declared = relational_source(spark, sf_dir), "id INT, name STRING, value DOUBLE"
+    return read_jdbc(spark, source, "customer", split=split(spark, source, "customer"), schema=declared)
 
 
 @query("SELECT * FROM customer")
