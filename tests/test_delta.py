@@ -7,7 +7,8 @@ import types
 
 import pytest
 
-from tierlake.operators import delta
+from tierlake.operators import delta, publish
+from tierlake.operators.tables import Layout
 
 
 class Recorder:
@@ -42,6 +43,21 @@ def test_merge(spark, calls, evolve):
     assert calls[2][1][1] == "target.`a` = source.`a` AND target.`b.c` = source.`b.c`"
 
 
+@pytest.mark.parametrize("there", [False, True])
+def test_a_table_at_the_path_is_merged_into_and_never_loaded_over(spark, monkeypatch, there):
+    """The catalog may have lost the name; the path decides."""
+    done, names = [], set()
+    monkeypatch.setattr(publish, "table_exists", lambda _, name: name in names)
+    monkeypatch.setattr(publish, "read_table", lambda *_: spark.range(1))
+    monkeypatch.setattr(publish, "table_layout", lambda *_: Layout("delta", "/p", "/p"))
+    monkeypatch.setattr(delta, "is_table", lambda *_: there)
+    monkeypatch.setattr(delta, "register", lambda _, name, path: (names.add(name), done.append("register")))
+    monkeypatch.setattr(delta, "overwrite", lambda *_, **__: done.append("overwrite"))
+    monkeypatch.setattr(delta, "upsert", lambda *_, **__: done.append("merge"))
+    publish.upsert(spark, "t", "/p", spark.range(1), "id", table_format="delta")
+    assert done == (["register", "merge"] if there else ["overwrite", "register"])
+
+
 def test_format_without_the_library(monkeypatch):
     monkeypatch.setattr("importlib.util.find_spec", lambda name: None)
     assert delta.default_format() == "parquet"

@@ -30,7 +30,8 @@ def room_to_shuffle(spark: SparkSession, stored_bytes: int, multiple_of: int = 1
     """Raise the number of shuffle partitions, while the block lasts, to what `stored_bytes` of input need.
 
     The number is never lowered, adaptive execution joins partitions that turn out small, and it is a multiple of
-    `multiple_of`, so that the partitions of a hash shuffle nest with as many hash buckets.
+    `multiple_of`, so that the partitions of a hash shuffle nest with as many hash buckets. The setting is the
+    session's, so blocks in one session must not overlap.
     """
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if spark.conf.get(setting, None) is None:

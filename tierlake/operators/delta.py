@@ -18,8 +18,13 @@ def default_format() -> str:
     return "delta" if importlib.util.find_spec("delta") else "parquet"
 
 
-def first_load(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolve: bool = True) -> None:
-    overwrite(df, path, evolve=evolve)
+def is_table(spark: SparkSession, path: str) -> bool:
+    from delta.tables import DeltaTable
+
+    return DeltaTable.isDeltaTable(spark, path)
+
+
+def register(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(
         "CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) USING DELTA LOCATION :path",
         args={"name": name, "path": path},

@@ -116,13 +116,17 @@ def upsert(
     keys as they are. `buckets` and `table_format` ("parquet", or "delta" where that library is installed) only
     matter for a new table.
     """
+    table_format = table_format or delta.default_format()
+    if not table_exists(spark, name) and table_format == "delta" and delta.is_table(spark, path):
+        delta.register(spark, name, path)
     if not table_exists(spark, name):
         keys = resolved_keys(source, keys)
         source = apply_null_rule(source, keys, null_keys)
         if dedupe_by is not None:
             source = latest_per_key(source, keys, dedupe_by)
-        if (table_format or delta.default_format()) == "delta":
-            delta.first_load(spark, name, path, source, evolve=evolve)
+        if table_format == "delta":
+            delta.overwrite(source, path, evolve=evolve)
+            delta.register(spark, name, path)
         else:
             first_load(spark, name, path, source, keys=keys, buckets=buckets)
         return

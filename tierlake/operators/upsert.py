@@ -96,6 +96,7 @@ def prepare_source(
 
 def resolved_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
     """Key names as `df` spells them."""
+    keys = [keys] if isinstance(keys, str) else keys
     if not keys:
         raise ValueError("an upsert needs at least one key column")
     columns = by_name(df.sparkSession, df.columns)
