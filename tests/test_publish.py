@@ -19,7 +19,7 @@ from tierlake import (
     table_exists,
     upsert,
 )
-from tierlake.functions.sizing import room_to_shuffle
+from tierlake.functions.sizing import planned_bytes, room_to_shuffle
 from tierlake.operators import publish
 from tierlake.operators.tables import registered_buckets, table_layout
 
@@ -200,6 +200,15 @@ def test_shuffle_partitions_follow_the_size(spark, conf, setting):
     assert spark.conf.get(setting) == "10"
 
 
+@LAYOUTS
+def test_spark_knows_the_size_of_a_table(spark, name, path, buckets):
+    for last in (50, 100):
+        put(spark, name, path, spark.range(last).selectExpr("id k", "id v"), buckets=buckets)
+        assert 0 < planned_bytes(spark.table(name)) < 1_000_000
+    overwrite(spark, name, path, spark.range(2).selectExpr("id k", "id v"))
+    assert 0 < planned_bytes(spark.table(name)) < 10_000
+
+
 def test_neighbouring_keys_share_a_bucket(spark, name, path):
     put(spark, name, path, spark.range(1000).selectExpr("id k", "id v"), buckets="k DIV 100")
     assert sorted(registered_buckets(spark, name)) == list(range(10))

@@ -12,6 +12,8 @@ _GROWTH = 3
 _BYTES_PER_TASK = 512 * 1024**2
 # Beyond this the bookkeeping of a shuffle costs more than larger tasks, which can spill.
 _MOST_PARTITIONS = 50_000
+# Spark plans with a size near the greatest long for an input it cannot measure.
+_UNKNOWN = 1024**5
 
 
 def size_setting(spark: SparkSession, setting: str) -> int:
@@ -21,8 +23,9 @@ def size_setting(spark: SparkSession, setting: str) -> int:
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """What Spark takes the size of `df` to be; exact for a plain scan of files."""
-    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    """What Spark takes the size of `df` to be: exact for a plain scan of files, 0 where it does not know."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return size if size < _UNKNOWN else 0
 
 
 @contextmanager

@@ -12,7 +12,7 @@ same upsert again completes one that was cut short. One job at a time may write
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +37,7 @@ from tierlake.operators.tables import (
     check_writable,
     drop_buckets,
     read_table,
+    record_size,
     register_external_table,
     registered_buckets,
     set_property,
@@ -195,16 +196,15 @@ def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolv
     missing = [f.name for f in schema.fields if fold(spark, f.name) not in have]
     if missing and not evolve:
         raise SchemaError(f"the new rows lack {missing}, and the schema may not evolve")
-    rows, held = conform(df, schema), []
+    rows, held, gone = conform(df, schema), [], set()
     if layout.buckets:
         location = _write(_spread(_with_bucket(rows, layout.keys, layout.buckets)), path, [BUCKET_COLUMN])
         prefix = f"{BUCKET_COLUMN}="
         held = [int(n.removeprefix(prefix)) for n in folder_names(spark, location) if n.startswith(prefix)]
+        gone = registered_buckets(spark, name) - set(held)
     else:
         location = _write(rows, path)
-    _publish(spark, name, layout, location, schema, held, [], None)
-    if layout.buckets:
-        drop_buckets(spark, name, registered_buckets(spark, name) - set(held))
+    _publish(spark, name, layout, location, schema, held, [], None, gone)
 
 
 def _publish(
@@ -216,8 +216,9 @@ def _publish(
     buckets: Sequence[int],
     keys: Sequence[str],
     spread: bool | None,
+    gone: Collection[int] = (),
 ) -> None:
-    """Make the rows just written at `location` those of the table, or of its given buckets."""
+    """Make the rows just written at `location` those of the table, or of its given buckets; drop those `gone`."""
     check_unmoved(spark, name, layout)
     # A doubt is noted before the rows that raise it are visible, a certainty after.
     known = (spread, list(keys) if spread is not None else [])
@@ -226,6 +227,8 @@ def _publish(
     add_columns(spark, name, schema)
     if layout.buckets:
         switch_buckets(spark, name, location, buckets)
+        drop_buckets(spark, name, gone)
+        record_size(spark, name)
     else:
         switch_table(spark, name, location)
     if known[0] is not None and known != (layout.spread, list(layout.spread_on)):

@@ -97,6 +97,12 @@ def register_external_table(
     )
     if partitioned_by:
         spark.sql("ALTER TABLE IDENTIFIER(:name) RECOVER PARTITIONS", args={"name": name})
+        record_size(spark, name)
+
+
+def record_size(spark: SparkSession, name: str) -> None:
+    """Note the size of the files of a partitioned table, or Spark takes it for too large to broadcast."""
+    spark.sql("ANALYZE TABLE IDENTIFIER(:name) COMPUTE STATISTICS NOSCAN", args={"name": name})
 
 
 def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
