@@ -245,6 +245,9 @@ def test_bucketed_table_keeps_its_keys(spark, name, path):
         put(spark, name, path, frame(spark, [(1, "a")]), keys=["v"])
     with pytest.raises(SchemaError, match="bucket"):
         first_load(spark, f"{name}x", f"{path}x", frame(spark, [], "k INT, Bucket INT"), keys=["k"], buckets=4)
+    for write in (lambda df: put(spark, name, path, df), lambda df: overwrite(spark, name, path, df)):
+        with pytest.raises(SchemaError, match="bucket"):
+            write(frame(spark, [(1, 2)], "k INT, bucket INT"))
 
 
 def test_bucket_depends_on_the_table_type_of_the_key(spark, name, path):

@@ -91,8 +91,11 @@ def first_load(
         _check_buckets(df, keys, buckets)
         properties = {BUCKETS: json.dumps(buckets), KEYS: json.dumps(list(keys))}
         partitioned_by = [BUCKET_COLUMN]
-        df = _spread(_with_bucket(df, keys, buckets))
-    location = _write(df, path, partitioned_by)
+        df = _with_bucket(df, keys, buckets)
+        with room_to_shuffle(spark, planned_bytes(df), _hashed(buckets)):
+            location = _write(_spread(df), path, partitioned_by)
+    else:
+        location = _write(df, path)
     register_external_table(
         spark, name, location, nullable(df.schema), partitioned_by=partitioned_by, properties=properties
     )
@@ -135,8 +138,10 @@ def upsert(
     layout, target = table_layout(spark, name), read_table(spark, name)
     check_writable(name, layout)
     keys = resolved_keys(target, keys)
-    if layout.buckets and list(layout.keys) != keys:
-        raise PublishError(f"{name} is bucketed by {list(layout.keys)} and cannot be upserted on {keys}")
+    if layout.buckets:
+        _check_bucket_column(source)
+        if list(layout.keys) != keys:
+            raise PublishError(f"{name} is bucketed by {list(layout.keys)} and cannot be upserted on {keys}")
     prepared = prepare_source(target, source, keys, evolve=evolve, null_keys=null_keys, dedupe_by=dedupe_by)
     if layout.provider == "delta":
         delta.upsert(spark, name, prepared, keys, evolve=evolve)
@@ -154,20 +159,19 @@ def upsert(
             part = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
         small = stored_bytes <= size_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
         spread = layout.spread if list(layout.spread_on) == keys else None
-        if not small:
-            hashed = layout.buckets if isinstance(layout.buckets, int) else 1
-            staging.enter_context(room_to_shuffle(spark, stored_bytes + planned_bytes(part), hashed))
-            if spread is None:
-                spread = _is_spread(_profile(target, keys))
+        grouped = _stays_grouped(part, layout.buckets, len(touched), small)
+        if not (small and grouped):
+            size = stored_bytes + planned_bytes(part)
+            staging.enter_context(room_to_shuffle(spark, size, _hashed(layout.buckets)))
+        if not small and spread is None:
+            spread = _is_spread(_profile(target, keys))
+
         split = _split(rows, keys, profile["repeated"], staging)
         if spread and not small:
             merged = merge_in_one_join(part, split, keys)
         else:
             merged = merge_in_two_joins(part, split, keys, broadcast_source=small)
         if layout.buckets:
-            # After a broadcast, rows are still grouped as the files they came from, which will do unless earlier
-            # upserts have left those files too small. The shuffle of a join groups them by hash bucket.
-            grouped = not _fragmented(part, len(touched)) if small else isinstance(layout.buckets, int)
             location = _write(_bucketed(merged, keys, layout.buckets, grouped), path, [BUCKET_COLUMN])
         else:
             location = _write(merged.updated.union(merged.inserted), path)
@@ -198,7 +202,10 @@ def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolv
         raise SchemaError(f"the new rows lack {missing}, and the schema may not evolve")
     rows, held, gone = conform(df, schema), [], set()
     if layout.buckets:
-        location = _write(_spread(_with_bucket(rows, layout.keys, layout.buckets)), path, [BUCKET_COLUMN])
+        _check_bucket_column(df)
+        rows = _with_bucket(rows, layout.keys, layout.buckets)
+        with room_to_shuffle(spark, planned_bytes(rows), _hashed(layout.buckets)):
+            location = _write(_spread(rows), path, [BUCKET_COLUMN])
         prefix = f"{BUCKET_COLUMN}="
         held = [int(n.removeprefix(prefix)) for n in folder_names(spark, location) if n.startswith(prefix)]
         gone = registered_buckets(spark, name) - set(held)
@@ -273,14 +280,23 @@ def _touched_buckets(rows: DataFrame, keys: Sequence[str], buckets: int | str) -
 
 
 def _check_buckets(df: DataFrame, keys: Sequence[str], buckets: int | str) -> None:
-    if fold(df.sparkSession, BUCKET_COLUMN) in by_name(df.sparkSession, df.columns):
-        raise SchemaError(f"a table with buckets cannot have a column named {BUCKET_COLUMN}")
+    _check_bucket_column(df)
     if isinstance(buckets, str):
         number = df.select([column_name(k) for k in keys]).selectExpr(buckets).schema[0].dataType
         if not isinstance(number, T.IntegralType):
             raise SchemaError(f"buckets must be a whole number, but {buckets!r} is {number.simpleString()}")
 
 
+def _check_bucket_column(df: DataFrame) -> None:
+    if fold(df.sparkSession, BUCKET_COLUMN) in by_name(df.sparkSession, df.columns):
+        raise SchemaError(f"a table with buckets cannot have a column named {BUCKET_COLUMN}")
+
+
+def _hashed(buckets: int | str | None) -> int:
+    """The number the shuffle partitions should be a multiple of."""
+    return buckets if isinstance(buckets, int) else 1
+
+
 def _with_bucket(df: DataFrame, keys: Sequence[str], buckets: int | str) -> DataFrame:
     return df.withColumn(BUCKET_COLUMN, bucket_of(keys, buckets))
 
@@ -295,10 +311,18 @@ def _bucketed(merged: Merged, keys: Sequence[str], buckets: int | str, grouped:
     return updated.union(_spread(inserted)) if grouped else _spread(updated.union(inserted))
 
 
-def _fragmented(df: DataFrame, buckets: int) -> bool:
-    """Whether the files of these buckets are far more than their size calls for."""
-    full_files = planned_bytes(df) // size_setting(df.sparkSession, "spark.sql.files.maxPartitionBytes")
-    return len(df.inputFiles()) > 4 * (full_files + buckets)
+def _stays_grouped(part: DataFrame, buckets: int | str | None, touched: int, source_is_broadcast: bool) -> bool:
+    """Whether the merged rows can be written without another shuffle to bring buckets together.
+
+    After a broadcast they are grouped as the files they came from, which will do unless earlier upserts have left
+    far more files than their size calls for. After a shuffle join they are grouped by hash bucket.
+    """
+    if not buckets:
+        return True
+    if not source_is_broadcast:
+        return isinstance(buckets, int)
+    full_files = planned_bytes(part) // size_setting(part.sparkSession, "spark.sql.files.maxPartitionBytes")
+    return len(part.inputFiles()) <= 4 * (full_files + touched)
 
 
 def _write(df: DataFrame, path: str, partitioned_by: Sequence[str] = ()) -> str:
