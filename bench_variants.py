@@ -16,7 +16,7 @@ from tierlake.operators.gold import bridged_join_sql, direct_join_sql, publish_v
 from tierlake.operators.mapping import build_mapping
 from tierlake.operators.publish import upsert
 from tierlake.operators.upsert import merge_in_one_join, merge_in_two_joins, split_unique
-from tierlake.plans.queries import bronze, registered, relational_source, table
+from tierlake.plans.queries import SOURCE_TABLE, bronze, registered, relational_source, table
 from tierlake.sources.jdbc import discovered_strides, read_jdbc
 
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
@@ -76,9 +76,9 @@ def reads(spark: SparkSession, sf_dir: str) -> None:
     report("mapping join orders x lineitem, sort-merge", lambda: compute(pairs.select("*")))
     joins(spark, "10m")
     source = relational_source(spark, sf_dir)
-    report("JDBC customer, one partition", lambda: compute(read_jdbc(spark, source, "customer")))
-    strides = discovered_strides(spark, source, "customer", "id", 4)
-    report("JDBC customer, four partitions", lambda: compute(read_jdbc(spark, source, "customer", split=strides)))
+    report("JDBC customer, one partition", lambda: compute(read_jdbc(spark, source, SOURCE_TABLE)))
+    strides = discovered_strides(spark, source, SOURCE_TABLE, "id", 4)
+    report("JDBC customer, four partitions", lambda: compute(read_jdbc(spark, source, SOURCE_TABLE, split=strides)))
     a, b = bronze(spark, sf_dir)
     view, mapping = unique_name("tierlake_v_"), unique_name("tierlake_m_")
     upsert(

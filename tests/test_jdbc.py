@@ -154,6 +154,12 @@ def test_conformed_schema(spark, source):
         read_jdbc(spark, source, "items", schema="id INT", schema_mode="guess")
 
 
+def test_reader_options():
+    connection = Connection("jdbc:x", user="u", options=(("queryTimeout", "60"),))
+    assert connection.reader_options() == {"fetchsize": "10000", "url": "jdbc:x", "user": "u", "queryTimeout": "60"}
+    assert Connection("jdbc:x", options=(("fetchsize", "5"),)).reader_options()["fetchsize"] == "5"
+
+
 def test_column_types(spark, source):
     df = read_jdbc(spark, source, "items", column_types="ID BIGINT, VALUE DECIMAL(10,2)")
     assert dict(df.dtypes)["ID"] == "bigint" and dict(df.dtypes)["VALUE"] == "decimal(10,2)"

@@ -138,8 +138,10 @@ def test_new_inner_fields_are_refused(spark):
 
 
 def test_missing_key(spark):
-    with pytest.raises(SchemaError, match="key"):
+    with pytest.raises(SchemaError, match="nope"):
         merge_upsert(frame(spark, []), frame(spark, []), ["nope"])
+    with pytest.raises(SchemaError, match="ts"):
+        merge_upsert(frame(spark, []), frame(spark, []), ["k"], dedupe_by="ts")
     with pytest.raises(ValueError):
         merge_upsert(frame(spark, []), frame(spark, []), [])
 

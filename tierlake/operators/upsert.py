@@ -102,7 +102,7 @@ def resolved_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
     columns = by_name(df.sparkSession, df.columns)
     missing = [k for k in keys if fold(df.sparkSession, k) not in columns]
     if missing:
-        raise SchemaError(f"key columns {missing} are not among {df.columns}")
+        raise SchemaError(f"columns {missing} are not among {df.columns}")
     return [columns[fold(df.sparkSession, k)] for k in keys]
 
 
@@ -237,7 +237,7 @@ def _aligned(
 ) -> DataFrame:
     """Source columns in result order and target types. Columns only the target has stay absent."""
     spark = target.sparkSession
-    resolved_keys(source, keys)
+    resolved_keys(source, [*keys, *extra])
     have = by_name(spark, source.columns)
     if evolve:
         fields = evolved(spark, target.schema, source.schema).fields

@@ -48,6 +48,7 @@ BRIDGED_SQL = f"""
            b._id AS b__id, b.name AS b_name, b.value AS b_value
     FROM ({MAPPING_SQL}) m JOIN ({A_SQL}) a ON m.sqlserver_id = a.id JOIN ({B_SQL}) b ON m.mongodb_id = b._id"""
 
+SOURCE_TABLE = "tierlake_customer"
 LOADED = "o_orderdate < TIMESTAMP '1999-01-01'"
 CHANGED = "o_orderdate >= TIMESTAMP '1998-01-01'"
 DOUBLED = f"CASE WHEN {CHANGED} THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice"
@@ -111,7 +112,7 @@ _LOADED_SOURCES: dict[tuple[str, str], Connection] = {}
 
 
 def relational_source(spark: SparkSession, sf_dir: str) -> Connection:
-    """A database with A in its table `customer`.
+    """A database with A in it, as SOURCE_TABLE.
 
     `spark.tierlake.jdbc.url` (with `.user`, `.password` and `.driver`) names one that all executors reach. Without
     it, a local session uses the embedded database that comes with Spark, which only its own process sees.
@@ -132,7 +133,7 @@ def relational_source(spark: SparkSession, sf_dir: str) -> Connection:
         else:
             raise ValueError("set spark.tierlake.jdbc.url to a database that all executors can reach")
         relational(spark, sf_dir).write.format("jdbc").options(**connection.reader_options()).options(
-            dbtable="customer", createTableColumnTypes="name VARCHAR(50)"
+            dbtable=SOURCE_TABLE, createTableColumnTypes="name VARCHAR(50)"
         ).mode("overwrite").save()
         _LOADED_SOURCES[known] = connection
     return _LOADED_SOURCES[known]
@@ -170,13 +171,13 @@ def split(spark: SparkSession, connection: Connection, source: str) -> Ranges |
 @query(A_SQL)
 def jdbc_table_scan(spark, sf_dir):
     source = relational_source(spark, sf_dir)
-    return read_jdbc(spark, source, "customer", split=split(spark, source, "customer"))
+    return read_jdbc(spark, source, SOURCE_TABLE, split=split(spark, source, SOURCE_TABLE))
 
 
 @query("SELECT CAST(c_custkey AS INTEGER) AS id, c_acctbal AS value FROM customer WHERE c_acctbal > 5000")
 def jdbc_subquery_scan(spark, sf_dir):
     source = relational_source(spark, sf_dir)
-    subquery = '(SELECT "id", "value" FROM customer WHERE "value" > 5000) AS rich'
+    subquery = f'(SELECT "id", "value" FROM {SOURCE_TABLE} WHERE "value" > 5000) AS rich'
     return read_jdbc(spark, source, subquery, split=split(spark, source, subquery))
 
 
@@ -184,10 +185,10 @@ def jdbc_subquery_scan(spark, sf_dir):
 def jdbc_partitioned_scan(spark, sf_dir):
     """Equal strides between bounds that leave rows outside on both ends."""
     source = relational_source(spark, sf_dir)
-    least, greatest = partition_bounds(spark, source, "customer", "id").first()
+    least, greatest = partition_bounds(spark, source, SOURCE_TABLE, "id").first()
     inset = (greatest - least) // 16
     strides = Strides("id", str(least + inset), str(greatest - inset), 8)
-    return read_jdbc(spark, source, "customer", split=strides)
+    return read_jdbc(spark, source, SOURCE_TABLE, split=strides)
 
 
 @query(
@@ -195,7 +196,7 @@ def jdbc_partitioned_scan(spark, sf_dir):
     "FROM customer"
 )
 def jdbc_partition_bounds(spark, sf_dir):
-    return partition_bounds(spark, relational_source(spark, sf_dir), "customer", "id")
+    return partition_bounds(spark, relational_source(spark, sf_dir), SOURCE_TABLE, "id")
 
 
 @query(B_SQL)
@@ -220,7 +221,7 @@ def document_text_scan(spark, sf_dir):
 @query(A_SQL)
 def schema_enforced_read(spark, sf_dir):
     source, declared = relational_source(spark, sf_dir), "id INT, name STRING, value DOUBLE"
-    return read_jdbc(spark, source, "customer", split=split(spark, source, "customer"), schema=declared)
+    return read_jdbc(spark, source, SOURCE_TABLE, split=split(spark, source, SOURCE_TABLE), schema=declared)
 
 
 @query("SELECT * FROM customer")
@@ -338,7 +339,7 @@ def gold_from_sources(spark, sf_dir):
         spark,
         RelationalJob(
             connection=relational_source(spark, sf_dir),
-            query="customer",
+            query=SOURCE_TABLE,
             output=Output(a, scratch_folder(spark), ("id",), buckets=8, table_format="parquet"),
             discover=("id", 8),
         ),
