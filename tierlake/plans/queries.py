@@ -425,6 +425,45 @@ def upsert_fixed_schema(spark, sf_dir):
     return published(spark, orders_loaded(spark, sf_dir), changed, keys=["o_orderkey"], evolve=False)
 
 
+@query(
+    f"SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS order_id, {DOUBLED}, o_orderdate FROM orders "
+    f"UNION ALL SELECT NULL, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'P' AND {LOADED} AND {CHANGED}"
+)
+def upsert_null_keys_insert(spark, sf_dir):
+    """A third of the orders have no key yet, so they match nothing and are inserted each time."""
+    keyed = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("order_id")
+    orders = table(spark, sf_dir, "orders")
+    loaded = orders.filter(_ntz(LOADED)).select(keyed, "o_totalprice", "o_orderdate")
+    changed = orders.filter(_ntz(CHANGED)).select(
+        keyed, (F.col("o_totalprice") * 2).alias("o_totalprice"), "o_orderdate"
+    )
+    return published(spark, loaded, changed, keys=["order_id"], null_keys="insert")
+
+
+@query(
+    "SELECT coalesce(l_orderkey, o_orderkey) AS order_id, l_partkey, l_linenumber, l_quantity, o_orderstatus "
+    "FROM lineitem FULL JOIN orders ON l_orderkey = o_orderkey"
+)
+def upsert_repeated_target_keys(spark, sf_dir):
+    """Lines loaded under the key of their order: each order updates all its lines and adds its status."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), "l_partkey", "l_linenumber", "l_quantity"
+    )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), "o_orderstatus")
+    return published(spark, lines, orders, keys=["order_id"])
+
+
+@query(
+    "SELECT user_id, arg_max(event_id, ts) AS event_id, max(ts) AS ts, arg_max(value, ts) AS value "
+    "FROM events GROUP BY user_id"
+)
+def upsert_latest_per_key(spark, sf_dir):
+    """Of many events of a user, the latest: first among those of clicks, then among all."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "value", "event_type")
+    clicks = events.filter("event_type = 'click'").drop("event_type")
+    return published(spark, clicks, events.drop("event_type"), keys=["user_id"], dedupe_by="ts")
+
+
 LINES_SQL = """
     SELECT l_orderkey, l_linenumber, sum(l_quantity) AS quantity, count(*) AS parcels
     FROM lineitem WHERE {} GROUP BY l_orderkey, l_linenumber"""
