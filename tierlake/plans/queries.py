@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.config import DocumentJob, GoldJob, MappingJob, Output, RelationalJob
+from tierlake.config import DOCUMENT_SCHEMA, DocumentJob, GoldJob, MappingJob, Output, RelationalJob
 from tierlake.functions.names import relation
 from tierlake.functions.schema import conform
 from tierlake.functions.storage import one_process, scratch_folder, unique_name
@@ -35,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-A_SQL = "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name, c_acctbal AS value FROM customer"
+A_SQL = "SELECT c_custkey AS id, c_name AS name, c_acctbal AS value FROM customer"
 B_SQL = "SELECT CAST(s_suppkey AS VARCHAR) AS _id, s_name AS name, s_acctbal AS value FROM supplier"
 MAPPING_SQL = f"""
     SELECT a.id AS sqlserver_id, b._id AS mongodb_id
@@ -48,6 +48,7 @@ BRIDGED_SQL = f"""
            b._id AS b__id, b.name AS b_name, b.value AS b_value
     FROM ({MAPPING_SQL}) m JOIN ({A_SQL}) a ON m.sqlserver_id = a.id JOIN ({B_SQL}) b ON m.mongodb_id = b._id"""
 
+A_SCHEMA = "id BIGINT, name STRING, value DOUBLE"
 SOURCE_TABLE = "tierlake_customer"
 LOADED = "o_orderdate < TIMESTAMP '1999-01-01'"
 CHANGED = "o_orderdate >= TIMESTAMP '1998-01-01'"
@@ -69,7 +70,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def relational(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    return customer.selectExpr("CAST(c_custkey AS INT) AS id", "c_name AS name", "c_acctbal AS value")
+    return customer.selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal AS value")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +92,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     publish_view(
         spark,
         a,
-        f"SELECT CAST(c_custkey AS INT) AS id, c_name AS name, c_acctbal AS value FROM {relation(customer)}",
+        f"SELECT c_custkey AS id, c_name AS name, c_acctbal AS value FROM {relation(customer)}",
     )
     publish_view(
         spark,
@@ -174,7 +175,7 @@ def jdbc_table_scan(spark, sf_dir):
     return read_jdbc(spark, source, SOURCE_TABLE, split=split(spark, source, SOURCE_TABLE))
 
 
-@query("SELECT CAST(c_custkey AS INTEGER) AS id, c_acctbal AS value FROM customer WHERE c_acctbal > 5000")
+@query("SELECT c_custkey AS id, c_acctbal AS value FROM customer WHERE c_acctbal > 5000")
 def jdbc_subquery_scan(spark, sf_dir):
     source = relational_source(spark, sf_dir)
     subquery = f'(SELECT "id", "value" FROM {SOURCE_TABLE} WHERE "value" > 5000) AS rich'
@@ -192,8 +193,7 @@ def jdbc_partitioned_scan(spark, sf_dir):
 
 
 @query(
-    "SELECT CAST(min(c_custkey) AS INTEGER) AS lower_bound, CAST(max(c_custkey) AS INTEGER) AS upper_bound "
-    "FROM customer"
+    "SELECT min(c_custkey) AS lower_bound, max(c_custkey) AS upper_bound FROM customer"
 )
 def jdbc_partition_bounds(spark, sf_dir):
     return partition_bounds(spark, relational_source(spark, sf_dir), SOURCE_TABLE, "id")
@@ -202,14 +202,13 @@ def jdbc_partition_bounds(spark, sf_dir):
 @query(B_SQL)
 def document_scan(spark, sf_dir):
     folder = exported(spark, documents(spark, sf_dir))
-    return read_export(spark, folder, "_id STRING, name STRING, value DOUBLE")
+    return read_export(spark, folder, DOCUMENT_SCHEMA)
 
 
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS _id, s_acctbal AS value FROM supplier WHERE s_acctbal > 5000")
 def document_scan_filtered(spark, sf_dir):
     folder = exported(spark, documents(spark, sf_dir))
-    schema = "_id STRING, name STRING, value DOUBLE"
-    return read_export(spark, folder, schema, where=F.col("value") > 5000, columns=["_id", "value"])
+    return read_export(spark, folder, DOCUMENT_SCHEMA, where=F.col("value") > 5000, columns=["_id", "value"])
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS _id, lang, n_chars, text FROM documents")
@@ -220,8 +219,8 @@ def document_text_scan(spark, sf_dir):
 
 @query(A_SQL)
 def schema_enforced_read(spark, sf_dir):
-    source, declared = relational_source(spark, sf_dir), "id INT, name STRING, value DOUBLE"
-    return read_jdbc(spark, source, SOURCE_TABLE, split=split(spark, source, SOURCE_TABLE), schema=declared)
+    source = relational_source(spark, sf_dir)
+    return read_jdbc(spark, source, SOURCE_TABLE, split=split(spark, source, SOURCE_TABLE), schema=A_SCHEMA)
 
 
 @query("SELECT * FROM customer")
@@ -238,11 +237,11 @@ def register_in_place(spark, sf_dir):
 
 
 @query(
-    "SELECT o_totalprice, CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, "
+    "SELECT o_totalprice, CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey, "
     "CAST(NULL AS DOUBLE) AS discount FROM orders"
 )
 def conform_schema(spark, sf_dir):
-    wanted = "o_totalprice DOUBLE, o_orderkey STRING, o_custkey INT, discount DOUBLE"
+    wanted = "o_totalprice DOUBLE, o_orderkey STRING, o_custkey DOUBLE, discount DOUBLE"
     return conform(table(spark, sf_dir, "orders"), wanted)
 
 
@@ -266,7 +265,7 @@ def silver_mapping_join(spark, sf_dir):
 
 
 @query(
-    "SELECT CAST(c_custkey AS INTEGER) AS customer_id, s_name AS supplier_name "
+    "SELECT c_custkey AS customer_id, s_name AS supplier_name "
     "FROM customer JOIN supplier ON c_custkey = s_suppkey"
 )
 def mapping_project_alias(spark, sf_dir):
@@ -341,6 +340,7 @@ def gold_from_sources(spark, sf_dir):
             connection=relational_source(spark, sf_dir),
             query=SOURCE_TABLE,
             output=Output(a, scratch_folder(spark), ("id",), buckets=8, table_format="parquet"),
+            schema=A_SCHEMA,
             discover=("id", 8),
         ),
     )
@@ -499,7 +499,7 @@ def overwrite_schema_evolution(spark, sf_dir):
 
 
 @query(
-    f"""SELECT CAST(c_custkey AS INTEGER) AS sqlserver_id,
+    f"""SELECT c_custkey AS sqlserver_id,
         CASE WHEN c_acctbal >= 0 THEN s_name ELSE CAST(s_suppkey AS VARCHAR) END AS mongodb_id
     FROM customer JOIN supplier ON c_custkey = s_suppkey"""
 )
