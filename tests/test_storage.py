@@ -7,6 +7,7 @@ import os
 import pytest
 from conftest import rows
 
+from tierlake.functions.sizing import fits_broadcast
 from tierlake.functions.storage import committed_folders, folder_names, one_process, scratch_folder, staged, unique_name
 
 
@@ -59,6 +60,16 @@ def test_a_staged_frame_goes_even_after_a_failure(spark):
     assert len(os.listdir(shared)) == before - 1
 
 
+def test_repetitive_rows_are_not_broadcast_for_their_small_files(spark, conf):
+    with staged(spark.range(2_000_000).selectExpr("id DIV 1000000 k", "1L a", "2L b")) as (frame, size):
+        assert size < 100_000 and not fits_broadcast(frame, size, 2_000_000)
+        assert fits_broadcast(frame, size, 1_000_000)
+        conf(spark__sql__autoBroadcastJoinThreshold="100m")
+        assert fits_broadcast(frame, size, 2_000_000)
+        conf(spark__sql__autoBroadcastJoinThreshold="-1")
+        assert not fits_broadcast(frame, 0, 0)
+
+
 def test_only_finished_folders_count(spark, tmp_path):
     assert committed_folders(spark, str(tmp_path)) == []
     spark.range(1).write.parquet(f"{tmp_path}/v2")

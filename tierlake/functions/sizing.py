@@ -28,6 +28,15 @@ def planned_bytes(df: DataFrame) -> int:
     return size if size < _UNKNOWN else 0
 
 
+def fits_broadcast(df: DataFrame, stored_bytes: int, rows: int) -> bool:
+    """Whether a stored frame is within Spark's limit for a broadcast side.
+
+    Files of repetitive rows are far smaller than the rows in memory, so both sizes are looked at.
+    """
+    limit = size_setting(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
+    return stored_bytes <= limit and rows * df._jdf.schema().defaultSize() <= _GROWTH * limit
+
+
 @contextmanager
 def room_to_shuffle(spark: SparkSession, stored_bytes: int, multiple_of: int = 1) -> Iterator[int]:
     """Raise the number of shuffle partitions, while the block lasts, to what `stored_bytes` of input need.

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tierlake.functions.keys import any_null, bucket_of
 from tierlake.functions.names import by_name, column_name, fold
 from tierlake.functions.schema import SchemaError, conform, evolved, nullable
-from tierlake.functions.sizing import planned_bytes, room_to_shuffle, size_setting
+from tierlake.functions.sizing import fits_broadcast, planned_bytes, room_to_shuffle, size_setting
 from tierlake.functions.storage import committed_folders, folder_names, staged, unique_name
 from tierlake.operators import delta
 from tierlake.operators.tables import (
@@ -157,7 +157,7 @@ def upsert(
         part = target
         if layout.buckets:
             part = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
-        small = stored_bytes <= size_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
+        small = fits_broadcast(rows, stored_bytes, profile["rows"])
         spread = layout.spread if list(layout.spread_on) == keys else None
         grouped = _stays_grouped(part, layout.buckets, len(touched), small)
         if not (small and grouped):
