@@ -204,9 +204,9 @@ def test_shuffle_partitions_follow_the_size(spark, conf, setting):
 def test_spark_knows_the_size_of_a_table(spark, name, path, buckets):
     for last in (50, 100):
         put(spark, name, path, spark.range(last).selectExpr("id k", "id v"), buckets=buckets)
-        assert 0 < planned_bytes(spark.table(name)) < 1_000_000
+        assert 0 < planned_bytes(read_table(spark, name)) < 1_000_000
     overwrite(spark, name, path, spark.range(2).selectExpr("id k", "id v"))
-    assert 0 < planned_bytes(spark.table(name)) < 10_000
+    assert 0 < planned_bytes(read_table(spark, name)) < 10_000
 
 
 def test_neighbouring_keys_share_a_bucket(spark, name, path):

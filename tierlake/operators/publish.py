@@ -37,7 +37,6 @@ from tierlake.operators.tables import (
     check_writable,
     drop_buckets,
     read_table,
-    record_size,
     register_external_table,
     registered_buckets,
     set_property,
@@ -235,7 +234,6 @@ def _publish(
     if layout.buckets:
         switch_buckets(spark, name, location, buckets)
         drop_buckets(spark, name, gone)
-        record_size(spark, name)
     else:
         switch_table(spark, name, location)
     if known[0] is not None and known != (layout.spread, list(layout.spread_on)):

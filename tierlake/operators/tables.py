@@ -7,6 +7,7 @@ from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.names import by_name, column_name, fold, text_literal
@@ -52,7 +53,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A registered table or view by name, without the column that only serves its layout."""
     table = spark.table(name)
     if BUCKET_COLUMN in table.columns and not _is_view(spark, name) and table_layout(spark, name).buckets:
-        return table.drop(BUCKET_COLUMN)
+        # The filter keeps every row: no bucket is NULL. It makes Spark plan with the size of the files, as it only
+        # looks them up beforehand for chosen partitions.
+        return table.filter(F.col(BUCKET_COLUMN).isNotNull()).drop(BUCKET_COLUMN)
     return table
 
 
@@ -97,12 +100,6 @@ def register_external_table(
     )
     if partitioned_by:
         spark.sql("ALTER TABLE IDENTIFIER(:name) RECOVER PARTITIONS", args={"name": name})
-        record_size(spark, name)
-
-
-def record_size(spark: SparkSession, name: str) -> None:
-    """Note the size of the files of a partitioned table, or Spark takes it for too large to broadcast."""
-    spark.sql("ANALYZE TABLE IDENTIFIER(:name) COMPUTE STATISTICS NOSCAN", args={"name": name})
 
 
 def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
