@@ -138,14 +138,19 @@ def switch_table(spark: SparkSession, name: str, location: str) -> None:
 
 
 def switch_buckets(spark: SparkSession, name: str, location: str, buckets: Collection[int]) -> None:
-    """Point these buckets at their folders below `location`, one after the other."""
+    """Point these buckets at their folders below `location`: new ones together, others one after the other."""
     known = registered_buckets(spark, name)
     set_property(spark, name, NEWEST_FOLDER, location)
-    for number in sorted(buckets):
-        action = "PARTITION ({}) SET LOCATION" if number in known else "ADD PARTITION ({}) LOCATION"
+    added = [
+        f"{_partition(number)} LOCATION {text_literal(_bucket_folder(location, number))}"
+        for number in sorted(set(buckets) - known)
+    ]
+    if added:
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD {' '.join(added)}", args={"name": name})
+    for number in sorted(set(buckets) & known):
         spark.sql(
-            f"ALTER TABLE IDENTIFIER(:name) {action.format(f'{BUCKET_COLUMN} = {int(number)}')} :location",
-            args={"name": name, "location": f"{location}/{BUCKET_COLUMN}={int(number)}"},
+            f"ALTER TABLE IDENTIFIER(:name) {_partition(number)} SET LOCATION :location",
+            args={"name": name, "location": _bucket_folder(location, number)},
         )
     spark.catalog.refreshTable(name)
 
@@ -153,7 +158,7 @@ def switch_buckets(spark: SparkSession, name: str, location: str, buckets: Colle
 def drop_buckets(spark: SparkSession, name: str, buckets: Collection[int]) -> None:
     """Take these buckets out of the table. Their files stay."""
     if buckets:
-        gone = ", ".join(f"PARTITION ({BUCKET_COLUMN} = {int(b)})" for b in sorted(buckets))
+        gone = ", ".join(_partition(number) for number in sorted(buckets))
         spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP {gone}", args={"name": name})
         spark.catalog.refreshTable(name)
 
@@ -163,5 +168,13 @@ def registered_buckets(spark: SparkSession, name: str) -> set[int]:
     return {int(row[0].rpartition("=")[2]) for row in rows}
 
 
+def _partition(number: int) -> str:
+    return f"PARTITION ({BUCKET_COLUMN} = {int(number)})"
+
+
+def _bucket_folder(location: str, number: int) -> str:
+    return f"{location}/{BUCKET_COLUMN}={int(number)}"
+
+
 def _ddl(fields: Sequence[T.StructField]) -> str:
     return T.StructType(list(fields)).toDDL()
