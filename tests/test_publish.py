@@ -200,6 +200,13 @@ def test_shuffle_partitions_follow_the_size(spark, conf, setting):
     assert spark.conf.get(setting) == "10"
 
 
+@LAYOUTS
+def test_odd_paths(spark, name, path, buckets):
+    path += "/o'dd \"path\" = ü"
+    put(spark, name, path, frame(spark, [(1, "a"), (2, "b")]), buckets=buckets)
+    assert put(spark, name, path, frame(spark, [(2, "B"), (30, "C")])) == [(1, "a"), (2, "B"), (30, "C")]
+
+
 @LAYOUTS
 def test_spark_knows_the_size_of_a_table(spark, name, path, buckets):
     for last in (50, 100):

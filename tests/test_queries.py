@@ -39,6 +39,9 @@ def test_query(spark, database, name):
     expected = database.execute(contract.oracle_sql()[name])
     types = {column[0]: str(column[1]) for column in expected.description}
     assert {c: TYPES[t] for c, t in out.dtypes} == types
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Scan ExistingRDD"):
+        assert unwanted not in plan
     got = [tuple(r) for r in out.select([f"`{c}`" for c in types]).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, expected.fetchall()))
     assert got
