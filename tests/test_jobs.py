@@ -91,6 +91,31 @@ def test_later_rows_flow_through(spark, seeds):
     assert rows(gold.select("a_id", "a_name", "b_value")) == [(1, "Alice", 10.5), (2, "Bobby", 20.0), (3, "Eve", 33.0)]
 
 
+def test_other_names_and_keys(spark, seeds):
+    a, b, m = seeds.relational.output.table, seeds.documents.output.table, seeds.mapping.output
+    seeds.run()
+    by_name = MappingJob(
+        Output(m.table + "n", m.path + "n", ("left_id",), buckets=m.buckets, table_format="parquet"),
+        left=a,
+        right=b,
+        on=("name", "name"),
+        ids=("id", "_id"),
+        names=("left_id", "right_id"),
+    )
+    assert rows(map_sources(spark, by_name)) == [(1, "1"), (2, "2")]
+    gold = GoldJob(
+        unique_name("g_"),
+        left=a,
+        right=b,
+        mapping=m.table + "n",
+        mapping_columns=("left_id", "right_id"),
+        prefixes=("crm_", "app_"),
+    )
+    assert publish_gold(spark, gold).columns == [
+        "left_id", "right_id", "crm_id", "crm_name", "crm_value", "app__id", "app_name", "app_value"
+    ]
+
+
 def test_transform_hook(spark, seeds):
     out = ingest_relational(spark, seeds.relational, lambda df: df.select("id", F.upper("name").alias("name")))
     assert rows(out) == [(1, "ALICE"), (2, "BOB")]

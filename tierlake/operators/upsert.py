@@ -62,8 +62,8 @@ def merge_upsert(
         rows for one target row fail the query; several rows for a new key are all added.
     unique_source: no key but NULL repeats in the source, so the plan need not look for repetition.
 
-    This is one lazy plan that reads the source several times. `tierlake.operators.publish.upsert` merges into
-    a stored table, reading the source once.
+    This is one lazy plan that reads the source several times, and in which a hot target key is split over tasks only
+    with `unique_source`. `tierlake.operators.publish.upsert` merges into a stored table without either limit.
     """
     keys = resolved_keys(target, keys)
     prepared = prepare_source(target, source, keys, evolve=evolve, null_keys=null_keys, dedupe_by=dedupe_by)
