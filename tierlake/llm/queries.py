@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierlake.llm import bpe, chunk_dedup, langid_crf, minhash, mixing
+from tierlake.llm import bpe, chunk_dedup, langid_crf, maxscore, minhash, mixing, pii_semicrf, secret_cost, toxicity
 from tierlake.llm.common import table
 
 
@@ -16,6 +17,18 @@ def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_pii_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_semicrf.find(table(spark, sf_dir, "documents"))
+
+
+def op5_secret_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_cost.find(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -26,6 +39,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.clusters(table(spark, sf_dir, "documents"))
 
@@ -33,12 +50,40 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_langid_crf": op1_langid_crf,
     "op2_chunk_dedup": op2_chunk_dedup,
+    "op3_maxscore": op3_maxscore,
+    "op4_pii_semicrf": op4_pii_semicrf,
+    "op5_secret_cost": op5_secret_cost,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
     "op10_minhash": op10_minhash,
 }
 
 ORACLES = {
+    "op3_maxscore": """
+        WITH numbers AS (
+            SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings
+        ),
+        usable AS (
+            SELECT vec_id FROM numbers GROUP BY vec_id HAVING count(x) = count(*) AND bool_and(isfinite(x))
+        ),
+        whole AS (
+            SELECT n.vec_id, n.d, CAST(floor(1024 * CAST(n.x AS DOUBLE)) AS BIGINT) AS v
+            FROM numbers n JOIN usable u ON n.vec_id = u.vec_id
+        ),
+        scores AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(sum(a.v * b.v) AS BIGINT) AS score
+            FROM whole a JOIN whole b ON a.d = b.d AND a.vec_id <> b.vec_id
+            WHERE a.vec_id % 100 = 0
+            GROUP BY a.vec_id, b.vec_id
+        ),
+        ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
     "op2_chunk_dedup": """
         SELECT doc_id,
                max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
