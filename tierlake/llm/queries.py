@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import bpe, chunk_dedup, langid_crf, maxscore, minhash, mixing, pii_semicrf, secret_cost, toxicity
+from tierlake.llm import bpe, chunk_dedup, langid_crf, maxscore, minhash, mixing, pii_semicrf, secret_cost, suffix_dedup, toxicity
 from tierlake.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.clusters(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash": op10_minhash,
 }
 
