@@ -267,8 +267,11 @@ def annotate(docs: DataFrame, names: tuple[str, str], model: Model | None = None
             found = [pa.array([known[b] for b in best], pa.string()), pa.array(np.minimum(score, 1.0), pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *names])
 
-    kinds = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-    return docs.mapInArrow(label, kinds)
+    # Arrow functions take no names with dots, so columns go by number meanwhile.
+    numbered = [f"c{i}" if name != "text" else name for i, name in enumerate(docs.columns)]
+    kinds = T.StructType([T.StructField(c, field.dataType) for c, field in zip(numbered, docs.schema, strict=True)])
+    kinds = kinds.add(names[0], T.StringType()).add(names[1], T.DoubleType())
+    return docs.toDF(*numbered).mapInArrow(label, kinds).toDF(*docs.columns, *names)
 
 
 def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ KINDS = ("email", "ip", "card", "phone")
 #: Bounds: tokens and characters of a segment, texts and characters of the training sample.
 LONGEST, MOST_CHARS, SAMPLE, SAMPLE_CHARS = 6, 64, 2000, 20_000
 #: How sure a segment must be to be added.
-SURE = 0.95
+SURE = 0.9
 
 # Equal to the patterns of the contract, but linear in time: a match can only begin where a run of digits does.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -237,9 +237,16 @@ def fit(texts: list[str], passes: int = 6, seed: int = 1) -> Model:
                         changed = f"{island.before} {other} and"
                         where = len(island.before) + 1
                         examples += [(changed, i, {(where, where + len(other)): kind}) for i in islands(changed)]
-    for _ in range(max(200, len(examples) // 4)):
+    for _ in range(max(400, len(examples) // 4)):
         other = f"{random.choice(_WORDS)} {_other_number(random)} and"
         examples += [(other, i, {}) for i in islands(other)]
+    for i in range(_MADE * len(KINDS)):  # a small sample may lack a kind
+        kind = i % len(KINDS)
+        made = _made(KINDS[kind], random)
+        for span in (made, *_rewritten(KINDS[kind], made)):
+            text = f"{random.choice(_WORDS)} {span} and"
+            at = text.index(" ") + 1
+            examples += [(text, i, {(at, at + len(span)): kind}) for i in islands(text)]
     model = Model({}, np.zeros((len(KINDS) + 1, len(KINDS) + 1)))
     if not texts or len(examples) > 40_000:
         examples = [examples[i] for i in random.permutation(len(examples))[:40_000]]
@@ -250,6 +257,26 @@ def fit(texts: list[str], passes: int = 6, seed: int = 1) -> Model:
     return model
 
 
+#: Made-up spans of each kind that are learned from, beside those of the sample.
+_MADE = 60
+
+
+def _made(kind: str, random) -> str:
+    def number(n: int) -> str:
+        return "".join(map(str, random.integers(0, 10, n)))
+
+    if kind == "email":
+        letters = "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), int(random.integers(3, 9))))
+        return f"{letters}{random.choice(['', '.', '_'])}{number(2)}@{letters[::-1]}.{random.choice(['com', 'org', 'net', 'de'])}"
+    if kind == "ip":
+        return ".".join(str(x) for x in random.integers(0, 256, 4))
+    if kind == "phone":
+        return random.choice([f"+{number(1)} ({number(3)}) {number(3)}-{number(4)}", f"+{number(2)} {number(3)} {number(7)}"])
+    body = "4" + number(14)
+    digits = body + next(d for d in "0123456789" if luhn(body + d))
+    return random.choice([digits, " ".join(re.findall("....", digits)), "-".join(re.findall("....", digits))])
+
+
 _WORDS = ("on", "version", "page", "at", "about", "since", "for", "costs", "no", "the")
 
 

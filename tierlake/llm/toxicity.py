@@ -58,12 +58,6 @@ def swaps(sentences: list[str], groups=GROUPS) -> dict[tuple[str, str], int]:
     return found
 
 
-def _hashes(words: list[str]) -> np.ndarray:
-    """The hash of each of these words, which are all letters."""
-    data, starts, ends, _ = letters_of(pa.array(words, pa.string()))
-    return span_hashes(prefix_sums(data), starts, ends)
-
-
 def _features(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Hashes of the distinct words, and of their beginnings (0 for a word that is no longer); each word's place; its text."""
     data, starts, ends, first = letters_of(texts)
@@ -99,12 +93,17 @@ def fit(texts: list[str], toxic: list[int], sparse: float = 4e-4, fair: float =
     keep = np.flatnonzero((count >= max(2, min(5, len(texts) // 100))) & (told >= 2))
     keep = np.sort(keep[np.argsort(-told[keep], kind="stable")[:VOCABULARY]])
     named = swaps([s for t in texts for s in re.split(r"[.!?\n]+", t)], groups) if fair else {}
-    known = np.unique(np.concatenate([words[keep], _hashes(sorted({t for pair in named for t in pair}))]))
+    terms = sorted({term for pair in named for term in pair})
+    rows = {term: [int(own[0]) for own in _features(pa.array([term], pa.string()))[0] if own[0]] for term in terms}
+    known = np.unique(np.concatenate([words[keep], np.array(sorted({f for own in rows.values() for f in own}), np.uint64)]))
     place = np.minimum(np.searchsorted(known, pairs[1]), max(len(known) - 1, 0))
     used = known[place] == pairs[1] if len(known) else np.zeros(0, bool)
     row, column = pairs[0][used].astype(np.int64), place[used]
-    terms = [np.searchsorted(known, _hashes([term for pair in named for term in pair][i::2])) for i in (0, 1)]
     often = np.array(list(named.values()), float) / max(1, sum(named.values()))
+    # The features that a swap takes away (1) and brings in (-1), for each pair.
+    swap = [(p, f, sign) for p, pair in enumerate(named) for term, sign in zip(pair, (1, -1), strict=True) for f in rows[term]]
+    pair_of, sign = (np.array([s[i] for s in swap], np.int64) for i in (0, 2))
+    feature = np.searchsorted(known, np.array([s[1] for s in swap], np.uint64))
 
     n, size = len(texts), len(known)
     rate = min(max(y.mean(), 1 / (2 * n)), 1 - 1 / (2 * n))
@@ -114,15 +113,15 @@ def fit(texts: list[str], toxic: list[int], sparse: float = 4e-4, fair: float =
         v = np.bincount(column, np.bincount(row, v[column], n)[row], size) / n
         largest = np.linalg.norm(v) or 1.0
         v = v / largest
-    step = 1 / (0.25 * largest + 4 * fair * (often.max(initial=0) * max(len(named), 1)) + 0.25)
+    step = 1 / (0.25 * largest + 4 * fair * (1 + len(BEGINNINGS)) * (len(often) > 0) + 0.25)
     w, ahead, t = np.zeros(size), np.zeros(size), 1.0
     b, b_ahead = base, base
     for _ in range(steps):
         wrong = 1 / (1 + np.exp(-(b_ahead + np.bincount(row, ahead[column], n)))) - y
         slope = np.bincount(column, wrong[row], size) / n
         if len(often):
-            gap = 2 * fair * often * (ahead[terms[0]] - ahead[terms[1]])
-            slope += np.bincount(terms[0], gap, size) - np.bincount(terms[1], gap, size)
+            gap = 2 * fair * often * np.bincount(pair_of, sign * ahead[feature], len(often))
+            slope += np.bincount(feature, sign * gap[pair_of], size)
         moved = ahead - step * slope
         new = np.sign(moved) * np.maximum(np.abs(moved) - step * sparse, 0)
         new_b = b_ahead - step * wrong.mean()
