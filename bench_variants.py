@@ -16,7 +16,7 @@ from tierlake.operators.gold import bridged_join_sql, direct_join_sql, publish_v
 from tierlake.operators.mapping import build_mapping
 from tierlake.operators.publish import upsert
 from tierlake.operators.upsert import merge_in_one_join, merge_in_two_joins, split_unique
-from tierlake.plans.queries import SOURCE_TABLE, bronze, registered, relational_source, table
+from tierlake.plans.queries import bronze, registered, relational_source, table
 from tierlake.sources.jdbc import discovered_strides, read_jdbc
 
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
@@ -59,7 +59,7 @@ def upserts(spark: SparkSession, sf_dir: str) -> None:
     joins(spark, "10m")
     for buckets in (None, 16):
         name, path = unique_name("tierlake_v_"), scratch_folder(spark)
-        upsert(spark, name, path, orders, keys, buckets=buckets, table_format="parquet")
+        upsert(spark, name, path, orders, keys, buckets=buckets)
         layout = f"{buckets} buckets" if buckets else "no buckets"
         report(f"upsert into a table, {layout}", lambda: upsert(spark, name, path, changed, keys))
         few = changed.filter("o_orderdate >= TIMESTAMP_NTZ '2001-07-31' AND o_custkey < 1500")
@@ -75,10 +75,10 @@ def reads(spark: SparkSession, sf_dir: str) -> None:
     joins(spark, "-1")
     report("mapping join orders x lineitem, sort-merge", lambda: compute(pairs.select("*")))
     joins(spark, "10m")
-    source = relational_source(spark, sf_dir)
-    report("JDBC customer, one partition", lambda: compute(read_jdbc(spark, source, SOURCE_TABLE)))
-    strides = discovered_strides(spark, source, SOURCE_TABLE, "id", 4)
-    report("JDBC customer, four partitions", lambda: compute(read_jdbc(spark, source, SOURCE_TABLE, split=strides)))
+    source, customers = relational_source(spark, sf_dir)
+    report("JDBC customer, one partition", lambda: compute(read_jdbc(spark, source, customers)))
+    strides = discovered_strides(spark, source, customers, "id", 4)
+    report("JDBC customer, four partitions", lambda: compute(read_jdbc(spark, source, customers, split=strides)))
     a, b = bronze(spark, sf_dir)
     view, mapping = unique_name("tierlake_v_"), unique_name("tierlake_m_")
     upsert(
@@ -87,7 +87,6 @@ def reads(spark: SparkSession, sf_dir: str) -> None:
         scratch_folder(spark),
         build_mapping(spark.table(a), spark.table(b)),
         ["sqlserver_id"],
-        table_format="parquet",
     )
     publish_view(spark, view, bridged_join_sql(spark, mapping, a, b))
     report("gold view through the mapping", lambda: compute(spark.table(view)))

@@ -58,8 +58,15 @@ def test_a_table_at_the_path_is_merged_into_and_never_loaded_over(spark, monkeyp
     assert done == (["register", "merge"] if there else ["overwrite", "register"])
 
 
-def test_format_without_the_library(monkeypatch):
-    monkeypatch.setattr("importlib.util.find_spec", lambda name: None)
-    assert delta.default_format() == "parquet"
-    monkeypatch.setattr("importlib.util.find_spec", lambda name: object())
-    assert delta.default_format() == "delta"
+def test_the_format_is_a_setting_whatever_is_installed(spark, monkeypatch, calls, name, path):
+    publish.upsert(spark, name, path, spark.range(3), "id")  # the library seems to be there
+    assert publish.table_layout(spark, name).provider == "parquet" and calls == []
+    with pytest.raises(ValueError, match="no buckets"):
+        publish.upsert(spark, f"{name}x", path, spark.range(1), "id", table_format="delta", buckets=4)
+    with pytest.raises(ValueError, match="'parquet' or 'delta'"):
+        publish.overwrite(spark, f"{name}x", path, spark.range(1), table_format="orc")
+    done = []
+    monkeypatch.setattr(delta, "overwrite", lambda *_, **__: done.append("overwrite"))
+    monkeypatch.setattr(delta, "register", lambda *_: done.append("register"))
+    publish.overwrite(spark, f"{name}y", path, spark.range(1), table_format="delta")
+    assert done == ["overwrite", "register"]

@@ -6,9 +6,20 @@ import os
 
 import pytest
 from conftest import rows
-
-from tierlake.functions.sizing import fits_broadcast
-from tierlake.functions.storage import committed_folders, folder_names, one_process, scratch_folder, staged, unique_name
+from pyspark.sql import functions as F
+
+from tierlake.functions.sizing import fits_broadcast, row_bytes
+from tierlake.functions.storage import (
+    committed_folders,
+    folder_names,
+    one_process,
+    plain_path,
+    read_text,
+    scratch_folder,
+    staged,
+    unique_name,
+    write_text,
+)
 
 
 class Session:
@@ -33,8 +44,18 @@ def test_a_cluster_must_name_its_shared_folder(master):
 
 @pytest.mark.parametrize("master", ["local", "local[4]", "local[*]", "local[2, 3]"])
 def test_a_local_session_may_do_without(master):
-    assert one_process(Session(spark__master=master))
-    assert os.path.isdir(os.path.dirname(scratch_folder(Session(spark__master=master))))
+    session = Session(spark__master=master, spark__sql__warehouse__dir="/lake/warehouse/")
+    assert one_process(session)
+    assert scratch_folder(session).startswith("/lake/warehouse/.scratch/tierlake_")
+
+
+def test_small_files_of_text(spark, tmp_path):
+    name = f"{tmp_path}/a b/ü.json"
+    assert read_text(spark, name) is None
+    write_text(spark, name, "é 1")
+    write_text(spark, name, "é 2")
+    assert read_text(spark, name) == "é 2"
+    assert plain_path(spark, f"file://{tmp_path}/a b/") == plain_path(spark, f"{tmp_path}/a b")
 
 
 def test_names_sort_by_time():
@@ -60,14 +81,17 @@ def test_a_staged_frame_goes_even_after_a_failure(spark):
     assert len(os.listdir(shared)) == before - 1
 
 
-def test_repetitive_rows_are_not_broadcast_for_their_small_files(spark, conf):
-    with staged(spark.range(2_000_000).selectExpr("id DIV 1000000 k", "1L a", "2L b")) as (frame, size):
-        assert size < 100_000 and not fits_broadcast(frame, size, 2_000_000)
-        assert fits_broadcast(frame, size, 1_000_000)
-        conf(spark__sql__autoBroadcastJoinThreshold="100m")
-        assert fits_broadcast(frame, size, 2_000_000)
-        conf(spark__sql__autoBroadcastJoinThreshold="-1")
-        assert not fits_broadcast(frame, 0, 0)
+def test_rows_are_measured_before_they_are_broadcast(spark, conf):
+    def measured(df):
+        return df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0
+
+    long = spark.range(400_000).selectExpr("id", "repeat('x', 5000) t")  # 2 GB, of which a parquet file has 2 MB
+    assert measured(long) > 2_000_000_000 and not fits_broadcast(spark, measured(long))
+    assert fits_broadcast(spark, measured(long.limit(1000)))
+    nested = spark.range(1000).selectExpr("array_repeat('abc', 20000) a", "named_struct('b', id) s", "map('k', id) m", "CAST(NULL AS BINARY) n")
+    assert not fits_broadcast(spark, measured(nested)) and fits_broadcast(spark, measured(nested.drop("a")))
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert not fits_broadcast(spark, 0)
 
 
 def test_only_finished_folders_count(spark, tmp_path):

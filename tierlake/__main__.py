@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 
@@ -22,7 +23,8 @@ JOBS = {
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tierlake")
     parser.add_argument("job", choices=[*JOBS, "show-gold"])
-    parser.add_argument("--view", default=DIRECT_VIEW, help=f"view to show, e.g. {DIRECT_VIEW} or {BRIDGED_VIEW}")
+    shown = os.environ.get("GOLD_VIEW") or DIRECT_VIEW
+    parser.add_argument("--view", default=shown, help=f"view to show, e.g. {DIRECT_VIEW} or {BRIDGED_VIEW}")
     chosen = parser.parse_args(arguments)
     # The catalog must outlive this process, or the next job finds none of its tables.
     spark = SparkSession.builder.appName(f"tierlake {chosen.job}").enableHiveSupport().getOrCreate()

@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tierlake.functions.names import column_name
 
 # Rows take about this many times their size in parquet once they are shuffled.
 _GROWTH = 3
 _BYTES_PER_TASK = 512 * 1024**2
 # Beyond this the bookkeeping of a shuffle costs more than larger tasks, which can spill.
 _MOST_PARTITIONS = 50_000
-# Spark plans with a size near the greatest long for an input it cannot measure.
-_UNKNOWN = 1024**5
+# What a row and a column of fixed size take in memory, at most.
+_ROW_BYTES, _COLUMN_BYTES = 16, 16
 
 
 def size_setting(spark: SparkSession, setting: str) -> int:
@@ -22,26 +26,46 @@ def size_setting(spark: SparkSession, setting: str) -> int:
     return -1 if text.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """What Spark takes the size of `df` to be: exact for a plain scan of files, 0 where it does not know."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size if size < _UNKNOWN else 0
+def planned_bytes(df: DataFrame) -> int | None:
+    """The size of all inputs of `df`, exact for files; None if Spark does not know the size of one, such as a JDBC table.
+
+    Spark's own size of a join is the product of its sides, which says nothing about what is shuffled.
+    """
+    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return None if any(size >= unknown for size in sizes) else sum(sizes)
 
 
-def fits_broadcast(df: DataFrame, stored_bytes: int, rows: int) -> bool:
-    """Whether a stored frame is within Spark's limit for a broadcast side.
+def added(*sizes: int | None) -> int | None:
+    """The sum of some sizes; None if one is not known."""
+    return None if None in sizes else sum(sizes)
 
-    Files of repetitive rows are far smaller than the rows in memory, so both sizes are looked at.
-    """
-    limit = size_setting(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
-    return stored_bytes <= limit and rows * df._jdf.schema().defaultSize() <= _GROWTH * limit
+
+def row_bytes(schema: T.StructType) -> Column:
+    """About what a row takes in memory: its texts and binaries count with their length, nested values with that of their JSON."""
+    total = F.lit(_ROW_BYTES + _COLUMN_BYTES * len(schema.fields)).cast("long")
+    for field in schema.fields:
+        column = F.col(column_name(field.name))
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total += F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            total += F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) * 2
+        elif isinstance(field.dataType, T.AtomicType) and field.dataType.typeName() == "variant":
+            total += F.coalesce(F.octet_length(column.cast("string")), F.lit(0)) * 2
+    return total
+
+
+def fits_broadcast(spark: SparkSession, rows_in_memory: int) -> bool:
+    """Whether rows of this measured size are within Spark's limit for a broadcast side."""
+    return 0 <= rows_in_memory <= size_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
 
 
 @contextmanager
-def room_to_shuffle(spark: SparkSession, stored_bytes: int, multiple_of: int = 1) -> Iterator[int]:
+def room_to_shuffle(spark: SparkSession, stored_bytes: int | None, multiple_of: int = 1) -> Iterator[int]:
     """Raise the number of shuffle partitions, while the block lasts, to what `stored_bytes` of input need.
 
-    The number is never lowered, adaptive execution joins partitions that turn out small, and it is a multiple of
+    The number is never lowered, and stays if the size is not known; adaptive execution joins partitions that turn out small, and it is a multiple of
     `multiple_of`, so that the partitions of a hash shuffle nest with as many hash buckets. The setting is the
     session's, so blocks in one session must not overlap.
     """
@@ -49,7 +73,7 @@ def room_to_shuffle(spark: SparkSession, stored_bytes: int, multiple_of: int = 1
     if spark.conf.get(setting, None) is None:
         setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    wanted = max(int(before), min(stored_bytes * _GROWTH // _BYTES_PER_TASK, _MOST_PARTITIONS))
+    wanted = max(int(before), min((stored_bytes or 0) * _GROWTH // _BYTES_PER_TASK, _MOST_PARTITIONS))
     partitions = -(-wanted // multiple_of) * multiple_of
     spark.conf.set(setting, str(partitions))
     try:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -26,13 +25,13 @@ def one_process(spark: SparkSession) -> bool:
 def scratch_folder(spark: SparkSession) -> str:
     """A fresh folder name below `spark.checkpoint.dir`, which every executor can reach.
 
-    Only a local session without that setting falls back to a folder of this machine.
+    Only a session in one process may do without that setting; it uses its warehouse folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not one_process(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tierlake_")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.scratch"
     return f"{root.rstrip('/')}/{unique_name('tierlake_')}"
 
 
@@ -65,6 +64,38 @@ def committed_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getParent().toString() for status in found)
 
 
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    path, files = _file_system(spark, name)
+    out = files.create(path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, name: str) -> str | None:
+    """What a small file holds; None if there is none."""
+    path, files = _file_system(spark, name)
+    if not files.exists(path):
+        return None
+    opened = files.open(path)
+    try:
+        return bytes(opened.readAllBytes()).decode()
+    finally:
+        opened.close()
+
+
+def remove_folder(spark: SparkSession, name: str) -> None:
+    path, files = _file_system(spark, name)
+    files.delete(path, True)
+
+
+def plain_path(spark: SparkSession, name: str) -> str:
+    """A path the way the file system spells it, so that two spellings of one path compare equal."""
+    path, files = _file_system(spark, name)
+    return files.makeQualified(path).toString().rstrip("/")
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies directly in `path`."""
     folder, files = _file_system(spark, path)

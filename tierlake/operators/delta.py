@@ -6,7 +6,6 @@ The library brings its own transactional merge, so this only calls it. NULL keys
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tierlake.functions.names import column_name
 
 
-def default_format() -> str:
-    return "delta" if importlib.util.find_spec("delta") else "parquet"
-
-
 def is_table(spark: SparkSession, path: str) -> bool:
     from delta.tables import DeltaTable
 

@@ -2,11 +2,14 @@
 
 Spark cannot overwrite files it is reading, so every write goes to a fresh folder below the table's path and
 the catalog is pointed at it afterwards. A reader sees the old rows or the new ones, a failed job leaves the
-table as it was, and no write ever deletes a file.
+table as it was, and no write ever deletes a file; `remove_unused` does, on request.
 
 A plain table switches as a whole. A table with buckets is partitioned by a function of its key, and an upsert
-rewrites and switches only the buckets its source touches; those switch one after the other, and running the
-same upsert again completes one that was cut short. One job at a time may write to a table.
+rewrites and switches only the buckets its source touches, in one call to the catalog; running the same upsert again
+completes one that was cut short. One job at a time may write to a table.
+
+Each folder that is written also holds a small file that says how its rows are laid out, so that a table the catalog
+has lost can be found again by its path.
 """
 
 from __future__ import annotations
@@ -14,32 +17,42 @@ from __future__ import annotations
 import json
 from collections.abc import Collection, Sequence
 from contextlib import ExitStack
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.keys import any_null, bucket_of
 from tierlake.functions.names import by_name, column_name, fold
 from tierlake.functions.schema import SchemaError, conform, evolved, nullable
-from tierlake.functions.sizing import fits_broadcast, planned_bytes, room_to_shuffle, size_setting
-from tierlake.functions.storage import committed_folders, folder_names, staged, unique_name
+from tierlake.functions.sizing import added, fits_broadcast, planned_bytes, room_to_shuffle, row_bytes, size_setting
+from tierlake.functions.storage import (
+    committed_folders,
+    folder_names,
+    plain_path,
+    read_text,
+    remove_folder,
+    staged,
+    unique_name,
+    write_text,
+)
 from tierlake.operators import delta
 from tierlake.operators.tables import (
     BUCKET_COLUMN,
     BUCKETS,
     KEYS,
-    SPREAD,
     Layout,
     PublishError,
     add_columns,
+    bucket_locations,
     check_unmoved,
     check_writable,
     drop_buckets,
     read_table,
     register_external_table,
     registered_buckets,
-    set_property,
+    restored_buckets,
     switch_buckets,
     switch_table,
     table_exists,
@@ -61,8 +74,9 @@ from tierlake.operators.upsert import (
 
 # A key with at most this many rows is no burden for the task that gets it.
 FEW_ROWS = 10_000
-# The driver lists the buckets an upsert touches, and the catalog holds one entry for each.
-MOST_BUCKETS = 100_000
+PLANS = ("broadcast", "one join", "two joins")
+# Beside the files of each folder that is written.
+LAYOUT_FILE = "_tierlake.json"
 
 
 def first_load(
@@ -82,7 +96,7 @@ def first_load(
     if left := committed_folders(spark, path):
         raise PublishError(
             f"{name} is not in the catalog, but {path} holds complete folders, the newest being {left[-1]}; "
-            "register the right one with register_external_table, or choose an empty path"
+            "register them with register_path or register_external_table, or choose an empty path"
         )
     properties, partitioned_by = {}, []
     if buckets:
@@ -92,7 +106,7 @@ def first_load(
         partitioned_by = [BUCKET_COLUMN]
         df = _with_bucket(df, keys, buckets)
         with room_to_shuffle(spark, planned_bytes(df), _hashed(buckets)):
-            location = _write(_spread(df), path, partitioned_by)
+            location = _write(_spread(df), path, buckets, keys)
     else:
         location = _write(df, path)
     register_external_table(
@@ -112,21 +126,33 @@ def upsert(
     dedupe_by: str | None = None,
     buckets: int | str | None = None,
     table_format: str | None = None,
+    plan: str | None = None,
 ) -> None:
     """Merge `source` into table `name`, or load it whole when there is no such table yet.
 
     The rules for columns, duplicates and NULL keys are those of `merge_upsert`; a first load takes duplicate
-    keys as they are. `buckets` and `table_format` ("parquet", or "delta" where that library is installed) only
-    matter for a new table.
+    keys as they are. A table that the catalog has lost is found by `path` and merged into; one that is in the
+    catalog must lie below it.
+
+    table_format: "parquet", unless given as "delta", for a new table; an existing one keeps its own. `buckets` too
+        only matters for a new table, and a Delta table has none.
+    plan: "broadcast", "one join" or "two joins" to have that plan of the merge instead of the one that sizes and
+        counts per key speak for. "one join" is only right if no key of the table is hot.
     """
-    table_format = table_format or delta.default_format()
-    if not table_exists(spark, name) and table_format == "delta" and delta.is_table(spark, path):
-        delta.register(spark, name, path)
+    table_format = _known_format(table_format, buckets)
+    if plan is not None and plan not in PLANS:
+        raise ValueError(f"plan must be one of {PLANS}, not {plan!r}")
+    if not table_exists(spark, name):
+        if table_format == "delta":
+            if delta.is_table(spark, path):
+                delta.register(spark, name, path)
+        elif latest_layout(spark, path) is not None:
+            register_path(spark, name, path)
     if not table_exists(spark, name):
         keys = resolved_keys(source, keys)
         source = apply_null_rule(source, keys, null_keys)
         if dedupe_by is not None:
-            source = latest_per_key(source, keys, dedupe_by)
+            source = latest_per_key(source, keys, dedupe_by, null_keys)
         if table_format == "delta":
             delta.overwrite(source, path, evolve=evolve)
             delta.register(spark, name, path)
@@ -136,6 +162,7 @@ def upsert(
 
     layout, target = table_layout(spark, name), read_table(spark, name)
     check_writable(name, layout)
+    _check_path(spark, name, layout, path)
     keys = resolved_keys(target, keys)
     if layout.buckets:
         _check_bucket_column(source)
@@ -148,7 +175,7 @@ def upsert(
 
     with ExitStack() as staging:
         rows, stored_bytes = staging.enter_context(staged(prepared))
-        profile = _profile(rows, keys)
+        profile = _profile(rows, keys, row_bytes(rows.schema))
         if not profile["rows"]:
             add_columns(spark, name, evolved(spark, target.schema, prepared.schema))
             return
@@ -156,41 +183,48 @@ def upsert(
         part = target
         if layout.buckets:
             part = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
-        small = fits_broadcast(rows, stored_bytes, profile["rows"])
-        spread = layout.spread if list(layout.spread_on) == keys else None
+        small = fits_broadcast(spark, profile["bytes"]) if plan is None else plan == "broadcast"
         grouped = _stays_grouped(part, layout.buckets, len(touched), small)
         if not (small and grouped):
-            size = stored_bytes + planned_bytes(part)
+            size = added(stored_bytes, planned_bytes(part))
             staging.enter_context(room_to_shuffle(spark, size, _hashed(layout.buckets)))
-        if not small and spread is None:
-            spread = _is_spread(_profile(target, keys))
+        # Only the keys of what is rewritten are counted, and each time: others may write to the table too.
+        one_join = plan == "one join" or (plan is None and not small and _profile(part, keys)["most"] <= FEW_ROWS)
 
         split = _split(rows, keys, profile["repeated"], staging)
-        if spread and not small:
+        if one_join:
             merged = merge_in_one_join(part, split, keys)
         else:
             merged = merge_in_two_joins(part, split, keys, broadcast_source=small)
         if layout.buckets:
-            location = _write(_bucketed(merged, keys, layout.buckets, grouped), path, [BUCKET_COLUMN])
+            written = _bucketed(merged, keys, layout.buckets, grouped)
+            location = _write(written, path, layout.buckets, keys, whole=False)
         else:
             location = _write(merged.updated.union(merged.inserted), path)
-        # Inserted rows may turn a yes into a don't know; rows without a key pile up run by run.
-        doubtful = profile["without_key"] or not _is_spread(profile)
-        spread = None if spread and doubtful else spread
-        _publish(spark, name, layout, location, merged.updated.schema, touched, keys, spread)
+        _publish(spark, name, layout, location, merged.updated.schema, touched)
 
 
-def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolve: bool = True) -> None:
+def overwrite(
+    spark: SparkSession, name: str, path: str, df: DataFrame, *, evolve: bool = True, table_format: str | None = None
+) -> None:
     """Replace all rows of table `name`, creating it if need be.
 
     With `evolve`, new columns are added and columns that `df` lacks stay in the table as NULL. Without it, `df`
-    must have all columns of the table, and others are dropped.
+    must have all columns of the table, and others are dropped. `table_format` is that of a new table.
     """
+    table_format = _known_format(table_format)
     if not table_exists(spark, name):
-        first_load(spark, name, path, df)
-        return
+        if table_format == "delta":
+            delta.overwrite(df, path, evolve=evolve)
+            delta.register(spark, name, path)
+            return
+        if latest_layout(spark, path) is None:
+            first_load(spark, name, path, df)
+            return
+        register_path(spark, name, path)
     layout, target = table_layout(spark, name), read_table(spark, name)
     check_writable(name, layout)
+    _check_path(spark, name, layout, path)
     if layout.provider == "delta":
         delta.overwrite(df, layout.location, evolve=evolve)
         return
@@ -204,13 +238,97 @@ def overwrite(spark: SparkSession, name: str, path: str, df: DataFrame, *, evolv
         _check_bucket_column(df)
         rows = _with_bucket(rows, layout.keys, layout.buckets)
         with room_to_shuffle(spark, planned_bytes(rows), _hashed(layout.buckets)):
-            location = _write(_spread(rows), path, [BUCKET_COLUMN])
-        prefix = f"{BUCKET_COLUMN}="
-        held = [int(n.removeprefix(prefix)) for n in folder_names(spark, location) if n.startswith(prefix)]
+            location = _write(_spread(rows), path, layout.buckets, layout.keys)
+        held = _buckets_in(spark, location)
         gone = registered_buckets(spark, name) - set(held)
     else:
         location = _write(rows, path)
-    _publish(spark, name, layout, location, schema, held, [], None, gone)
+    _publish(spark, name, layout, location, schema, held, gone)
+
+
+def latest_layout(spark: SparkSession, path: str) -> dict | None:
+    """How the newest complete folder below `path` is laid out; None if there is none that this package has written."""
+    folders = committed_folders(spark, path)
+    text = read_text(spark, f"{folders[-1]}/{LAYOUT_FILE}") if folders else None
+    return json.loads(text) if text else None
+
+
+def register_path(spark: SparkSession, name: str, path: str) -> None:
+    """Bring back under `name` a table whose folders lie below `path`, with its buckets and keys.
+
+    The newest complete folder is the table; where it holds some buckets only, older ones have the others. A folder that was written whole but never switched to counts as well: its rows are those the job was to publish.
+    """
+    layout, folders = latest_layout(spark, path), committed_folders(spark, path)
+    if layout is None:
+        raise PublishError(f"{path} holds no folder that says how it is laid out")
+    location = folders[-1]
+    if not layout["buckets"]:
+        schema = nullable(spark.read.parquet(location).schema)
+        register_external_table(spark, name, location, schema)
+        return
+    where: dict[int, str] = {}
+    schema = None
+    for at in reversed(folders):  # to the last that was written as a whole
+        for number in _buckets_in(spark, at):
+            where.setdefault(number, at)
+        own = nullable(spark.read.parquet(at).drop(BUCKET_COLUMN).schema)
+        schema = own if schema is None else evolved(spark, schema, own)
+        if json.loads(read_text(spark, f"{at}/{LAYOUT_FILE}"))["whole"]:
+            break
+    kind = T.StructField(BUCKET_COLUMN, T.IntegerType() if isinstance(layout["buckets"], int) else T.LongType())
+    schema = T.StructType([*schema.fields, kind])
+    properties = {BUCKETS: json.dumps(layout["buckets"]), KEYS: json.dumps(layout["keys"])}
+    register_external_table(
+        spark, name, location, schema, partitioned_by=[BUCKET_COLUMN], properties=properties, recover=False
+    )
+    restored_buckets(spark, name, where, location)
+
+
+def remove_unused(spark: SparkSession, name: str, path: str, older_than: timedelta = timedelta(days=7)) -> list[str]:
+    """Delete the folders below `path` that table `name` no longer points into; their names are returned.
+
+    Folders written within the grace period stay for running readers and for a job that has yet to switch. Only
+    complete folders that this package has written are looked at, and `path` must be that of the table, whose other
+    names in the catalog, if there are any, must not point there.
+    """
+    layout = table_layout(spark, name)
+    check_writable(name, layout)
+    _check_path(spark, name, layout, path)
+    used = {plain_path(spark, folder) for folder in (layout.location, layout.newest_folder)}
+    used |= {plain_path(spark, folder).rpartition("/")[0] for folder in bucket_locations(spark, name)} if layout.buckets else set()
+    border = datetime.now(timezone.utc) - older_than
+    gone = []
+    for folder in committed_folders(spark, path):
+        own = plain_path(spark, folder)
+        if own not in used and read_text(spark, f"{folder}/{LAYOUT_FILE}") and _written_at(folder) < border:
+            remove_folder(spark, folder)
+            gone.append(folder)
+    return gone
+
+
+def _written_at(folder: str) -> datetime:
+    name = folder.rstrip("/").rpartition("/")[2]
+    return datetime.strptime(name[1:].partition("_")[0], "%Y%m%dT%H%M%S%f").replace(tzinfo=timezone.utc)
+
+
+def _buckets_in(spark: SparkSession, location: str) -> list[int]:
+    prefix = f"{BUCKET_COLUMN}="
+    return [int(n.removeprefix(prefix)) for n in folder_names(spark, location) if n.startswith(prefix)]
+
+
+def _known_format(table_format: str | None, buckets: int | str | None = None) -> str:
+    if table_format not in (None, "parquet", "delta"):
+        raise ValueError(f"table_format must be 'parquet' or 'delta', not {table_format!r}")
+    if table_format == "delta" and buckets:
+        raise ValueError("a Delta table has no buckets")
+    return table_format or "parquet"
+
+
+def _check_path(spark: SparkSession, name: str, layout: Layout, path: str) -> None:
+    """A table stays where it is: a Delta table at `path`, another in a folder right below it."""
+    own, given = plain_path(spark, layout.location), plain_path(spark, path)
+    if given != (own if layout.provider == "delta" else own.rpartition("/")[0]):
+        raise PublishError(f"{name} is at {layout.location}, which is not below {path}")
 
 
 def _publish(
@@ -220,46 +338,36 @@ def _publish(
     location: str,
     schema: T.StructType,
     buckets: Sequence[int],
-    keys: Sequence[str],
-    spread: bool | None,
     gone: Collection[int] = (),
 ) -> None:
     """Make the rows just written at `location` those of the table, or of its given buckets; drop those `gone`."""
     check_unmoved(spark, name, layout)
-    # A doubt is noted before the rows that raise it are visible, a certainty after.
-    known = (spread, list(keys) if spread is not None else [])
-    if known[0] is None and layout.spread is not None:
-        set_property(spark, name, SPREAD, json.dumps(known))
     add_columns(spark, name, schema)
     if layout.buckets:
-        switch_buckets(spark, name, location, buckets)
+        switch_buckets(spark, name, layout, location, buckets)
         drop_buckets(spark, name, gone)
     else:
-        switch_table(spark, name, location)
-    if known[0] is not None and known != (layout.spread, list(layout.spread_on)):
-        set_property(spark, name, SPREAD, json.dumps(known))
+        switch_table(spark, name, layout, location)
 
 
-def _profile(rows: DataFrame, keys: Sequence[str]) -> dict[str, int]:
-    """Facts about the keys, in one pass over the key columns.
+def _profile(rows: DataFrame, keys: Sequence[str], width: Column | None = None) -> dict[str, int]:
+    """Facts about the keys, in one pass.
 
-    Row count, number of keys that repeat, rows of the most frequent key (NULL included), and number of different
-    keys with NULL in them.
+    Row count, number of keys that repeat, rows of the most frequent key (NULL included), and, given the width of a
+    row, the size of all.
     """
-    per_key = rows.groupBy([column_name(k) for k in keys]).agg(F.count("*").alias("n"), any_null(keys).alias("no_key"))
+    size = F.sum(width if width is not None else F.lit(0)).alias("bytes")
+    grouped = rows.groupBy([column_name(k) for k in keys])
+    per_key = grouped.agg(F.count("*").alias("n"), any_null(keys).alias("no_key"), size)
     facts = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count_if((F.col("n") > 1) & ~F.col("no_key")).alias("repeated"),
         F.coalesce(F.max("n"), F.lit(0)).alias("most"),
-        F.count_if("no_key").alias("without_key"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
     )
     return facts.first().asDict()
 
 
-def _is_spread(profile: dict[str, int]) -> bool:
-    return profile["most"] <= FEW_ROWS
-
-
 def _split(rows: DataFrame, keys: Sequence[str], repeated: int, staging: ExitStack) -> Split:
     if not repeated:
         return split_unique(rows, keys)
@@ -270,11 +378,8 @@ def _split(rows: DataFrame, keys: Sequence[str], repeated: int, staging: ExitSta
 
 
 def _touched_buckets(rows: DataFrame, keys: Sequence[str], buckets: int | str) -> list[int]:
-    found = rows.select(bucket_of(keys, buckets).alias(BUCKET_COLUMN)).distinct()
-    touched = [row[0] for row in found.limit(MOST_BUCKETS + 1).collect()]
-    if len(touched) > MOST_BUCKETS:
-        raise PublishError(f"the source touches more than {MOST_BUCKETS} buckets of {buckets!r}")
-    return touched
+    """The numbers of the buckets; the catalog holds an entry for each, so there are no more than it can."""
+    return [row[0] for row in rows.select(bucket_of(keys, buckets).alias(BUCKET_COLUMN)).distinct().collect()]
 
 
 def _check_buckets(df: DataFrame, keys: Sequence[str], buckets: int | str) -> None:
@@ -319,11 +424,17 @@ def _stays_grouped(part: DataFrame, buckets: int | str | None, touched: int, sou
         return True
     if not source_is_broadcast:
         return isinstance(buckets, int)
-    full_files = planned_bytes(part) // size_setting(part.sparkSession, "spark.sql.files.maxPartitionBytes")
-    return len(part.inputFiles()) <= 4 * (full_files + touched)
+    full_files = (planned_bytes(part) or 0) // size_setting(part.sparkSession, "spark.sql.files.maxPartitionBytes")
+    # Counted where the list is, which stays there.
+    return len(part._jdf.inputFiles()) <= 4 * (full_files + touched)
 
 
-def _write(df: DataFrame, path: str, partitioned_by: Sequence[str] = ()) -> str:
+def _write(
+    df: DataFrame, path: str, buckets: int | str | None = None, keys: Sequence[str] = (), whole: bool = True
+) -> str:
+    """A fresh folder below `path` with the `whole` table, or with some of its buckets."""
     location = f"{path.rstrip('/')}/{unique_name('v')}"
-    df.write.partitionBy(*partitioned_by).parquet(location)
+    df.write.partitionBy(*([BUCKET_COLUMN] if buckets else [])).parquet(location)
+    layout = {"buckets": buckets, "keys": list(keys), "whole": whole}
+    write_text(df.sparkSession, f"{location}/{LAYOUT_FILE}", json.dumps(layout))
     return location

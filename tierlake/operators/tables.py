@@ -17,7 +17,6 @@ BUCKET_COLUMN = "bucket"
 BUCKETS = "tierlake.buckets"
 KEYS = "tierlake.keys"
 NEWEST_FOLDER = "tierlake.newest_folder"
-SPREAD = "tierlake.keys_are_spread"
 
 
 class PublishError(RuntimeError):
@@ -34,9 +33,6 @@ class Layout:
     # The number of hash buckets or the expression that gives the bucket, and the key columns it is made from.
     buckets: int | str | None = None
     keys: tuple[str, ...] = ()
-    # Whether no key of an upsert, NULL included, holds many rows, and on which columns; None when not known.
-    spread: bool | None = None
-    spread_on: tuple[str, ...] = ()
     # Partition or bucket columns this package has not made.
     foreign_columns: tuple[str, ...] = ()
 
@@ -67,7 +63,6 @@ def table_layout(spark: SparkSession, name: str) -> Layout:
     described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name) AS JSON", args={"name": name}).first()[0]
     facts = json.loads(described)
     properties = facts.get("table_properties", {})
-    spread, spread_on = json.loads(properties.get(SPREAD, "[null, []]"))
     foreign = facts.get("bucket_columns", []) + ([] if BUCKETS in properties else facts.get("partition_columns", []))
     return Layout(
         provider=facts.get("provider", "parquet").lower(),
@@ -75,8 +70,6 @@ def table_layout(spark: SparkSession, name: str) -> Layout:
         newest_folder=properties.get(NEWEST_FOLDER, facts["location"]),
         buckets=json.loads(properties.get(BUCKETS, "null")),
         keys=tuple(json.loads(properties.get(KEYS, "[]"))),
-        spread=spread,
-        spread_on=tuple(spread_on),
         foreign_columns=tuple(foreign),
     )
 
@@ -89,6 +82,7 @@ def register_external_table(
     *,
     partitioned_by: Sequence[str] = (),
     properties: dict[str, str] | None = None,
+    recover: bool = True,
 ) -> None:
     """Register the parquet files at `location` under `name`, unless the name is taken already."""
     parts = f"PARTITIONED BY ({', '.join(map(column_name, partitioned_by))})" if partitioned_by else ""
@@ -98,7 +92,7 @@ def register_external_table(
         f"LOCATION :location {f'TBLPROPERTIES ({pairs})' if pairs else ''}",
         args={"name": name, "location": location},
     )
-    if partitioned_by:
+    if partitioned_by and recover:
         spark.sql("ALTER TABLE IDENTIFIER(:name) RECOVER PARTITIONS", args={"name": name})
 
 
@@ -130,31 +124,54 @@ def check_unmoved(spark: SparkSession, name: str, layout: Layout) -> None:
         raise PublishError(f"{name} went from {layout.newest_folder} to {now} while it was being rewritten")
 
 
-def switch_table(spark: SparkSession, name: str, location: str) -> None:
+def switch_table(spark: SparkSession, name: str, layout: Layout, location: str) -> None:
+    check_unmoved(spark, name, layout)
     spark.sql(
         "ALTER TABLE IDENTIFIER(:name) SET LOCATION :location", args={"name": name, "location": location}
     )
     spark.catalog.refreshTable(name)
 
 
-def switch_buckets(spark: SparkSession, name: str, location: str, buckets: Collection[int]) -> None:
-    """Point these buckets at their folders below `location`: new ones together, others one after the other."""
+def switch_buckets(spark: SparkSession, name: str, layout: Layout, location: str, buckets: Collection[int]) -> None:
+    """Point these buckets at their folders below `location`, if the table is still where `layout` says.
+
+    New ones are added in one call to the catalog and others changed in one, however many there are.
+    """
     known = registered_buckets(spark, name)
-    set_property(spark, name, NEWEST_FOLDER, location)
     added = [
         f"{_partition(number)} LOCATION {text_literal(_bucket_folder(location, number))}"
         for number in sorted(set(buckets) - known)
     ]
+    check_unmoved(spark, name, layout)
+    set_property(spark, name, NEWEST_FOLDER, location)
     if added:
         spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD {' '.join(added)}", args={"name": name})
-    for number in sorted(set(buckets) & known):
-        spark.sql(
-            f"ALTER TABLE IDENTIFIER(:name) {_partition(number)} SET LOCATION :location",
-            args={"name": name, "location": _bucket_folder(location, number)},
-        )
+    _move_partitions(spark, name, location, sorted(set(buckets) & known))
     spark.catalog.refreshTable(name)
 
 
+def _move_partitions(spark: SparkSession, name: str, location: str, numbers: Sequence[int]) -> None:
+    """SQL can only move one partition at a time; the session's catalog takes a list."""
+    if not numbers:
+        return
+    jvm, state = spark._jvm, spark._jsparkSession.sessionState()
+    catalog = state.catalog()
+    table = catalog.qualifyIdentifier(state.sqlParser().parseTableIdentifier(name))
+    values = jvm.java.util.HashMap()
+    values.put(BUCKET_COLUMN, str(int(numbers[0])))
+    to_scala = jvm.scala.jdk.javaapi.CollectionConverters.asScala
+    some = catalog.getPartition(table, jvm.scala.collection.immutable.HashMap().concat(to_scala(values)))
+    # What all partitions share, and the classes, are looked up once: each look is a call to the JVM.
+    form, spec, moved = some.storage(), some.spec(), jvm.java.util.ArrayList()
+    fixed = [form.productElement(i) for i in range(1, form.productArity())]  # all but the location
+    rest = [some.parameters(), some.createTime(), some.lastAccessTime(), jvm.scala.Option.empty()]  # no old sizes
+    root, new_uri, a_value = jvm.org.apache.hadoop.fs.Path(location).toUri().toString(), jvm.java.net.URI.create, jvm.scala.Some
+    for number in numbers:
+        storage = form.copy(a_value(new_uri(_bucket_folder(root, number))), *fixed)
+        moved.add(some.copy(spec.updated(BUCKET_COLUMN, str(int(number))), storage, *rest))
+    catalog.alterPartitions(table, to_scala(moved).toSeq())
+
+
 def drop_buckets(spark: SparkSession, name: str, buckets: Collection[int]) -> None:
     """Take these buckets out of the table. Their files stay."""
     if buckets:
@@ -163,6 +180,23 @@ def drop_buckets(spark: SparkSession, name: str, buckets: Collection[int]) -> No
         spark.catalog.refreshTable(name)
 
 
+def restored_buckets(spark: SparkSession, name: str, where: dict[int, str], newest: str) -> None:
+    """Register each bucket in the folder that holds it."""
+    parts = [f"{_partition(n)} LOCATION {text_literal(_bucket_folder(at, n))}" for n, at in sorted(where.items())]
+    if parts:
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD IF NOT EXISTS {' '.join(parts)}", args={"name": name})
+    set_property(spark, name, NEWEST_FOLDER, newest)
+    spark.catalog.refreshTable(name)
+
+
+def bucket_locations(spark: SparkSession, name: str) -> list[str]:
+    state = spark._jsparkSession.sessionState()
+    catalog = state.catalog()
+    table = catalog.qualifyIdentifier(state.sqlParser().parseTableIdentifier(name))
+    parts = catalog.listPartitions(table, spark._jvm.scala.Option.empty())
+    return [parts.apply(i).location().toString() for i in range(parts.size())]
+
+
 def registered_buckets(spark: SparkSession, name: str) -> set[int]:
     rows = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name}).collect()
     return {int(row[0].rpartition("=")[2]) for row in rows}

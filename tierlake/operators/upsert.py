@@ -90,7 +90,7 @@ def prepare_source(
     kept = source.columns if dedupe_by is None else _aligned(target, source, keys, evolve).columns
     source = apply_null_rule(source, keys, null_keys)
     if dedupe_by is not None:
-        source = latest_per_key(source, keys, dedupe_by)
+        source = latest_per_key(source, keys, dedupe_by, null_keys)
     return source.select([column_name(c) for c in kept])
 
 
@@ -118,13 +118,30 @@ def apply_null_rule(source: DataFrame, keys: Sequence[str], rule: str) -> DataFr
     return source
 
 
-def latest_per_key(source: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """One row per non-NULL key, the one with the greatest `order`; rows with a NULL key all stay."""
+def latest_per_key(source: DataFrame, keys: Sequence[str], order: str, null_keys: str = "insert") -> DataFrame:
+    """One row per key, the one with the greatest `order`; rows with a NULL key all stay.
+
+    Of several rows with that order it is the one whose other columns, from left to right, are greatest, NULL being
+    least, so the answer does not depend on how rows are dealt over tasks. Columns that cannot be sorted, such as
+    maps, are not compared. The source is read once.
+    """
     row = F.struct(*[F.col(column_name(c)) for c in source.columns])
-    # The order goes in a struct: max_by skips NULL orders, and a key may have no other.
-    best = F.max_by(row, F.struct(F.col(column_name(order)))).alias("row")
-    keyed = source.filter(~any_null(keys)).groupBy([column_name(k) for k in keys]).agg(best).select("row.*")
-    return keyed.union(source.filter(any_null(keys)))
+    others = [f.name for f in source.schema.fields if _sortable(f.dataType)]
+    first = F.struct(*[F.col(column_name(c)) for c in (order, *others)])
+    groups = [F.col(column_name(k)) for k in keys]
+    if null_keys == "insert":  # a group of its own for each row without a key
+        groups.append(F.when(any_null(keys), F.monotonically_increasing_id()))
+    names = [f"g{i}" for i in range(len(groups))]
+    grouped = source.groupBy([g.alias(n) for g, n in zip(groups, names)])
+    return grouped.agg(F.max_by(row, first).alias("row")).select("row.*")
+
+
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_sortable(field.dataType) for field in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, T.MapType) and kind.typeName() != "variant"
 
 
 def split_unique(source: DataFrame, keys: Sequence[str]) -> Split:
@@ -163,11 +180,10 @@ def merge_in_two_joins(
     matching = source.matching
     if broadcast_source is not None:
         matching = matching.hint("broadcast" if broadcast_source else "merge")
-    updated = (
-        target.alias("t")
-        .join(matching.alias("s"), same_keys("t", "s", keys), "left")
-        .select(_merged_columns(schema, target, source.matching, keys))
-    )
+    joined = target.alias("t").join(matching.alias("s"), same_keys("t", "s", keys), "left")
+    if COUNT in source.matching.columns:
+        joined = joined.filter(_single(keys, F.lit(True)))
+    updated = joined.select(_merged_columns(schema, target, source.matching, keys))
 
     single = source.matching
     if COUNT in single.columns:
@@ -187,7 +203,7 @@ def merge_in_one_join(target: DataFrame, source: Split, keys: Sequence[str]) ->
     schema = evolved(target.sparkSession, target.schema, source.direct.schema)
     joined = target.alias("t").join(source.matching.alias("s"), same_keys("t", "s", keys), "full")
     if COUNT in source.matching.columns:  # rows that stand for a repeated key have done their work
-        joined = joined.filter(F.col(f"s.{COUNT}").isNull() | F.col(f"t.{column_name(keys[0])}").isNotNull())
+        joined = joined.filter(_single(keys, F.col(f"t.{column_name(keys[0])}").isNotNull()))
     columns = _merged_columns(schema, target, source.matching, keys, key_from_either=True)
     return Merged(joined.select(columns), source.direct.to(schema))
 
@@ -210,8 +226,6 @@ def _merged_columns(
         new = F.col(f"s.{column_name(in_source[name])}") if name in in_source else None
         if field.name in keys:
             value = F.coalesce(old, new) if key_from_either else old
-            if field.name == keys[0] and COUNT in matching.columns:
-                value = F.when(F.col(f"s.{COUNT}") > 1, _repeated_error(keys)).otherwise(value)
         elif old is None:
             value = new
         elif new is None:
@@ -222,14 +236,15 @@ def _merged_columns(
     return columns
 
 
-def _repeated_error(keys: Sequence[str]) -> Column:
+def _single(keys: Sequence[str], in_target: Column) -> Column:
+    """Whether a row is one of the result, or an error for a target row that meets a repeated key.
+
+    As a filter it is kept whatever columns are read.
+    """
     shown = F.concat_ws(", ", *[F.col(f"s.{column_name(k)}").cast("string") for k in keys])
-    return F.raise_error(
-        F.concat(
-            F.lit(f"REPEATED_SOURCE_KEY: several source rows match one target row on ({', '.join(keys)}): "),
-            shown,
-        )
-    )
+    message = f"REPEATED_SOURCE_KEY: several source rows match one target row on ({', '.join(keys)}): "
+    error = F.raise_error(F.concat(F.lit(message), shown)).cast("boolean")
+    return F.when(F.col(f"s.{COUNT}").isNull(), True).when(~in_target, False).otherwise(error)
 
 
 def _aligned(

@@ -49,7 +49,6 @@ BRIDGED_SQL = f"""
     FROM ({MAPPING_SQL}) m JOIN ({A_SQL}) a ON m.sqlserver_id = a.id JOIN ({B_SQL}) b ON m.mongodb_id = b._id"""
 
 A_SCHEMA = "id BIGINT, name STRING, value DOUBLE"
-SOURCE_TABLE = "tierlake_customer"
 LOADED = "o_orderdate < TIMESTAMP '1999-01-01'"
 CHANGED = "o_orderdate >= TIMESTAMP '1998-01-01'"
 DOUBLED = f"CASE WHEN {CHANGED} THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice"
@@ -109,18 +108,18 @@ def exported(spark: SparkSession, df: DataFrame) -> str:
     return folder
 
 
-_LOADED_SOURCES: dict[tuple[str, str], Connection] = {}
+_LOADED_SOURCES: dict[tuple[str, str], tuple[Connection, str]] = {}
 
 
-def relational_source(spark: SparkSession, sf_dir: str) -> Connection:
-    """A database with A in it, as SOURCE_TABLE.
+def relational_source(spark: SparkSession, sf_dir: str) -> tuple[Connection, str]:
+    """A database and the name of a fresh table with A in it.
 
     `spark.tierlake.jdbc.url` (with `.user`, `.password` and `.driver`) names one that all executors reach. Without
     it, a local session uses the embedded database that comes with Spark, which only its own process sees.
     """
     known = (spark.sparkContext.applicationId, sf_dir)
     if known not in _LOADED_SOURCES:
-        url = spark.conf.get("spark.tierlake.jdbc.url", None)
+        url, name = spark.conf.get("spark.tierlake.jdbc.url", None), unique_name("tierlake_customer_")
         if url:
             rest = (spark.conf.get(f"spark.tierlake.jdbc.{k}", None) for k in ("user", "password", "driver"))
             connection = Connection(url, *rest)
@@ -134,9 +133,9 @@ def relational_source(spark: SparkSession, sf_dir: str) -> Connection:
         else:
             raise ValueError("set spark.tierlake.jdbc.url to a database that all executors can reach")
         relational(spark, sf_dir).write.format("jdbc").options(**connection.reader_options()).options(
-            dbtable=SOURCE_TABLE, createTableColumnTypes="name VARCHAR(50)"
-        ).mode("overwrite").save()
-        _LOADED_SOURCES[known] = connection
+            dbtable=name, createTableColumnTypes="name VARCHAR(50)"
+        ).mode("errorifexists").save()
+        _LOADED_SOURCES[known] = connection, name
     return _LOADED_SOURCES[known]
 
 
@@ -158,7 +157,7 @@ def published(spark: SparkSession, *batches: DataFrame, keys: list[str], **rules
     """The table after upserting the batches in turn."""
     name, path = unique_name("tierlake_t_"), scratch_folder(spark)
     for batch in batches:
-        upsert(spark, name, path, batch, keys, table_format="parquet", **rules)
+        upsert(spark, name, path, batch, keys, **rules)
     return read_table(spark, name)
 
 
@@ -171,32 +170,32 @@ def split(spark: SparkSession, connection: Connection, source: str) -> Ranges |
 
 @query(A_SQL)
 def jdbc_table_scan(spark, sf_dir):
-    source = relational_source(spark, sf_dir)
-    return read_jdbc(spark, source, SOURCE_TABLE, split=split(spark, source, SOURCE_TABLE))
+    source, name = relational_source(spark, sf_dir)
+    return read_jdbc(spark, source, name, split=split(spark, source, name))
 
 
 @query("SELECT c_custkey AS id, c_acctbal AS value FROM customer WHERE c_acctbal > 5000")
 def jdbc_subquery_scan(spark, sf_dir):
-    source = relational_source(spark, sf_dir)
-    subquery = f'(SELECT "id", "value" FROM {SOURCE_TABLE} WHERE "value" > 5000) AS rich'
+    source, name = relational_source(spark, sf_dir)
+    subquery = f'(SELECT "id", "value" FROM {name} WHERE "value" > 5000) AS rich'
     return read_jdbc(spark, source, subquery, split=split(spark, source, subquery))
 
 
 @query(A_SQL)
 def jdbc_partitioned_scan(spark, sf_dir):
     """Equal strides between bounds that leave rows outside on both ends."""
-    source = relational_source(spark, sf_dir)
-    least, greatest = partition_bounds(spark, source, SOURCE_TABLE, "id").first()
+    source, name = relational_source(spark, sf_dir)
+    least, greatest = partition_bounds(spark, source, name, "id").first()
     inset = (greatest - least) // 16
     strides = Strides("id", str(least + inset), str(greatest - inset), 8)
-    return read_jdbc(spark, source, SOURCE_TABLE, split=strides)
+    return read_jdbc(spark, source, name, split=strides)
 
 
 @query(
     "SELECT min(c_custkey) AS lower_bound, max(c_custkey) AS upper_bound FROM customer"
 )
 def jdbc_partition_bounds(spark, sf_dir):
-    return partition_bounds(spark, relational_source(spark, sf_dir), SOURCE_TABLE, "id")
+    return partition_bounds(spark, *relational_source(spark, sf_dir), "id")
 
 
 @query(B_SQL)
@@ -219,8 +218,8 @@ def document_text_scan(spark, sf_dir):
 
 @query(A_SQL)
 def schema_enforced_read(spark, sf_dir):
-    source = relational_source(spark, sf_dir)
-    return read_jdbc(spark, source, SOURCE_TABLE, split=split(spark, source, SOURCE_TABLE), schema=A_SCHEMA)
+    source, name = relational_source(spark, sf_dir)
+    return read_jdbc(spark, source, name, split=split(spark, source, name), schema=A_SCHEMA)
 
 
 @query("SELECT * FROM customer")
@@ -248,7 +247,7 @@ def conform_schema(spark, sf_dir):
 @query("SELECT CAST(s_suppkey AS VARCHAR) AS _id, upper(s_name) AS name FROM supplier WHERE s_acctbal > 0")
 def bronze_transform(spark, sf_dir):
     job = DocumentJob(
-        output=Output(unique_name("tierlake_t_"), scratch_folder(spark), ("_id",), table_format="parquet"),
+        output=Output(unique_name("tierlake_t_"), scratch_folder(spark), ("_id",)),
         export_path=exported(spark, documents(spark, sf_dir)),
     )
     return jobs.ingest_documents(
@@ -306,7 +305,7 @@ def gold_direct_join_repeated_keys(spark, sf_dir):
 
 def _mapping_table(spark: SparkSession, a: str, b: str) -> str:
     name = unique_name("tierlake_m_")
-    output = Output(name, scratch_folder(spark), ("sqlserver_id",), table_format="parquet")
+    output = Output(name, scratch_folder(spark), ("sqlserver_id",))
     jobs.map_sources(spark, MappingJob(output, left=a, right=b))
     return name
 
@@ -334,12 +333,13 @@ def gold_preview_top20(spark, sf_dir):
 def gold_from_sources(spark, sf_dir):
     """Every job in turn: both sources to bronze, mapping, gold view."""
     a, b, m, view = (unique_name(f"tierlake_{part}_") for part in ("a", "b", "m", "gold"))
+    source, name = relational_source(spark, sf_dir)
     jobs.ingest_relational(
         spark,
         RelationalJob(
-            connection=relational_source(spark, sf_dir),
-            query=SOURCE_TABLE,
-            output=Output(a, scratch_folder(spark), ("id",), buckets=8, table_format="parquet"),
+            connection=source,
+            query=name,
+            output=Output(a, scratch_folder(spark), ("id",), buckets=8),
             schema=A_SCHEMA,
             discover=("id", 8),
         ),
@@ -347,14 +347,14 @@ def gold_from_sources(spark, sf_dir):
     jobs.ingest_documents(
         spark,
         DocumentJob(
-            output=Output(b, scratch_folder(spark), ("_id",), table_format="parquet"),
+            output=Output(b, scratch_folder(spark), ("_id",)),
             export_path=exported(spark, documents(spark, sf_dir)),
         ),
     )
     jobs.map_sources(
         spark,
         MappingJob(
-            Output(m, scratch_folder(spark), ("sqlserver_id",), table_format="parquet"), left=a, right=b
+            Output(m, scratch_folder(spark), ("sqlserver_id",)), left=a, right=b
         ),
     )
     return jobs.publish_gold(spark, GoldJob(view, left=a, right=b, mapping=m))
@@ -363,6 +363,19 @@ def gold_from_sources(spark, sf_dir):
 # Upsert and publish
 
 
+LINES_AND_ORDERS = """
+    SELECT coalesce(l_orderkey, o_orderkey) AS order_id, l_partkey, l_linenumber, l_quantity, o_orderstatus
+    FROM lineitem FULL JOIN orders ON l_orderkey = o_orderkey"""
+
+
+def lines_and_orders(spark: SparkSession, sf_dir: str, key=lambda column: column) -> list[DataFrame]:
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    return [
+        lines.select(key(F.col("l_orderkey")).alias("order_id"), "l_partkey", "l_linenumber", "l_quantity"),
+        orders.select(F.col("o_orderkey").alias("order_id"), "o_orderstatus"),
+    ]
+
+
 @query("SELECT * FROM orders")
 def bronze_first_load(spark, sf_dir):
     return published(spark, table(spark, sf_dir, "orders"), keys=["o_orderkey"])
@@ -440,17 +453,10 @@ def upsert_null_keys_insert(spark, sf_dir):
     return published(spark, loaded, changed, keys=["order_id"], null_keys="insert")
 
 
-@query(
-    "SELECT coalesce(l_orderkey, o_orderkey) AS order_id, l_partkey, l_linenumber, l_quantity, o_orderstatus "
-    "FROM lineitem FULL JOIN orders ON l_orderkey = o_orderkey"
-)
+@query(LINES_AND_ORDERS)
 def upsert_repeated_target_keys(spark, sf_dir):
     """Lines loaded under the key of their order: each order updates all its lines and adds its status."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"), "l_partkey", "l_linenumber", "l_quantity"
-    )
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_id"), "o_orderstatus")
-    return published(spark, lines, orders, keys=["order_id"])
+    return published(spark, *lines_and_orders(spark, sf_dir), keys=["order_id"])
 
 
 @query(
@@ -509,3 +515,54 @@ def silver_mapping_upsert(spark, sf_dir):
     first = build_mapping(a.filter("value < 5000"), b)
     second = build_mapping(a.filter("value >= 0"), b, ids=("id", "name"))
     return published(spark, first, second, keys=["sqlserver_id"])
+
+
+# The plans for sources too large to broadcast, whatever the size of the given tables
+
+
+@query(LINES_AND_ORDERS)
+def upsert_one_join(spark, sf_dir):
+    return published(spark, *lines_and_orders(spark, sf_dir), keys=["order_id"], plan="one join")
+
+
+@query(LINES_AND_ORDERS)
+def upsert_two_shuffle_joins(spark, sf_dir):
+    return published(spark, *lines_and_orders(spark, sf_dir), keys=["order_id"], plan="two joins")
+
+
+@query(
+    """SELECT coalesce(order_id, o_orderkey) AS order_id, l_partkey, l_linenumber, l_quantity, o_orderstatus
+    FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS order_id, l_partkey, l_linenumber,
+                 l_quantity FROM lineitem) lines
+    FULL JOIN orders ON order_id = o_orderkey"""
+)
+def upsert_hot_key_bucketed(spark, sf_dir):
+    """A third of the lines are under one key, so in one bucket."""
+    batches = lines_and_orders(spark, sf_dir, lambda key: F.when(key % 3 == 0, 0).otherwise(key))
+    return published(spark, *batches, keys=["order_id"], buckets=16, plan="two joins")
+
+
+@query(f"SELECT o_orderkey, o_custkey, {DOUBLED}, o_orderdate FROM orders")
+def upsert_after_reregistration(spark, sf_dir):
+    """The catalog loses a bucketed table, some of whose buckets have been rewritten; the next upsert finds it by path."""
+    name, path = unique_name("tierlake_t_"), scratch_folder(spark)
+    changed = orders_changed(spark, sf_dir)
+    upsert(spark, name, path, orders_loaded(spark, sf_dir), ["o_orderkey"], buckets=16)
+    upsert(spark, name, path, changed.filter("o_orderkey % 7 = 0"), ["o_orderkey"])
+    spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})
+    upsert(spark, name, path, changed.filter("o_orderkey % 7 <> 0"), ["o_orderkey"])
+    return read_table(spark, name)
+
+
+@query(
+    """SELECT l_orderkey, l_shipdate, l_partkey, l_suppkey, l_linenumber, l_quantity FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC,
+               l_linenumber DESC, l_quantity DESC) AS place
+        FROM lineitem) lines
+    WHERE place = 1"""
+)
+def upsert_latest_with_ties(spark, sf_dir):
+    """The last line of each order by day; of several on that day, the one whose other columns are greatest."""
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.select("l_orderkey", "l_shipdate", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    return published(spark, lines.filter("l_linenumber < 3"), lines, keys=["l_orderkey"], dedupe_by="l_shipdate")
