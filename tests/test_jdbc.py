@@ -17,6 +17,8 @@ from tierlake import (
     read_jdbc,
 )
 from tierlake.functions.storage import unique_name
+from tierlake.plans import queries
+from tierlake.sources import jdbc
 
 DATA = [(i, f"n{i}", i / 2) for i in range(1, 41)]
 
@@ -163,3 +165,17 @@ def test_reader_options():
 def test_column_types(spark, source):
     df = read_jdbc(spark, source, "items", column_types="ID BIGINT, VALUE DECIMAL(10,2)")
     assert dict(df.dtypes)["ID"] == "bigint" and dict(df.dtypes)["VALUE"] == "decimal(10,2)"
+
+
+def test_the_schema_of_a_split_is_looked_up_once(spark, source, monkeypatch):
+    asked = []
+    quoted = jdbc._quoted
+    monkeypatch.setattr(jdbc, "_quoted", lambda *args: (asked.append(args), quoted(*args))[1])
+    even_ranges(spark, source, "items", "id", 4)
+    assert len(asked) == 1
+
+
+def test_each_load_of_the_query_source_has_a_table_of_its_own(spark):
+    (one, first), (two, second) = (queries.relational_source(spark, f"/root/testdata/sf{sf}") for sf in ("0.001", "0.01"))
+    counts = [read_jdbc(spark, c, t).count() for c, t in ((one, first), (two, second))]
+    assert first != second and counts == [150, 1500]

@@ -61,3 +61,13 @@ def test_a_key_with_a_third_of_all_rows_fails_fast(spark):
     b = spark.range(300_000).select(hot.cast("string").alias("_id"))
     with pytest.raises(Exception, match="NOT_ONE_TO_ONE: key 7 "):
         build_mapping(a, b).collect()
+
+
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+@pytest.mark.parametrize("read", [lambda m: m.count(), lambda m: m.select("mongodb_id").collect(), lambda m: m.select("sqlserver_id").collect()])
+def test_repeats_are_noticed_whatever_is_read(spark, conf, limit, read):
+    conf(spark__sql__autoBroadcastJoinThreshold=limit, spark__sql__adaptive__autoBroadcastJoinThreshold=limit)
+    pairs = build_mapping(*sides(spark, [(1, "x"), (1, "y"), (2, "z")], [("1", "p"), ("2", "q")]))
+    with pytest.raises(Exception, match="NOT_ONE_TO_ONE"):
+        read(pairs)
+    assert build_mapping(*sides(spark, [(1, "x"), (3, "y"), (3, "z")], [("1", "p")])).count() == 1

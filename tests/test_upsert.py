@@ -9,6 +9,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tierlake import SchemaError, merge_upsert
+from tierlake.operators.upsert import (
+    apply_null_rule,
+    latest_per_key,
+    merge_in_one_join,
+    repeated_keys,
+    split_repeated,
+)
 
 KV = "k INT, v STRING"
 
@@ -202,3 +209,45 @@ def test_same_source_twice_equals_once(spark):
     source = spark.range(30, 80).selectExpr("id k", "-id v")
     once = merge_upsert(target, source, ["k"])
     assert rows(merge_upsert(once, source, ["k"])) == rows(once)
+
+
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+@pytest.mark.parametrize("read", [lambda m: m.count(), lambda m: m.select("k").collect(), lambda m: m.select("v").collect()])
+def test_repeats_are_noticed_whatever_is_read(spark, conf, limit, read):
+    conf(spark__sql__autoBroadcastJoinThreshold=limit, spark__sql__adaptive__autoBroadcastJoinThreshold=limit)
+    target = frame(spark, [(1, "a"), (2, "b"), (3, "c")])
+    with pytest.raises(Exception, match="REPEATED_SOURCE_KEY"):
+        read(merge_upsert(target, frame(spark, [(1, "x"), (1, "y"), (4, "z")]), ["k"]))
+    assert merge_upsert(target, frame(spark, [(4, "x"), (4, "y"), (1, "z")]), ["k"]).count() == 5
+    split = split_repeated(frame(spark, [(1, "x"), (1, "y"), (4, "z")]), ["k"], repeated_keys(frame(spark, [(1, "x"), (1, "y")]), ["k"]))
+    merged = merge_in_one_join(target, split, ["k"])
+    with pytest.raises(Exception, match="REPEATED_SOURCE_KEY"):
+        read(merged.updated.union(merged.inserted))
+
+
+TIED = "k INT, ts INT, a STRING, b DOUBLE, m MAP<STRING, INT>"
+
+
+@pytest.mark.parametrize("null_keys", ["insert", "drop"])
+def test_ties_go_to_the_same_row_however_rows_are_dealt(spark, null_keys):
+    pick = random.Random(3)
+    data = [(pick.choice([None, 1, 2, 3]), pick.choice([None, 1]), pick.choice("ab"), pick.choice([0.5, None]), None) for _ in range(60)]
+    results = set()
+    for parts in (1, 2, 3, 5, 7):
+        pick.shuffle(data)
+        source = spark.createDataFrame(data, TIED).repartition(parts)
+        out = merge_upsert(frame(spark, []), source, ["k"], dedupe_by="ts", null_keys=null_keys)
+        results.add(tuple(rows(out.drop("v"))))
+    (result,) = results
+    by_key = {k: max(((ts is not None, ts or 0), a, (b is not None, b or 0)) for kk, ts, a, b, _ in data if kk == k) for k in (1, 2, 3)}
+    assert {r[0]: r[2] for r in result if r[0]} == {k: best[1] for k, best in by_key.items()}
+    assert sum(r[0] is None for r in result) == (sum(d[0] is None for d in data) if null_keys == "insert" else 0)
+
+
+@pytest.mark.parametrize("null_keys", ["error", "drop", "insert"])
+def test_the_latest_rows_are_found_in_one_read(spark, tmp_path, null_keys):
+    spark.range(10).selectExpr("id k", "id ts", "'x' v").write.json(f"{tmp_path}/s")
+    source = spark.read.schema("k LONG, ts LONG, v STRING").json(f"{tmp_path}/s")
+    found = latest_per_key(apply_null_rule(source, ["k"], null_keys), ["k"], "ts", null_keys)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
+    assert found.count() == 10
