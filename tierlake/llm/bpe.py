@@ -2,8 +2,8 @@
 
 Texts are split into pre-tokens. A task gathers a block of texts, numbers the block's distinct pre-tokens by how frequent
 they are, and writes each text as a list of these numbers, which is its pre-tokens by position. The distinct pre-tokens of
-all blocks meet in one shuffle, are encoded once, and their ids go back to the blocks, where texts are put together by
-position. What moves is a byte or two per pre-token and the vocabularies of the blocks, not a row per pre-token.
+all blocks meet in one shuffle, where each is encoded once; their ids go back to the blocks, and texts are put together by
+position. What moves is a byte or two per pre-token and the blocks' vocabularies, many words to a row, not a row per pre-token.
 
 Decoding looks ids up in the table of token bytes. The ranks and that table are as large as the vocabulary file, which
 does not grow with the data, so they are broadcast.
@@ -12,21 +12,23 @@ does not grow with the data, so they are broadcast.
 from __future__ import annotations
 
 import base64
+import zlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import pieces
+from tierlake.llm.common import pieces, utf8
 
-#: Characters of text that share a vocabulary. A longer text is a block of its own.
-BLOCK_CHARS = 32 << 20
-_WORDS, _TEXT = 0, 1
-_BLOCKS = "block long, kind int, doc_id long, payload binary"
+#: Characters of text that share a vocabulary (a longer text is a block of its own), texts of a row, and the parts that
+#: words are dealt to, of which a task may take several.
+BLOCK_CHARS, ROW_TEXTS, WORD_PARTS = 32 << 20, 500, 512
+#: Words that a task remembers the ids of; beyond that it forgets them all and encodes a word again.
+_REMEMBERED = 500_000
+_WORDS, _TEXTS = 0, 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -76,10 +78,13 @@ def _blocks(pattern: str, block_chars: int):
             rank = np.empty(len(local), np.int64)
             rank[by_count] = np.arange(len(local))
             words = list(local)
-            yield _batch([block], [_WORDS], [None], [b"".join(_sized(words[i].encode()) for i in by_count.tolist())])
-            for at in range(0, len(texts), 1000):
-                part = texts[at : at + 1000]
-                yield _batch([block] * len(part), [_TEXT] * len(part), ids[at : at + 1000], [packed(rank[t]) for t in part])
+            for first in range(0, len(words), 200_000):
+                part = [words[i].encode() for i in by_count[first : first + 200_000].tolist()]
+                number = np.arange(first, first + len(part), dtype=np.int32)
+                yield _row(block, _WORDS, {"word": pa.array(part, pa.binary()), "number": pa.array(number)})
+            for at in range(0, len(texts), ROW_TEXTS):
+                codes = pa.array([packed(rank[t]) for t in texts[at : at + ROW_TEXTS]], pa.binary())
+                yield _row(block, _TEXTS, {"doc_id": pa.array(ids[at : at + ROW_TEXTS], pa.int64()), "codes": codes})
 
         for batch in pieces(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -98,73 +103,91 @@ def _blocks(pattern: str, block_chars: int):
     return split
 
 
-def _sized(word: bytes) -> bytes:
-    return packed(np.array([len(word)])) + word if len(word) > 127 else bytes((len(word),)) + word
+def _payload(columns: dict[str, pa.Array]) -> bytes:
+    """A small table as compressed bytes."""
+    rows = pa.RecordBatch.from_pydict(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
 
 
-def _batch(block, kind, ids, payload):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(block, pa.int64()), pa.array(kind, pa.int32()), pa.array(ids, pa.int64()), pa.array(payload, pa.binary())],
-        ["block", "kind", "doc_id", "payload"],
-    )
+def _opened(payload: bytes) -> pa.Table:
+    return pa.ipc.open_stream(payload).read_all()
+
+
+def _row(block: int, kind: int, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    payload = pa.array([_payload(columns)], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([kind], pa.int32()), payload], ["block", "kind", "payload"])
 
 
-def _vocabulary(batches):
-    """A row (block, number, word) for each distinct pre-token of a block."""
+def _dealt(batches):
+    """The words of each block by the part that they belong to."""
     for batch in batches:
         for block, kind, payload in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "payload")), strict=True):
             if kind != _WORDS:
                 continue
-            words, at = [], 0
-            while at < len(payload):
-                size, shift = payload[at], 0
-                if size > 127:
-                    end = at
-                    while payload[end] > 127:
-                        end += 1
-                    size, shift = int(unpacked(payload[at : end + 1])[0]), end - at
-                at += 1 + shift
-                words.append(payload[at : at + size])
-                at += size
-            for first in range(0, len(words), 100_000):
-                part = words[first : first + 100_000]
-                numbers = np.arange(first, first + len(part), dtype=np.int32)
+            words = _opened(payload).combine_chunks()
+            part = np.fromiter((zlib.crc32(w) % WORD_PARTS for w in words.column("word").to_pylist()), np.int32, len(words))
+            order = np.argsort(part, kind="stable")
+            border = np.searchsorted(part[order], np.arange(WORD_PARTS + 1))
+            for p in np.unique(part).tolist():
+                own = words.take(pa.array(order[border[p] : border[p + 1]]))
+                held = _payload({name: own.column(name).combine_chunks() for name in own.column_names})
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), block)), pa.array(numbers), pa.array(part, pa.binary())],
-                    ["block", "number", "word"],
+                    [pa.array([p], pa.int32()), pa.array([block], pa.int64()), pa.array([held], pa.binary())],
+                    ["part", "block", "payload"],
                 )
 
 
 def _encoded(ranks, pattern: str):
+    """The ids of each block's words of one part; a word's ids are found once, whichever blocks have it."""
+
     def encode(batches):
         import tiktoken
 
-        core = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})
-        one = core._core_bpe.encode_single_piece
+        one = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})._core_bpe.encode_single_piece
+        known: dict[bytes, bytes] = {}
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            ids = [np.array(one(word), "<u4").tobytes() for word in words]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], ["word", "ids"])
+            for block, payload in zip(*(batch.column(c).to_pylist() for c in ("block", "payload")), strict=True):
+                words = _opened(payload)
+                ids = []
+                for word in words.column("word").to_pylist():
+                    found = known.get(word)
+                    if found is None:
+                        if len(known) >= _REMEMBERED:
+                            known.clear()
+                        found = known[word] = np.array(one(word), "<u4").tobytes()
+                    ids.append(found)
+                numbers = words.column("number").combine_chunks()
+                held = _payload({"number": numbers, "ids": pa.array(ids, pa.binary())})
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([held], pa.binary())], ["block", "payload"])
 
     return encode
 
 
 def _whole(left: pa.Table, right: pa.Table) -> pa.Table:
     """The texts of one block as ids."""
-    right = right.sort_by("number").combine_chunks()
-    parts = right.column("ids").to_pylist()
-    size = np.array([len(p) // 4 for p in parts], np.int64)
-    start = np.cumsum(size) - size
-    flat = np.frombuffer(b"".join(parts), "<u4")
-    texts = left.filter(pc.equal(left.column("kind"), _TEXT))
-    ids = []
-    for payload in texts.column("payload").to_pylist():
-        numbers = unpacked(payload)
-        sizes = size[numbers]
-        total = int(sizes.sum())
-        within = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        ids.append(flat[np.repeat(start[numbers], sizes) + within].tobytes())
-    return pa.table({"doc_id": texts.column("doc_id"), "ids": pa.array(ids, pa.binary())})
+    words = pa.concat_tables([_opened(p) for p in right.column("payload").to_pylist()] or [_NO_WORDS])
+    flat, start = utf8(words.sort_by("number").column("ids").combine_chunks())
+    flat, start = flat.view("<u4"), start // 4
+    size = np.diff(start)
+    names, numbers = [], []
+    for kind, payload in zip(left.column("kind"), left.column("payload"), strict=True):
+        if kind.as_py() == _TEXTS:
+            texts = _opened(payload.as_py())
+            names += texts.column("doc_id").chunks
+            numbers += [unpacked(codes).astype(np.int32) for codes in texts.column("codes").to_pylist()]
+    offsets = np.cumsum([0, *(int(size[own].sum()) for own in numbers)])
+    ids = np.empty(offsets[-1], "<u4")
+    for own, first, end in zip(numbers, offsets, offsets[1:], strict=False):
+        sizes = size[own]
+        ids[first:end] = flat[np.arange(end - first) + np.repeat(start[own] - np.cumsum(sizes) + sizes, sizes)]
+    held = pa.Array.from_buffers(pa.large_binary(), len(numbers), [None, pa.py_buffer(4 * offsets.astype(np.int64)), pa.py_buffer(ids)])
+    return pa.table({"doc_id": pa.chunked_array(names, pa.int64()), "ids": held.cast(pa.binary())})
+
+
+_NO_WORDS = pa.table({"number": pa.array([], pa.int32()), "ids": pa.array([], pa.binary())})
 
 
 def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -177,10 +200,9 @@ def encode(docs: DataFrame, path: str, pattern: str, block_chars: int = BLOCK_CH
     ranks = spark.sparkContext.broadcast(read_ranks(path))
     plain = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     # Both uses below read this one exchange.
-    blocks = plain.mapInArrow(_blocks(pattern, block_chars), _BLOCKS).repartition("block")
-    vocabulary = blocks.mapInArrow(_vocabulary, "block long, number int, word binary")
-    distinct = vocabulary.select("word").distinct().mapInArrow(_encoded(ranks, pattern), "word binary, ids binary")
-    numbered = vocabulary.join(distinct, "word").select("block", "number", "ids")
+    blocks = plain.mapInArrow(_blocks(pattern, block_chars), "block long, kind int, payload binary").repartition("block")
+    dealt = blocks.mapInArrow(_dealt, "part int, block long, payload binary").repartition("part")
+    numbered = dealt.mapInArrow(_encoded(ranks, pattern), "block long, payload binary")
     return blocks.groupBy("block").cogroup(numbered.groupBy("block")).applyInArrow(_whole, "doc_id long, ids binary")
 
 
@@ -191,7 +213,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def look_up(batches):
         known = tokens.value
-        for batch in batches:
+        for batch in pieces(batches, "ids", 1 << 20):
             rows = batch.column("ids").to_pylist()
             found = [None if r is None else b"".join(map(known.__getitem__, np.frombuffer(r, "<u4").tolist())) for r in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, "bytes"])
