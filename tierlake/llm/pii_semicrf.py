@@ -389,7 +389,9 @@ def train(docs: DataFrame) -> Model:
     """A model from the patterns' finds in a bounded sample of the texts that hold a digit or an at sign."""
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     usable = usable.filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS) & F.col("doc_id").isNotNull())
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE)
+    # Ids are chosen first: each task sends the driver as many rows as the limit.
+    chosen = usable.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).distinct()
+    sample = usable.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id")
     return fit([row.text for row in sample.collect()])
 
 
