@@ -19,7 +19,7 @@ from tierlake.llm.common import for_training, held_out, pieces, prefix_sums, spa
 from tierlake.llm.langid_crf import letters_of
 
 #: Bounds of the training sample: labelled documents, characters of one, words of the vocabulary.
-LABELLED, MOST_CHARS, VOCABULARY = 6000, 20_000, 5000
+LABELLED, MOST_CHARS, VOCABULARY = 4000, 20_000, 5000
 THRESHOLD = 0.3
 #: Terms that name groups; each is swapped for the others of its line. The first of a line is the neutral one.
 GROUPS = (
@@ -73,22 +73,31 @@ def _features(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray
     return found, which, np.repeat(np.arange(len(texts)), np.diff(first))
 
 
+def _found(texts: list[str], most: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct features: the text's place and the hash. A few texts are looked at together, to save memory."""
+    rows, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for first in range(0, len(texts), most):
+        features, which, text = _features(pa.array(texts[first : first + most], pa.string()))
+        row, own = np.tile(text, len(features)), np.concatenate([f[which] for f in features])
+        row, own = row[own > 0], own[own > 0]
+        order = np.lexsort((row, own))
+        row, own = row[order], own[order]
+        new = np.ones(len(own), bool)
+        new[1:] = (np.diff(row) != 0) | (own[1:] != own[:-1])
+        rows.append(row[new] + first)
+        hashes.append(own[new])
+    return np.concatenate(rows), np.concatenate(hashes)
+
+
 def fit(texts: list[str], toxic: list[int], sparse: float = 4e-4, fair: float = 1.0, steps: int = 300, groups=GROUPS) -> Model:
     """Learn from labelled texts; `fair` weighs the counterfactual penalty, 0 leaves it out."""
     if not texts:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
     y = np.array(toxic, float)
-    features, which, text = _features(pa.array(texts, pa.string()))
-    pairs = np.concatenate([np.stack([text.astype(np.uint64), own[which]]) for own in features], axis=1)
-    pairs = pairs[:, pairs[1] > 0]
-    order = np.lexsort(pairs)
-    pairs = pairs[:, order]
-    new = np.ones(pairs.shape[1], bool)
-    new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
-    pairs = pairs[:, new]
-    words, of, count = np.unique(pairs[1], return_inverse=True, return_counts=True)
+    row, hashes = _found(texts)
+    words, of, count = np.unique(hashes, return_inverse=True, return_counts=True)
     # Only what is found with one label more often than chance would have it, by about two standard deviations.
-    told = np.bincount(of, y[pairs[0].astype(np.int64)], len(words)) - count * y.mean()
+    told = np.bincount(of, y[row], len(words)) - count * y.mean()
     told = np.abs(told) / np.sqrt(count * y.mean() * (1 - y.mean()) + 1e-9)
     keep = np.flatnonzero((count >= max(2, min(5, len(texts) // 100))) & (told >= 2))
     keep = np.sort(keep[np.argsort(-told[keep], kind="stable")[:VOCABULARY]])
@@ -96,9 +105,9 @@ def fit(texts: list[str], toxic: list[int], sparse: float = 4e-4, fair: float =
     terms = sorted({term for pair in named for term in pair})
     rows = {term: [int(own[0]) for own in _features(pa.array([term], pa.string()))[0] if own[0]] for term in terms}
     known = np.unique(np.concatenate([words[keep], np.array(sorted({f for own in rows.values() for f in own}), np.uint64)]))
-    place = np.minimum(np.searchsorted(known, pairs[1]), max(len(known) - 1, 0))
-    used = known[place] == pairs[1] if len(known) else np.zeros(0, bool)
-    row, column = pairs[0][used].astype(np.int64), place[used]
+    place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+    used = known[place] == hashes if len(known) else np.zeros(len(hashes), bool)
+    row, column = row[used], place[used]
     often = np.array(list(named.values()), float) / max(1, sum(named.values()))
     # The features that a swap takes away (1) and brings in (-1), for each pair.
     swap = [(p, f, sign) for p, pair in enumerate(named) for term, sign in zip(pair, (1, -1), strict=True) for f in rows[term]]
