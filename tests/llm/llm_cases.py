@@ -1,0 +1,47 @@
+"""Awkward documents that every operator must take, and small helpers."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, score double, `odd name.x` string"
+
+LONG = " ".join(f"word{i % 977} of{i % 31}" for i in range(30_000))
+
+
+def awkward():
+    """Rows with NULLs anywhere, empty and very long texts, repeated rows and ids, and columns named like results."""
+    rows = [
+        (1, "The first text, with a few words of its own.", "en"),
+        (2, "The first text, with a few words of its own.", "en"),
+        (2, "The first text, with a few words of its own.", "en"),
+        (3, None, "en"),
+        (4, "", None),
+        (5, " \t\n ", "de"),
+        (None, "A text without an id.", "en"),
+        (None, None, None),
+        (6, "über Öl und Äpfel – naïve façade 中文 😀", None),
+        (7, LONG, "en"),
+        (8, LONG, "fr"),
+        (9, "x", "en"),
+        (9, "another text under the same id", "de"),
+        (10, "!!! ... ???", "en"),
+        (11, "a" * 5000, None),
+    ]
+    return [(i, t, lang, None, None if t is None else len(t), None, 0.5, "x") for i, t, lang in rows]
+
+
+def documents(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def plain(spark, texts):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+
+
+def prose(n, seed, alphabet="abcdefgh", words=(1, 40)):
+    """Invented texts that share words, phrases and whole copies."""
+    pick = random.Random(seed)
+    stock = ["".join(pick.choice(alphabet) for _ in range(pick.randint(1, 6))) for _ in range(60)]
+    texts = [" ".join(pick.choice(stock) for _ in range(pick.randint(*words))) for _ in range(n)]
+    return texts + texts[: n // 5]
