@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """`df` written once below `spark.checkpoint.dir` and read back: computed once, and safe from lost executors."""
-    folder = scratch_folder(df.sparkSession)
+    """`df` written once below `spark.checkpoint.dir` and read back: computed once, and safe from lost executors.
+
+    Spark deletes the shuffle files of a finished step when the driver's garbage collector finds that nothing refers to
+    them any more, so it is asked to look; otherwise the files of all steps of a query add up.
+    """
+    spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
     df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def columns(df: DataFrame) -> list[Column]:

@@ -29,9 +29,9 @@ from tierlake.llm.common import mixed, pieces, powers, prefix_sums, stored, utf8
 
 LENGTH, GRAM = 400, 200
 #: Anchors of a part on average; anchors of one string from which its windows are counted by digest; anchors of a run.
-PART_ANCHORS, HOT_ANCHORS, RUN_ANCHORS = 50_000, 200_000, 60_000
+PART_ANCHORS, HOT_ANCHORS, RUN_ANCHORS = 20_000, 100_000, 20_000
 _PLACE = 24  # bits of a position within a stretch of text; the rest of a 64-bit key is hash
-_STRETCH = 1 << 22
+_STRETCH = 1 << 20  # bytes whose windows are looked at together; their hashes take some ninety times that
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -162,7 +162,7 @@ def merged(runs: list[tuple[list[int], list[bytes]]]) -> tuple[list[int], list[i
 
 def _find_anchors(length: int, gram: int):
     def find(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=_STRETCH):
             data, offsets = utf8(batch.column("text"))
             rows = anchors(data, offsets, length, gram)
             text = np.searchsorted(offsets, rows[:, 1], side="right") - 1
@@ -359,11 +359,11 @@ def _spans(texts: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
     found = texts.filter(F.octet_length("text") >= length).select("key", "text").mapInArrow(
         _find_anchors(length, gram), "gram long, key binary, place long, least long, most long"
     )
-    found = found.repartition("gram")  # both uses below read this one exchange
-    where = F.xxhash64("key", "place")
+    found, where = stored(found), F.xxhash64("key", "place", "least")
     several = found.groupBy("gram").agg(F.min(where).alias("low"), F.max(where).alias("high"), F.count("*").alias("n"))
     several = several.filter("low <> high").select(F.col("gram").alias("shared"), "n")
-    found = stored(found.join(several, F.col("gram") == F.col("shared")).drop("shared"))
+    # Written out because adaptive execution can only split the anchors of a hot string between two plain shuffles.
+    found = stored(found.join(stored(several), F.col("gram") == F.col("shared")).drop("shared"))
     count = found.count()
     parts = max(1, -(-count // PART_ANCHORS))
     anchor = F.struct("gram", "place", "least", "most")
