@@ -77,7 +77,10 @@ def duplicates(docs: DataFrame, hash_of=F.xxhash64) -> DataFrame:
         cut.select("doc_id", "text_sha256", names.alias("recipe"), F.monotonically_increasing_id().alias("row"))
     )
     recipes = _verified(cut, recipes, hash_of)
-    groups = recipes.groupBy("recipe").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
+    # Written out because adaptive execution can only split the rows of a hot group between two plain shuffles.
+    groups = stored(
+        recipes.groupBy("recipe").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count("*").alias("group_size"))
+    )
     return recipes.join(groups, "recipe").select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),
