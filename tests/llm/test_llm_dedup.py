@@ -74,6 +74,7 @@ def test_stages_keep_one_row_of_each_group_with_all_its_columns(spark):
     assert near.dtypes == docs.dtypes
     ids = [r.doc_id for r in near.collect()]
     assert ids.count(1) == 1 and 2 not in ids and ids.count(7) == 1 and 8 not in ids
+    assert ids.count(9) == 2  # two texts under one id
 
 
 def test_empty_tables(spark):
@@ -146,8 +147,8 @@ def test_near_copies_among_awkward_rows(spark):
 def test_rare_shingle_pairs_hold_all_similar_sets_of_different_components(spark):
     sets = [minhash.shingles(*_bytes(t))[0] for t in edited(3)]
     sets = {i: s for i, s in enumerate(sets) if len(s)}
-    rows = [(bytes([i // 256, i % 256]), bytes([i // 256, i % 256]), s.view(np.int64).tolist()) for i, s in sets.items()]
-    frame = spark.createDataFrame(rows, "node binary, root binary, shingles array<long>")
+    rows = [(bytes([i // 256, i % 256]), bytes([i // 256, i % 256]), s.view(np.int64).tolist(), minhash.marks(s).tolist()) for i, s in sets.items()]
+    frame = spark.createDataFrame(rows, "node binary, root binary, shingles array<long>, marks array<long>")
     pairs = {(int.from_bytes(r.a), int.from_bytes(r.b)) for r in minhash._across(frame, 85).collect()}
     for a, one in sets.items():
         for b, two in sets.items():
@@ -156,6 +157,15 @@ def test_rare_shingle_pairs_hold_all_similar_sets_of_different_components(spark)
                 assert (a, b) in pairs
 
 
+def test_differing_marks_bound_what_sets_share():
+    random_ = np.random.default_rng(8)
+    for _ in range(300):
+        both, one, two = (random_.integers(0, 1 << 63, random_.integers(0, 400), dtype=np.uint64) for _ in range(3))
+        left, right = np.unique(np.concatenate([both, one])), np.unique(np.concatenate([both, two]))
+        differ = sum(bin(int(a) & (2**64 - 1)).count("1") for a in minhash.marks(left) ^ minhash.marks(right))
+        assert differ <= len(left) + len(right) - 2 * len(np.intersect1d(left, right))
+
+
 def _bytes(text):
     raw = np.frombuffer(text.encode(), np.uint8)
     return raw, np.array([0, len(raw)])

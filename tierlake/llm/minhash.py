@@ -6,13 +6,15 @@ table with probability (1 - (1 - s^3)^10)^2, which is 0.9998 at s = 0.85 and ris
 a link before the whole sets have been compared.
 
 Equal sets are joined first, so copies cost one row. Subkeys that only one set has are dropped before they are paired. In a
-table, sets are compared with the smallest one, not with each other; only where a table still holds sets of several
-components after that, those of different components are compared too.
+table, sets are compared with the smallest one, not with each other. Where a table still holds sets of several components
+after that, those of different components are compared too if they share a rare shingle, as similar ones must.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ SHINGLE = 5
 #: Sets are linked when PERCENT * |union| <= 100 * |intersection|.
 PERCENT = 85
 SMALL, ROWS = 10, 3
+#: Bits of a set's marks, by which pairs that share too little are told without the sets.
+MARKS = 512
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -81,11 +85,12 @@ def _signed(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("text_hash"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(names, pa.binary()),
                 as_list(np.concatenate([[0], np.cumsum(sizes)]), keys.ravel().view(np.int64), pa.int64()),
             ],
-            ["doc_id", "n_shingles", "node", "keys"],
+            ["doc_id", "text_hash", "n_shingles", "node", "keys"],
         )
 
 
@@ -95,9 +100,18 @@ def _sets(batches):
         if sets:
             flat = np.concatenate(sets).view(np.int64)
             names = pa.array([_name(s) for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [names, as_list(np.cumsum([0, *map(len, sets)]), flat, pa.int64())], ["node", "shingles"]
-            )
+            own = as_list(np.cumsum([0, *map(len, sets)]), flat, pa.int64())
+            bits = as_list(np.arange(len(sets) + 1) * (MARKS // 64), np.concatenate([marks(s) for s in sets]), pa.int64())
+            yield pa.RecordBatch.from_arrays([names, own, bits], ["node", "shingles", "marks"])
+
+
+def marks(shingle_set: np.ndarray) -> np.ndarray:
+    """For each of MARKS classes of hashes whether the set has an odd number of them, as bits of MARKS / 64 integers.
+
+    Where two sets' bits differ one of them has a shingle that the other lacks, which bounds what they share.
+    """
+    odd = np.bincount((shingle_set >> np.uint64(20)) % np.uint64(MARKS), minlength=MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _name(shingle_set: np.ndarray) -> bytes:
@@ -124,9 +138,20 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nothing, and a row with one is only kept if all ids of its component are NULL. Rows that repeat the smallest id are all
     marked kept. An empty table gives no rows. Other columns are not looked at.
     """
+    return _clustered(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _clustered(docs: DataFrame, percent: int) -> DataFrame:
+    """As `clusters`, with a hash of the text and with the component's root, which is NULL for a text without shingles."""
     text = F.coalesce("text", F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long"), text.alias("text"))
-    signed = plain.mapInArrow(_signed, "doc_id long, n_shingles long, node binary, keys array<long>")
+    signed = plain.withColumn("text_hash", _text_hash()).mapInArrow(
+        _signed, "doc_id long, text_hash long, n_shingles long, node binary, keys array<long>"
+    )
     signed = stored(signed)
     nodes = signed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")
@@ -138,10 +163,12 @@ def clusters(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         roots = _roots(plain, tables, nodes, percent)
     named = nodes.select("node", "doc_id").join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_node = named.join(least, "root").select("node", "component_id")
+    # Written out because adaptive execution can only split the rows of a hot set between two plain shuffles.
+    of_node = stored(named.join(least, "root").select("node", "root", "component_id"))
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    kept = F.col("doc_id").eqNullSafe(component).alias("kept")
     return signed.join(of_node, "node", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_hash", "n_shingles", "root", component.alias("component_id"), kept
     )
 
 
@@ -149,6 +176,7 @@ def _tables(nodes: DataFrame) -> DataFrame:
     """Rows (key, node, n) of tables that hold several sets."""
     sub = nodes.select("node", "n", F.posexplode("keys").alias("i", "sub"))
     shared = sub.groupBy("sub").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("sub")
+    shared = stored(shared)  # as below: a hot subkey can be split between two plain shuffles
     half = F.col("i") < SMALL
     pairs = (
         sub.join(shared, "sub")
@@ -160,10 +188,10 @@ def _tables(nodes: DataFrame) -> DataFrame:
         .select("node", "n", F.explode("first").alias("one"), "second")
         .select("node", "n", "one", F.explode("second").alias("two"))
     )
-    keyed = pairs.select(F.xxhash64("one", "two").alias("key"), "node", "n")
+    keyed = stored(pairs.select(F.xxhash64("one", "two").alias("key"), "node", "n"))
     several = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("low"), F.max("node").alias("high"))
     several = several.filter("low.node < high").select("key", F.col("low.node").alias("low"), F.col("low.n").alias("low_n"))
-    return keyed.join(several, "key")
+    return keyed.join(stored(several), "key")
 
 
 def _fits(percent: int, one: str, two: str) -> Column:
@@ -171,13 +199,20 @@ def _fits(percent: int, one: str, two: str) -> Column:
     return 100 * F.least(one, two) >= percent * F.greatest(one, two)
 
 
+def _may_share(percent: int) -> Column:
+    """Whether two sets' sizes and marks allow them to be similar enough: each differing bit is a shingle of one set alone."""
+    n = F.col("n1") + F.col("n2")
+    differ = reduce(add, (F.bit_count(F.col("marks1")[i].bitwiseXOR(F.col("marks2")[i])) for i in range(MARKS // 64)))
+    return (100 + percent) * (n - differ) >= 2 * percent * n
+
+
 def _roots(plain: DataFrame, tables: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     held = nodes.join(tables.select("node").distinct(), "node").select("node", "doc_id")
     # A set's text is found by the set's smallest id, whose other rows may hold other texts.
     ids = held.select(F.col("doc_id").alias("id")).distinct()
     mine = plain.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    sets = mine.mapInArrow(_sets, "node binary, shingles array<long>").join(held.select("node"), "node")
-    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")))
+    sets = mine.mapInArrow(_sets, "node binary, shingles array<long>, marks array<long>").join(held.select("node"), "node")
+    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("marks").alias("marks")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -186,18 +221,18 @@ def _roots(plain: DataFrame, tables: DataFrame, nodes: DataFrame, percent: int)
         return stored(both.mapInArrow(lambda batches: _similar(batches, percent), "a binary, b binary"))
 
     stars = tables.filter((F.col("node") != F.col("low")) & _fits(percent, "n", "low_n"))
-    stars = stars.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    links = confirmed(stars)
+    stars = stars.select(F.col("low").alias("a"), F.col("low_n").alias("n1"), F.col("node").alias("b"), F.col("n").alias("n2"))
+    one, two = (sets.select(F.col("node").alias(side), F.col("marks").alias(f"marks{i}")) for i, side in ((1, "a"), (2, "b")))
+    stars = stars.distinct().join(one, "a").join(two, "b").filter(_may_share(percent)).select("a", "b")
+    compared = stored(stars)
+    links = confirmed(compared)
     roots = stored(components(links)) if not links.isEmpty() else None
-    placed = tables.select("key", "node", "n")
+    placed = tables.select("key", "node")
     placed = placed.join(roots, "node", "left") if roots is not None else placed.withColumn("root", F.lit(None).cast("binary"))
-    placed = placed.select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    left = placed.join(open_keys.select("key"), "key")
-    one, two = (left.select("key", *(F.col(c).alias(c + end) for c in ("node", "n", "root"))) for end in ("1", "2"))
-    apart = one.join(two, "key").filter((F.col("node1") < F.col("node2")) & (F.col("root1") != F.col("root2")) & _fits(percent, "n1", "n2"))
-    apart = apart.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
-    apart = apart.join(stars, ["a", "b"], "left_anti")  # those have been compared
+    placed = placed.select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    undecided = stored(placed.join(several.select("key"), "key").select("node", "root").distinct())
+    apart = _across(sets.join(undecided, "node"), percent).join(compared, ["a", "b"], "left_anti")
     more = confirmed(apart)
     if not more.isEmpty():
         roots = components(links.union(more))
@@ -206,11 +241,49 @@ def _roots(plain: DataFrame, tables: DataFrame, nodes: DataFrame, percent: int)
     return roots
 
 
+def _across(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets in different components that may be similar enough, from rows (node, root, shingles, marks).
+
+    With shingles sorted from rare to frequent, two similar sets share one of the first few of each, so only sets that share
+    one of these are paired. Frequent shingles, such as those of a passage that many texts quote, are not among them. The
+    first shingle that two sets share also bounds what they share: all that comes before it in either is the set's own, so
+    sets with too many shingles of their own are not paired. A shingle's sets of its main component are not paired with each
+    other.
+    """
+    n = F.size("shingles").cast("long")
+    tokens = sets.select("node", "root", n.alias("n"), F.explode("shingles").alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"), (F.min("root") < F.max("root")).alias("across"))
+    often = stored(often.filter("often > 1"))
+    first = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    known = F.struct(F.coalesce("often", F.lit(1)).alias("often"), "token", F.coalesce("across", F.lit(False)).alias("across"))
+    ordered = tokens.join(often, "token", "left").groupBy("node").agg(
+        F.first("root").alias("root"), F.first("n").alias("n"), F.sort_array(F.collect_list(known)).alias("tokens")
+    )
+    rare = ordered.join(sets.select("node", "marks"), "node").select("node", "root", "n", "marks", F.posexplode(F.slice("tokens", F.lit(1), first)).alias("before", "t"))
+    left = F.col("n") - F.col("before")  # no more than these can be shared
+    rare = stored(rare.filter("t.across").select("node", "root", "n", "marks", left.alias("left"), F.col("t.token").alias("token")))
+    by_root = rare.groupBy("token", "root").agg(F.count("*").alias("size"))
+    main = by_root.groupBy("token").agg(F.max_by("root", "size").alias("main"), F.count("*").alias("roots")).filter("roots > 1")
+    rows = rare.join(main.select("token", "main"), "token")
+    one = rows.filter("root <> main").select("token", *(F.col(c).alias(f"{c}1") for c in ("node", "root", "n", "marks", "left")))
+    two = rows.select("token", "main", *(F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "marks", "left")))
+    once = (F.col("root2") == F.col("main")) | (F.col("node1") < F.col("node2"))
+    enough = (100 + percent) * F.least("left1", "left2") >= percent * (F.col("n1") + F.col("n2"))
+    pairs = one.join(two, "token").filter((F.col("root1") != F.col("root2")) & once & enough & _may_share(percent))
+    return pairs.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+
+
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs`, all columns, that stay: one of each component, which has its smallest id; the rest goes."""
-    kept = clusters(docs, percent).filter("kept").select("doc_id").distinct()
-    kept_id, order, n = fresh(docs, "kept_id", "order", "n")
-    left = docs.join(kept.toDF(kept_id), F.col("doc_id").eqNullSafe(F.col(kept_id)))
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(order))
-    left = left.withColumn(order, F.xxhash64(*columns(docs))).withColumn(n, first)
-    return left.filter((F.col(n) == 1) | F.col("doc_id").isNull()).select(*columns(docs))
+    """The rows of `docs`, all columns, that stay: one of each component, which has its smallest id; the rest goes.
+
+    Texts without shingles stay, but of rows with one id and equal texts one stays.
+    """
+    found = _clustered(docs, percent).filter("kept").select("doc_id", "text_hash", "root")
+    of_component = found.filter("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+    kept = of_component.select("k.*").union(found.filter("root is null").select("doc_id", "text_hash")).distinct()
+    kept_id, kept_hash, own_hash, order, n = fresh(docs, "kept_id", "kept_hash", "own_hash", "order", "n")
+    keyed = docs.withColumns({own_hash: _text_hash(), order: F.xxhash64(*columns(docs))})
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(own_hash) == F.col(kept_hash))
+    first = F.row_number().over(Window.partitionBy("doc_id", own_hash).orderBy(order))
+    left = keyed.join(stored(kept).toDF(kept_id, kept_hash), same)
+    return left.withColumn(n, first).filter(F.col(n) == 1).select(*columns(docs))
