@@ -380,6 +380,6 @@ def _spans(texts: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
     if often.isEmpty():
         return spans
     windows = beside(often).mapInArrow(_windows(length), "key binary, start long, digest binary")
-    twice = windows.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
+    twice = stored(windows.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"))
     more = windows.join(twice, "digest").select("key", "start", (F.col("start") + length).alias("stop"))
     return spans.union(more)
