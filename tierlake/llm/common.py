@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tierlake.functions.storage import scratch_folder
 
 #: Bytes of text that a task looks at together; a longer text comes alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
