@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tierlake.llm import bpe, chunk_dedup, langid_crf, minhash, mixing
 from tierlake.llm.common import stored, table
 
+#: Documents whose sets of five-word shingles are at least this similar are near copies; op10's contract has its own figure.
+NEAR_PERCENT = 80
+
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language of their own go."""
@@ -20,7 +23,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one stays."""
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, NEAR_PERCENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
