@@ -27,8 +27,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated or go as the rates of their domains say."""
-    return mixing.resample(docs, table(spark, sf_dir, "labels"))
+    """Documents are repeated or go as the rates of their domains say; prose stays, junk and toxic have their shares at most."""
+    return mixing.resample(docs, table(spark, sf_dir, "labels"), keep="prose")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,13 +85,19 @@ def _posterior(measured: DataFrame, measure: str, size: int, chosen: DataFrame,
 
 
 def rates(
-    docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, budget: float | None = None, whole: bool = False
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: Mapping[str, float] = TARGETS,
+    budget: float | None = None,
+    whole: bool = False,
+    keep: str | None = None,
 ) -> DataFrame:
     """One row per document, repeated ones too: doc_id, n_tokens, domain (the likeliest), rate.
 
     `whole` gives all columns of `docs` and the rate instead, named `rate` or, where that is taken, `rate_`. Tokens are words
     between spaces. `targets` are shares by domain, and `budget` the tokens to hand out; without one it is as many as need
-    no domain to be repeated. A NULL or empty text has no tokens, so its rate changes no total. A labelled row without a
+    no domain to be repeated. With the name of a domain in `keep` that domain's tokens all stay, and the shares of the others
+    are what they may have at most beside it, so a scarce domain makes nothing else go. A NULL or empty text has no tokens, so its rate changes no total. A labelled row without a
     document, with NULLs or with conflicting repeats is used as far as it says something. With no labelled document, or
     no tokens, every rate is 1 and the domain NULL. An empty table gives no rows.
     """
@@ -115,7 +121,7 @@ def rates(
     posterior = _posterior(measured, measure, len(found), chosen, "doc_id", domains)
     if posterior:
         small = stored(measured.select(n, F.array(*posterior).alias(soft)).filter(F.col(n) > 0))
-        moves = _fit(small, n, soft, [targets[d] for d in domains], budget)
+        moves = _fit(small, n, soft, [targets[d] for d in domains], budget, domains.index(keep) if keep else None)
         likeliest = F.element_at(F.array(*map(F.lit, domains)), F.array_position(soft, F.array_max(soft)).cast("int"))
         measured = measured.withColumn(soft, F.array(*posterior))
         measured = measured.withColumns({rate: _rate(F.col(soft), moves), domain: likeliest})
@@ -134,7 +140,22 @@ def _rate(soft: Column, moves: list[list[float]]) -> Column:
     return rate
 
 
-def _fit(small: DataFrame, n: str, soft: str, shares: list[float], budget: float | None) -> list[list[float]]:
+def _goal(there: list[float], shares: list[float], budget: float | None, keep: int | None) -> list[float]:
+    """Tokens that each domain shall have."""
+    if budget is not None:
+        return [budget * share for share in shares]
+    if keep is None:
+        budget = min(t / share for t, share in zip(there, shares, strict=True) if share > 0 and t > 0)
+        return [budget * share for share in shares]
+    if not (there[keep] > 0 and shares[keep] > 0):
+        return there  # nothing to measure the others by
+    budget = there[keep] / shares[keep]
+    return [t if k == keep else min(t, budget * share) for k, (t, share) in enumerate(zip(there, shares, strict=True))]
+
+
+def _fit(
+    small: DataFrame, n: str, soft: str, shares: list[float], budget: float | None, keep: int | None = None
+) -> list[list[float]]:
     """The steps of projected gradient descent on the squared misses of the domains' targets, each relative to the tokens there are.
 
     A step takes from each rate the posterior times the relative misses. Moving rates by tokens there are makes the matrix
@@ -148,9 +169,7 @@ def _fit(small: DataFrame, n: str, soft: str, shares: list[float], budget: float
     there = totals(F.lit(1.0))
     if not any(there):
         return []
-    if budget is None:
-        budget = min(t / share for t, share in zip(there, shares, strict=True) if share > 0 and t > 0)
-    goal = [budget * share for share in shares]
+    goal = _goal(there, shares, budget, keep)
     moves, now = [], there
     for _ in range(STEPS):
         miss = [(a - g) / t if t > 0 else 0.0 for a, g, t in zip(now, goal, there, strict=True)]
@@ -161,12 +180,12 @@ def _fit(small: DataFrame, n: str, soft: str, shares: list[float], budget: float
     return moves
 
 
-def resample(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, keep: str | None = None) -> DataFrame:
     """The rows of `docs`, all columns, each as often as its rate says: the whole part of it, and once more with the rest as chance.
 
-    Chance is a hash of the row, so runs agree; rows with a rate of 0 go.
+    Chance is a hash of the row, so runs agree; rows with a rate of 0 go. `keep` is as in `rates`.
     """
-    weighted = rates(docs, labels, targets, whole=True)
+    weighted = rates(docs, labels, targets, whole=True, keep=keep)
     rate = weighted.columns[-1]
     (copy,) = fresh(weighted, "copy")
     chance = F.pmod(F.xxhash64(*columns(docs), F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)
