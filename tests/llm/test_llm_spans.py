@@ -1,0 +1,53 @@
+"""Spans that the personal-data and secret operators add, in texts of awkward writing."""
+
+from __future__ import annotations
+
+import random
+import string
+
+import pytest
+from llm_cases import plain
+
+from tierlake.llm import secret_cost
+
+KEY = "".join(random.Random(5).choices(string.ascii_letters + string.digits, k=200))
+
+
+def added(text):
+    base, every = secret_cost.all_spans(text)
+    return [text[a:b] for a, _, b in every if (a, _, b) not in base]
+
+
+@pytest.mark.parametrize(
+    "text, values",
+    [
+        (f"Authorization: Bearer {KEY}", [KEY]),
+        (f'private_key = "{KEY}"', [KEY]),
+        ('{"pwd":"Xk9#mQ2$vL","note":"' + "n" * 150 + '","passphrase":"T7#pq!9zLw"}', ["Xk9#mQ2$vL", "T7#pq!9zLw"]),
+        (r'{\"pwd\":\"Xk9#mQ2$vL\",\"passphrase\":\"T7#pq!9zLw\"}', ["Xk9#mQ2$vL", "T7#pq!9zLw"]),
+        ("?pwd=Xk9mQ2vLzz&user=bob&passphrase=T7pq9zLw", ["Xk9mQ2vLzz", "T7pq9zLw"]),
+        ("server=a;pwd=Xk,9#mQ2$vL;passcode=T7#pq!9zLw", ["Xk,9#mQ2$vL", "T7#pq!9zLw"]),
+        ("the password token: Xk9#mQ2$vL", ["Xk9#mQ2$vL"]),
+        ("pwd: xkqjzvbwpm", ["xkqjzvbwpm"]),
+        ("pwd: zk4vbnq8 and again pwd: zk4vbnq8", ["zk4vbnq8", "zk4vbnq8"]),
+        ("password is required, a secret garden, the secret: everything", []),
+        ("pwd: " + "-" * 3000, []),
+        ("pwd: " + "ab1" * 1000, []),
+    ],
+)
+def test_values_of_any_length_end_where_they_end(text, values):
+    assert added(text) == values
+
+
+def test_a_bounded_cost_judges_as_the_whole_one_does():
+    pick = random.Random(6)
+    ranks = {word: i for i, word in enumerate(secret_cost.COMMON, 1)}
+    for _ in range(500):
+        alphabet = pick.choice(["ab1", "qwerty12", "asdfgh-", string.printable[:94]])
+        value = "".join(pick.choice(alphabet) for _ in range(pick.randint(6, 300))) + "ab1" * pick.randint(0, 90)
+        assert (secret_cost.guess_bits(value, ranks, 28.0) >= 28.0) == (secret_cost.guess_bits(value, ranks) >= 28.0), value
+
+
+def test_long_secrets_reach_the_table(spark):
+    (row,) = secret_cost.find(plain(spark, [f"pwd={KEY}"])).collect()
+    assert row.spans == f"assign:4:{4 + len(KEY)}" and row.n_assign == 0

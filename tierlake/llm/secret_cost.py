@@ -2,8 +2,9 @@
 
 The cost of a value is the least sum, over all ways to cut it into words, dates, repeats, keyboard walks and characters that
 must be tried one by one, of the logarithms of the guesses that each part takes; dynamic programming finds it. Words are
-common password words and those that the text repeats. A value that follows a word such as `password` or `pwd` is added to
-what the patterns find if it is costly enough, so `password: letmein1` is not.
+common password words and those that the text repeats beside such values; of a value that is all letters, also whatever can be
+spoken, as a large dictionary has it. A value that follows a word such as `password` or `pwd`, however long, is added to what
+the patterns find if it is costly enough, so `password: letmein1` is not.
 """
 
 from __future__ import annotations
@@ -21,8 +22,12 @@ from pyspark.sql import functions as F
 from tierlake.llm.common import pieces, runs, utf8
 
 KINDS = ("assign", "access", "hex")
-#: Bits of guessing from which a value counts as a secret; characters of a value that are looked at as such.
-SECRET_BITS, LEAST_CHARS, MOST_CHARS = 28.0, 6, 128
+#: Bits of guessing from which a value counts as a secret; characters that it has at least.
+SECRET_BITS, LEAST_CHARS = 28.0, 6
+#: Bits of a large dictionary, which has every word that can be spoken.
+SPOKEN_BITS = 17.0
+#: Characters of a repeat or walk up to which every part of it is tried; of a longer one also those that end near its end.
+_EVERY, _NEAR = 128, 24
 
 _ASCII = re.ASCII | re.IGNORECASE
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", _ASCII)
@@ -30,9 +35,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # a run of 16 or more; shorter ones do not count
 _CONTEXT = re.compile(
     r"""\b(pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|bearer)\b"""
-    r"""["']?[\x20\t]*(?:(?:is|was)\b|=>|:=|[:=])?[\x20\t]*["'`]?([!-~]+)""",
+    r"""(?:\\*["'])?[\x20\t]*(?:(?:is|was)\b|=>|:=|[:=])?[\x20\t]*((?:\\*["'`])?)(?=[!-~])""",
     _ASCII,
 )
+_RUN = re.compile(r"[!-~]*+")
+#: A stop in an unquoted value after which another field begins, as in JSON, query strings and connection strings.
+_FIELD = re.compile(r"""[,;&][\[{(]*\\*["'`]?[A-Z_][A-Z0-9_.-]{0,63}\\*["'`]?[:=]""", _ASCII)
+_CLOSED = {quote: re.compile(rf"(?:[^\\{quote}]|\\.)*+{quote}") for quote in "\"'`"}
+_MOST_KEY = 32  # characters from a credential's word up to its value in one run, at most
 #: Lower-case words; every text that has an assignment or a credential's place has one of them or a match of _KEYS.
 _NEEDLES = (b"password", b"passwd", b"passphrase", b"passcode", b"pwd", b"secret", b"token", b"credential", b"bearer")
 _KEYS = re.compile(rb"api[_-]?key|access[_-]?key|private[_-]?key")
@@ -49,6 +59,9 @@ _BESIDE = {a + b for row in _ROWS for a, b in zip(row, row[1:], strict=False)}
 _BESIDE |= {b + a for a, b in map(tuple, _BESIDE)}
 _DATE = re.compile(r"(?:19|20)[0-9]{2}(?:[-/._]?[01]?[0-9](?:[-/._]?[0-3]?[0-9])?)?|[0-3]?[0-9][-/._]?[01]?[0-9][-/._]?(?:(?:19|20)?[0-9]{2})")
 
+_SPOKEN = re.compile(r"(?=[a-z]*[aeiouy])[a-z]{4,20}")
+_UNSPOKEN = re.compile(r"q(?!u)|[jv](?![aeiouy])|x[bdfgjkmnqrsvwz]|z[bcdfgjkmnpqrstvwx]|[bcdfghjklmnpqrstvwxz]{5}|[bcfgjkpqvwxz]{4}|[aeiou]{4}")
+
 Span = tuple[int, int, int]  # start, kind's place in KINDS, end
 
 
@@ -58,17 +71,33 @@ def _brute_bits(char: str) -> float:
     return math.log2(26) if char.isalpha() else math.log2(33)
 
 
-def guess_bits(value: str, ranks: dict[str, int]) -> float:
-    """The base-2 logarithm of the guesses that `value` takes; `ranks` has words by how soon they are tried, from 1."""
-    return parts(value, ranks)[0]
+def guess_bits(value: str, ranks: dict[str, int], enough: float = math.inf) -> float:
+    """The base-2 logarithm of the guesses that `value` takes; `ranks` has words by how soon they are tried, from 1.
 
+    From `enough` on it may be a lower bound.
+    """
+    return _least(value, ranks, enough)[0]
 
-def parts(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, str]]]:
-    """The least cost and the parts it comes from, each with its kind."""
+
+def _is_spoken(value: str) -> bool:
+    """Whether letters look like one word, in one case or with a capital."""
+    low = value.lower()
+    return value in (low, low.upper(), low.capitalize()) and bool(_SPOKEN.fullmatch(low)) and not _UNSPOKEN.search(low)
+
+
+def _sizes(most: int, least: int, step: int = 1) -> list[int]:
+    """Of the parts of a run with `least` to `most` units of `step` characters those that are tried."""
+    some = min(most, max(_EVERY // step, least))
+    return [*range(least, some + 1), *range(max(some + 1, most - _NEAR), most + 1)]
+
+
+def _least(value: str, ranks: dict[str, int], enough: float = math.inf) -> tuple[float, list[tuple[int, str]]]:
+    """The least cost, and for each border the last part before it; no parts once the cost is sure to reach `enough`."""
     n = len(value)
     low = value.lower()
     plain = low.translate(_LEET)
     mixed_case = low != value and value != value.upper()
+    letters = value.isalpha()
     cost, back = [0.0] + [math.inf] * n, [(0, "")] * (n + 1)
 
     def offer(i: int, j: int, bits: float, kind: str) -> None:
@@ -76,8 +105,11 @@ def parts(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, str
         if total < cost[j]:
             cost[j], back[j] = total, (i, kind)
 
-    walk = 0  # characters of the keyboard walk that ends here
+    last, walks, repeats = 0, (0, 0), [(0, 0)] * 9  # start and end of the run at hand, also for each size of block
     for i in range(n):
+        # every way on leads over a border from here on, and what leads there is known
+        if i % 64 == 0 and i and min(cost[i : last + 1]) >= enough:
+            return min(cost[i : last + 1]), []
         for j in range(i + 1, min(n, i + 24) + 1):
             word = plain[i:j] if plain[i:j] in ranks else low[i:j]
             if j - i >= 3 and word in ranks:
@@ -87,23 +119,43 @@ def parts(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, str
                 offer(i, j, math.log2(ranks[word] + 1) + (math.log2(math.comb(j - i, min(odd, (j - i) // 2)) + 1) if odd else 0), "word")
             if 4 <= j - i <= 10 and _DATE.fullmatch(value, i, j):
                 offer(i, j, math.log2(365 * 120), "date")
-        walk = 2
-        while i + walk <= n and low[i + walk - 2 : i + walk] in _BESIDE:
-            if walk >= 3:
+            if letters and _is_spoken(value[i:j]):
+                offer(i, j, SPOKEN_BITS, "word")
+        last = max(last, min(n, i + 24))
+        if i >= walks[1] - 1:
+            end = i + 1
+            while end < n and low[end - 1 : end + 1] in _BESIDE:
+                end += 1
+            walks = i, end
+        if i - walks[0] <= _EVERY:
+            for walk in _sizes(walks[1] - i, 3):
                 offer(i, i + walk, math.log2(47 * 2) + 1.5 * math.log2(walk), "walk")
-            walk += 1
+        last = max(last, walks[1])
         for size in range(1, min(8, (n - i) // 2) + 1):
-            times = 1
-            while low.startswith(low[i : i + size], i + times * size):
-                times += 1
+            if i + size >= repeats[size][1]:
+                end = i + size
+                while end < n and low[end] == low[end - size]:
+                    end += 1
+                repeats[size] = i, end
+            start, end = repeats[size]
+            if i - start <= _EVERY and end - i >= 2 * size:
                 block = sum(_brute_bits(c) for c in low[i : i + size])
-                if size * times >= 3:
-                    offer(i, i + size * times, block + math.log2(times) + 1, "repeat")
+                for times in _sizes((end - i) // size, 2, size):
+                    if size * times >= 3:
+                        offer(i, i + size * times, block + math.log2(times) + 1, "repeat")
+                last = max(last, end)
         # one character more of what is tried one by one
         bits = _brute_bits(value[i]) + (1.0 if mixed_case and value[i].isalpha() else 0.0)
         total = cost[i] + bits + (1.0 if i and back[i][1] != "each" else 0.0)
         if total < cost[i + 1]:
             cost[i + 1], back[i + 1] = total, (i, "each")
+    return cost[n], back
+
+
+def parts(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, str]]]:
+    """The least cost and the parts it comes from, each with its kind."""
+    n = len(value)
+    least, back = _least(value, ranks)
     found, at = [], n
     while at > 0:
         start, kind = back[at]
@@ -112,7 +164,7 @@ def parts(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, str
         else:
             found.append((value[start:at], kind))
         at = start
-    return cost[n], found[::-1]
+    return least, found[::-1]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -123,28 +175,67 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def candidates(text: str) -> list[tuple[int, int, int]]:
+    """The values in a credential's place, of any length: where the credential's word begins, and the value's start and end.
+
+    A quoted value ends at its closing quote, another one at a blank or before another field.
+    """
+    found, at, run, stop = [], 0, 0, 0
+    while match := _CONTEXT.search(text, at):
+        start = match.end()
+        if start >= run:
+            run, stop = _RUN.match(text, start).end(), -1
+        if stop < start:
+            field = _FIELD.search(text, start, run)
+            stop = field.start() if field else run
+        end = _closing(text, match[2], start, run) if match[2] else -1
+        if end < 0:
+            end = stop
+        stripped = start + len(text[start:end].rstrip("\"'`,;.)]}>"))
+        found.append((match.start(), start, stripped))
+        at = max(start, end - _MOST_KEY)  # its last word may be another credential's
+    return found
+
+
+def _closing(text: str, quote: str, start: int, end: int) -> int:
+    """Where the quote, which may be an escaped one, is closed; -1 if it is not."""
+    if len(quote) > 1:
+        return text.find(quote, start, end)
+    closed = _CLOSED[quote].match(text, start, end)
+    return closed.end() - 1 if closed else -1
+
+
 def all_spans(text: str, bits: float = SECRET_BITS) -> tuple[list[Span], list[Span]]:
     """The patterns' spans, and all of them with the costly values in a credential's place, as kind assign."""
     base = base_spans(text)
     ranks: dict[str, int] = {}
-    added, at = [], 0
-    for match in _CONTEXT.finditer(text):
-        start = match.start(2)
-        value = match[2][: MOST_CHARS + 1].rstrip("\"'`,;.)]}>")
-        end = start + len(value)
-        while at < len(base) and base[at][2] <= match.start():
+    added, at, done = [], 0, 0
+    places = candidates(text)
+    for word, start, end in places:
+        while at < len(base) and base[at][2] <= word:
             at += 1
-        covered = any(s < end and match.start() < e for s, _, e in base[at : at + len(KINDS)])
-        if covered or not LEAST_CHARS <= len(value) <= MOST_CHARS or value.isalpha():
+        covered = any(s < end and word < e for s, _, e in base[at : at + len(KINDS)])
+        if covered or start < done or end - start < LEAST_CHARS:
             continue
         if not ranks:
-            repeated = [w for w, n in Counter(re.findall(r"[a-z]{3,24}", text.lower())).most_common() if n > 1]
+            counted = Counter(re.findall(r"[a-z]{3,24}", _without(text, places).lower()))
+            repeated = [w for w, n in counted.most_common() if n > 1]
             ranks = {word: i for i, word in enumerate(dict.fromkeys([*COMMON, *repeated]), 1)}
-        if guess_bits(value, ranks) >= bits:
+        if guess_bits(text[start:end], ranks, bits) >= bits:
             added.append((start, 0, end))
+            done = end
     return base, sorted(base + added)
 
 
+def _without(text: str, places: list[tuple[int, int, int]]) -> str:
+    """The text without the values in a credential's place, which are no words that it repeats."""
+    left, at = [], 0
+    for _, start, end in places:
+        left.append(text[at : max(at, start)])
+        at = max(at, end)
+    return " ".join([*left, text[at:]])
+
+
 def _joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
