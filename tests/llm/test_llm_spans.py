@@ -5,10 +5,11 @@ from __future__ import annotations
 import random
 import string
 
+import numpy as np
 import pytest
 from llm_cases import plain
 
-from tierlake.llm import secret_cost
+from tierlake.llm import pii_semicrf, secret_cost
 
 KEY = "".join(random.Random(5).choices(string.ascii_letters + string.digits, k=200))
 
@@ -51,3 +52,37 @@ def test_a_bounded_cost_judges_as_the_whole_one_does():
 def test_long_secrets_reach_the_table(spark):
     (row,) = secret_cost.find(plain(spark, [f"pwd={KEY}"])).collect()
     assert row.spans == f"assign:4:{4 + len(KEY)}" and row.n_assign == 0
+
+
+@pytest.fixture(scope="module")
+def pii_model(spark):
+    return pii_semicrf.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def personal(model, text):
+    base, every = pii_semicrf.all_spans(model, text)
+    return [(pii_semicrf.KINDS[k], text[a:b]) for k, a, b in every if (k, a, b) not in base]
+
+
+@pytest.mark.parametrize("n", [0, 498, 499, 500, 998, 999])
+def test_segments_cross_the_parts_of_a_long_island(n):
+    weights = {"at=0": np.full(4, -9.0), "groups=3-3-4": np.array([0, 0, 0, 30.0])}
+    model = pii_semicrf.Model(weights, np.zeros((5, 5)))
+    numbers = [f"{i % 9}.{i % 7}" for i in range(n)]
+    text = " ".join([*numbers, "(988) 555-2485", *numbers])
+    (island,) = pii_semicrf.islands(text)
+    parts, whole = (
+        {span: sure for span, sure in found if sure >= pii_semicrf.SURE}
+        for found in (pii_semicrf._decoded(model, text, island), pii_semicrf.decode(model, text, island))
+    )
+    assert parts == pytest.approx(whole)
+    assert [text[a:b] for _, a, b in parts] == ["(988) 555-2485"]
+    assert personal(model, text) == [("phone", "(988) 555-2485")]
+
+
+def test_fields_of_long_tokens_are_candidates(pii_model):
+    rest = "x" * 70
+    assert personal(pii_model, '{"name":"' + rest + '","phone":"(988) 555-2485","note":"' + rest + '"}') == [("phone", "(988) 555-2485")]
+    assert personal(pii_model, f"{rest},4111.1111.1111.1111,{rest}") == [("card", "4111.1111.1111.1111")]
+    assert personal(pii_model, f"https://a.example/{rest}?tel=988-555-2485&to={rest}") == [("phone", "988-555-2485")]
+    assert personal(pii_model, ",".join(str(y) for y in range(1950, 2000))) == []

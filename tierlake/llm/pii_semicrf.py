@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -35,6 +36,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"\S+")
+_WORD = re.compile(r"\w")
+_FIELD = re.compile(r"""[^"'`,;&=]+""")  # of a token too long for a segment, as in compact JSON, CSV lines and URLs
 
 Span = tuple[int, int, int]  # kind's place in KINDS, start, end
 
@@ -86,18 +89,28 @@ class Island(NamedTuple):
     before: str
 
 
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Words between blanks, and of one with more than MOST_CHARS characters its fields."""
+    for match in _TOKEN.finditer(text):
+        start, end = match.span()
+        if end - start <= MOST_CHARS:
+            yield start, end
+        else:
+            yield from (m.span() for m in _FIELD.finditer(text, start, end) if _WORD.search(m[0]))
+
+
 def islands(text: str) -> list[Island]:
     """The stretches of tokens that hold a digit or an at sign, with one space or the like between two of them."""
     found, before, last = [], "", -2
-    for match in _TOKEN.finditer(text):
-        start, end = match.span()
-        if end - start <= MOST_CHARS and re.search(r"[0-9@]", match[0]):
-            if last == start - 1 and text[last] != "\n":
+    for start, end in _tokens(text):
+        token = text[start:end]
+        if end - start <= MOST_CHARS and re.search(r"[0-9@]", token):
+            if last == start - 1 and text[last].isspace() and text[last] != "\n":
                 found[-1].tokens.append((start, end))
             else:
                 found.append(Island([(start, end)], before))
             last = end
-        before = match[0][-20:].lower()
+        before = token[-20:].lower()
     return found
 
 
@@ -361,7 +374,7 @@ def all_spans(model: Model, text: str) -> tuple[list[Span], list[Span]]:
     for island in islands(text):
         if all(touches(*token) for token in island.tokens):
             continue  # nothing of it is outside
-        for span, sure in (found for part in _parts(island) for found in decode(model, text, part)):
+        for span, sure in _decoded(model, text, island):
             if sure >= SURE and span[1] < span[2] and not touches(*span[1:]):
                 added.append(span)
     return base, sorted(base + added)
@@ -379,10 +392,22 @@ def _merged(spans: list[Span]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def _parts(island: Island, most: int = 500) -> list[Island]:
-    """A very long island in parts, so that memory follows the part."""
-    at = range(0, len(island.tokens), most)
-    return [Island(island.tokens[i : i + most], island.before if not i else "") for i in at]
+def _decoded(model: Model, text: str, island: Island, most: int = 500, beside: int = 64) -> Iterator[tuple[Span, float]]:
+    """As `decode`; a very long island in parts, so that memory follows the part.
+
+    A part is decoded with `beside` tokens more on either side and the true word before them, and gives the segments that
+    begin in it, so segments cross from one part into the next.
+    """
+    tokens, done = island.tokens, 0
+    for i in range(0, len(tokens), most):
+        low = max(0, i - beside)
+        before = text[slice(*tokens[low - 1])].lower() if low else island.before
+        part = Island(tokens[low : i + most + beside], before)
+        until = tokens[i + most][0] if i + most < len(tokens) else len(text)
+        for (kind, start, end), sure in decode(model, text, part):
+            if max(tokens[i][0], done) <= start < until:
+                yield (kind, start, end), sure
+                done = end
 
 
 def train(docs: DataFrame) -> Model:
