@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import bpe, chunk_dedup, langid_crf, maxscore, minhash, mixing, pii_semicrf, secret_cost, suffix_dedup, toxicity
+from tierlake.llm import (
+    bpe,
+    chunk_dedup,
+    langid_crf,
+    maxscore,
+    minhash,
+    mixing,
+    periodic_runs,
+    pii_semicrf,
+    secret_cost,
+    suffix_dedup,
+    token_alignment,
+    toxicity,
+    word_dedup,
+)
 from tierlake.llm.common import table
 
 
@@ -51,6 +65,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.clusters(table(spark, sf_dir, "documents"))
 
 
+def op11_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.with_periods(table(spark, sf_dir, "documents")))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.digests(table(spark, sf_dir, "documents"), *token_alignment.vocabulary_paths(spark))
+
+
 QUERIES = {
     "op1_langid_crf": op1_langid_crf,
     "op2_chunk_dedup": op2_chunk_dedup,
@@ -62,6 +88,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash": op10_minhash,
+    "op11_fm_index": op11_fm_index,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES = {
