@@ -243,11 +243,15 @@ def plain_alignment(pair, text):
         return []
     a, b = ids
     ends_a, ends_b = (np.cumsum([len(known[i]) for i in own]).tolist() for own, known in ((a, pair.bytes_a), (b, pair.bytes_b)))
-    groups, i, k = [], 0, 0
-    for end in sorted(set(ends_a) & set(ends_b)):
-        j, m = ends_a.index(end) + 1, ends_b.index(end) + 1
-        groups.append((a[i:j], b[k:m]))
-        i, k = j, m
+    groups, group_a, k = [], [], 0
+    for end, i in zip(ends_a, a, strict=True):
+        group_a.append(i)
+        m = k
+        while m < len(b) and ends_b[m] <= end:
+            m += 1
+        if m and ends_b[m - 1] == end:
+            groups.append((group_a, b[k:m]))
+            group_a, k = [], m
     return groups
 
 
@@ -301,20 +305,23 @@ def test_alignment_of_a_whole_table(spark, pair):
 
 
 def test_alignment_of_awkward_rows(spark, pair):
-    rows = [r for r in awkward() if r[1] != LONG]
+    rows = awkward()
     expected, _, _ = plain_links(pair, [r[1] for r in rows])
     got = token_alignment.align(documents(spark, rows), *PATHS).collect()
     same_rows(got, [(r[0], *e) for r, e in zip(rows, expected, strict=True)])
-    long = token_alignment.align(documents(spark, awkward()), *PATHS).filter("doc_id in (7, 8)").collect()
-    assert [r.n_groups for r in long] == [60_000] * 2
     assert token_alignment.align(documents(spark, []), *PATHS).isEmpty()
     assert token_alignment.id_links(documents(spark, []), *PATHS).isEmpty()
 
 
 def test_no_token_crosses_the_cuts_between_chunks(pair):
     """What chunks rely on: after a character that is no white space a blank only begins a token."""
-    crossing = re.compile(rb"[^\s] ")
-    assert not [t for t in pair.bytes_a + pair.bytes_b if crossing.search(t)]
+    crossing = re.compile(r"\S ")
+    assert not [piece for piece in pair.bytes_b if crossing.search(piece.decode(errors="ignore"))]
+    # The other tokenizer's tokens lie in matches of its pattern, in which a blank only follows white space.
+    import regex
+
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    assert not [m for text in odd_texts(7, 3000) for m in pattern.findall(f" {text}") if crossing.search(m)]
 
 
 def test_byte_characters_spell_every_byte_once(pair):
