@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
 import os
-from datetime import timedelta
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import rows
@@ -23,7 +26,7 @@ from tierlake import (
     upsert,
 )
 from tierlake.functions.sizing import planned_bytes, room_to_shuffle
-from tierlake.operators import publish
+from tierlake.operators import claims, publish, tables
 from tierlake.operators.tables import registered_buckets, table_layout
 
 LAYOUTS = pytest.mark.parametrize("buckets", [None, 4, "k DIV 3 - 2"])
@@ -402,21 +405,185 @@ def test_a_plain_table_made_elsewhere_can_be_upserted(spark, name, path):
     assert put(spark, name, path, frame(spark, [(2, "B")])) == [(1, "a"), (2, "B")]
 
 
-@LAYOUTS
-def test_second_writer_is_noticed(spark, name, path, buckets, monkeypatch):
-    put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)
+def in_between(monkeypatch, what):
+    """Have something happen after the next write of rows and before the switch to them."""
     write = publish._write
 
-    def write_then_lose_the_race(*args, **options):
+    def write_and_then(*args, **options):
         location = write(*args, **options)
         monkeypatch.setattr(publish, "_write", write)
-        put(spark, name, path, frame(spark, [(1, "other")]))
+        what()
         return location
 
-    monkeypatch.setattr(publish, "_write", write_then_lose_the_race)
+    monkeypatch.setattr(publish, "_write", write_and_then)
+
+
+@LAYOUTS
+def test_a_second_writer_fails_before_it_writes(spark, name, path, buckets, monkeypatch):
+    put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)
+    before = set(os.listdir(path))
+
+    def second():
+        written = set(os.listdir(path))
+        for write in (lambda: put(spark, name, path, frame(spark, [(1, "other")])), lambda: overwrite(spark, name, path, frame(spark, []))):
+            with pytest.raises(PublishError, match="being written by another job"):
+                write()
+        assert set(os.listdir(path)) == written and len(written - before) == 2  # its rows and its claim
+
+    in_between(monkeypatch, second)
+    assert put(spark, name, path, frame(spark, [(1, "mine")])) == [(1, "mine")]
+    assert not any("claim" in file for file in os.listdir(path))
+
+
+@LAYOUTS
+def test_a_refused_writer_leaves_nothing_to_register(spark, name, path, buckets, monkeypatch, conf):
+    """A job takes over the claim of a slower one, which is refused; then the catalog loses the table."""
+    put(spark, name, path, frame(spark, [(1, "a"), (2, "b")]), buckets=buckets)
+
+    def winner():
+        conf(spark__tierlake__claim__hours="0")
+        put(spark, name, path, frame(spark, [(1, "WINNER"), (3, "new")]))
+        conf(spark__tierlake__claim__hours="24")
+
+    in_between(monkeypatch, winner)
+    with pytest.raises(PublishError, match="taken over the claim"):
+        put(spark, name, path, frame(spark, [(2, "LOSER")]))
+    expected = [(1, "WINNER"), (2, "b"), (3, "new")]
+    assert rows(read_table(spark, name)) == expected
+    spark.sql(f"DROP TABLE {name}")
+    register_path(spark, f"{name}_again", path)
+    assert rows(read_table(spark, f"{name}_again")) == expected
+    assert len([f for f in os.listdir(path) if f.startswith("v")]) == 2
+    assert put(spark, name, path, frame(spark, [(2, "late")])) == [(1, "WINNER"), (2, "late"), (3, "new")]
+
+
+@LAYOUTS
+def test_a_writer_without_a_claim_is_noticed_too(spark, name, path, buckets, monkeypatch):
+    """As when the storage cannot create a file only if it is not there."""
+    monkeypatch.setattr(publish, "claimed", lambda *_: contextlib.nullcontext(lambda: None))
+    put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)
+    in_between(monkeypatch, lambda: put(spark, name, path, frame(spark, [(1, "other")])))
     with pytest.raises(PublishError, match="while it was being rewritten"):
         put(spark, name, path, frame(spark, [(1, "mine")]))
     assert rows(read_table(spark, name)) == [(1, "other")]
+    assert len([f for f in os.listdir(path) if f.startswith("v")]) == 2
+
+
+@LAYOUTS
+def test_rows_of_a_killed_job_are_not_registered(spark, name, path, buckets, monkeypatch):
+    """It dies after its rows are written; its claim is left behind too."""
+    put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)
+
+    def die():
+        raise KeyboardInterrupt
+
+    in_between(monkeypatch, die)
+    monkeypatch.setattr(claims, "remove_folder", lambda *_: None)
+    with pytest.raises(KeyboardInterrupt):
+        put(spark, name, path, frame(spark, [(1, "killed"), (2, "killed")]))
+    monkeypatch.undo()
+    spark.sql(f"DROP TABLE {name}")
+    register_path(spark, name, path)
+    assert rows(read_table(spark, name)) == [(1, "a")]
+    with pytest.raises(PublishError, match="being written by another job"):
+        put(spark, name, path, frame(spark, [(1, "b")]))
+
+
+def claim(spark, path, hours_ago):
+    since = datetime.now(timezone.utc) - timedelta(hours=hours_ago)
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/{claims.CLAIM_FILE}", "w") as out:
+        json.dump({"claim": "somebody", "since": since.isoformat()}, out)
+
+
+def test_a_claim_is_taken_over_after_a_while(spark, name, path, conf):
+    claim(spark, path, 23)
+    for write in (lambda: put(spark, name, path, frame(spark, [(1, "a")])), lambda: first_load(spark, name, path, frame(spark, []))):
+        with pytest.raises(PublishError, match="being written by another job"):
+            write()
+    assert os.listdir(path) == [claims.CLAIM_FILE]
+    conf(spark__tierlake__claim__hours="22.5")
+    assert put(spark, name, path, frame(spark, [(1, "a")])) == [(1, "a")]
+    assert not any("claim" in file for file in os.listdir(path))
+    claim(spark, path, 25)
+    with open(f"{path}/{claims.CLAIM_FILE}", "w") as out:
+        out.write("not a claim")
+    with pytest.raises(PublishError, match="being written by another job"):
+        put(spark, name, path, frame(spark, [(1, "b")]))
+
+
+def test_of_many_writers_at_once_each_succeeds_whole_or_fails_early(spark, name, path):
+    put(spark, name, path, frame(spark, [(0, "a")]))
+
+    def write(i):
+        try:
+            upsert(spark, name, path, frame(spark, [(i, "x")]), ["k"])
+            return i
+        except PublishError as refused:
+            assert "another job" in str(refused)
+
+    with ThreadPoolExecutor(6) as pool:
+        done = {i for i in pool.map(write, range(1, 7)) if i}
+    assert done and {k for k, _ in rows(read_table(spark, name))} == {0, *done}
+    assert len([f for f in os.listdir(path) if f.startswith("v")]) == 1 + len(done)
+
+
+def test_of_two_that_take_over_one_wins(spark, name, path, monkeypatch):
+    """The second one moves the first one's new claim away, and puts it back."""
+    claim(spark, path, 30)
+    file, move = f"{path}/{claims.CLAIM_FILE}", claims.rename
+    fresh = json.dumps({"claim": "faster", "since": datetime.now(timezone.utc).isoformat()})
+
+    def slow(session, source, to):
+        monkeypatch.setattr(claims, "rename", move)
+        with open(file, "w") as out:
+            out.write(fresh)
+        return move(session, source, to)
+
+    monkeypatch.setattr(claims, "rename", slow)
+    with pytest.raises(PublishError, match="being written by another job"):
+        put(spark, name, path, frame(spark, [(1, "a")]))
+    with open(file) as kept:
+        assert kept.read() == fresh
+    assert os.listdir(path) == [claims.CLAIM_FILE]
+
+
+def test_an_interrupted_switch_is_finished_by_the_next_writer(spark, name, path, monkeypatch):
+    put(spark, name, path, frame(spark, [(k, "a") for k in range(20)]), buckets=4)
+    move = tables._move_partitions
+    monkeypatch.setattr(tables, "_move_partitions", lambda s, n, at, numbers: move(s, n, at, numbers[:1]) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        put(spark, name, path, frame(spark, [(k, "b") for k in range(20)]))
+    monkeypatch.undo()
+    assert {v for _, v in rows(read_table(spark, name))} == {"a", "b"}
+    assert put(spark, name, path, frame(spark, [(50, "c")])) == rows(frame(spark, [(k, "b") for k in range(20)] + [(50, "c")]))
+    spark.sql(f"DROP TABLE {name}")
+    register_path(spark, name, path)
+    assert rows(read_table(spark, name)) == rows(frame(spark, [(k, "b") for k in range(20)] + [(50, "c")]))
+
+
+def test_new_buckets_appear_with_the_others(spark, name, path, monkeypatch):
+    """A reader between registration and switch sees the table as it was."""
+    put(spark, name, path, frame(spark, [(k, "a") for k in range(4)]), buckets="k")
+    move, seen = tables._move_partitions, []
+
+    def look_first(*args):
+        seen.append(rows(read_table(spark, name)))
+        move(*args)
+
+    monkeypatch.setattr(tables, "_move_partitions", look_first)
+    put(spark, name, path, frame(spark, [(k, "b") for k in range(2, 8)]))
+    assert seen == [[(k, "a") for k in range(4)]]
+
+
+def test_a_table_is_found_without_reading_its_whole_history(spark, name, path, monkeypatch):
+    for i in range(6):
+        put(spark, name, path, frame(spark, [(k, f"v{i}") for k in range(20)]), buckets=2)
+    expected, listed, listing = rows(read_table(spark, name)), [], publish._buckets_in
+    spark.sql(f"DROP TABLE {name}")
+    monkeypatch.setattr(publish, "_buckets_in", lambda *args: listed.append(args) or listing(*args))
+    register_path(spark, name, path)
+    assert rows(read_table(spark, name)) == expected and len(listed) == 1
 
 
 def test_staged_source_is_removed(spark, name, path):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierlake.functions.sizing import fits_broadcast, row_bytes
 from tierlake.functions.storage import (
     committed_folders,
+    name_time,
     folder_names,
     one_process,
     plain_path,
@@ -101,3 +102,10 @@ def test_only_finished_folders_count(spark, tmp_path):
     (tmp_path / "v3").mkdir()
     assert [f.rsplit("/", 1)[1] for f in committed_folders(spark, str(tmp_path))] == ["v1", "v2"]
     assert sorted(folder_names(spark, str(tmp_path))) == ["v1", "v2", "v3"]
+
+
+def test_a_name_sorts_behind_one_from_a_clock_that_is_ahead():
+    ahead = "v99990101T000000000000_0a1b2c3d"
+    assert unique_name("v", ahead) > ahead and name_time(ahead, "v").year == 9999
+    assert unique_name("v", "elsewhere") > unique_name("v")[:5]
+    assert name_time("elsewhere", "v") is None and name_time(ahead + "x", "v") is None

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
-def unique_name(prefix: str) -> str:
-    """A fresh name; names with the same prefix sort by the time they were made."""
-    return f"{prefix}{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}_{uuid.uuid4().hex[:8]}"
+_TIME = "%Y%m%dT%H%M%S%f"
+
+
+def unique_name(prefix: str, after: str | None = None) -> str:
+    """A fresh name; names with the same prefix sort by the time they were made.
+
+    after: a name with the prefix, made by another machine perhaps, that the new one must sort behind whatever the clocks say.
+    """
+    now = datetime.now(timezone.utc)
+    if after is not None and (last := name_time(after, prefix)) is not None:
+        now = max(now, last + timedelta(microseconds=1))
+    return f"{prefix}{now:{_TIME}}_{uuid.uuid4().hex[:8]}"
+
+
+def name_time(name: str, prefix: str) -> datetime | None:
+    """When `unique_name` made a name; None for any other name."""
+    if not re.fullmatch(rf"{re.escape(prefix)}\d{{8}}T\d{{12}}_[0-9a-f]{{8}}", name):
+        return None
+    return datetime.strptime(name.removeprefix(prefix).partition("_")[0], _TIME).replace(tzinfo=timezone.utc)
 
 
 def one_process(spark: SparkSession) -> bool:
@@ -57,16 +75,16 @@ def staged(df: DataFrame) -> Iterator[Staged]:
         files.delete(path, True)
 
 
-def committed_folders(spark: SparkSession, path: str) -> list[str]:
-    """Folders below `path` that a finished Spark write has marked as complete, oldest name first."""
-    pattern, files = _file_system(spark, f"{path}/*/_SUCCESS")
+def committed_folders(spark: SparkSession, path: str, marker: str = "_SUCCESS") -> list[str]:
+    """Folders below `path` that a finished Spark write, or the file `marker`, has marked as complete, oldest name first."""
+    pattern, files = _file_system(spark, f"{path}/*/{marker}")
     found = files.globStatus(pattern) or []
     return sorted(status.getPath().getParent().toString() for status in found)
 
 
-def write_text(spark: SparkSession, name: str, text: str) -> None:
+def write_text(spark: SparkSession, name: str, text: str, overwrite: bool = True) -> None:
     path, files = _file_system(spark, name)
-    out = files.create(path, True)
+    out = files.create(path, overwrite)
     try:
         out.write(bytearray(text.encode()))
     finally:
@@ -86,10 +104,27 @@ def read_text(spark: SparkSession, name: str) -> str | None:
 
 
 def remove_folder(spark: SparkSession, name: str) -> None:
+    """Delete a folder with all in it, or a file."""
     path, files = _file_system(spark, name)
     files.delete(path, True)
 
 
+def make_folder(spark: SparkSession, name: str) -> None:
+    path, files = _file_system(spark, name)
+    files.mkdirs(path)
+
+
+def rename(spark: SparkSession, name: str, to: str) -> bool:
+    """Whether the file was there and has been renamed."""
+    path, files = _file_system(spark, name)
+    try:
+        return files.rename(path, _file_system(spark, to)[0])
+    except Py4JJavaError as failed:
+        if "FileNotFound" in failed.java_exception.getClass().getName():
+            return False
+        raise
+
+
 def plain_path(spark: SparkSession, name: str) -> str:
     """A path the way the file system spells it, so that two spellings of one path compare equal."""
     path, files = _file_system(spark, name)

@@ -6,16 +6,17 @@ table as it was, and no write ever deletes a file; `remove_unused` does, on requ
 
 A plain table switches as a whole. A table with buckets is partitioned by a function of its key, and an upsert
 rewrites and switches only the buckets its source touches, in one call to the catalog; running the same upsert again
-completes one that was cut short. One job at a time may write to a table.
+completes one that was cut short. A job holds a claim on the table's path while it writes, so there is one at a time.
 
-Each folder that is written also holds a small file that says how its rows are laid out, so that a table the catalog
-has lost can be found again by its path.
+Each folder that is written also holds a small file that says how its rows are laid out, and, once the catalog points to
+it, one that says so. From these a table the catalog has lost can be found again by its path; what a job has written and
+not published is never taken for the table.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from contextlib import ExitStack
 from datetime import datetime, timedelta, timezone
 
@@ -30,6 +31,7 @@ from tierlake.functions.sizing import added, fits_broadcast, planned_bytes, room
 from tierlake.functions.storage import (
     committed_folders,
     folder_names,
+    name_time,
     plain_path,
     read_text,
     remove_folder,
@@ -38,6 +40,7 @@ from tierlake.functions.storage import (
     write_text,
 )
 from tierlake.operators import delta
+from tierlake.operators.claims import claimed
 from tierlake.operators.tables import (
     BUCKET_COLUMN,
     BUCKETS,
@@ -75,8 +78,11 @@ from tierlake.operators.upsert import (
 # A key with at most this many rows is no burden for the task that gets it.
 FEW_ROWS = 10_000
 PLANS = ("broadcast", "one join", "two joins")
-# Beside the files of each folder that is written.
-LAYOUT_FILE = "_tierlake.json"
+# Beside the files of each folder that is written: how they are laid out, and, once the catalog points to them, what the
+# table then was.
+LAYOUT_FILE, MARKER = "_tierlake.json", "_tierlake_published.json"
+# What the names of these folders begin with.
+FOLDER = "v"
 
 
 def first_load(
@@ -93,7 +99,22 @@ def first_load(
     buckets: how many parts to split the table into by a hash of its key, or a whole-number expression of the
         key columns that names the part, such as "id DIV 1000000", which keeps rows with neighbouring keys together.
     """
-    if left := committed_folders(spark, path):
+    with claimed(spark, name, path) as check:
+        _first_load(spark, name, path, df, check, keys, buckets)
+
+
+def _first_load(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    df: DataFrame,
+    check: Callable[[], None],
+    keys: Sequence[str] = (),
+    buckets: int | str | None = None,
+) -> None:
+    published = set(_published(spark, path))
+    # What a job of this package has written and not published is nobody's table.
+    if left := [f for f in committed_folders(spark, path) if f in published or not _written_at(f)]:
         raise PublishError(
             f"{name} is not in the catalog, but {path} holds complete folders, the newest being {left[-1]}; "
             "register them with register_path or register_external_table, or choose an empty path"
@@ -109,9 +130,11 @@ def first_load(
             location = _write(_spread(df), path, buckets, keys)
     else:
         location = _write(df, path)
+    check()
     register_external_table(
         spark, name, location, nullable(df.schema), partitioned_by=partitioned_by, properties=properties
     )
+    _mark(spark, name)
 
 
 def upsert(
@@ -142,42 +165,73 @@ def upsert(
     table_format = _known_format(table_format, buckets)
     if plan is not None and plan not in PLANS:
         raise ValueError(f"plan must be one of {PLANS}, not {plan!r}")
+    rules = {"evolve": evolve, "null_keys": null_keys, "dedupe_by": dedupe_by}
+    if _is_delta(spark, name, table_format):  # which has transactions of its own
+        _upsert_delta(spark, name, path, source, keys, **rules)
+        return
+    with claimed(spark, name, path) as check:
+        _upsert(spark, name, path, source, keys, check, **rules, buckets=buckets, plan=plan)
+
+
+def _upsert_delta(spark: SparkSession, name: str, path: str, source: DataFrame, keys: Sequence[str], **rules) -> None:
+    if not table_exists(spark, name) and delta.is_table(spark, path):
+        delta.register(spark, name, path)
     if not table_exists(spark, name):
-        if table_format == "delta":
-            if delta.is_table(spark, path):
-                delta.register(spark, name, path)
-        elif latest_layout(spark, path) is not None:
-            register_path(spark, name, path)
+        source = _as_first(source, keys, **rules)
+        delta.overwrite(source, path, evolve=rules["evolve"])
+        delta.register(spark, name, path)
+        return
+    _check_path(spark, name, table_layout(spark, name), path)
+    target = read_table(spark, name)
+    keys = resolved_keys(target, keys)
+    delta.upsert(spark, name, prepare_source(target, source, keys, **rules), keys, evolve=rules["evolve"])
+
+
+def _as_first(
+    source: DataFrame, keys: Sequence[str], *, null_keys: str, dedupe_by: str | None, evolve: bool = True
+) -> DataFrame:
+    """The rows of a source as a new table has them."""
+    keys = resolved_keys(source, keys)
+    source = apply_null_rule(source, keys, null_keys)
+    return source if dedupe_by is None else latest_per_key(source, keys, dedupe_by, null_keys)
+
+
+def _upsert(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    check: Callable[[], None],
+    *,
+    buckets: int | str | None,
+    plan: str | None,
+    evolve: bool,
+    null_keys: str,
+    dedupe_by: str | None,
+) -> None:
+    if not table_exists(spark, name) and _published(spark, path):
+        register_path(spark, name, path)
     if not table_exists(spark, name):
-        keys = resolved_keys(source, keys)
-        source = apply_null_rule(source, keys, null_keys)
-        if dedupe_by is not None:
-            source = latest_per_key(source, keys, dedupe_by, null_keys)
-        if table_format == "delta":
-            delta.overwrite(source, path, evolve=evolve)
-            delta.register(spark, name, path)
-        else:
-            first_load(spark, name, path, source, keys=keys, buckets=buckets)
+        source = _as_first(source, keys, null_keys=null_keys, dedupe_by=dedupe_by)
+        _first_load(spark, name, path, source, check, resolved_keys(source, keys), buckets)
         return
 
-    layout, target = table_layout(spark, name), read_table(spark, name)
-    check_writable(name, layout)
-    _check_path(spark, name, layout, path)
+    layout, target = _settled(spark, name, path), read_table(spark, name)
     keys = resolved_keys(target, keys)
     if layout.buckets:
         _check_bucket_column(source)
         if list(layout.keys) != keys:
             raise PublishError(f"{name} is bucketed by {list(layout.keys)} and cannot be upserted on {keys}")
     prepared = prepare_source(target, source, keys, evolve=evolve, null_keys=null_keys, dedupe_by=dedupe_by)
-    if layout.provider == "delta":
-        delta.upsert(spark, name, prepared, keys, evolve=evolve)
-        return
 
     with ExitStack() as staging:
         rows, stored_bytes = staging.enter_context(staged(prepared))
         profile = _profile(rows, keys, row_bytes(rows.schema))
         if not profile["rows"]:
+            check()
             add_columns(spark, name, evolved(spark, target.schema, prepared.schema))
+            _mark(spark, name)
             return
         touched = _touched_buckets(rows, keys, layout.buckets) if layout.buckets else []
         part = target
@@ -198,10 +252,10 @@ def upsert(
             merged = merge_in_two_joins(part, split, keys, broadcast_source=small)
         if layout.buckets:
             written = _bucketed(merged, keys, layout.buckets, grouped)
-            location = _write(written, path, layout.buckets, keys, whole=False)
+            location = _write(written, path, layout.buckets, keys, whole=False, after=layout.newest_folder)
         else:
-            location = _write(merged.updated.union(merged.inserted), path)
-        _publish(spark, name, layout, location, merged.updated.schema, touched)
+            location = _write(merged.updated.union(merged.inserted), path, after=layout.newest_folder)
+        _publish(spark, name, layout, location, merged.updated.schema, check, touched)
 
 
 def overwrite(
@@ -213,21 +267,27 @@ def overwrite(
     must have all columns of the table, and others are dropped. `table_format` is that of a new table.
     """
     table_format = _known_format(table_format)
-    if not table_exists(spark, name):
-        if table_format == "delta":
+    if _is_delta(spark, name, table_format):
+        if table_exists(spark, name):
+            _check_path(spark, name, table_layout(spark, name), path)
+            delta.overwrite(df, table_layout(spark, name).location, evolve=evolve)
+        else:
             delta.overwrite(df, path, evolve=evolve)
             delta.register(spark, name, path)
-            return
-        if latest_layout(spark, path) is None:
-            first_load(spark, name, path, df)
+        return
+    with claimed(spark, name, path) as check:
+        _overwrite(spark, name, path, df, check, evolve)
+
+
+def _overwrite(
+    spark: SparkSession, name: str, path: str, df: DataFrame, check: Callable[[], None], evolve: bool
+) -> None:
+    if not table_exists(spark, name):
+        if not _published(spark, path):
+            _first_load(spark, name, path, df, check)
             return
         register_path(spark, name, path)
-    layout, target = table_layout(spark, name), read_table(spark, name)
-    check_writable(name, layout)
-    _check_path(spark, name, layout, path)
-    if layout.provider == "delta":
-        delta.overwrite(df, layout.location, evolve=evolve)
-        return
+    layout, target = _settled(spark, name, path), read_table(spark, name)
     schema = evolved(spark, target.schema, df.schema) if evolve else nullable(target.schema)
     have = by_name(spark, df.columns)
     missing = [f.name for f in schema.fields if fold(spark, f.name) not in have]
@@ -238,43 +298,38 @@ def overwrite(
         _check_bucket_column(df)
         rows = _with_bucket(rows, layout.keys, layout.buckets)
         with room_to_shuffle(spark, planned_bytes(rows), _hashed(layout.buckets)):
-            location = _write(_spread(rows), path, layout.buckets, layout.keys)
+            location = _write(_spread(rows), path, layout.buckets, layout.keys, after=layout.newest_folder)
         held = _buckets_in(spark, location)
         gone = registered_buckets(spark, name) - set(held)
     else:
-        location = _write(rows, path)
-    _publish(spark, name, layout, location, schema, held, gone)
-
-
-def latest_layout(spark: SparkSession, path: str) -> dict | None:
-    """How the newest complete folder below `path` is laid out; None if there is none that this package has written."""
-    folders = committed_folders(spark, path)
-    text = read_text(spark, f"{folders[-1]}/{LAYOUT_FILE}") if folders else None
-    return json.loads(text) if text else None
+        location = _write(rows, path, after=layout.newest_folder)
+    _publish(spark, name, layout, location, schema, check, held, gone)
 
 
 def register_path(spark: SparkSession, name: str, path: str) -> None:
     """Bring back under `name` a table whose folders lie below `path`, with its buckets and keys.
 
-    The newest complete folder is the table; where it holds some buckets only, older ones have the others. A folder that was written whole but never switched to counts as well: its rows are those the job was to publish.
+    The folder published last is the table; where it holds some buckets only, older published ones have the others. Folders
+    that were written and never published, by a job that was refused or broke off, are not looked at.
     """
-    layout, folders = latest_layout(spark, path), committed_folders(spark, path)
-    if layout is None:
-        raise PublishError(f"{path} holds no folder that says how it is laid out")
+    folders = _published(spark, path)
+    if not folders:
+        raise PublishError(f"{path} holds no folder that a table was published from")
     location = folders[-1]
+    if read_text(spark, f"{location}/{LAYOUT_FILE}") is None:
+        raise PublishError(f"{location} does not say how it is laid out; register it with register_external_table")
+    layout, was = (json.loads(read_text(spark, f"{location}/{file}")) for file in (LAYOUT_FILE, MARKER))
+    schema = T.StructType.fromJson(was["schema"])
     if not layout["buckets"]:
-        schema = nullable(spark.read.parquet(location).schema)
         register_external_table(spark, name, location, schema)
         return
-    where: dict[int, str] = {}
-    schema = None
-    for at in reversed(folders):  # to the last that was written as a whole
-        for number in _buckets_in(spark, at):
-            where.setdefault(number, at)
-        own = nullable(spark.read.parquet(at).drop(BUCKET_COLUMN).schema)
-        schema = own if schema is None else evolved(spark, schema, own)
-        if json.loads(read_text(spark, f"{at}/{LAYOUT_FILE}"))["whole"]:
+    wanted, where = set(was["buckets"]), {}
+    for at in reversed(folders):
+        where |= {number: at for number in _buckets_in(spark, at) if number in wanted and number not in where}
+        if len(where) == len(wanted):
             break
+    if lost := sorted(wanted - where.keys()):
+        raise PublishError(f"no published folder below {path} holds the buckets {lost}")
     kind = T.StructField(BUCKET_COLUMN, T.IntegerType() if isinstance(layout["buckets"], int) else T.LongType())
     schema = T.StructType([*schema.fields, kind])
     properties = {BUCKETS: json.dumps(layout["buckets"]), KEYS: json.dumps(layout["keys"])}
@@ -299,16 +354,52 @@ def remove_unused(spark: SparkSession, name: str, path: str, older_than: timedel
     border = datetime.now(timezone.utc) - older_than
     gone = []
     for folder in committed_folders(spark, path):
-        own = plain_path(spark, folder)
-        if own not in used and read_text(spark, f"{folder}/{LAYOUT_FILE}") and _written_at(folder) < border:
+        written = _written_at(folder)
+        if written and written < border and plain_path(spark, folder) not in used:
             remove_folder(spark, folder)
             gone.append(folder)
     return gone
 
 
-def _written_at(folder: str) -> datetime:
-    name = folder.rstrip("/").rpartition("/")[2]
-    return datetime.strptime(name[1:].partition("_")[0], "%Y%m%dT%H%M%S%f").replace(tzinfo=timezone.utc)
+def _written_at(folder: str) -> datetime | None:
+    """When this package began to write a folder; None for any other."""
+    return name_time(folder.rstrip("/").rpartition("/")[2], FOLDER)
+
+
+def _published(spark: SparkSession, path: str) -> list[str]:
+    """Folders below `path` that the catalog has pointed to, oldest first."""
+    return committed_folders(spark, path, MARKER)
+
+
+def _mark(spark: SparkSession, name: str) -> None:
+    """Note beside the table's newest rows that they are published, and what columns and buckets the table has with them."""
+    layout = table_layout(spark, name)
+    if _written_at(layout.newest_folder):  # not into a folder that was made elsewhere
+        buckets = sorted(registered_buckets(spark, name)) if layout.buckets else None
+        was = {"schema": read_table(spark, name).schema.jsonValue(), "buckets": buckets}
+        write_text(spark, f"{layout.newest_folder}/{MARKER}", json.dumps(was))
+
+
+def _settled(spark: SparkSession, name: str, path: str) -> Layout:
+    """The layout of a table that may be written to, after finishing a switch that was cut short.
+
+    Its folder is complete, and nobody has written since, as that takes the claim and comes through here.
+    """
+    layout = table_layout(spark, name)
+    check_writable(name, layout)
+    _check_path(spark, name, layout, path)
+    at = layout.newest_folder
+    if _written_at(at) and read_text(spark, f"{at}/{MARKER}") is None:
+        if layout.buckets:
+            held, written = _buckets_in(spark, at), json.loads(read_text(spark, f"{at}/{LAYOUT_FILE}"))
+            switch_buckets(spark, name, layout, at, held)
+            drop_buckets(spark, name, registered_buckets(spark, name) - set(held) if written["whole"] else ())
+        _mark(spark, name)
+    return layout
+
+
+def _is_delta(spark: SparkSession, name: str, table_format: str) -> bool:
+    return (table_layout(spark, name).provider if table_exists(spark, name) else table_format) == "delta"
 
 
 def _buckets_in(spark: SparkSession, location: str) -> list[int]:
@@ -337,17 +428,27 @@ def _publish(
     layout: Layout,
     location: str,
     schema: T.StructType,
-    buckets: Sequence[int],
+    check: Callable[[], None],
+    buckets: Sequence[int] = (),
     gone: Collection[int] = (),
 ) -> None:
-    """Make the rows just written at `location` those of the table, or of its given buckets; drop those `gone`."""
-    check_unmoved(spark, name, layout)
+    """Make the rows just written at `location` those of the table, or of its given buckets; drop those `gone`.
+
+    check: fails if the claim has been lost. Rows that may not be published are deleted.
+    """
+    try:
+        check()
+        check_unmoved(spark, name, layout)
+    except PublishError:
+        remove_folder(spark, location)
+        raise
     add_columns(spark, name, schema)
     if layout.buckets:
         switch_buckets(spark, name, layout, location, buckets)
         drop_buckets(spark, name, gone)
     else:
         switch_table(spark, name, layout, location)
+    _mark(spark, name)
 
 
 def _profile(rows: DataFrame, keys: Sequence[str], width: Column | None = None) -> dict[str, int]:
@@ -430,10 +531,15 @@ def _stays_grouped(part: DataFrame, buckets: int | str | None, touched: int, sou
 
 
 def _write(
-    df: DataFrame, path: str, buckets: int | str | None = None, keys: Sequence[str] = (), whole: bool = True
+    df: DataFrame,
+    path: str,
+    buckets: int | str | None = None,
+    keys: Sequence[str] = (),
+    whole: bool = True,
+    after: str | None = None,
 ) -> str:
-    """A fresh folder below `path` with the `whole` table, or with some of its buckets."""
-    location = f"{path.rstrip('/')}/{unique_name('v')}"
+    """A fresh folder below `path` with the `whole` table, or with some of its buckets; its name sorts behind that of `after`."""
+    location = f"{path.rstrip('/')}/{unique_name(FOLDER, after and after.rstrip('/').rpartition('/')[2])}"
     df.write.partitionBy(*([BUCKET_COLUMN] if buckets else [])).parquet(location)
     layout = {"buckets": buckets, "keys": list(keys), "whole": whole}
     write_text(df.sparkSession, f"{location}/{LAYOUT_FILE}", json.dumps(layout))

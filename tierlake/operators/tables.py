@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.names import by_name, column_name, fold, text_literal
+from tierlake.functions.storage import make_folder
 
 BUCKET_COLUMN = "bucket"
 # Names of the table properties that describe a layout.
 BUCKETS = "tierlake.buckets"
 KEYS = "tierlake.keys"
 NEWEST_FOLDER = "tierlake.newest_folder"
+# Where buckets lie that have been registered and not yet pointed at their rows.
+EMPTY_FOLDER = "_empty"
 
 
 class PublishError(RuntimeError):
@@ -96,11 +99,9 @@ def register_external_table(
         spark.sql("ALTER TABLE IDENTIFIER(:name) RECOVER PARTITIONS", args={"name": name})
 
 
-def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
-    spark.sql(
-        f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({text_literal(key)} = {text_literal(value)})",
-        args={"name": name},
-    )
+def set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
+    pairs = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({pairs})", args={"name": name})
 
 
 def add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
@@ -132,21 +133,28 @@ def switch_table(spark: SparkSession, name: str, layout: Layout, location: str)
     spark.catalog.refreshTable(name)
 
 
-def switch_buckets(spark: SparkSession, name: str, layout: Layout, location: str, buckets: Collection[int]) -> None:
+def switch_buckets(
+    spark: SparkSession,
+    name: str,
+    layout: Layout,
+    location: str,
+    buckets: Collection[int],
+    properties: dict[str, str] | None = None,
+) -> None:
     """Point these buckets at their folders below `location`, if the table is still where `layout` says.
 
-    New ones are added in one call to the catalog and others changed in one, however many there are.
+    New ones are first registered with an empty folder, all in one statement; then all are pointed at their rows in one call
+    to the catalog, however many there are. `properties` are set before that, with the new place.
     """
-    known = registered_buckets(spark, name)
-    added = [
-        f"{_partition(number)} LOCATION {text_literal(_bucket_folder(location, number))}"
-        for number in sorted(set(buckets) - known)
-    ]
+    added = sorted(set(buckets) - registered_buckets(spark, name))
     check_unmoved(spark, name, layout)
-    set_property(spark, name, NEWEST_FOLDER, location)
+    set_properties(spark, name, {NEWEST_FOLDER: location} | (properties or {}))
     if added:
-        spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD {' '.join(added)}", args={"name": name})
-    _move_partitions(spark, name, location, sorted(set(buckets) & known))
+        empty = f"{location}/{EMPTY_FOLDER}"
+        make_folder(spark, empty)
+        parts = " ".join(f"{_partition(number)} LOCATION {text_literal(empty)}" for number in added)
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD IF NOT EXISTS {parts}", args={"name": name})
+    _move_partitions(spark, name, location, sorted(buckets))
     spark.catalog.refreshTable(name)
 
 
@@ -185,7 +193,7 @@ def restored_buckets(spark: SparkSession, name: str, where: dict[int, str], newe
     parts = [f"{_partition(n)} LOCATION {text_literal(_bucket_folder(at, n))}" for n, at in sorted(where.items())]
     if parts:
         spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD IF NOT EXISTS {' '.join(parts)}", args={"name": name})
-    set_property(spark, name, NEWEST_FOLDER, newest)
+    set_properties(spark, name, {NEWEST_FOLDER: newest})
     spark.catalog.refreshTable(name)
 
 
