@@ -138,10 +138,20 @@ def test_nested_and_other_types_pass_through(spark):
     assert [(r.k, r.m, r.s.b) for r in out.sort("k").collect()] == [(1, {"b": 2}, ["x"]), (2, {"b": 2}, ["x"])]
 
 
-def test_new_inner_fields_are_refused(spark):
-    target = spark.sql("SELECT 1 k, struct(1 a) s")
-    with pytest.raises(SchemaError, match="inner fields"):
-        merge_upsert(target, spark.sql("SELECT 1 k, struct(1 a, 2 b) s"), ["k"])
+@pytest.mark.parametrize("unique", [False, True])
+def test_structs_gain_and_lose_inner_fields(spark, unique):
+    target = spark.sql("SELECT id AS k, struct(id AS a) AS s, array(struct(id AS x)) AS l FROM range(3)")
+    source = spark.sql("SELECT id AS k, array(struct('n' AS y), NULL) AS l, struct(id * 10 AS b) AS s FROM range(2, 4)")
+    out = merge_upsert(target, source, ["k"], unique_source=unique)
+    assert out.columns == ["k", "s", "l"]
+    assert [tuple(r) for r in out.orderBy("k").collect()] == [
+        (0, (0, None), [(0, None)]),
+        (1, (1, None), [(1, None)]),
+        (2, (None, 20), [(None, "n"), None]),  # updated as a whole
+        (3, (None, 30), [(None, "n"), None]),
+    ]
+    fixed = merge_upsert(target, source, ["k"], evolve=False, unique_source=unique)
+    assert [tuple(r) for r in fixed.orderBy("k").collect()][2:] == [(2, (None,), [(None,), None]), (3, (None,), [(None,), None])]
 
 
 def test_missing_key(spark):

@@ -18,8 +18,18 @@ def as_schema(schema: T.StructType | str) -> T.StructType:
 
 
 def nullable(schema: T.StructType) -> T.StructType:
-    """The same columns, all nullable, as every file-backed table has them."""
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+    """The same columns, all nullable, inner ones too, as every file-backed table has them."""
+    return T.StructType([T.StructField(f.name, _nullable(f.dataType), True, f.metadata) for f in schema.fields])
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return nullable(kind)
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType), True)
+    return kind
 
 
 def assert_schema(df: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -68,36 +78,52 @@ def rejects(df: DataFrame, schema: T.StructType | str) -> DataFrame:
 
 
 def evolved(spark: SparkSession, target: T.StructType, source: T.StructType) -> T.StructType:
-    """`target` followed by the columns only `source` has; shared columns keep the target's type."""
-    known = {fold(spark, f.name): f for f in target.fields}
+    """`target` followed by the columns only `source` has; shared columns keep the target's type.
+
+    Structs grow in the same way, also inside arrays and as values of maps. A key of a map cannot: two keys that differ in
+    the new field alone would become one where it is dropped.
+    """
+    return nullable(_union(spark, target, source, ""))
+
+
+def _union(spark: SparkSession, target: T.StructType, source: T.StructType, prefix: str) -> T.StructType:
+    fields = {fold(spark, f.name): f for f in target.fields}
     for field in source.fields:
-        old = known.get(fold(spark, field.name))
-        if old is not None and (hidden := _new_inner_fields(spark, old.dataType, field.dataType)):
-            raise SchemaError(
-                f"column {field.name} has new inner fields {hidden}; "
-                "evolution adds whole columns only, so rebuild the table to change a nested type"
-            )
-        if old is None and isinstance(field.dataType, T.NullType):
-            raise SchemaError(f"new column {field.name} has no type; cast it before writing")
-    added = [T.StructField(f.name, f.dataType, True) for f in source.fields if fold(spark, f.name) not in known]
-    return nullable(T.StructType(target.fields + added))
-
-
-def _new_inner_fields(spark: SparkSession, old: T.DataType, new: T.DataType) -> list[str]:
+        old, name = fields.get(fold(spark, field.name)), f"{prefix}{field.name}"
+        if old is not None:
+            kind = _grown(spark, old.dataType, field.dataType, name)
+            fields[fold(spark, field.name)] = T.StructField(old.name, kind, old.nullable, old.metadata)
+        elif _untyped(field.dataType):
+            raise SchemaError(f"new column {name} has no type; cast it before writing")
+        else:
+            fields[fold(spark, field.name)] = T.StructField(field.name, field.dataType, True)
+    return T.StructType(list(fields.values()))
+
+
+def _grown(spark: SparkSession, old: T.DataType, new: T.DataType, name: str) -> T.DataType:
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return _union(spark, old, new, f"{name}.")
     if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
-        return _new_inner_fields(spark, old.elementType, new.elementType)
+        return T.ArrayType(_grown(spark, old.elementType, new.elementType, name), old.containsNull)
     if isinstance(old, T.MapType) and isinstance(new, T.MapType):
-        return _new_inner_fields(spark, old.keyType, new.keyType) + _new_inner_fields(
-            spark, old.valueType, new.valueType
-        )
-    if not (isinstance(old, T.StructType) and isinstance(new, T.StructType)):
-        return []
-    known = {fold(spark, f.name): f for f in old.fields}
-    found = []
-    for field in new.fields:
-        match = known.get(fold(spark, field.name))
-        if match is None:
-            found.append(field.name)
-        else:
-            found += [f"{field.name}.{name}" for name in _new_inner_fields(spark, match.dataType, field.dataType)]
-    return found
+        if _grown(spark, old.keyType, new.keyType, name) != old.keyType:
+            raise SchemaError(f"keys of the map {name} have new inner fields, and keys cannot grow")
+        return T.MapType(old.keyType, _grown(spark, old.valueType, new.valueType, name), old.valueContainsNull)
+    return old
+
+
+def _untyped(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_untyped(field.dataType) for field in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _untyped(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _untyped(kind.keyType) or _untyped(kind.valueType)
+    return isinstance(kind, T.NullType)
+
+
+def grown(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """`df` with the types that its columns have in `schema`, which may be structs with more inner fields: NULL in its rows."""
+    wanted = {fold(df.sparkSession, f.name): f for f in schema.fields}
+    fields = [T.StructField(f.name, wanted[fold(df.sparkSession, f.name)].dataType, True) for f in df.schema.fields]
+    return df if nullable(df.schema) == nullable(T.StructType(fields)) else df.to(T.StructType(fields))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.names import by_name, column_name, fold, text_literal
+from tierlake.functions.schema import nullable
 from tierlake.functions.storage import make_folder
 
 BUCKET_COLUMN = "bucket"
@@ -105,11 +106,24 @@ def set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -
 
 
 def add_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
-    """Add the columns of `schema` that the table lacks. Files written before read as NULL there."""
-    known = by_name(spark, spark.table(name).columns)
+    """Add the columns of `schema` that the table lacks, and inner fields of structs. Files written before read as NULL there.
+
+    SQL adds whole columns to such a table, and not inner fields; the session's catalog takes a whole schema.
+    """
+    now = spark.table(name).schema
+    known = by_name(spark, now.names)
     added = [f for f in schema.fields if fold(spark, f.name) not in known]
     if added:
         spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD COLUMNS ({_ddl(added)})", args={"name": name})
+    wanted = {fold(spark, f.name): f for f in schema.fields}
+    kinds = [wanted.get(fold(spark, f.name), f).dataType for f in now.fields]
+    fields = [T.StructField(f.name, kind, True, f.metadata) for f, kind in zip(now.fields, kinds, strict=True)]
+    if nullable(T.StructType(fields)) != nullable(now):
+        catalog, table = _session_catalog(spark, name)
+        layout = [BUCKET_COLUMN] if table_layout(spark, name).buckets else []
+        data = T.StructType([f for f in [*fields, *added] if f.name not in layout])
+        catalog.alterTableDataSchema(table, spark._jvm.org.apache.spark.sql.types.DataType.fromJson(data.json()))
+        spark.catalog.refreshTable(name)
 
 
 def check_writable(name: str, layout: Layout) -> None:
@@ -162,9 +176,7 @@ def _move_partitions(spark: SparkSession, name: str, location: str, numbers: Seq
     """SQL can only move one partition at a time; the session's catalog takes a list."""
     if not numbers:
         return
-    jvm, state = spark._jvm, spark._jsparkSession.sessionState()
-    catalog = state.catalog()
-    table = catalog.qualifyIdentifier(state.sqlParser().parseTableIdentifier(name))
+    jvm, (catalog, table) = spark._jvm, _session_catalog(spark, name)
     values = jvm.java.util.HashMap()
     values.put(BUCKET_COLUMN, str(int(numbers[0])))
     to_scala = jvm.scala.jdk.javaapi.CollectionConverters.asScala
@@ -198,13 +210,17 @@ def restored_buckets(spark: SparkSession, name: str, where: dict[int, str], newe
 
 
 def bucket_locations(spark: SparkSession, name: str) -> list[str]:
-    state = spark._jsparkSession.sessionState()
-    catalog = state.catalog()
-    table = catalog.qualifyIdentifier(state.sqlParser().parseTableIdentifier(name))
+    catalog, table = _session_catalog(spark, name)
     parts = catalog.listPartitions(table, spark._jvm.scala.Option.empty())
     return [parts.apply(i).location().toString() for i in range(parts.size())]
 
 
+def _session_catalog(spark: SparkSession, name: str):
+    """The session's catalog and the table's name as it has it, for what SQL has no statement for."""
+    state = spark._jsparkSession.sessionState()
+    return state.catalog(), state.catalog().qualifyIdentifier(state.sqlParser().parseTableIdentifier(name))
+
+
 def registered_buckets(spark: SparkSession, name: str) -> set[int]:
     rows = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name}).collect()
     return {int(row[0].rpartition("=")[2]) for row in rows}

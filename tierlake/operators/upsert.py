@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tierlake.functions.keys import any_null, same_keys
 from tierlake.functions.names import by_name, column_name, fold
-from tierlake.functions.schema import SchemaError, evolved, nullable
+from tierlake.functions.schema import SchemaError, evolved, grown, nullable
 
 NULL_KEY_RULES = ("error", "insert", "drop")
 COUNT = "__rows_of_key"
@@ -55,7 +55,8 @@ def merge_upsert(
     """`target` after an upsert of `source` on `keys`.
 
     evolve: add columns only the source has (NULL in untouched rows) and let the source lack some; without it
-        the target's columns are the result's, extra ones are dropped and missing ones are an error.
+        the target's columns are the result's, extra ones are dropped and missing ones are an error. Structs grow likewise,
+        also in arrays and maps. A nested value is updated as a whole: inner fields that the source lacks become NULL.
     null_keys: a NULL key matches nothing. "insert" adds such rows on every run, "drop" leaves them out, and
         "error" fails the query.
     dedupe_by: keep only the row with the greatest value in this column for each key. Without it, several source
@@ -176,6 +177,7 @@ def merge_in_two_joins(
     """
     keys = resolved_keys(target, keys)
     schema = evolved(target.sparkSession, target.schema, source.direct.schema)
+    target = grown(target, schema)
     names, columns = [column_name(k) for k in keys], [column_name(c) for c in source.direct.columns]
     matching = source.matching
     if broadcast_source is not None:
@@ -201,6 +203,7 @@ def merge_in_one_join(target: DataFrame, source: Split, keys: Sequence[str]) ->
     """The same merge reading the target once, for a target in which no key holds a large share of the rows."""
     keys = resolved_keys(target, keys)
     schema = evolved(target.sparkSession, target.schema, source.direct.schema)
+    target = grown(target, schema)
     joined = target.alias("t").join(source.matching.alias("s"), same_keys("t", "s", keys), "full")
     if COUNT in source.matching.columns:  # rows that stand for a repeated key have done their work
         joined = joined.filter(_single(keys, F.col(f"t.{column_name(keys[0])}").isNotNull()))

@@ -566,3 +566,30 @@ def upsert_latest_with_ties(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     lines = lines.select("l_orderkey", "l_shipdate", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     return published(spark, lines.filter("l_linenumber < 3"), lines, keys=["l_orderkey"], dedupe_by="l_shipdate")
+
+
+@query(
+    """WITH changed AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'),
+    lines AS (
+        SELECT l_orderkey, l_linenumber AS line, l_quantity AS quantity, l_partkey AS part, TRUE AS is_new FROM changed
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, l_quantity, NULL, FALSE FROM lineitem
+        WHERE l_shipdate < TIMESTAMP '1999-01-01' AND l_orderkey NOT IN (SELECT l_orderkey FROM changed)
+    )
+    SELECT l_orderkey, sum(quantity) OVER of_order AS total, CASE WHEN is_new THEN count(*) OVER of_order END AS parcels,
+           line, quantity, part
+    FROM lines WINDOW of_order AS (PARTITION BY l_orderkey)"""
+)
+def upsert_nested_evolution(spark, sf_dir):
+    """Orders as documents with a struct and an array of structs, both of which gain a field with the changes."""
+
+    def documents_of(condition: str, summary: list, line: list) -> DataFrame:
+        lines = table(spark, sf_dir, "lineitem").filter(_ntz(condition)).groupBy("l_orderkey")
+        return lines.agg(F.struct(*summary).alias("summary"), F.collect_list(F.struct(*line)).alias("lines"))
+
+    total, parcels = F.sum("l_quantity").alias("total"), F.count("*").alias("parcels")
+    line = [F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("quantity")]
+    loaded = documents_of(LINES_LOADED, [total], line)
+    changed = documents_of(LINES_CHANGED, [parcels, total], [F.col("l_partkey").alias("part"), *line])
+    orders = published(spark, loaded, changed, keys=["l_orderkey"], buckets=16)
+    return orders.select("l_orderkey", "summary.*", F.inline("lines"))
