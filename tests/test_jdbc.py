@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierlake import (
     Connection,
@@ -130,10 +131,86 @@ def test_even_ranges_of_other_tables(spark, source):
     assert isinstance(one, Ranges) and len(one.predicates) == 1
     assert even_ranges(spark, source, "(SELECT id FROM items WHERE id > 99) AS q", "id", 4) is None
     assert even_ranges(spark, source, "items", "value", 4) == Strides("value", "0", "20", 4)
+    assert even_ranges(spark, source, "(SELECT name FROM items WHERE id > 99) AS q", "name", 4) is None
+    assert even_ranges(spark, source, "(SELECT name, id FROM items WHERE id > 99) AS q", "name", 4, "id") is None
     with_null = even_ranges(spark, source, "items", "grp", 4)
     assert read_jdbc(spark, source, "items", split=with_null).count() == 40
 
 
+@pytest.fixture(scope="module")
+def keyed(spark, source):
+    """Keys of several kinds, most of them in a small part of their range; half of the rows have no `part`, a third share one."""
+    rows = spark.range(1000).selectExpr(
+        "CAST(id AS INT) AS n",
+        "IF(id < 900, concat('it''s é ', lpad(id, 5, '0')), concat('z', id)) AS name",
+        "md5(CAST(id AS STRING)) AS code",
+        "date_add(DATE '1990-01-01', CAST(IF(id < 950, id % 300, id * 50) AS INT)) AS day",
+        "timestamp_micros(IF(id < 900, id, id * 1000000000) * 1001) AS at",
+        "IF(id % 2 = 0, 'none', IF(id % 3 = 0, 'common', concat('rare', id))) AS part",
+        "CASE WHEN id % 3 = 0 THEN 5 WHEN id % 3 = 1 THEN id END AS grp",
+    )
+    rows.write.format("jdbc").options(**source.reader_options()).option("dbtable", "keyed").option(
+        "createTableColumnTypes", "name VARCHAR(60), code VARCHAR(60), part VARCHAR(60)"
+    ).mode("overwrite").save()
+    link = spark._jvm.java.sql.DriverManager.getConnection(source.url)
+    link.createStatement().execute('ALTER TABLE keyed ALTER COLUMN "part" NULL')
+    link.createStatement().execute("UPDATE keyed SET \"part\" = NULL WHERE \"part\" = 'none'")
+    link.close()
+    return rows.withColumn("part", F.expr("nullif(part, 'none')"))
+
+
+@pytest.mark.parametrize("column", ["name", "code", "day", "at", "part"])
+def test_even_ranges_of_keys_that_are_no_numbers(spark, source, keyed, column):
+    split = even_ranges(spark, source, "keyed", column, 8)
+    read = read_jdbc(spark, source, "keyed", split=split)
+    assert rows(read) == rows(keyed)
+    if column != "part":
+        assert max(sizes(read)) <= 2 * 1000 / 8 and len(split.predicates) >= 7
+
+
+@pytest.mark.parametrize(("column", "then"), [("part", "n"), ("part", "code"), ("grp", "name"), ("grp", "at"), ("n", "name")])
+def test_a_second_column_splits_what_the_first_leaves_together(spark, source, keyed, column, then):
+    alone = read_jdbc(spark, source, "keyed", split=even_ranges(spark, source, "keyed", column, 8))
+    split = even_ranges(spark, source, "keyed", column, 8, then)
+    read = read_jdbc(spark, source, "keyed", split=split)
+    assert rows(read) == rows(keyed) == rows(alone)
+    assert max(sizes(read)) <= 2 * 1000 / 8 and len(split.predicates) <= 2 * 8 + 2
+    if column != "n":
+        assert max(sizes(alone)) > 300
+
+
+def test_a_second_column_where_all_rows_lack_the_first(spark, source):
+    table = "(SELECT id, CAST(NULL AS VARCHAR(9)) AS nothing, CAST(NULL AS INT) AS missing FROM items) AS q"
+    for then, most in (("id", 10), ("missing", 40)):
+        read = read_jdbc(spark, source, table, split=even_ranges(spark, source, table, "nothing", 8, then))
+        assert sorted(r.ID for r in read.collect()) == list(range(1, 41)) and max(sizes(read)) <= most
+
+
+def test_quantiles_of_a_source_with_window_functions():
+    """The text that other databases get, run by one that has them."""
+    duckdb = pytest.importorskip("duckdb")
+    duckdb.sql("CREATE OR REPLACE TEMP TABLE keys AS SELECT md5(i::VARCHAR) AS k FROM range(1000) t(i) UNION ALL SELECT NULL FROM range(50)")
+    query = jdbc.quantile_query("keys", '"k"', [251, 501, 751])
+    cuts = [bound for bound, _ in sorted(duckdb.sql(f"SELECT * FROM {query}").fetchall(), key=lambda r: r[1])]
+    counts = [duckdb.sql(f"SELECT count(*) FROM keys WHERE {p}").fetchall()[0][0] for p in jdbc._between("k", [f"'{c}'" for c in cuts]).predicates]
+    assert counts == [300, 250, 250, 250]
+
+
+@pytest.mark.parametrize(
+    ("url", "value", "dtype", "literal"),
+    [
+        ("jdbc:postgresql://h/d", "it's", T.StringType(), "'it''s'"),
+        ("jdbc:mysql://h/d", "a\\'b", T.StringType(), "'a\\\\''b'"),
+        ("jdbc:sqlserver://h", "2020-02-29", T.DateType(), "'2020-02-29'"),
+        ("jdbc:sqlserver://h", "12.50", T.DecimalType(9, 2), "12.50"),
+    ],
+)
+def test_literals_of_the_source(spark, url, value, dtype, literal):
+    assert jdbc._literal(spark, Connection(url), value, dtype) == literal
+    with pytest.raises(ValueError, match="binary"):
+        jdbc._literal(spark, Connection(url), value, T.BinaryType())
+
+
 def test_asserted_schema(spark, source):
     query = "(SELECT id, name, value FROM items) AS q"
     exact = "ID INT, NAME STRING, VALUE DOUBLE"

@@ -232,6 +232,26 @@ def register_in_place(spark, sf_dir):
     return spark.table(registered(spark, sf_dir, "lineitem"))
 
 
+@query("SELECT c_name AS name, c_custkey AS id, c_acctbal AS value FROM customer")
+def jdbc_text_key_scan(spark, sf_dir):
+    """Split by names, at quantiles that the source is asked for."""
+    source, name = relational_source(spark, sf_dir)
+    rows = read_jdbc(spark, source, name, split=even_ranges(spark, source, name, "name", 8))
+    return rows.select("name", "id", "value")
+
+
+HALF_WITHOUT_KEY = "CASE WHEN {0} < 4500 THEN NULL WHEN {0} < 7000 THEN 'some' ELSE {1} END AS {2}"
+
+
+@query(f"SELECT {HALF_WITHOUT_KEY.format('c_acctbal', 'c_name', 'part')}, c_custkey AS id, c_acctbal AS value FROM customer")
+def jdbc_null_key_scan(spark, sf_dir):
+    """Half of the rows have no value in the column that the read is split by, and a quarter share one."""
+    source, name = relational_source(spark, sf_dir)
+    part = HALF_WITHOUT_KEY.format('"value"', '"name"', '"part"')
+    subquery = f'(SELECT {part}, "id", "value" FROM {name}) AS parts'
+    return read_jdbc(spark, source, subquery, split=even_ranges(spark, source, subquery, "part", 8, "id"))
+
+
 # Schema and projection
 
 
