@@ -8,7 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierlake import read_table, upsert
-from tierlake.operators.upsert import merge_in_one_join, merge_in_two_joins, repeated_keys, split_repeated, split_unique
+from tierlake.operators.upsert import (
+    hot_keys,
+    merge_in_one_join,
+    merge_in_two_joins,
+    merge_upsert,
+    repeated_keys,
+    split_repeated,
+    split_unique,
+)
 
 
 @pytest.fixture
@@ -92,6 +100,35 @@ def test_a_hot_target_key_is_split(spark, tmp_path, conf, shuffled, hot, repeats
     assert inserted.count() == (20 if repeats else 10)
 
 
+@pytest.mark.parametrize("hot", [7, None])
+def test_a_hot_key_of_the_lazy_merge_is_dealt_over_tasks(spark, tmp_path, conf, shuffled, hot):
+    """A third of the target's rows are under one key, or under none; the source may repeat keys."""
+    conf(spark__sql__shuffle__partitions="32", spark__sql__adaptive__enabled="false")
+    n = 120_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id"))
+    spark.range(n).select(key.alias("k"), F.col("id").alias("a")).write.parquet(f"{tmp_path}/t")
+    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.range(0, n, 2).selectExpr("id + 7 k", "-id b")
+    merged = merge_upsert(target, source, ["k"])
+    updated, _ = merge_in_two_joins(target, split_repeated(source, ["k"], repeated_keys(source, ["k"])), ["k"], salts=128)
+    tasks = sorted(r["count"] for r in updated.groupBy(F.spark_partition_id()).count().collect())
+    assert sum(tasks) == n and len(tasks) == 32 and tasks[-1] < 2 * tasks[16]
+    plain = merge_upsert(target, source, ["k"], unique_source=True)
+    assert merged.columns == plain.columns and merged.exceptAll(plain).isEmpty() and plain.exceptAll(merged).isEmpty()
+
+
+def test_filters_reach_the_target_below_the_salts(tables, shuffled):
+    target, source = tables
+    plan = plan_of(merge_upsert(target, source, ["k"]).filter("k = 4700"))
+    assert re.findall(r"/t\], .*?PushedFilters: \[(.*?)\]", plan)[0] == "IsNotNull(k), EqualTo(k,4700)"
+
+
+def test_hot_keys_are_those_with_more_than_their_share(spark):
+    keys = spark.range(10_000).select(F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 4 == 1, 5).otherwise(F.col("id")).alias("k"))
+    found = {r[0] for r in hot_keys(keys, ["k"], 8).collect()}
+    assert found == {r[0] for r in spark.sql("SELECT xxhash64(k) FROM VALUES (NULL), (5L) AS t(k)").collect()}
+    assert hot_keys(keys.filter("k > 5"), ["k"], 8).isEmpty() and hot_keys(keys.limit(0), ["k"], 8).isEmpty()
+
+
 def test_a_hot_bucket_is_written_by_several_tasks(spark, name, path, conf):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="100k")
     hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,9 @@ from tierlake.functions.names import by_name, column_name, fold
 from tierlake.functions.schema import SchemaError, evolved, grown, nullable
 
 NULL_KEY_RULES = ("error", "insert", "drop")
-COUNT = "__rows_of_key"
+COUNT, HOT, SALT = "__rows_of_key", "__hot_key", "__salt"
+# A source row with a hot key is repeated once per salt, and there are fewer hot keys than salts.
+MOST_SALTS = 2000
 
 
 class Split(NamedTuple):
@@ -63,19 +65,57 @@ def merge_upsert(
         rows for one target row fail the query; several rows for a new key are all added.
     unique_source: no key but NULL repeats in the source, so the plan need not look for repetition.
 
-    This is one lazy plan that reads the source several times, and in which a hot target key is split over tasks only
-    with `unique_source`. `tierlake.operators.publish.upsert` merges into a stored table without either limit.
+    This is one lazy plan that reads the source several times. Adaptive execution splits a hot target key over tasks only
+    with `unique_source`, as it does between two plain shuffles; without, the plan salts it, for which the target's keys
+    are read once more. `tierlake.operators.publish.upsert` merges into a stored table without either limit.
     """
     keys = resolved_keys(target, keys)
     prepared = prepare_source(target, source, keys, evolve=evolve, null_keys=null_keys, dedupe_by=dedupe_by)
     if unique_source or dedupe_by is not None:
-        split = split_unique(prepared, keys)
+        updated, inserted = merge_in_two_joins(target, split_unique(prepared, keys), keys)
     else:
         split = split_repeated(prepared, keys, repeated_keys(prepared, keys))
-    updated, inserted = merge_in_two_joins(target, split, keys)
+        updated, inserted = merge_in_two_joins(target, split, keys, salts=_salts(target.sparkSession))
     return updated.union(inserted)
 
 
+def _salts(spark: SparkSession) -> int:
+    """Some salts per shuffle partition, so that each partition gets about as many of a hot key's."""
+    return min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_SALTS)
+
+
+def hot_keys(target: DataFrame, keys: Sequence[str], salts: int) -> DataFrame:
+    """Hashes of the keys (NULL is one) that hold more than 1 / `salts` of the rows, so fewer than `salts` of them.
+
+    They come out of one pass with a sketch, whose counts are estimates: it may take a key that holds a little less or
+    leave out one that holds a little more, which is of no account for the result.
+    """
+    key = F.xxhash64(*[F.col(column_name(k)) for k in keys])
+    sketch = target.select(key.alias("key")).agg(
+        F.expr(f"approx_top_k(key, {salts}, {max(10_000, 4 * salts)})").alias("top"), F.count("*").alias("rows")
+    )
+    found = sketch.select("rows", F.inline("top")).filter(F.col("count") * salts > F.col("rows"))
+    return found.select(F.col("item").alias(HOT))
+
+
+def salted(target: DataFrame, matching: DataFrame, keys: Sequence[str], salts: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt: rows of a hot target key are dealt over `salts` of them, and the source's row has all.
+
+    A row's salt follows from its values, so that a repeated task deals it in the same way; rows that are equal in all of
+    them stay together.
+    """
+    hot = F.broadcast(hot_keys(target, keys, salts))
+
+    def beside(rows: DataFrame) -> DataFrame:
+        return rows.join(hot, F.xxhash64(*[F.col(column_name(k)) for k in keys]) == F.col(HOT), "left")
+
+    plain = [F.col(column_name(f.name)) for f in target.schema.fields if _sortable(f.dataType)]  # what can be hashed
+    own = F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
+    dealt = beside(target).withColumn(SALT, F.when(F.col(HOT).isNotNull(), own).otherwise(0)).drop(HOT)
+    all_salts = F.when(F.col(HOT).isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return dealt, beside(matching).withColumn(SALT, F.explode(all_salts)).drop(HOT)
+
+
 def prepare_source(
     target: DataFrame,
     source: DataFrame,
@@ -169,11 +209,12 @@ def split_repeated(source: DataFrame, keys: Sequence[str], repeated: DataFrame)
 
 
 def merge_in_two_joins(
-    target: DataFrame, source: Split, keys: Sequence[str], *, broadcast_source: bool | None = None
+    target: DataFrame, source: Split, keys: Sequence[str], *, broadcast_source: bool | None = None, salts: int = 0
 ) -> Merged:
     """Both parts of the merge, whatever the keys of the target.
 
     broadcast_source: the caller has compared the size of the source to Spark's limit; None leaves that to Spark.
+    salts: into how many parts a hot target key is dealt by the plan itself; 0 leaves that to adaptive execution.
     """
     keys = resolved_keys(target, keys)
     schema = evolved(target.sparkSession, target.schema, source.direct.schema)
@@ -182,7 +223,10 @@ def merge_in_two_joins(
     matching = source.matching
     if broadcast_source is not None:
         matching = matching.hint("broadcast" if broadcast_source else "merge")
-    joined = target.alias("t").join(matching.alias("s"), same_keys("t", "s", keys), "left")
+    dealt, on = target, list(keys)
+    if salts > 1:
+        (dealt, matching), on = salted(target, matching, keys, salts), [*keys, SALT]
+    joined = dealt.alias("t").join(matching.alias("s"), same_keys("t", "s", on), "left")
     if COUNT in source.matching.columns:
         joined = joined.filter(_single(keys, F.lit(True)))
     updated = joined.select(_merged_columns(schema, target, source.matching, keys))
