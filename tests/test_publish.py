@@ -17,6 +17,7 @@ from tierlake import (
     PublishError,
     SchemaError,
     first_load,
+    grow_buckets,
     overwrite,
     read_table,
     register_external_table,
@@ -583,7 +584,7 @@ def test_of_two_that_take_over_one_wins(spark, name, path, monkeypatch):
 def test_an_interrupted_switch_is_finished_by_the_next_writer(spark, name, path, monkeypatch):
     put(spark, name, path, frame(spark, [(k, "a") for k in range(20)]), buckets=4)
     move = tables._move_partitions
-    monkeypatch.setattr(tables, "_move_partitions", lambda s, n, at, numbers: move(s, n, at, numbers[:1]) or 1 / 0)
+    monkeypatch.setattr(tables, "_move_partitions", lambda s, n, where: move(s, n, dict([*where.items()][:1])) or 1 / 0)
     with pytest.raises(ZeroDivisionError):
         put(spark, name, path, frame(spark, [(k, "b") for k in range(20)]))
     monkeypatch.undo()
@@ -594,6 +595,55 @@ def test_an_interrupted_switch_is_finished_by_the_next_writer(spark, name, path,
     assert rows(read_table(spark, name)) == rows(frame(spark, [(k, "b") for k in range(20)] + [(50, "c")]))
 
 
+def test_buckets_can_be_split(spark, name, path):
+    """Nothing is shuffled, rows stay, and later upserts touch the smaller buckets only."""
+    put(spark, name, path, frame(spark, [(k, "a") for k in range(500)]), buckets=16)
+    expected = put(spark, name, path, frame(spark, [(3, "b"), (900, "c"), (-1, None)]))
+    plan = publish._regrouped(spark, name, table_layout(spark, name), 64)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "FileScan" in plan
+    grow_buckets(spark, name, path, 64)
+    assert rows(read_table(spark, name)) == expected
+    assert table_layout(spark, name).buckets == 64 and len(registered_buckets(spark, name)) == 64
+    own = spark.table(name).withColumn("own", F.pmod(F.hash("k"), F.lit(64)))
+    assert own.filter("own <> bucket").isEmpty()
+    before = tables.bucket_locations(spark, name)
+    expected = put(spark, name, path, frame(spark, [(3, "d")]))
+    assert len(set(tables.bucket_locations(spark, name)) - set(before)) == 1
+    grow_buckets(spark, name, path, 64)
+    spark.sql(f"DROP TABLE {name}")
+    register_path(spark, name, path)
+    assert rows(read_table(spark, name)) == expected and (3, "d") in expected and table_layout(spark, name).buckets == 64
+
+
+def test_split_buckets_switch_together(spark, name, path, monkeypatch):
+    """Buckets that have no rows of their own any more go too; a job cut short is finished by the next writer."""
+    put(spark, name, path, frame(spark, [(k, "a") for k in range(6)]), buckets=2)
+    move, seen = tables._move_partitions, []
+
+    def look_first(*args):
+        seen.append(rows(read_table(spark, name)))
+        move(*args)
+        spark.catalog.refreshTable(name)
+        seen.append(rows(read_table(spark, name)))
+        raise ZeroDivisionError
+
+    monkeypatch.setattr(tables, "_move_partitions", look_first)
+    with pytest.raises(ZeroDivisionError):
+        grow_buckets(spark, name, path, 256)
+    monkeypatch.undo()
+    assert seen == [rows(frame(spark, [(k, "a") for k in range(6)]))] * 2
+    assert put(spark, name, path, frame(spark, [(7, "b")])) == [*seen[0], (7, "b")]
+    assert len(registered_buckets(spark, name)) == 7
+
+
+@pytest.mark.parametrize(("buckets", "wanted"), [(4, 6), (4, 2), ("k DIV 3", 6), (None, 4)])
+def test_only_hash_buckets_can_be_split_and_evenly(spark, name, path, buckets, wanted):
+    expected = put(spark, name, path, frame(spark, [(1, "a")]), buckets=buckets)
+    with pytest.raises(PublishError, match="multiple"):
+        grow_buckets(spark, name, path, wanted)
+    assert rows(read_table(spark, name)) == expected
+
+
 def test_new_buckets_appear_with_the_others(spark, name, path, monkeypatch):
     """A reader between registration and switch sees the table as it was."""
     put(spark, name, path, frame(spark, [(k, "a") for k in range(4)]), buckets="k")

@@ -5,7 +5,7 @@ from tierlake.functions.names import qualified_name
 from tierlake.functions.schema import SchemaError, conform, rejects
 from tierlake.operators.gold import bridged_join_sql, direct_join_sql, preview, publish_view, read_view
 from tierlake.operators.mapping import build_mapping
-from tierlake.operators.publish import first_load, overwrite, register_path, remove_unused, upsert
+from tierlake.operators.publish import first_load, grow_buckets, overwrite, register_path, remove_unused, upsert
 from tierlake.operators.tables import PublishError, read_table, register_external_table, table_exists
 from tierlake.operators.upsert import merge_upsert
 from tierlake.plans.jobs import ingest_documents, ingest_relational, map_sources, publish_gold
@@ -38,6 +38,7 @@ __all__ = [
     "discovered_strides",
     "even_ranges",
     "first_load",
+    "grow_buckets",
     "ingest_documents",
     "ingest_relational",
     "map_sources",

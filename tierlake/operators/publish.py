@@ -51,7 +51,6 @@ from tierlake.operators.tables import (
     bucket_locations,
     check_unmoved,
     check_writable,
-    drop_buckets,
     read_table,
     register_external_table,
     registered_buckets,
@@ -306,6 +305,28 @@ def _overwrite(
     _publish(spark, name, layout, location, schema, check, held, gone)
 
 
+def grow_buckets(spark: SparkSession, name: str, path: str, buckets: int) -> None:
+    """Give table `name` more hash buckets, a multiple of those it has, which stay the same rows in smaller parts.
+
+    A key's bucket among m * n is its bucket among n, or that plus a multiple of n, so each task splits the files it reads
+    and nothing is shuffled. All buckets switch at once; a job that is cut short is finished by the next writer.
+    """
+    with claimed(spark, name, path) as check:
+        layout = _settled(spark, name, path)
+        if not isinstance(layout.buckets, int) or buckets < layout.buckets or buckets % layout.buckets:
+            raise PublishError(f"{name} has {layout.buckets} buckets and can only get a multiple of a number of them, not {buckets}")
+        if buckets == layout.buckets:
+            return
+        location = _write(_regrouped(spark, name, layout, buckets), path, buckets, layout.keys, after=layout.newest_folder)
+        held, schema = _buckets_in(spark, location), read_table(spark, name).schema
+        gone = registered_buckets(spark, name) - set(held)
+        _publish(spark, name, layout, location, schema, check, held, gone, {BUCKETS: json.dumps(buckets)})
+
+
+def _regrouped(spark: SparkSession, name: str, layout: Layout, buckets: int) -> DataFrame:
+    return _with_bucket(spark.table(name), layout.keys, buckets)
+
+
 def register_path(spark: SparkSession, name: str, path: str) -> None:
     """Bring back under `name` a table whose folders lie below `path`, with its buckets and keys.
 
@@ -392,8 +413,8 @@ def _settled(spark: SparkSession, name: str, path: str) -> Layout:
     if _written_at(at) and read_text(spark, f"{at}/{MARKER}") is None:
         if layout.buckets:
             held, written = _buckets_in(spark, at), json.loads(read_text(spark, f"{at}/{LAYOUT_FILE}"))
-            switch_buckets(spark, name, layout, at, held)
-            drop_buckets(spark, name, registered_buckets(spark, name) - set(held) if written["whole"] else ())
+            gone = registered_buckets(spark, name) - set(held) if written["whole"] else ()
+            switch_buckets(spark, name, layout, at, held, gone)
         _mark(spark, name)
     return layout
 
@@ -431,6 +452,7 @@ def _publish(
     check: Callable[[], None],
     buckets: Sequence[int] = (),
     gone: Collection[int] = (),
+    properties: dict[str, str] | None = None,
 ) -> None:
     """Make the rows just written at `location` those of the table, or of its given buckets; drop those `gone`.
 
@@ -444,8 +466,7 @@ def _publish(
         raise
     add_columns(spark, name, schema)
     if layout.buckets:
-        switch_buckets(spark, name, layout, location, buckets)
-        drop_buckets(spark, name, gone)
+        switch_buckets(spark, name, layout, location, buckets, gone, properties)
     else:
         switch_table(spark, name, layout, location)
     _mark(spark, name)

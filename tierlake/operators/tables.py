@@ -153,42 +153,51 @@ def switch_buckets(
     layout: Layout,
     location: str,
     buckets: Collection[int],
+    gone: Collection[int] = (),
     properties: dict[str, str] | None = None,
 ) -> None:
-    """Point these buckets at their folders below `location`, if the table is still where `layout` says.
+    """Point these buckets at their folders below `location`, if the table is still where `layout` says, and drop those `gone`.
 
-    New ones are first registered with an empty folder, all in one statement; then all are pointed at their rows in one call
-    to the catalog, however many there are. `properties` are set before that, with the new place.
+    New ones are first registered with an empty folder, all in one statement; then all are pointed at their rows, and those
+    that go at the empty folder, in one call to the catalog, however many there are. `properties` are set before that, with the
+    new place.
     """
     added = sorted(set(buckets) - registered_buckets(spark, name))
     check_unmoved(spark, name, layout)
     set_properties(spark, name, {NEWEST_FOLDER: location} | (properties or {}))
-    if added:
-        empty = f"{location}/{EMPTY_FOLDER}"
+    empty = f"{location}/{EMPTY_FOLDER}"
+    if added or gone:
         make_folder(spark, empty)
+    if added:
         parts = " ".join(f"{_partition(number)} LOCATION {text_literal(empty)}" for number in added)
         spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD IF NOT EXISTS {parts}", args={"name": name})
-    _move_partitions(spark, name, location, sorted(buckets))
+    _move_partitions(spark, name, {n: _bucket_folder(location, n) for n in buckets} | dict.fromkeys(gone, empty))
+    drop_buckets(spark, name, gone)
     spark.catalog.refreshTable(name)
 
 
-def _move_partitions(spark: SparkSession, name: str, location: str, numbers: Sequence[int]) -> None:
-    """SQL can only move one partition at a time; the session's catalog takes a list."""
-    if not numbers:
+def _move_partitions(spark: SparkSession, name: str, where: dict[int, str]) -> None:
+    """SQL can only move one partition at a time; the session's catalog takes a list.
+
+    The driver makes that list with a few calls to the JVM for each, so tables should have some thousands of buckets at most.
+    """
+    if not where:
         return
     jvm, (catalog, table) = spark._jvm, _session_catalog(spark, name)
     values = jvm.java.util.HashMap()
-    values.put(BUCKET_COLUMN, str(int(numbers[0])))
+    values.put(BUCKET_COLUMN, str(min(where)))
     to_scala = jvm.scala.jdk.javaapi.CollectionConverters.asScala
     some = catalog.getPartition(table, jvm.scala.collection.immutable.HashMap().concat(to_scala(values)))
     # What all partitions share, and the classes, are looked up once: each look is a call to the JVM.
     form, spec, moved = some.storage(), some.spec(), jvm.java.util.ArrayList()
     fixed = [form.productElement(i) for i in range(1, form.productArity())]  # all but the location
     rest = [some.parameters(), some.createTime(), some.lastAccessTime(), jvm.scala.Option.empty()]  # no old sizes
-    root, new_uri, a_value = jvm.org.apache.hadoop.fs.Path(location).toUri().toString(), jvm.java.net.URI.create, jvm.scala.Some
-    for number in numbers:
-        storage = form.copy(a_value(new_uri(_bucket_folder(root, number))), *fixed)
-        moved.add(some.copy(spec.updated(BUCKET_COLUMN, str(int(number))), storage, *rest))
+    as_path, new_uri, a_value = jvm.org.apache.hadoop.fs.Path, jvm.java.net.URI.create, jvm.scala.Some
+    roots = {root: as_path(root).toUri().toString() for root in {folder.rpartition("/")[0] for folder in where.values()}}
+    for number, folder in sorted(where.items()):
+        root, _, last = folder.rpartition("/")
+        storage = form.copy(a_value(new_uri(f"{roots[root]}/{last}")), *fixed)
+        moved.add(some.copy(spec.updated(BUCKET_COLUMN, str(number)), storage, *rest))
     catalog.alterPartitions(table, to_scala(moved).toSeq())
 
 

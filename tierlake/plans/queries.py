@@ -23,7 +23,7 @@ from tierlake.functions.schema import conform
 from tierlake.functions.storage import one_process, scratch_folder, unique_name
 from tierlake.operators.gold import bridged_join_sql, direct_join_sql, preview, publish_view, read_view
 from tierlake.operators.mapping import build_mapping
-from tierlake.operators.publish import first_load, overwrite, upsert
+from tierlake.operators.publish import first_load, grow_buckets, overwrite, upsert
 from tierlake.operators.tables import read_table, register_external_table
 from tierlake.operators.upsert import merge_upsert
 from tierlake.plans import jobs
@@ -613,3 +613,15 @@ def upsert_nested_evolution(spark, sf_dir):
     changed = documents_of(LINES_CHANGED, [parcels, total], [F.col("l_partkey").alias("part"), *line])
     orders = published(spark, loaded, changed, keys=["l_orderkey"], buckets=16)
     return orders.select("l_orderkey", "summary.*", F.inline("lines"))
+
+
+@query(f"SELECT o_orderkey, o_custkey, {DOUBLED}, o_orderdate FROM orders")
+def upsert_after_bucket_growth(spark, sf_dir):
+    """Half of the changes, then four times the buckets, then the other half."""
+    name, path = unique_name("tierlake_t_"), scratch_folder(spark)
+    changed = orders_changed(spark, sf_dir)
+    upsert(spark, name, path, orders_loaded(spark, sf_dir), ["o_orderkey"], buckets=8)
+    upsert(spark, name, path, changed.filter("o_orderkey % 2 = 0"), ["o_orderkey"])
+    grow_buckets(spark, name, path, 32)
+    upsert(spark, name, path, changed.filter("o_orderkey % 2 = 1"), ["o_orderkey"])
+    return read_table(spark, name)
