@@ -134,6 +134,22 @@ def test_near_copies_are_those_of_brute_force(spark, seed):
     assert got == near(texts, minhash.PERCENT)
 
 
+def test_texts_of_one_template_are_not_paired_with_each_other(spark):
+    """64 words of a template and 10 of their own: too little alike to be linked, and enough to share every table."""
+
+    def met(n):
+        template = " ".join(f"t{i}" for i in range(64))
+        texts = [f"{template} " + " ".join(f"o{j}x{i}" for i in range(10 + j % 3)) for j in range(n)]
+        docs = plain(spark, texts)
+        sets = docs.mapInArrow(minhash._sets, "node binary, shingles array<long>, marks array<long>")
+        sets = sets.withColumn("root", F.col("node"))
+        assert minhash._across(sets, minhash.PERCENT).isEmpty()
+        assert minhash.clusters(docs).filter("not kept").isEmpty()
+        return minhash._met(sets, minhash.PERCENT).count()
+
+    assert met(400) <= 2 * met(200) + 400 <= 2 * 400 + 400
+
+
 def test_near_copies_among_awkward_rows(spark):
     got = collections.defaultdict(set)
     for r in minhash.clusters(documents(spark, awkward())).collect():

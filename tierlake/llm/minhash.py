@@ -242,35 +242,53 @@ def _roots(plain: DataFrame, tables: DataFrame, nodes: DataFrame, percent: int)
 
 
 def _across(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets in different components that may be similar enough, from rows (node, root, shingles, marks).
+    """Pairs (a, b) of sets in different components that may be similar enough, from rows (node, root, shingles, marks)."""
+    enough = (100 + percent) * F.least("left1", "left2") >= percent * (F.col("n1") + F.col("n2"))
+    pairs = _met(sets, percent)
+    pairs = pairs.filter((F.col("n1") <= F.col("n2")) & (F.col("root1") != F.col("root2")) & enough & _may_share(percent))
+    return pairs.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+
+
+def _met(sets: DataFrame, percent: int) -> DataFrame:
+    """Rows of two sets each that share a shingle among those that similar sets would share; most are of different components.
 
-    With shingles sorted from rare to frequent, two similar sets share one of the first few of each, so only sets that share
-    one of these are paired. Frequent shingles, such as those of a passage that many texts quote, are not among them. The
-    first shingle that two sets share also bounds what they share: all that comes before it in either is the set's own, so
-    sets with too many shingles of their own are not paired. A shingle's sets of its main component are not paired with each
-    other.
+    All shingles are put in one order: first those that sets of one component alone have, then the others from rare to
+    frequent. Two similar sets share one of the first few in that order: of the larger set the first n - ceil(t n) + 1, and of the
+    smaller one the first n - ceil(2 t / (1 + t) n) + 1, as it shares more of itself. Only sets that share one of these
+    are paired. So the shingles of a passage that many texts quote are not among them, nor those of a template that is
+    most of a text, unless what is left beside it is too little to tell similar texts from others. The first shingle that two
+    sets share also bounds what they share: all that comes before it in either is the set's own, so sets with too many
+    shingles of their own are not paired. A shingle's sets of its main component are not paired with each other.
     """
+    token = F.explode("shingles").alias("token")
+    root = sets.select(token, F.xxhash64("root").alias("root"))
+    often = root.groupBy("token").agg(F.count("*").alias("often"), F.min("root").alias("low"), F.max("root").alias("high"))
+    often = stored(often.filter("low <> high").select("token", "often"))
+    across = sets.select("node", token).join(often, "token").groupBy("node")
+    across = across.agg(F.sort_array(F.collect_list(F.struct("often", "token"))).alias("tokens"))  # as many as a set has
     n = F.size("shingles").cast("long")
-    tokens = sets.select("node", "root", n.alias("n"), F.explode("shingles").alias("token"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("often"), (F.min("root") < F.max("root")).alias("across"))
-    often = stored(often.filter("often > 1"))
-    first = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    known = F.struct(F.coalesce("often", F.lit(1)).alias("often"), "token", F.coalesce("across", F.lit(False)).alias("across"))
-    ordered = tokens.join(often, "token", "left").groupBy("node").agg(
-        F.first("root").alias("root"), F.first("n").alias("n"), F.sort_array(F.collect_list(known)).alias("tokens")
-    )
-    rare = ordered.join(sets.select("node", "marks"), "node").select("node", "root", "n", "marks", F.posexplode(F.slice("tokens", F.lit(1), first)).alias("before", "t"))
-    left = F.col("n") - F.col("before")  # no more than these can be shared
-    rare = stored(rare.filter("t.across").select("node", "root", "n", "marks", left.alias("left"), F.col("t.token").alias("token")))
-    by_root = rare.groupBy("token", "root").agg(F.count("*").alias("size"))
-    main = by_root.groupBy("token").agg(F.max_by("root", "size").alias("main"), F.count("*").alias("roots")).filter("roots > 1")
-    rows = rare.join(main.select("token", "main"), "token")
-    one = rows.filter("root <> main").select("token", *(F.col(c).alias(f"{c}1") for c in ("node", "root", "n", "marks", "left")))
-    two = rows.select("token", "main", *(F.col(c).alias(f"{c}2") for c in ("node", "root", "n", "marks", "left")))
-    once = (F.col("root2") == F.col("main")) | (F.col("node1") < F.col("node2"))
-    enough = (100 + percent) * F.least("left1", "left2") >= percent * (F.col("n1") + F.col("n2"))
-    pairs = one.join(two, "token").filter((F.col("root1") != F.col("root2")) & once & enough & _may_share(percent))
-    return pairs.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+    few = across.join(sets.select("node", "root", "marks", n.alias("n")), "node")
+    own = F.col("n") - F.size("tokens")  # these come first
+    long, short = (F.col("n") - F.ceil(F.col("n") * x / y) + 1 for x, y in ((percent, 100), (2 * percent, 100 + percent)))
+    few = few.withColumns({"own": own, "long": long, "short": short}).filter("own < long")
+    few = few.select("node", "root", "marks", "n", "own", "short", F.posexplode(F.slice("tokens", F.lit(1), (long - own).cast("int"))).alias("nth", "t"))
+    before = F.col("own") + F.col("nth")
+    # No more than `left` can be shared; a set whose partner would have to be too small for that has none.
+    left = F.col("n") - before
+    few = few.filter((100 + percent) * left >= percent * (F.col("n") + F.ceil(F.col("n") * percent / 100)))
+    rare = stored(few.select(F.col("t.token").alias("token"), "node", "root", "marks", "n", left.alias("left"), (before < F.col("short")).alias("short")))
+    by_root = rare.groupBy("token", "root").agg(F.count("*").alias("size"), F.count_if("short").alias("some"))
+    main = by_root.groupBy("token").agg(F.max_by("root", "size").alias("main"), F.count("*").alias("roots"), F.sum("some").alias("some"))
+    main = stored(main.filter("roots > 1 AND some > 0").select("token", "main"))
+    rows = rare.join(main, "token")
+
+    def side(some: DataFrame, i: int) -> DataFrame:
+        return some.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("node", "root", "marks", "n", "left")))
+
+    in_main = F.col("root") == F.col("main")
+    one = side(rows.filter(F.col("short") & ~in_main), 1).join(side(rows, 2), "token")
+    two = side(rows.filter(F.col("short") & in_main), 1).join(side(rows.filter(~in_main), 2), "token")
+    return one.union(two)
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
