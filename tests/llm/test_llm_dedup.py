@@ -150,6 +150,17 @@ def test_texts_of_one_template_are_not_paired_with_each_other(spark):
     assert met(400) <= 2 * met(200) + 400 <= 2 * 400 + 400
 
 
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 15])
+def test_no_text_that_is_needed_is_filtered_away(spark, monkeypatch, bits):
+    monkeypatch.setattr(minhash, "FILTER_BITS", bits)
+    docs = spark.range(20_000).selectExpr("IF(id = 5, NULL, id * 7919 - 30000) AS doc_id", "'x' AS text")
+    ids = docs.filter("doc_id IS NULL OR doc_id % 11 = 3").selectExpr("doc_id AS id")
+    kept = minhash._likely(docs, ids)
+    assert kept.columns == docs.columns and ids.exceptAll(kept.select("doc_id")).isEmpty()
+    assert ids.count() <= kept.count() <= ids.count() + (100 if bits > 1 << 20 else 2000)
+    assert minhash._likely(docs, ids.limit(0)).isEmpty()
+
+
 def test_near_copies_among_awkward_rows(spark):
     got = collections.defaultdict(set)
     for r in minhash.clusters(documents(spark, awkward())).collect():

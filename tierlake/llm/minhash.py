@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierlake.functions.storage import scratch_folder, unique_name
 from tierlake.llm.common import as_list, columns, fresh, mixed, pieces, prefix_sums, runs, span_hashes, stored, utf8
 from tierlake.llm.components import components
 
@@ -30,6 +31,8 @@ PERCENT = 85
 SMALL, ROWS = 10, 3
 #: Bits of a set's marks, by which pairs that share too little are told without the sets.
 MARKS = 512
+#: Bits of the bitmap that tells which texts are needed once more (8 MB), and those of a row of it, which Spark gives.
+FILTER_BITS, FILTER_BLOCK = 1 << 26, 8 * 4096
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -207,12 +210,38 @@ def _may_share(percent: int) -> Column:
 
 
 def _roots(plain: DataFrame, tables: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    held = nodes.join(tables.select("node").distinct(), "node").select("node", "doc_id")
+    spark, name = plain.sparkSession, unique_name("tierlake_sets_")
+    held = stored(nodes.join(tables.select("node").distinct(), "node").select("node", "doc_id"))
     # A set's text is found by the set's smallest id, whose other rows may hold other texts.
     ids = held.select(F.col("doc_id").alias("id")).distinct()
-    mine = plain.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    mine = _likely(plain, ids).join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     sets = mine.mapInArrow(_sets, "node binary, shingles array<long>, marks array<long>").join(held.select("node"), "node")
-    sets = stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("marks").alias("marks")))
+    sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("marks").alias("marks"))
+    # Bucketed, so that sets stay where they are in the joins that look at pairs of them.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sets.write.bucketBy(buckets, "node").option("path", scratch_folder(spark)).option("compression", "zstd").saveAsTable(name)
+    try:
+        return _linked(spark.table(name), tables, percent)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _likely(plain: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id may be among `ids`, by a bitmap of their hashes, so that few texts are shuffled to find out.
+
+    The bitmap has FILTER_BITS bits whatever the number of ids; the more there are, the more other rows pass.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    block, bit = F.floor(place / FILTER_BLOCK), (place % FILTER_BLOCK)
+    hashed = ids.select(F.col("id").alias("doc_id")).select(block.alias("block"), bit.alias("bit"))
+    bitmap = hashed.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    own = F.conv(F.hex(F.substring(F.col("bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = plain.join(F.broadcast(bitmap), block == F.col("block"))
+    return found.filter(own.bitwiseAND(F.pow(F.lit(2), bit % 8).cast("int")) != 0).select(*plain.columns)
+
+
+def _linked(sets: DataFrame, tables: DataFrame, percent: int) -> DataFrame:
+    """Rows (node, root) of the sets that are linked with others, from the sets and the tables that they meet in."""
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -237,7 +266,7 @@ def _roots(plain: DataFrame, tables: DataFrame, nodes: DataFrame, percent: int)
     if not more.isEmpty():
         roots = components(links.union(more))
     if roots is None:
-        return plain.sparkSession.createDataFrame([], "node binary, root binary")
+        return sets.sparkSession.createDataFrame([], "node binary, root binary")
     return roots
 
 
