@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import warnings
 import zlib
 
 import numpy as np
@@ -280,6 +281,27 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.predict(documents(spark, []), labels).collect() == []
 
 
+def goal_of(there, shares, budget):
+    return (budget or min(t / s for t, s in zip(there, shares, strict=True) if s and t)) * np.array(shares)
+
+
+def plain_rates(n, soft, goal, steps=4000):
+    """Nonnegative rates nearest to 1 that meet the goal, by plain ascent on one multiplier per domain, one at a time."""
+    price = np.zeros(soft.shape[1])
+    for _ in range(steps):
+        for k in range(soft.shape[1]):
+            low, high = -1e6, 1e6
+            for _ in range(60):
+                price[k] = (low + high) / 2
+                if n * np.maximum(0, 1 - soft @ price) @ soft[:, k] > goal[k]:
+                    low = price[k]
+                else:
+                    high = price[k]
+        if np.abs((n * np.maximum(0, 1 - soft @ price)) @ soft - goal).max() < 1e-8 * goal.max():
+            break
+    return np.maximum(0, 1 - soft @ price)
+
+
 def test_rates_meet_their_targets_and_are_those_of_a_plain_solver(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
@@ -287,24 +309,50 @@ def test_rates_meet_their_targets_and_are_those_of_a_plain_solver(spark):
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
     rows = out.collect()
     assert len(rows) == docs.count() and all(r.rate >= 0 for r in rows)
-    tokens = {r.doc_id: len([w for w in r.text.split(" ") if w]) for r in docs.collect()}
+    tokens = {r.doc_id: len((r.text or "").split()) for r in docs.collect()}
     assert all(tokens[r.doc_id] == r.n_tokens for r in rows)
+    n, soft, rate = (np.array([r[x] for r in rows], float) for x in ("n_tokens", "posterior", "rate"))
+    assert np.allclose(soft.sum(axis=1), 1)
+    there = n @ soft
+    goal = goal_of(there, [mixing.TARGETS[d] for d in sorted(mixing.TARGETS)], None)
+    assert (np.abs((n * rate) @ soft - goal) / there).max() < 1e-5
+    assert np.abs(rate - plain_rates(n, soft, goal)).max() < 1e-3
 
 
-def test_projected_gradient_meets_targets(spark):
-    random_ = np.random.default_rng(3)
-    soft = random_.dirichlet([0.3, 0.3, 0.3], 500)
-    n = random_.integers(1, 500, 500)
+def solved(spark, n, soft, shares, budget):
     frame = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, soft, strict=True)], "n long, soft array<double>")
-    for shares, budget in (([0.5, 0.3, 0.2], float(n.sum())), ([0.9, 0.1, 0.0], 30_000.0), ([0.6, 0.3, 0.1], None)):
-        moves = mixing._fit(frame, "n", "soft", shares, budget)
-        rate = np.ones(500)
-        for move in moves:
-            rate = np.maximum(0, rate - soft @ np.array(move))
-        there = (n[:, None] * soft).sum(axis=0)
-        goal = (budget or min(t / s for t, s in zip(there, shares, strict=True) if s)) * np.array(shares)
-        miss = np.abs((n * rate) @ soft - goal) / there
-        assert miss.max() < (1e-3 if 0.0 not in shares else 0.05)
+    return np.maximum(0, 1 - soft @ np.array(mixing._fit(frame, "n", "soft", shares, budget)))
+
+
+@pytest.mark.parametrize(("shares", "budget"), [([0.5, 0.3, 0.2], 1.0), ([0.6, 0.3, 0.1], None), ([0.01, 0.04, 0.95], 0.2), ([0.95, 0.04, 0.01], None)])
+@pytest.mark.parametrize("overlap", [0.3, 2.0])
+def test_projected_gradient_meets_targets(spark, shares, budget, overlap):
+    random_ = np.random.default_rng(3)
+    soft = random_.dirichlet([overlap] * 3, 1000)
+    soft[:30] = np.eye(3)[np.arange(30) % 3]  # a few documents of one domain alone make any target possible
+    n = random_.integers(1, 500, 1000)
+    there = n @ soft
+    budget = budget and budget * there.sum()
+    goal = goal_of(there, shares, budget)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        rate = solved(spark, n, soft, shares, budget)
+    assert (np.abs((n * rate) @ soft - goal) / there).max() < 1e-5
+    assert np.abs(rate - plain_rates(n, soft, goal)).max() < 1e-3 * max(1, rate.max())
+
+
+def test_targets_that_cannot_be_met_are_named(spark):
+    """Each document is half prose, so prose cannot be 0.95 of what stays."""
+    n, soft = np.full(50, 100), np.tile([[0.5, 0.4, 0.1], [0.5, 0.1, 0.4]], (25, 1))
+    with pytest.warns(UserWarning, match="cannot be met"):
+        rate = solved(spark, n, soft, [0.95, 0.04, 0.01], 1000.0)
+    goal, there = np.array([950, 40, 10]), n @ soft
+
+    def missed(rate):
+        return ((((n * rate) @ soft - goal) ** 2) / there).sum()
+
+    best = min(missed(np.tile([a, b], 25)) for a in np.linspace(0, 1, 401) for b in np.linspace(0, 1, 401))
+    assert missed(rate) <= best * 1.001
 
 
 def test_mixing_of_awkward_rows(spark):

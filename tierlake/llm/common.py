@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,11 @@ from tierlake.functions.storage import scratch_folder
 
 #: Bytes of text that a task looks at together; a longer text comes alone.
 PIECE_BYTES = 1 << 20
+#: Bytes of rows that are sent to Python together; a larger row comes alone.
+BATCH_BYTES = 8 << 20
+
+
+_LIBC = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,12 +34,25 @@ def stored(df: DataFrame) -> DataFrame:
     them any more, so it is asked to look; otherwise the files of all steps of a query add up.
     """
     spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(folder)
+    with _small_batches(spark):
+        df.write.option("compression", "zstd").parquet(folder)
     gc.collect()
     spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches for Python by their bytes, as ten thousand long texts or lists are more than a task should hold twice."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def columns(df: DataFrame) -> list[Column]:
     """All columns by their names, whatever characters these hold."""
     return [F.col(f"`{name.replace('`', '``')}`") for name in df.columns]
@@ -73,6 +93,14 @@ def pieces(batches, column: str = "text", most: int = PIECE_BYTES) -> Iterator[p
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    _release()
+
+
+def _release() -> None:
+    """Give back what a finished task has freed: an idle worker would keep it from the executor's next tasks."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
