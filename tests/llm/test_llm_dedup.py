@@ -161,6 +161,15 @@ def test_no_text_that_is_needed_is_filtered_away(spark, monkeypatch, bits):
     assert minhash._likely(docs, ids.limit(0)).isEmpty()
 
 
+def test_a_repeated_passage_goes_by_its_bytes_not_by_its_words(spark):
+    """Passages of 55 words each: the one of short words is below 400 bytes and stays, the other one goes whole."""
+    short, long = (" ".join(f"{letter}{i:0{width}d}" for i in range(55)) for letter, width in (("s", 5), ("l", 7)))
+    assert len(short) < suffix_dedup.LENGTH < len(long)
+    docs = plain(spark, [f"{i} {passage} {i}" for i in range(4) for passage in (short, long)])
+    removed = [r.n_removed for r in suffix_dedup.strip_repeats(docs).orderBy("doc_id").collect()]
+    assert removed == [0, len(long) + 2] * 4  # with the blanks around it
+
+
 def test_near_copies_among_awkward_rows(spark):
     got = collections.defaultdict(set)
     for r in minhash.clusters(documents(spark, awkward())).collect():
