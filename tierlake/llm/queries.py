@@ -126,4 +126,27 @@ ORACLES = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
     """,
+    "op11_fm_index": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS nr, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ),
+        windows AS (
+            SELECT nr, first, array_to_string(words[first : first + 34], ' ') AS sequence
+            FROM (SELECT nr, words, unnest(range(1, len(words) - 33)) AS first FROM texts)
+        ),
+        repeated AS (SELECT sequence FROM windows GROUP BY sequence HAVING count(*) > 1),
+        covered AS (
+            SELECT DISTINCT nr, unnest(range(first, first + 35)) AS place
+            FROM windows WHERE sequence IN (SELECT sequence FROM repeated)
+        ),
+        placed AS (SELECT nr, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+        kept AS (
+            SELECT nr, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS words
+            FROM placed ANTI JOIN covered USING (nr, place) GROUP BY nr
+        )
+        SELECT doc_id, CAST(len(texts.words) AS BIGINT) AS n_words, CAST(len(texts.words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept.words, '')) AS kept_sha256
+        FROM texts LEFT JOIN kept USING (nr)
+    """,
 }
