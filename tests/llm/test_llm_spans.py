@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import math
 import random
 import string
 
@@ -49,6 +51,95 @@ def test_a_bounded_cost_judges_as_the_whole_one_does():
         assert (secret_cost.guess_bits(value, ranks, 28.0) >= 28.0) == (secret_cost.guess_bits(value, ranks) >= 28.0), value
 
 
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        ('DB_PASSWORD="Xk9#pQ!2vZ"', "Xk9#pQ!2vZ"),
+        ('client_secret: "Zq8!kP2$mX"', "Zq8!kP2$mX"),
+        ("authToken = Xk9#pQ2vZ", "Xk9#pQ2vZ"),
+        ("userPassword: Xk9#pQ2v", "Xk9#pQ2v"),
+        ("DB_PWD=Xk9#pQ2vZ", "Xk9#pQ2vZ"),
+        ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG", "wJalrXUtnFEMI/K7MDENG"),
+        ("spring.datasource.password=Xk9#pQ2vZ", "Xk9#pQ2vZ"),
+        ("--db-password-file2 => Xk9#pQ2vZ", "Xk9#pQ2vZ"),
+        ('{\\"dbPwd\\":\\"Xk9#pQ2vZ\\",\\"n\\":1}', "Xk9#pQ2vZ"),
+        ("--password Xk9#pQ2vZ", "Xk9#pQ2vZ"),
+        ("my secretary Xk9#pQ2vZ", None),
+        ("tokenization of Xk9#pQ2vZ", None),
+    ],
+)
+def test_longer_names_of_credentials(text, value):
+    assert added(text) == ([value] if value else [])
+
+
+def test_a_long_run_of_names_ends():
+    assert added("token" * 100_000) == [] and len(added("pwd-" * 50_000 + "=x")) == 1
+
+
+def least_of_every_cut(value, ranks):
+    """The least cost, by trying every part at every place."""
+    low, n = value.lower(), len(value)
+    leet = low.translate(secret_cost._LEET)
+    mixed_case = low != value and value != value.upper()
+
+    def whole(i, j):
+        word = leet[i:j] if leet[i:j] in ranks else low[i:j]
+        if 3 <= j - i <= 24 and word in ranks:
+            odd = sum(a != b for a, b in zip(value[i:j], low[i:j])) + sum(a != b for a, b in zip(low[i:j], word))
+            yield math.log2(ranks[word] + 1) + (math.log2(math.comb(j - i, min(odd, (j - i) // 2)) + 1) if odd else 0)
+        if 4 <= j - i <= 10 and secret_cost._DATE.fullmatch(value[i:j]):
+            yield math.log2(365 * 120)
+        if value.isalpha() and j - i <= 24 and secret_cost._is_spoken(value[i:j]):
+            yield secret_cost.SPOKEN_BITS
+        if j - i >= 3 and all(low[k : k + 2] in secret_cost._BESIDE for k in range(i, j - 1)):
+            yield math.log2(94) + 1.5 * math.log2(j - i)
+        for size in range(1, 9):
+            times = (j - i) // size
+            if times >= 2 and j - i >= 3 and low[i:j] == low[i : i + size] * times:
+                yield sum(map(secret_cost._brute_bits, low[i : i + size])) + math.log2(times) + 1
+
+    @functools.cache
+    def rest(i, one_by_one):
+        if i == n:
+            return 0.0
+        each = secret_cost._brute_bits(value[i]) + (1.0 if mixed_case and value[i].isalpha() else 0.0)
+        found = [each + (1.0 if i and not one_by_one else 0.0) + rest(i + 1, True)]
+        for j in range(i + 2, n + 1):
+            found += [bits + (1.0 if i else 0.0) + rest(j, False) for bits in whole(i, j)]
+        return min(found)
+
+    return rest(0, False)
+
+
+def test_the_least_cost_is_that_of_every_cut():
+    pick = random.Random(8)
+    ranks = secret_cost.ranked(["giraffe", "telescope", "are", "cab"])
+    stock = [*"abc123xQ!-", "giraffe", "Telescope", "p4ss", "2024", "19991231", "qwer", "asdf", "ababab", "111", "cab", "Summer"]
+    for _ in range(400):
+        value = "".join(pick.choice(stock) for _ in range(pick.randint(1, 9)))[:40]
+        least, parts = secret_cost.parts(value, ranks)
+        assert least == pytest.approx(least_of_every_cut(value, ranks)), value
+        assert "".join(part for part, _ in parts) == value
+
+
+def test_words_of_all_documents_are_the_dictionary(spark):
+    animals = ["the Giraffe sees a telescope", "a giraffe and the TELESCOPE", "giraffe; telescope. the"]
+    copies = ["DB_PASSWORD=giraffetelescope7 and pwd: xkqjzvbwpm, dbPwd=Zk4vbnq8xw"] * 50
+    docs = plain(spark, [*animals, *copies, None, "", "über " * 3, "w" * 30 + " "])
+    words = secret_cost.learned_words(docs)
+    assert {"giraffe", "telescope", "the", "and", "ber"} <= set(words)
+    assert not {"xkqjzvbwpm", "giraffetelescope", "vbnq", "sees"} & set(words)
+    assert secret_cost.learned_words(docs, 2) == words[:2]
+    least, parts = secret_cost.parts("giraffetelescope7", secret_cost.ranked(words))
+    assert [part for part, _ in parts] == ["giraffe", "telescope", "7"] and least < secret_cost.SECRET_BITS
+    found = {r.doc_id: r.spans for r in secret_cost.find(docs).collect()}
+    text = copies[0]
+    values = [(text.index(v), len(v)) for v in ("xkqjzvbwpm", "Zk4vbnq8xw")]
+    # the first is one of base's patterns, whatever it costs
+    assert found[3] == ",".join(["assign:3:29", *(f"assign:{a}:{a + n}" for a, n in values)])
+    assert secret_cost.learned_words(docs.limit(0)) == []
+
+
 def test_long_secrets_reach_the_table(spark):
     (row,) = secret_cost.find(plain(spark, [f"pwd={KEY}"])).collect()
     assert row.spans == f"assign:4:{4 + len(KEY)}" and row.n_assign == 0

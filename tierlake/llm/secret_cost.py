@@ -2,9 +2,9 @@
 
 The cost of a value is the least sum, over all ways to cut it into words, dates, repeats, keyboard walks and characters that
 must be tried one by one, of the logarithms of the guesses that each part takes; dynamic programming finds it. Words are
-common password words and those that the text repeats beside such values; of a value that is all letters, also whatever can be
-spoken, as a large dictionary has it. A value that follows a word such as `password` or `pwd`, however long, is added to what
-the patterns find if it is costly enough, so `password: letmein1` is not.
+common password words, those that the text repeats beside such values, and the most frequent ones of all documents, by rank; of
+a value that is all letters, also whatever can be spoken, as an even larger dictionary has it. A value that follows a word such
+as `password` or `DB_PWD`, however long, is added to what the patterns find if it is costly enough, so `password: letmein1` is not.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,10 @@ KINDS = ("assign", "access", "hex")
 SECRET_BITS, LEAST_CHARS = 28.0, 6
 #: Bits of a large dictionary, which has every word that can be spoken.
 SPOKEN_BITS = 17.0
+#: Words of the dictionary that is learned, how often each of them occurs at least, and its least and most letters.
+MOST_WORDS, LEAST_TIMES, WORD_CHARS = 50_000, 3, (3, 24)
+#: Different words that a task counts before it hands them on.
+_HELD_WORDS = 1 << 18
 #: Characters of a repeat or walk up to which every part of it is tried; of a longer one also those that end near its end.
 _EVERY, _NEAR = 128, 24
 
@@ -33,16 +38,19 @@ _ASCII = re.ASCII | re.IGNORECASE
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", _ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # a run of 16 or more; shorter ones do not count
+_CREDENTIAL = r"(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|bearer)"
+#: A credential's word in a longer name needs a sign before the value; one by itself does not.
 _CONTEXT = re.compile(
-    r"""\b(pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|bearer)\b"""
-    r"""(?:\\*["'])?[\x20\t]*(?:(?:is|was)\b|=>|:=|[:=])?[\x20\t]*((?:\\*["'`])?)(?=[!-~])""",
+    rf"""(?:{_CREDENTIAL}[A-Za-z0-9_.-]{{0,64}}+(?:\\*["'])?[\x20\t]*(?:=>|:=|[:=])"""
+    rf"""|\b{_CREDENTIAL}\b(?:\\*["'])?[\x20\t]*(?:(?:is|was)\b)?)"""
+    r"""[\x20\t]*((?:\\*["'`])?)(?=[!-~])""",
     _ASCII,
 )
 _RUN = re.compile(r"[!-~]*+")
 #: A stop in an unquoted value after which another field begins, as in JSON, query strings and connection strings.
 _FIELD = re.compile(r"""[,;&][\[{(]*\\*["'`]?[A-Z_][A-Z0-9_.-]{0,63}\\*["'`]?[:=]""", _ASCII)
 _CLOSED = {quote: re.compile(rf"(?:[^\\{quote}]|\\.)*+{quote}") for quote in "\"'`"}
-_MOST_KEY = 32  # characters from a credential's word up to its value in one run, at most
+_MOST_KEY = 128  # characters from a credential's word up to its value in one run, at most
 #: Lower-case words; every text that has an assignment or a credential's place has one of them or a match of _KEYS.
 _NEEDLES = (b"password", b"passwd", b"passphrase", b"passcode", b"pwd", b"secret", b"token", b"credential", b"bearer")
 _KEYS = re.compile(rb"api[_-]?key|access[_-]?key|private[_-]?key")
@@ -74,7 +82,9 @@ def _brute_bits(char: str) -> float:
 def guess_bits(value: str, ranks: dict[str, int], enough: float = math.inf) -> float:
     """The base-2 logarithm of the guesses that `value` takes; `ranks` has words by how soon they are tried, from 1.
 
-    From `enough` on it may be a lower bound.
+    From `enough` on it may be a lower bound. It is the least of all ways to cut the value, but that no word has over 24
+    characters, no block that is repeated over 8, and that of a repeat or walk of over 128 characters only the beginnings of up
+    to 128 and those that end near its end are parts of their own; there it may be above the least.
     """
     return _least(value, ranks, enough)[0]
 
@@ -98,7 +108,9 @@ def _least(value: str, ranks: dict[str, int], enough: float = math.inf) -> tuple
     plain = low.translate(_LEET)
     mixed_case = low != value and value != value.upper()
     letters = value.isalpha()
+    # the least cost up to each border, and that of the cuts whose last part is tried one by one, with where it began
     cost, back = [0.0] + [math.inf] * n, [(0, "")] * (n + 1)
+    each, began = [math.inf] * (n + 1), [0] * (n + 1)
 
     def offer(i: int, j: int, bits: float, kind: str) -> None:
         total = cost[i] + bits + (1.0 if i else 0.0)  # and which kind of part comes next
@@ -146,9 +158,10 @@ def _least(value: str, ranks: dict[str, int], enough: float = math.inf) -> tuple
                 last = max(last, end)
         # one character more of what is tried one by one
         bits = _brute_bits(value[i]) + (1.0 if mixed_case and value[i].isalpha() else 0.0)
-        total = cost[i] + bits + (1.0 if i and back[i][1] != "each" else 0.0)
-        if total < cost[i + 1]:
-            cost[i + 1], back[i + 1] = total, (i, "each")
+        opened = cost[i] + (1.0 if i else 0.0)
+        each[i + 1], began[i + 1] = (each[i] + bits, began[i]) if each[i] <= opened else (opened + bits, i)
+        if each[i + 1] < cost[i + 1]:
+            cost[i + 1], back[i + 1] = each[i + 1], (began[i + 1], "each")
     return cost[n], back
 
 
@@ -159,10 +172,7 @@ def parts(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, str
     found, at = [], n
     while at > 0:
         start, kind = back[at]
-        if kind == "each" and found and found[-1][1] == "each":
-            found[-1] = (value[start:at] + found[-1][0], "each")
-        else:
-            found.append((value[start:at], kind))
+        found.append((value[start:at], kind))
         at = start
     return least, found[::-1]
 
@@ -188,7 +198,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
         if stop < start:
             field = _FIELD.search(text, start, run)
             stop = field.start() if field else run
-        end = _closing(text, match[2], start, run) if match[2] else -1
+        end = _closing(text, match[1], start, run) if match[1] else -1
         if end < 0:
             end = stop
         stripped = start + len(text[start:end].rstrip("\"'`,;.)]}>"))
@@ -205,7 +215,12 @@ def _closing(text: str, quote: str, start: int, end: int) -> int:
     return closed.end() - 1 if closed else -1
 
 
-def all_spans(text: str, bits: float = SECRET_BITS) -> tuple[list[Span], list[Span]]:
+def ranked(words: Sequence[str]) -> dict[str, int]:
+    """The ranks of a dictionary: common password words, then `words` in their order."""
+    return {word: i for i, word in enumerate(dict.fromkeys([*COMMON, *words]), 1)}
+
+
+def all_spans(text: str, bits: float = SECRET_BITS, dictionary: dict[str, int] | None = None) -> tuple[list[Span], list[Span]]:
     """The patterns' spans, and all of them with the costly values in a credential's place, as kind assign."""
     base = base_spans(text)
     ranks: dict[str, int] = {}
@@ -219,8 +234,7 @@ def all_spans(text: str, bits: float = SECRET_BITS) -> tuple[list[Span], list[Sp
             continue
         if not ranks:
             counted = Counter(re.findall(r"[a-z]{3,24}", _without(text, places).lower()))
-            repeated = [w for w, n in counted.most_common() if n > 1]
-            ranks = {word: i for i, word in enumerate(dict.fromkeys([*COMMON, *repeated]), 1)}
+            ranks = (dictionary or {}) | ranked([w for w, n in counted.most_common() if n > 1])
         if guess_bits(text[start:end], ranks, bits) >= bits:
             added.append((start, 0, end))
             done = end
@@ -236,17 +250,54 @@ def _without(text: str, places: list[tuple[int, int, int]]) -> str:
     return " ".join([*left, text[at:]])
 
 
+def learned_words(docs: DataFrame, most: int = MOST_WORDS) -> list[str]:
+    """The `most` words that occur most often in all texts, by falling frequency; equally frequent ones by the alphabet.
+
+    Words are runs of ASCII letters, in lower case. Values in a credential's place do not count, so no secret becomes a word
+    because its document has many copies. Each task hands on sums of its own; only the words that are returned reach the driver.
+    """
+    least, longest = WORD_CHARS
+
+    def sums(counted: Counter) -> pa.RecordBatch:
+        some = [(word.decode(), n) for word, n in counted.items() if least <= len(word) <= longest]
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.string()), pa.array([n for _, n in some], pa.int64())], ["word", "n"])
+
+    def count(batches):
+        counted: Counter = Counter()
+        for batch in pieces(batches):
+            texts = batch.column("text")
+            marked = np.zeros(len(texts), bool)
+            marked[_with_mark(texts)] = True
+            plain = utf8(texts.filter(pa.array(~marked)))
+            bounds = plain[1].tolist()
+            raw = plain[0].tobytes()
+            every = [raw[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+            for text in texts.filter(pa.array(marked)).to_pylist():
+                every.append(_without(text, candidates(text)).encode())
+            counted.update(re.findall(rb"[a-z]+", b"\n".join(every).lower()))
+            if len(counted) > _HELD_WORDS:
+                yield sums(counted)
+                counted = Counter()
+        yield sums(counted)
+
+    found = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    first = found.filter(F.col("n") >= LEAST_TIMES).orderBy(F.desc("n"), "word").limit(most)
+    return [row.word for row in first.collect()]
+
+
 def _joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def find(docs: DataFrame, bits: float = SECRET_BITS) -> DataFrame:
+def find(docs: DataFrame, bits: float = SECRET_BITS, words: Sequence[str] | None = None) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     Counts and the digest are of the patterns' spans; `spans` also has those found by cost. Spans are kind:start:end in code
     points, by start and kind. NULL and empty texts have none. Repeated rows get equal results, a NULL doc_id stays NULL, an
-    empty table gives no rows, other columns are not looked at.
+    empty table gives no rows, other columns are not looked at. `words` are those of the dictionary, most frequent first; without
+    them they are learned from `docs`, which reads all texts once more.
     """
+    dictionary = ranked(learned_words(docs) if words is None else words)
     nothing = hashlib.sha256(b"").hexdigest()
 
     def search(batches):
@@ -255,7 +306,7 @@ def find(docs: DataFrame, bits: float = SECRET_BITS) -> DataFrame:
             counts = np.zeros((len(KINDS), n), np.int64)
             digests, spans = [nothing] * n, [""] * n
             for i in _with_mark(batch.column("text")).tolist():
-                base, every = all_spans(batch.column("text")[i].as_py(), bits)
+                base, every = all_spans(batch.column("text")[i].as_py(), bits, dictionary)
                 for _, kind, _ in base:
                     counts[kind, i] += 1
                 digests[i] = hashlib.sha256(_joined(base).encode()).hexdigest()
