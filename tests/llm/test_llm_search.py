@@ -55,7 +55,7 @@ def test_top_k_is_that_of_brute_force(spark, conf, n, d, values):
 
 
 def test_top_k_over_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(maxscore, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(maxscore, "BLOCK_CELLS", 15)
     monkeypatch.setattr(maxscore, "LEAST_ROWS", 100)
     random_ = np.random.default_rng(9)
     rows = [(i, random_.normal(size=5).tolist()) for i in range(1000)]
@@ -81,6 +81,50 @@ def test_non_essential_lists_are_not_traversed():
     assert scores.tolist() == sorted(values @ query, reverse=True)[:10]
 
 
+@pytest.mark.parametrize("strong, most", [(2, 0.5), (3, 0.5)])
+def test_the_bar_rises_over_dense_vectors_with_a_few_strong_components(strong, most):
+    random_ = np.random.default_rng(strong)
+    values = random_.integers(-40, 41, (20_000, 64))
+    at = random_.permuted(np.tile(np.arange(64), (20_000, 1)), axis=1)[:, :strong]
+    np.put_along_axis(values, at, random_.integers(-1000, 1001, (20_000, strong)), axis=1)
+    shard = maxscore.Shard(np.arange(20_000), values)
+    touched = []
+    for own in range(0, 20_000, 1000):
+        rows, scores, probed = shard.best(own, values[own], 10)
+        every = sorted(zip((-(values @ values[own])).tolist(), range(20_000), strict=True))
+        expected = [(i, -s) for s, i in every if i != own][:10]
+        assert list(zip(rows.tolist(), scores.tolist(), strict=True)) == expected
+        touched.append(probed)
+    assert np.mean(touched) < most * 20_000
+
+
+@pytest.mark.parametrize("values", ["ties", "wide", "huge", "negative"])
+def test_a_shard_answers_as_brute_force(values):
+    random_ = np.random.default_rng(11)
+    matrix = {
+        "ties": random_.integers(-1, 2, (3000, 6)),
+        "wide": random_.integers(-100, 101, (600, 768)),
+        "huge": random_.integers(-(2**28), 2**28, (2000, 9)),
+        "negative": -random_.integers(0, 50, (2000, 5)),
+    }[values]
+    ids = random_.permutation(len(matrix))
+    shard = maxscore.Shard(ids, matrix)
+    for at in range(0, len(matrix), 50):
+        for query in (matrix[at], -matrix[at], matrix[at] * 0):
+            rows, scores, _ = shard.best(int(ids[at]), query, 10)
+            every = sorted(zip((-(matrix @ query)).tolist(), ids.tolist(), strict=True))
+            assert list(zip(ids[rows].tolist(), scores.tolist(), strict=True)) == [(i, -s) for s, i in every if i != ids[at]][:10]
+
+
+def test_shards_follow_the_components(spark, monkeypatch):
+    monkeypatch.setattr(maxscore, "LEAST_ROWS", 10**6)
+    monkeypatch.setattr(maxscore, "SHARD_CELLS", 4000)
+    random_ = np.random.default_rng(12)
+    rows = [(i, random_.normal(size=40).tolist()) for i in range(500)]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows + rows[:1] * 300], VECTORS)
+    assert {tuple(r) for r in maxscore.top_k(frame, F.col("vec_id") % 100 == 0).collect()} == top(rows)
+
+
 @pytest.fixture(scope="module")
 def library():
     with open(PATH, "rb") as lines:

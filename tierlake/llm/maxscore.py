@@ -1,10 +1,12 @@
 """Exact top-k inner products by MaxScore over posting lists.
 
-A term is a dimension with a sign; its posting list holds the vectors whose component there has that sign. A query's terms are
-the dimensions where it is not zero, with its own sign: only these add to a score, and a term adds at most the query's
-component times the list's largest. Terms are taken by falling bound: those whose bounds together cannot reach the k-th
-best score so far are non-essential, and a vector that is in no essential list is never looked at. Vectors from the essential
-lists are probed for the other terms, and for what the opposite signs take away, as long as they can still compete.
+A term is a dimension with a sign; its posting list holds the vectors whose component there has that sign, the largest first. A
+query's terms are the dimensions where it is not zero, with its own sign: only these add to a score. Terms are taken by falling
+bound, which is the query's component times the list's largest. What some terms add together is at most the sum of their bounds,
+and also at most the length of the query there times that of the vector. Terms that together cannot reach the k-th best score so
+far, the bar, are non-essential: their lists are never traversed. An essential list is traversed in blocks and only as far as
+its components, with all that later terms may add, reach the bar. A block's vectors are probed term by term as long as they
+can still compete; then the bar rises, and with it the lists to come are shortened or become non-essential.
 
 Vectors are dealt into shards and queries into blocks; each pair of them is a task of bounded size, and the shards' best
 are merged.
@@ -17,10 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of a shard and queries of a block, at most on average. Less where that leaves the cluster idle.
-MOST_ROWS, LEAST_ROWS, BLOCK_QUERIES = 131_072, 4096, 16_384
-_SEED = 512  # vectors scored at once, for a first bound
-_PROBED = 8  # dimensions probed between two looks at the bound
+#: Components of a shard's vectors and of a block's queries, at most on average. Less where that leaves the cluster idle.
+SHARD_CELLS, LEAST_ROWS, BLOCK_CELLS = 1 << 23, 4096, 1 << 20
+_FIRST, _MOST = 256, 8192  # vectors of the first block of a list, and of a later one at most
+_PROBED = 8  # dimensions probed between two looks at the bar
+
+
+def _at_most(squares: np.ndarray | float) -> np.ndarray | float:
+    """Roots of products of sums of squares, rounded up."""
+    return np.sqrt(squares) * (1 + 1e-9) + 1
 
 
 class Shard:
@@ -28,68 +35,90 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.values = ids, values
-        self.lists, self.largest = {}, {}
+        self.square = np.square(values.astype(np.float64)).sum(axis=1)
+        self.longest = float(self.square.max(initial=0.0))
+        self.lists = {}
         for d in range(values.shape[1]):
-            column = values[:, d]
-            for sign in (1, -1):
-                rows = np.flatnonzero(column > 0 if sign > 0 else column < 0)
-                if len(rows):
-                    self.lists[d, sign] = rows, column[rows]
-                    self.largest[d, sign] = int(np.abs(column[rows]).max())
+            rows = np.argsort(values[:, d], kind="stable").astype(np.int32)
+            column = values[rows, d]
+            below, above = np.searchsorted(column, [0, 1])
+            for sign, rows_, sizes in ((1, rows[above:][::-1], column[above:][::-1]), (-1, rows[:below], -column[:below])):
+                if len(rows_):
+                    self.lists[d, sign] = rows_, sizes
 
     def best(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Rows and scores of the k best vectors but the query's own, and how many were probed."""
-        n = len(self.ids)
         query = query[: self.values.shape[1]]
-        some = np.flatnonzero(self.ids[:_SEED] != own)
-        if len(some) < k:
-            rows = np.flatnonzero(self.ids != own)
-            return (*self._top(rows, self.values[rows][:, : len(query)] @ query, k), len(rows))
-        bar = np.partition(self.values[some][:, : len(query)] @ query, -k)[-k]
         terms = [(d, 1 if q > 0 else -1) for d, q in enumerate(query.tolist()) if q]
-        bound = {t: abs(int(query[t[0]])) * self.largest.get(t, 0) for t in terms}
+        bound = {t: abs(int(query[t[0]])) * int(self.lists[t][1][0]) if t in self.lists else 0 for t in terms}
         terms.sort(key=lambda t: -bound[t])
-        rest = np.cumsum([0, *(bound[t] for t in reversed(terms))])[::-1]  # of the terms from here on
-        essential = int(np.argmax(rest < bar)) if rest[-1] < bar else len(terms)
-        if rest[-1] >= bar:  # then even a vector without any term may be among the best
-            rows, score = np.arange(n), np.zeros(n, np.int64)
-        else:
-            rows, score = None, np.zeros(n, np.int64)
-        seen = np.zeros(n, bool)
-        for d, sign in terms[:essential]:
-            if (d, sign) in self.lists:
-                at, values = self.lists[d, sign]
-                score[at] += query[d] * values
-                seen[at] = True
-        if rows is None:
-            rows = np.flatnonzero(seen & (score + rest[essential] >= bar))
-        rows = rows[self.ids[rows] != own]
-        score, probed = score[rows], len(rows)
-        for d, sign in terms[:essential]:  # what the opposite signs take away
-            if (d, -sign) in self.lists:
-                score += np.minimum(self.values[rows, d] * query[d], 0)
-                keep = score + rest[essential] >= bar
-                rows, score = rows[keep], score[keep]
-        for first in range(essential, len(terms), _PROBED):
-            part = [d for d, _ in terms[first : first + _PROBED]]
-            score = score + self.values[rows][:, part] @ query[part]
-            keep = score + rest[min(first + _PROBED, len(terms))] >= bar
-            rows, score = rows[keep], score[keep]
-        return (*self._top(rows, score, k), probed)
-
-    def _top(self, rows: np.ndarray, score: np.ndarray, k: int):
-        first = np.lexsort((self.ids[rows], -score))[:k]
-        return rows[first], score[first]
+        dims = np.array([d for d, _ in terms], np.int64)
+        # of the terms from here on: the sum of their bounds, and the query's squares
+        sums = np.cumsum([0, *(bound[t] for t in reversed(terms))])[::-1]
+        squares = np.append(np.cumsum(np.square(query[dims].astype(np.float64))[::-1])[::-1], 0.0)
+        rest = np.minimum(sums, _at_most(squares * self.longest))
+
+        seen = self.ids == own
+        rows, scores, probed = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+        def look(some: np.ndarray) -> None:
+            nonlocal rows, scores, probed
+            probed += len(some)
+            found, reached = self._probe(some, query, dims, sums, squares, bar())
+            found, reached = np.concatenate([rows, found]), np.concatenate([scores, reached])
+            first = np.lexsort((self.ids[found], -reached))[:k]
+            rows, scores = found[first], reached[first]
+
+        def bar() -> float:
+            return int(scores[-1]) if len(scores) == k else -np.inf
+
+        for i, term in enumerate(terms):
+            if rest[i] < bar():  # this one and all later ones are non-essential
+                break
+            if term not in self.lists:
+                continue
+            listed, sizes = self.lists[term]
+            at, step, each = 0, _FIRST, abs(int(query[term[0]]))
+            while at < len(listed):
+                # Without a component over `least` here a vector that no earlier list has brought up is below the bar.
+                least = max(0, (bar() - rest[i + 1]) / each * (1 - 1e-9) - 1)
+                end = len(listed) - int(np.searchsorted(sizes[::-1], least)) if least else len(listed)
+                end = min(at + step, end)
+                if end <= at:
+                    break
+                some = listed[at:end]
+                some = some[~seen[some]]
+                seen[some] = True
+                look(some)
+                at, step = end, min(step * 2, _MOST)
+        if bar() <= 0:  # then even a vector without any term may be among the best
+            look(np.flatnonzero(~seen))
+        return rows, scores, probed
+
+    def _probe(self, rows: np.ndarray, query: np.ndarray, dims: np.ndarray, sums: np.ndarray, squares: np.ndarray, bar: float):
+        """Of some vectors those that reach the bar, and their scores."""
+        score, left = np.zeros(len(rows), np.int64), self.square[rows]
+        for first in range(0, len(dims), _PROBED):
+            part = dims[first : first + _PROBED]
+            values = self.values[rows[:, None], part]
+            score = score + values @ query[part]
+            left = left - np.square(values.astype(np.float64)).sum(axis=1)
+            to = min(first + _PROBED, len(dims))
+            # what is left may have lost its last digits, as far as these go in the whole
+            more = _at_most((np.maximum(left, 0) + 1e-12 * self.longest) * squares[to])
+            keep = score + np.minimum(more, sums[to]) >= bar
+            rows, score, left = rows[keep], score[keep], left[keep]
+        return rows, score
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and components, one row for each id: of an id's repeated rows the one whose list of components is least."""
-    rows = sorted(zip(table.column("id").to_pylist(), table.column("v").to_pylist(), strict=True))
-    rows = [row for i, row in enumerate(rows) if not i or rows[i - 1][0] != row[0]]
-    values = np.zeros((len(rows), max((len(v) for _, v in rows), default=0)), np.int64)
-    for i, (_, v) in enumerate(rows):
-        values[i, : len(v)] = v
-    return np.array([i for i, _ in rows], np.int64), values
+    """Ids and components, filled up with zeros to the longest vector."""
+    lists = table.column("v").combine_chunks()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    values = np.zeros((len(sizes), int(sizes.max(initial=0))), np.int64)
+    values[np.arange(values.shape[1]) < sizes[:, None]] = flat
+    return table.column("id").to_numpy(), values
 
 
 def _search(k: int):
@@ -114,18 +143,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
     `vectors` has vec_id and embedding; `is_query` is a condition on vec_id. Components become floor(scale * x); scores are
     exact as long as they fit 64 bits. Ties go to the smaller vec_id. A vector that is NULL or holds a NULL or a
     non-finite component takes no part, nor does one with a NULL id. Components that the shorter of two vectors lacks
-    count as 0. Rows that repeat an id are one vector, the one whose list of components is least. Other columns are not looked
-    at, and an empty table gives no rows.
+    count as 0. Rows that repeat an id are one vector, the one whose list of components is least; they are reduced to it before
+    vectors are dealt, so an id may have any number of rows. Other columns are not looked at, and an empty table gives no rows.
     """
     x = F.col("embedding")
     whole = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     rows = vectors.filter(F.col("vec_id").isNotNull() & x.isNotNull() & whole)
     rows = rows.select(F.col("vec_id").cast("long").alias("id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v"))
+    rows = rows.groupBy("id").agg(F.min("v").alias("v"))
     query = is_query.alias("is_query")
-    named = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).select(F.count("*").alias("n"), F.count_if(query).alias("q"))
-    n, asked = named.first()
+    named = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.size(x).alias("size"))
+    n, asked, width = named.select(F.count("*"), F.count_if(query), F.max("size")).first()
+    cells = max(1, width or 0)
     idle = min(vectors.sparkSession.sparkContext.defaultParallelism, -(-n // LEAST_ROWS))
-    shards, blocks = max(1, -(-n // MOST_ROWS), idle), max(1, -(-asked // BLOCK_QUERIES))
+    shards, blocks = max(1, -(-n * cells // SHARD_CELLS), idle), max(1, -(-asked * cells // BLOCK_CELLS))
     every_block, every_shard = (F.sequence(F.lit(0), F.lit(m - 1)) for m in (blocks, shards))
     left = rows.withColumns({"shard": F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"), "block": F.explode(every_block)})
     right = rows.withColumn("vec_id", F.col("id")).filter(is_query).drop("vec_id")
