@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import pieces, runs, utf8
+from tierlake.llm.common import pieces, runs, stored, utf8
 
 KINDS = ("assign", "access", "hex")
 #: Bits of guessing from which a value counts as a secret; characters that it has at least.
@@ -251,10 +251,11 @@ def _without(text: str, places: list[tuple[int, int, int]]) -> str:
 
 
 def learned_words(docs: DataFrame, most: int = MOST_WORDS) -> list[str]:
-    """The `most` words that occur most often in all texts, by falling frequency; equally frequent ones by the alphabet.
+    """The words that occur most often in all texts, `most` at most, by falling frequency and then by the alphabet.
 
-    Words are runs of ASCII letters, in lower case. Values in a credential's place do not count, so no secret becomes a word
-    because its document has many copies. Each task hands on sums of its own; only the words that are returned reach the driver.
+    Of words that are equally frequent all are taken or none, so the list may be shorter than `most`. Words are runs of ASCII
+    letters, in lower case. Values in a credential's place do not count, so no secret becomes a word because its document has
+    many copies. Each task hands on sums of its own; the driver gets `most` frequencies at most, and the words that are returned.
     """
     least, longest = WORD_CHARS
 
@@ -281,8 +282,16 @@ def learned_words(docs: DataFrame, most: int = MOST_WORDS) -> list[str]:
         yield sums(counted)
 
     found = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    first = found.filter(F.col("n") >= LEAST_TIMES).orderBy(F.desc("n"), "word").limit(most)
-    return [row.word for row in first.collect()]
+    found = stored(found.filter(F.col("n") >= LEAST_TIMES))
+    left, enough = most, None
+    for n, words in found.groupBy("n").count().orderBy(F.desc("n")).limit(most).collect():
+        left -= words
+        if left < 0:
+            break
+        enough = n
+    if enough is None:
+        return []
+    return [row.word for row in sorted(found.filter(F.col("n") >= enough).collect(), key=lambda row: (-row.n, row.word))]
 
 
 def _joined(spans: list[Span]) -> str:
