@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 #: Components of a shard's vectors and of a block's queries, at most on average. Less where that leaves the cluster idle.
 SHARD_CELLS, LEAST_ROWS, BLOCK_CELLS = 1 << 23, 4096, 1 << 20
-_FIRST, _MOST = 256, 8192  # vectors of the first block of a list, and of a later one at most
-_PROBED = 8  # dimensions probed between two looks at the bar
+_FIRST, _MOST = 512, 8192  # vectors of the first block of a list, and of a later one at most
+_PROBED = 16  # dimensions that lie together and are probed between two looks at the bar
+_EXACT = 2.0**53  # up to here sums of whole numbers are exact as doubles
 
 
 def _at_most(squares: np.ndarray | float) -> np.ndarray | float:
@@ -34,81 +35,107 @@ class Shard:
     """The posting lists of some vectors, given as a matrix of integers; short vectors are filled up with zeros."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
-        self.ids, self.values = ids, values
-        self.square = np.square(values.astype(np.float64)).sum(axis=1)
+        self.ids, self.width = ids, values.shape[1]
+        squares = np.square(values.astype(np.float64))
+        borders = np.arange(0, self.width, _PROBED)
+        kind = np.float64 if not values.size or np.abs(values).max() < _EXACT else np.int64
+        self.slabs = [np.ascontiguousarray(values[:, at : at + _PROBED], kind) for at in borders]
+        self.squares = np.stack([squares[:, at : at + _PROBED].sum(axis=1) for at in borders], axis=1) if len(borders) else squares
+        self.square = squares.sum(axis=1)
         self.longest = float(self.square.max(initial=0.0))
         self.lists = {}
-        for d in range(values.shape[1]):
+        for d in range(self.width):
             rows = np.argsort(values[:, d], kind="stable").astype(np.int32)
             column = values[rows, d]
             below, above = np.searchsorted(column, [0, 1])
-            for sign, rows_, sizes in ((1, rows[above:][::-1], column[above:][::-1]), (-1, rows[:below], -column[:below])):
-                if len(rows_):
-                    self.lists[d, sign] = rows_, sizes
+            for sign, listed, sizes in ((1, rows[above:][::-1], column[above:][::-1]), (-1, rows[:below], -column[:below])):
+                if len(listed):
+                    self.lists[d, sign] = listed, sizes
 
     def best(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Rows and scores of the k best vectors but the query's own, and how many were probed."""
-        query = query[: self.values.shape[1]]
+        query = np.pad(query[: self.width], (0, max(0, self.width - len(query))))
         terms = [(d, 1 if q > 0 else -1) for d, q in enumerate(query.tolist()) if q]
         bound = {t: abs(int(query[t[0]])) * int(self.lists[t][1][0]) if t in self.lists else 0 for t in terms}
         terms.sort(key=lambda t: -bound[t])
-        dims = np.array([d for d, _ in terms], np.int64)
-        # of the terms from here on: the sum of their bounds, and the query's squares
-        sums = np.cumsum([0, *(bound[t] for t in reversed(terms))])[::-1]
-        squares = np.append(np.cumsum(np.square(query[dims].astype(np.float64))[::-1])[::-1], 0.0)
-        rest = np.minimum(sums, _at_most(squares * self.longest))
+        # of the terms from here on: the sum of their bounds, and what the query's squares allow
+        sums = np.cumsum([0.0, *(bound[t] for t in reversed(terms))])[::-1]
+        squares = np.cumsum([0.0, *(float(query[d]) ** 2 for d, _ in reversed(terms))])[::-1]
+        rest = np.minimum(sums * (1 + 1e-12) + 1, _at_most(squares * self.longest))
+        probe = self._prober(query, bound)
 
         seen = self.ids == own
         rows, scores, probed = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        bar = -np.inf
 
         def look(some: np.ndarray) -> None:
-            nonlocal rows, scores, probed
+            nonlocal rows, scores, probed, bar
             probed += len(some)
-            found, reached = self._probe(some, query, dims, sums, squares, bar())
-            found, reached = np.concatenate([rows, found]), np.concatenate([scores, reached])
-            first = np.lexsort((self.ids[found], -reached))[:k]
-            rows, scores = found[first], reached[first]
-
-        def bar() -> float:
-            return int(scores[-1]) if len(scores) == k else -np.inf
+            found, reached = probe(some, bar)
+            if len(found):
+                found, reached = np.concatenate([rows, found]), np.concatenate([scores, reached])
+                first = np.lexsort((self.ids[found], -reached))[:k]
+                rows, scores = found[first], reached[first]
+                bar = int(scores[-1]) if len(scores) == k else bar
 
         for i, term in enumerate(terms):
-            if rest[i] < bar():  # this one and all later ones are non-essential
+            if rest[i] < bar:  # this one and all later ones are non-essential
                 break
             if term not in self.lists:
                 continue
             listed, sizes = self.lists[term]
-            at, step, each = 0, _FIRST, abs(int(query[term[0]]))
-            while at < len(listed):
-                # Without a component over `least` here a vector that no earlier list has brought up is below the bar.
-                least = max(0, (bar() - rest[i + 1]) / each * (1 - 1e-9) - 1)
-                end = len(listed) - int(np.searchsorted(sizes[::-1], least)) if least else len(listed)
-                end = min(at + step, end)
-                if end <= at:
+            each, step, at = abs(int(query[term[0]])), _FIRST, 0
+            unseen = np.flatnonzero(~seen[listed])
+            while at < len(unseen):
+                # without a larger component here, a vector that no earlier list has brought up is below the bar
+                least = (bar - rest[i + 1]) / each * (1 - 1e-9) - 1
+                some = unseen[at : at + step]
+                if least > 0:
+                    some = some[: np.searchsorted(-sizes[some], -least, side="right")]
+                if not len(some):
                     break
-                some = listed[at:end]
-                some = some[~seen[some]]
-                seen[some] = True
-                look(some)
-                at, step = end, min(step * 2, _MOST)
-        if bar() <= 0:  # then even a vector without any term may be among the best
+                seen[listed[some]] = True
+                look(listed[some])
+                at, step = at + len(some), min(step * 2, _MOST)
+        if bar <= 0:  # then even a vector without any term may be among the best
             look(np.flatnonzero(~seen))
         return rows, scores, probed
 
-    def _probe(self, rows: np.ndarray, query: np.ndarray, dims: np.ndarray, sums: np.ndarray, squares: np.ndarray, bar: float):
-        """Of some vectors those that reach the bar, and their scores."""
-        score, left = np.zeros(len(rows), np.int64), self.square[rows]
-        for first in range(0, len(dims), _PROBED):
-            part = dims[first : first + _PROBED]
-            values = self.values[rows[:, None], part]
-            score = score + values @ query[part]
-            left = left - np.square(values.astype(np.float64)).sum(axis=1)
-            to = min(first + _PROBED, len(dims))
-            # what is left may have lost its last digits, as far as these go in the whole
-            more = _at_most((np.maximum(left, 0) + 1e-12 * self.longest) * squares[to])
-            keep = score + np.minimum(more, sums[to]) >= bar
-            rows, score, left = rows[keep], score[keep], left[keep]
-        return rows, score
+    def _prober(self, query: np.ndarray, bound: dict[tuple[int, int], int]):
+        """A function that gives those of some vectors that reach a bar, and their scores.
+
+        Dimensions that lie together are probed together, those that the terms' bounds speak most for first.
+        """
+        sums = np.zeros(len(self.slabs))
+        for (d, _), most in bound.items():
+            sums[d // _PROBED] += most
+        parts = [query[at : at + _PROBED] for at in range(0, self.width, _PROBED)]
+        order = [i for i in np.argsort(-sums, kind="stable").tolist() if parts[i].any()]
+        later = np.cumsum([0.0, *(sums[i] for i in reversed(order))])[::-1] * (1 + 1e-12) + 1
+        square = [float(np.square(parts[i].astype(np.float64)).sum()) for i in order]
+        lengths = np.cumsum([0.0, *reversed(square)])[::-1]
+        exact = _at_most(self.longest * lengths[0]) < _EXACT
+        kind = np.float64 if exact and all(slab.dtype == np.float64 for slab in self.slabs) else np.int64
+        parts = [part.astype(kind) for part in parts]
+
+        def probe(rows: np.ndarray, bar: float) -> tuple[np.ndarray, np.ndarray]:
+            score, left = np.zeros(len(rows), kind), self.square[rows]
+            slack = abs(bar) * 1e-12 if bar != -np.inf else 0.0
+            for n, i in enumerate(order, 1):
+                score = score + self.slabs[i].take(rows, axis=0).astype(kind, copy=False) @ parts[i]
+                if bar == -np.inf or n == len(order):
+                    continue
+                # what is left may have lost its last digits, as far as these go in the whole
+                left = left - self.squares[rows, i]
+                more = _at_most((np.maximum(left, 0) + 1e-12 * self.longest) * lengths[n])
+                keep = np.flatnonzero(score + np.minimum(more, later[n]) + slack >= bar)
+                if len(keep) < 0.8 * len(rows):
+                    rows, score, left = rows[keep], score[keep], left[keep]
+            score = score.astype(np.int64)
+            keep = score >= bar
+            return rows[keep], score[keep]
+
+        return probe
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
