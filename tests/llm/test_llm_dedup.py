@@ -7,8 +7,10 @@ import hashlib
 import random
 import re
 import string
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import LONG, awkward, documents, plain, prose
 from pyspark.sql import functions as F
@@ -274,3 +276,27 @@ def test_runs_merge_like_a_sort_and_tell_shared_lengths():
     assert merged == sorted(k for r in runs for k in r)
     assert shared[1:] == [suffix_dedup.common(a, b) for a, b in zip(merged, merged[1:], strict=False)]
     assert suffix_dedup.merged([]) == ([], [], [])
+
+
+def test_runs_hold_the_same_strings_however_many_parts_there_are():
+    pick = random.Random(13)
+    texts = ["".join(pick.choices("abcdefgh ", k=3000)) for _ in range(200)]
+    own = [[{"gram": pick.getrandbits(40), "place": p, "least": 0, "most": 20} for p in range(50, 2500, 25)] for _ in texts]
+    kind = pa.list_(pa.struct([("gram", pa.int64()), ("place", pa.int64()), ("least", pa.int64()), ("most", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([bytes([i]) * 16 for i in range(200)]), pa.array(texts), pa.array(own, kind)], ["key", "text", "anchors"]
+    )
+    found, seconds = {}, {}
+    for parts in (1, 20, 20_000):
+        began = time.perf_counter()
+        rows = [row for out in suffix_dedup._runs(400, parts)([batch]) for row in out.to_pylist()]
+        seconds[parts] = time.perf_counter() - began
+        assert len({row["part"] for row in rows}) == len(rows)  # a part has one run of all that is held
+        for row in rows:
+            for side in ("right", "left"):
+                keys = suffix_dedup.decoded(row[side])[1]
+                assert keys == sorted(keys)
+                assert all(int.from_bytes(k[:8], "big", signed=True) % parts == row["part"] for k in keys)
+        found[parts] = sorted(k for row in rows for k in suffix_dedup.decoded(row["right"])[1])
+    assert found[1] == found[20] == found[20_000] and len(found[1]) == 200 * 98
+    assert seconds[20_000] < 8 * seconds[20]  # twenty-five times as long where all that is held is looked at for each part

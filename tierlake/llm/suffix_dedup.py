@@ -18,6 +18,8 @@ digest instead, which is summed up before the shuffle.
 from __future__ import annotations
 
 import hashlib
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,9 @@ from tierlake.functions.storage import scratch_folder, unique_name
 from tierlake.llm.common import mixed, pieces, powers, prefix_sums, stored, utf8
 
 LENGTH, GRAM = 400, 200
-#: Anchors of a part on average; anchors of one string from which its windows are counted by digest; anchors of a run.
-PART_ANCHORS, HOT_ANCHORS, RUN_ANCHORS = 20_000, 100_000, 20_000
+#: Anchors of a part on average; anchors of one string from which its windows are counted by digest; bytes of strings that a
+#: task holds and sorts together, as long a stretch as its memory allows, so that the runs of a part are few and long.
+PART_ANCHORS, HOT_ANCHORS, RUN_BYTES = 20_000, 100_000, 32 << 20
 _PLACE = 24  # bits of a position within a stretch of text; the rest of a 64-bit key is hash
 _STRETCH = 1 << 20  # bytes whose windows are looked at together; their hashes take some ninety times that
 
@@ -176,11 +179,14 @@ def _find_anchors(length: int, gram: int):
 
 
 def _runs(length: int, parts: int):
-    """Front-coded runs of what lies right and left of the anchors that come with each text, a pair for each part."""
+    """Front-coded runs of what lies right and left of the anchors that come with each text, a pair for each part.
+
+    What is held is put in the order of the parts once and then sliced, so an anchor costs the same however many parts there are.
+    """
 
     def emit(held: list):
-        for part in sorted({h[0] for h in held}):
-            own = [h for h in held if h[0] == part]
+        for part, group in groupby(sorted(held, key=itemgetter(0)), itemgetter(0)):
+            own = list(group)
             right = sorted(range(len(own)), key=lambda i: own[i][1])
             left = sorted(range(len(own)), key=lambda i: own[i][2])
             meta = np.array([[h[4], h[5], h[6]] for h in own], "<i8")
@@ -197,7 +203,7 @@ def _runs(length: int, parts: int):
     kinds = [pa.int32(), *[pa.binary()] * 5]
 
     def run(batches):
-        held = []
+        held, size = [], 0
         for batch in pieces(batches):
             for key, text, own in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "anchors")), strict=True):
                 raw = text.encode()
@@ -207,9 +213,10 @@ def _runs(length: int, parts: int):
                     right = head + raw[place : place + length - least]
                     left = head + raw[place - most : place][::-1]
                     held.append((gram % parts, right, left, key, place, least, most))
-            if len(held) >= RUN_ANCHORS:
+                    size += len(right) + len(left)
+            if size >= RUN_BYTES:
                 yield _rows(emit(held), names, kinds)
-                held = []
+                held, size = [], 0
         if held:
             yield _rows(emit(held), names, kinds)
 
