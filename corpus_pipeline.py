@@ -12,17 +12,17 @@ NEAR_PERCENT = 80
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language of their own go."""
+    """Documents without a language of their own go, among them those without a text or a letter; repeated rows stay."""
     return langid_crf.keep_identified(docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one stays."""
+    """Of equal texts one row stays, that with the largest id; a row without an id only if none with an id has its text."""
     return chunk_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one stays."""
+    """Of each group of near copies one stays, that with the smallest id; texts that have no shingles are near to none."""
     return minhash.keep_one(docs, NEAR_PERCENT)
 
 
@@ -32,7 +32,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and digests of them and of what they decode to."""
+    """Number of tokens of each document, repeated ones too, and digests of its ids and of what they decode to."""
     import public_tokenizers
 
     return bpe.round_trip(docs, bpe.vocabulary_path(spark), public_tokenizers.PATTERN)
@@ -46,11 +46,13 @@ STAGES = [
     ("byte-level BPE", tokenize),
 ]
 
-#: A learned classifier and MinHash are not SQL; the tests compare each stage with a plain version instead.
+#: A learned classifier and MinHash are not SQL. Tests compare exact and near dedup, rates and tokens with plain versions, and the
+#: marginals of language ID with those over every path.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows for `documents`; each stage's rows are stored before the next one reads them."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir))

@@ -223,7 +223,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Per document: doc_id, n_tokens, and the SHA-256 of its ids and of the bytes they decode to."""
+    """Per document: doc_id, n_tokens, and the SHA-256 of its ids and of the bytes they decode to.
+
+    NULL and empty texts have no tokens and the digest of nothing. Each repeated row gives a row, a NULL doc_id stays NULL, texts
+    may have any length, an empty table gives no rows, and other columns are not looked at.
+    """
     both = decode(encode(docs, path, pattern), path)
     return both.select(
         "doc_id",

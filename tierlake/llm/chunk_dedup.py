@@ -115,7 +115,12 @@ def _verified(cut: DataFrame, recipes: DataFrame, hash_of) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, that stay; of rows repeated whole one stays."""
+    """The rows of `docs`, all columns, that stay: of equal texts the row with the largest doc_id.
+
+    NULL is the same text as an empty one. A row without an id stays only if no row with an id has its text. Of several rows with
+    the id and the text that stay, one does, chosen by a hash of its columns. Texts may have any length, an empty table gives no
+    rows, and columns may have any names.
+    """
     kept = duplicates(docs).filter("kept").select("doc_id", "text_sha256").distinct()
     sha, order, n, kept_id, kept_sha = fresh(docs, "sha", "order", "n", "kept_id", "kept_sha")
     keyed = docs.withColumns({sha: F.sha2(F.coalesce("text", F.lit("")), 256), order: F.xxhash64(*columns(docs))})

@@ -288,7 +288,11 @@ def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """The rows of `docs`, all columns, whose language is identified and holds a share of at least `least` of their words."""
+    """The rows of `docs`, all columns, whose language is identified and holds a share of at least `least` of their words.
+
+    Rows with a NULL text or one without a letter go. Repeated rows share one fate, a row without an id is judged as any other,
+    texts may have any length, an empty table gives no rows, and columns may have any names.
+    """
     lang, score = fresh(docs, "lang_pred", "score")
     found = annotate(docs, (lang, score), train(docs))
     return found.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*columns(docs))

@@ -224,7 +224,8 @@ def _fit(
 def resample(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, keep: str | None = None) -> DataFrame:
     """The rows of `docs`, all columns, each as often as its rate says: the whole part of it, and once more with the rest as chance.
 
-    Chance is a hash of the row, so runs agree; rows with a rate of 0 go. `keep` is as in `rates`.
+    Chance is a hash of the row, so runs agree, and rows that are equal in all columns have one fate; rows with a rate of 0 go.
+    `keep` is as in `rates`, and so is what NULL, empty and long texts get. Columns may have any names.
     """
     weighted = rates(docs, labels, targets, whole=True, keep=keep)
     rate = weighted.columns[-1]
