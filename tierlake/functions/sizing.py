@@ -16,6 +16,11 @@ _GROWTH = 3
 _BYTES_PER_TASK = 512 * 1024**2
 # Beyond this the bookkeeping of a shuffle costs more than larger tasks, which can spill.
 _MOST_PARTITIONS = 50_000
+# Files may hold a row in a few bytes, so a plan that fixes its partitions has one for so many bytes of them, up to a number
+# that is cheap to keep; below the least size there is nothing to fix.
+_FILE_BYTES_PER_PART, _MANY_PARTS, _LEAST_BYTES = 2 * 1024**2, 4_000, 32 * 1024**2
+# Rows of one task, and of one file, where bytes say little about what rows take in memory.
+TASK_ROWS = 1_000_000
 # What a row and a column of fixed size take in memory, at most.
 _ROW_BYTES, _COLUMN_BYTES = 16, 16
 
@@ -61,22 +66,56 @@ def fits_broadcast(spark: SparkSession, rows_in_memory: int) -> bool:
     return 0 <= rows_in_memory <= size_setting(spark, "spark.sql.autoBroadcastJoinThreshold")
 
 
+def fixed_parts(spark: SparkSession, stored_bytes: int | None) -> int | None:
+    """How many partitions a plan should fix for files of this size; None if Spark's own choice will do or the size is not known.
+
+    Adaptive execution joins partitions by their compressed size, which for rows that compress well is a small part of
+    what a task then sorts and hashes.
+    """
+    if stored_bytes is None or stored_bytes < _LEAST_BYTES:
+        return None
+    few = min(stored_bytes // _FILE_BYTES_PER_PART, _MANY_PARTS)
+    many = min(stored_bytes * _GROWTH // _BYTES_PER_TASK, _MOST_PARTITIONS)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), few, many)
+
+
 @contextmanager
-def room_to_shuffle(spark: SparkSession, stored_bytes: int | None, multiple_of: int = 1) -> Iterator[int]:
+def room_to_shuffle(
+    spark: SparkSession, stored_bytes: int | None, multiple_of: int = 1, rows: int | None = None
+) -> Iterator[int]:
     """Raise the number of shuffle partitions, while the block lasts, to what `stored_bytes` of input need.
 
     The number is never lowered, and stays if the size is not known; adaptive execution joins partitions that turn out small, and it is a multiple of
-    `multiple_of`, so that the partitions of a hash shuffle nest with as many hash buckets. The setting is the
+    `multiple_of`, so that the partitions of a hash shuffle nest with as many hash buckets. The settings are the
     session's, so blocks in one session must not overlap.
+
+    rows: how many rows these bytes are. Where rows compress well, the sizes by which Spark cuts files, joins partitions
+        and finds and splits hot ones are lowered to those of `TASK_ROWS` rows, so that a task's memory does not follow the compression.
     """
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if spark.conf.get(setting, None) is None:
         setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    wanted = max(int(before), min((stored_bytes or 0) * _GROWTH // _BYTES_PER_TASK, _MOST_PARTITIONS))
+    sizes = {} if rows is None or stored_bytes is None else _sizes_of_tasks(spark, stored_bytes, rows)
+    before = {name: spark.conf.get(name) for name in (setting, *sizes)}
+    wanted = max((stored_bytes or 0) * _GROWTH // _BYTES_PER_TASK, (rows or 0) // TASK_ROWS)
+    wanted = max(int(before[setting]), min(wanted, _MOST_PARTITIONS))
     partitions = -(-wanted // multiple_of) * multiple_of
-    spark.conf.set(setting, str(partitions))
     try:
+        for name, value in {setting: partitions, **sizes}.items():
+            spark.conf.set(name, str(value))
         yield partitions
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _sizes_of_tasks(spark: SparkSession, stored_bytes: int, rows: int) -> dict[str, int]:
+    """Size settings under which a task gets about `TASK_ROWS` rows, given their size in files; only those to be lowered."""
+    task = max(1, stored_bytes * TASK_ROWS // max(rows, TASK_ROWS))
+    wanted = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": task,
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": task,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": 4 * task,
+        "spark.sql.files.maxPartitionBytes": task + size_setting(spark, "spark.sql.files.openCostInBytes"),
+    }
+    return {name: size for name, size in wanted.items() if rows > TASK_ROWS and size < size_setting(spark, name)}

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from tierlake.functions.keys import any_null, same_keys
 from tierlake.functions.names import by_name, column_name, fold
 from tierlake.functions.schema import SchemaError, evolved, grown, nullable
+from tierlake.functions.sizing import added, fits_broadcast, fixed_parts, planned_bytes
 
 NULL_KEY_RULES = ("error", "insert", "drop")
 COUNT, HOT, SALT = "__rows_of_key", "__hot_key", "__salt"
@@ -67,18 +68,33 @@ def merge_upsert(
 
     This is one lazy plan that reads the source several times. Adaptive execution splits a hot target key over tasks only
     with `unique_source`, as it does between two plain shuffles; without, the plan salts it, for which the target's keys
-    are read once more. `tierlake.operators.publish.upsert` merges into a stored table without either limit.
+    are read once more, and fixes the number of its partitions by the size of the files, if the source is too large to
+    broadcast, so that no task's rows grow with the tables. `tierlake.operators.publish.upsert` merges into a stored table without either limit.
     """
     keys = resolved_keys(target, keys)
     prepared = prepare_source(target, source, keys, evolve=evolve, null_keys=null_keys, dedupe_by=dedupe_by)
     if unique_source or dedupe_by is not None:
         updated, inserted = merge_in_two_joins(target, split_unique(prepared, keys), keys)
     else:
-        split = split_repeated(prepared, keys, repeated_keys(prepared, keys))
-        updated, inserted = merge_in_two_joins(target, split, keys, salts=_salts(target.sparkSession))
+        parts = _parts(target, source)
+        split = split_repeated(prepared, keys, repeated_keys(prepared, keys, parts), parts)
+        updated, inserted = merge_in_two_joins(target, split, keys, salts=_salts(target.sparkSession), parts=parts)
     return updated.union(inserted)
 
 
+def _parts(target: DataFrame, source: DataFrame) -> int | None:
+    """The number of partitions to fix; None if it is left to Spark, as it must be if Spark is to broadcast the source."""
+    spark, own = target.sparkSession, planned_bytes(source)
+    if own is None or fits_broadcast(spark, own):
+        return None
+    return fixed_parts(spark, added(own, planned_bytes(target)))
+
+
+def _dealt(rows: DataFrame, parts: int | None, keys: Sequence[str]) -> DataFrame:
+    """Rows by key in a fixed number of partitions, or as they are."""
+    return rows.repartition(parts, *[column_name(k) for k in keys]) if parts else rows
+
+
 def _salts(spark: SparkSession) -> int:
     """Some salts per shuffle partition, so that each partition gets about as many of a hot key's."""
     return min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_SALTS)
@@ -98,16 +114,17 @@ def hot_keys(target: DataFrame, keys: Sequence[str], salts: int) -> DataFrame:
     return found.select(F.col("item").alias(HOT))
 
 
-def salted(target: DataFrame, matching: DataFrame, keys: Sequence[str], salts: int) -> tuple[DataFrame, DataFrame]:
+def salted(
+    target: DataFrame, matching: DataFrame, keys: Sequence[str], salts: int, hot: DataFrame
+) -> tuple[DataFrame, DataFrame]:
     """Both sides with a salt: rows of a hot target key are dealt over `salts` of them, and the source's row has all.
 
     A row's salt follows from its values, so that a repeated task deals it in the same way; rows that are equal in all of
     them stay together.
     """
-    hot = F.broadcast(hot_keys(target, keys, salts))
 
     def beside(rows: DataFrame) -> DataFrame:
-        return rows.join(hot, F.xxhash64(*[F.col(column_name(k)) for k in keys]) == F.col(HOT), "left")
+        return rows.join(hot, _is_hot(keys), "left")
 
     plain = [F.col(column_name(f.name)) for f in target.schema.fields if _sortable(f.dataType)]  # what can be hashed
     own = F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
@@ -116,6 +133,10 @@ def salted(target: DataFrame, matching: DataFrame, keys: Sequence[str], salts: i
     return dealt, beside(matching).withColumn(SALT, F.explode(all_salts)).drop(HOT)
 
 
+def _is_hot(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(column_name(k)) for k in keys]) == F.col(HOT)
+
+
 def prepare_source(
     target: DataFrame,
     source: DataFrame,
@@ -190,13 +211,14 @@ def split_unique(source: DataFrame, keys: Sequence[str]) -> Split:
     return Split(source.filter(~any_null(keys)), source.filter(any_null(keys)))
 
 
-def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_keys(source: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """Keys that several source rows share, with their number of rows."""
-    counted = source.filter(~any_null(keys)).groupBy([column_name(k) for k in keys]).agg(F.count("*").alias(COUNT))
+    keyed = _dealt(source.filter(~any_null(keys)), parts, keys)
+    counted = keyed.groupBy([column_name(k) for k in keys]).agg(F.count("*").alias(COUNT))
     return counted.filter(F.col(COUNT) > 1)
 
 
-def split_repeated(source: DataFrame, keys: Sequence[str], repeated: DataFrame) -> Split:
+def split_repeated(source: DataFrame, keys: Sequence[str], repeated: DataFrame, parts: int | None = None) -> Split:
     """The split of any other source.
 
     Repeated keys may only be new, so their rows need no matching. One row with the key and the count stands for
@@ -204,17 +226,25 @@ def split_repeated(source: DataFrame, keys: Sequence[str], repeated: DataFrame)
     """
     columns = [column_name(c) for c in source.columns]
     keyed, loose = split_unique(source, keys)
+    keyed = _dealt(keyed, parts, keys)
     matching = keyed.join(repeated, keys, "left_anti").unionByName(repeated, allowMissingColumns=True)
     return Split(matching, keyed.join(repeated, keys, "left_semi").select(columns).union(loose))
 
 
 def merge_in_two_joins(
-    target: DataFrame, source: Split, keys: Sequence[str], *, broadcast_source: bool | None = None, salts: int = 0
+    target: DataFrame,
+    source: Split,
+    keys: Sequence[str],
+    *,
+    broadcast_source: bool | None = None,
+    salts: int = 0,
+    parts: int | None = None,
 ) -> Merged:
     """Both parts of the merge, whatever the keys of the target.
 
     broadcast_source: the caller has compared the size of the source to Spark's limit; None leaves that to Spark.
     salts: into how many parts a hot target key is dealt by the plan itself; 0 leaves that to adaptive execution.
+    parts: with salts, into how many partitions the plan itself deals both sides; None leaves that to adaptive execution.
     """
     keys = resolved_keys(target, keys)
     schema = evolved(target.sparkSession, target.schema, source.direct.schema)
@@ -225,7 +255,9 @@ def merge_in_two_joins(
         matching = matching.hint("broadcast" if broadcast_source else "merge")
     dealt, on = target, list(keys)
     if salts > 1:
-        (dealt, matching), on = salted(target, matching, keys, salts), [*keys, SALT]
+        hot = F.broadcast(hot_keys(target, keys, salts))
+        (dealt, matching), on = salted(target, matching, keys, salts, hot), [*keys, SALT]
+        dealt, matching = _dealt(dealt, parts, on), _dealt(matching, parts, on)
     joined = dealt.alias("t").join(matching.alias("s"), same_keys("t", "s", on), "left")
     if COUNT in source.matching.columns:
         joined = joined.filter(_single(keys, F.lit(True)))
@@ -234,6 +266,13 @@ def merge_in_two_joins(
     single = source.matching
     if COUNT in single.columns:
         single = single.filter(F.col(COUNT).isNull()).select(columns)
+    if salts > 1 and parts:
+        # Hot keys are few, and only they have to be made distinct.
+        present = target.select(names).filter(~any_null(keys))
+        cold = _dealt(present.join(hot, _is_hot(keys), "left_anti"), parts, keys)
+        often = F.broadcast(present.join(hot, _is_hot(keys), "left_semi").distinct())
+        fresh = single.join(cold, keys, "left_anti").join(often, keys, "left_anti").select(columns).union(source.direct)
+        return Merged(updated, fresh.to(schema))
     present, wanted = target.select(names).distinct(), single.select(names)
     if broadcast_source is not False:
         # Spark moves this semi join below the distinct if the source is small enough to broadcast, so that only
