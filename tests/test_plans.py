@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tierlake import read_table, upsert
 from tierlake.functions import sizing
+from tierlake.operators import publish
 from tierlake.operators.upsert import (
     hot_keys,
     merge_in_one_join,
@@ -21,6 +22,14 @@ from tierlake.operators.upsert import (
 )
 
 
+AQE_SIZES = (
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+    "spark.sql.files.maxPartitionBytes",
+)
+
+
 @pytest.fixture
 def tables(spark, tmp_path, conf):
     conf(spark__sql__maxMetadataStringLength="1000")
@@ -157,6 +166,26 @@ def test_hot_keys_are_those_with_more_than_their_share(spark):
     assert hot_keys(keys.filter("k > 5"), ["k"], 8).isEmpty() and hot_keys(keys.limit(0), ["k"], 8).isEmpty()
 
 
+def test_a_hot_key_that_compresses_well_is_split(spark, name, path, shuffled, conf, monkeypatch):
+    """A third of the rows under one key, which take next to nothing in files; without finer sizes one task gets them all."""
+    conf(spark__sql__files__openCostInBytes="0")
+    monkeypatch.setattr(sizing, "TASK_ROWS", 5_000)
+    monkeypatch.setattr(publish, "TASK_ROWS", 5_000)
+    n = 120_000
+    lines = spark.range(n).selectExpr("IF(id % 3 = 0, 0, id) k", "id * 31 % 1000 part")
+    upsert(spark, name, path, lines, ["k"], buckets=8, table_format="parquet")
+    settings = {key: spark.conf.get(key) for key in AQE_SIZES}
+    upsert(spark, name, path, spark.range(0, n, 2).selectExpr("id k", "'new' state"), ["k"], plan="two joins")
+    task = F.regexp_extract(F.input_file_name(), r"part-\d+", 0)
+    tasks = [r["count"] for r in spark.table(name).groupBy(task).count().collect()]
+    assert sum(tasks) == n + n // 6 - 1 and max(tasks) < n // 6
+    result = read_table(spark, name)
+    assert result.count() == n + n // 6 - 1
+    assert result.filter("k = 0 AND state = 'new' AND part IS NOT NULL").count() == n // 3
+    assert all(f.count() <= 5_000 for f in (spark.read.parquet(x) for x in spark.table(name).inputFiles()[:5]))
+    assert settings == {key: spark.conf.get(key) for key in AQE_SIZES}
+
+
 def test_a_hot_bucket_is_written_by_several_tasks(spark, name, path, conf):
     conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="100k")
     hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tierlake.functions.keys import any_null, bucket_of
 from tierlake.functions.names import by_name, column_name, fold
 from tierlake.functions.schema import SchemaError, conform, evolved, nullable
-from tierlake.functions.sizing import added, fits_broadcast, planned_bytes, room_to_shuffle, row_bytes, size_setting
+from tierlake.functions.sizing import TASK_ROWS, added, fits_broadcast, planned_bytes, room_to_shuffle, row_bytes, size_setting
 from tierlake.functions.storage import (
     committed_folders,
     folder_names,
@@ -226,7 +226,8 @@ def _upsert(
 
     with ExitStack() as staging:
         rows, stored_bytes = staging.enter_context(staged(prepared))
-        profile = _profile(rows, keys, row_bytes(rows.schema))
+        with room_to_shuffle(spark, stored_bytes, rows=rows.count()):
+            profile = _profile(rows, keys, row_bytes(rows.schema))
         if not profile["rows"]:
             check()
             add_columns(spark, name, evolved(spark, target.schema, prepared.schema))
@@ -237,10 +238,11 @@ def _upsert(
         if layout.buckets:
             part = spark.table(name).filter(F.col(BUCKET_COLUMN).isin(touched)).drop(BUCKET_COLUMN)
         small = fits_broadcast(spark, profile["bytes"]) if plan is None else plan == "broadcast"
-        grouped = _stays_grouped(part, layout.buckets, len(touched), small)
+        held = part.count()  # which the files tell
+        grouped = _stays_grouped(part, layout.buckets, len(touched), small, held)
         if not (small and grouped):
             size = added(stored_bytes, planned_bytes(part))
-            staging.enter_context(room_to_shuffle(spark, size, _hashed(layout.buckets)))
+            staging.enter_context(room_to_shuffle(spark, size, _hashed(layout.buckets), profile["rows"] + held))
         # Only the keys of what is rewritten are counted, and each time: others may write to the table too.
         one_join = plan == "one join" or (plan is None and not small and _profile(part, keys)["most"] <= FEW_ROWS)
 
@@ -536,7 +538,7 @@ def _bucketed(merged: Merged, keys: Sequence[str], buckets: int | str, grouped:
     return updated.union(_spread(inserted)) if grouped else _spread(updated.union(inserted))
 
 
-def _stays_grouped(part: DataFrame, buckets: int | str | None, touched: int, source_is_broadcast: bool) -> bool:
+def _stays_grouped(part: DataFrame, buckets: int | str | None, touched: int, source_is_broadcast: bool, rows: int) -> bool:
     """Whether the merged rows can be written without another shuffle to bring buckets together.
 
     After a broadcast they are grouped as the files they came from, which will do unless earlier upserts have left
@@ -546,7 +548,7 @@ def _stays_grouped(part: DataFrame, buckets: int | str | None, touched: int, sou
         return True
     if not source_is_broadcast:
         return isinstance(buckets, int)
-    full_files = (planned_bytes(part) or 0) // size_setting(part.sparkSession, "spark.sql.files.maxPartitionBytes")
+    full_files = (planned_bytes(part) or 0) // size_setting(part.sparkSession, "spark.sql.files.maxPartitionBytes") + rows // TASK_ROWS
     # Counted where the list is, which stays there.
     return len(part._jdf.inputFiles()) <= 4 * (full_files + touched)
 
@@ -561,7 +563,8 @@ def _write(
 ) -> str:
     """A fresh folder below `path` with the `whole` table, or with some of its buckets; its name sorts behind that of `after`."""
     location = f"{path.rstrip('/')}/{unique_name(FOLDER, after and after.rstrip('/').rpartition('/')[2])}"
-    df.write.partitionBy(*([BUCKET_COLUMN] if buckets else [])).parquet(location)
+    # A file is what a later task gets at least, however well its rows compress.
+    df.write.partitionBy(*([BUCKET_COLUMN] if buckets else [])).option("maxRecordsPerFile", TASK_ROWS).parquet(location)
     layout = {"buckets": buckets, "keys": list(keys), "whole": whole}
     write_text(df.sparkSession, f"{location}/{LAYOUT_FILE}", json.dumps(layout))
     return location
